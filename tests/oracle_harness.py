@@ -1,0 +1,108 @@
+"""Spark-vs-DuckDB comparison of the registered queries (mirrors the driver's
+check: row count, column names, order-insensitive values).
+
+CLI:  python tests/oracle_harness.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import os
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NaN"
+        return 0.0 if v == 0 else v
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    return v
+
+
+def _canon_rows(rows, cols):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) -> dict:
+    t0 = time.time()
+    sdf = query(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    t_spark = time.time() - t0
+    out = {"query": name, "spark_rows": len(s_rows), "spark_sec": round(t_spark, 2)}
+    if sql is None:
+        out["status"] = "rows-only"
+        return out
+    con = con or duck(sf_dir)
+    rel = con.execute(sql)
+    d_cols = [d[0] for d in rel.description]
+    d_rows = rel.fetchall()
+    out["oracle_rows"] = len(d_rows)
+    if sorted(s_cols) != sorted(d_cols):
+        out["status"] = f"COLUMNS differ: spark={s_cols} duck={d_cols}"
+        return out
+    a, b = _canon_rows(s_rows, s_cols), _canon_rows(d_rows, d_cols)
+    if a == b:
+        out["status"] = "match"
+    else:
+        only_s = list((a - b).elements())[:3]
+        only_d = list((b - a).elements())[:3]
+        out["status"] = "VALUES differ"
+        out["cols"] = sorted(s_cols)
+        out["only_spark"] = only_s
+        out["only_duck"] = only_d
+        out["n_diff"] = (sum((a - b).values()), sum((b - a).values()))
+    return out
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    wanted = argv[2:]
+    import __spark_entry__ as E
+    from tripmart.session import build_session
+    spark = build_session("local[8]", 8)
+    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    bad = 0
+    for name, q in qs.items():
+        if wanted and name not in wanted:
+            continue
+        try:
+            r = compare(spark, sf_dir, name, q, sqls.get(name), con)
+        except Exception as e:  # report and continue
+            r = {"query": name, "status": f"ERROR {type(e).__name__}: {str(e)[:400]}"}
+        if r["status"] not in ("match", "rows-only"):
+            bad += 1
+        print(r, flush=True)
+    print(f"{bad} problem(s)")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
