@@ -125,7 +125,9 @@ timed AS (SELECT *,
 named AS (SELECT *, {name_sql()} AS k_name FROM timed),
 keyed AS (SELECT {uuid5_sql("k_name || '-' || CAST(row_number() OVER (PARTITION BY k_name) AS VARCHAR)")} AS trip_id, * EXCLUDE (k_name) FROM named),
 dropped AS (SELECT * EXCLUDE (pickup_datetime, dropoff_datetime) FROM keyed),
-fact AS (SELECT {mapping_select(FACT_MAPPING)} FROM dropped)
+fact AS (SELECT {mapping_select(FACT_MAPPING)} FROM dropped),
+zone AS (SELECT {text_zone_select()} FROM fact),
+loaded AS (SELECT {mapping_select(LOAD_MAPPING)} FROM zone)
 """
 
 
@@ -138,6 +140,24 @@ def text_zone_select() -> str:
     return ", ".join(out)
 
 
+def rule_sqls(window=DRIVER_WINDOW) -> list[tuple[str, str]]:
+    rules = list(RANGE_RULES) + [("tpep_pickup_datetime", window[0], None),
+                                 ("tpep_dropoff_datetime", None, window[1])]
+    out = [("required_not_null", not_null_sql()),
+           ("fee_domain", "(airport_fee = 1.25::DOUBLE OR airport_fee = 0.0::DOUBLE)"),
+           ("pickup_before_dropoff", "tpep_pickup_datetime < tpep_dropoff_datetime")]
+    for c, lo, hi in rules:
+        parts = []
+        if lo is not None:
+            parts.append(f"{c} >= {lit(lo)}")
+        if hi is not None:
+            parts.append(f"{c} <= {lit(hi)}")
+        out.append((f"range_{c}", " AND ".join(parts)))
+    out.append(("kept_as_written", clean_sql("as_written", window)))
+    out.append(("kept_grouped", clean_sql("grouped", window)))
+    return out
+
+
 def dims_ctes(calendar=DRIVER_CALENDAR, holidays=HOLIDAY_DATE_IDS) -> str:
     start, end = calendar
     hol = ", ".join(map(str, holidays))
