@@ -51,10 +51,16 @@ def filter_links(df: DataFrame, pattern: str = SOURCE_LINK_PATTERN, col: str = "
 
 def source_listing(orders: DataFrame, base: str = "https://data.example/trip-data/yellow_tripdata_"
                    ) -> DataFrame:
-    """Driver stand-in for the published file list: one URL per order month."""
-    m = F.date_format(F.col("o_orderdate"), "yyyy-MM")
-    return (orders.select(m.alias("_m")).distinct()
-            .select(F.concat(F.lit(base), F.col("_m"), F.lit(".parquet")).alias("url")))
+    """Driver stand-in for the published file list: one URL per order month.
+
+    The URL is built from an aggregate output (the month's first order
+    date), not from the grouping keys, so filters on the URL stay above the
+    aggregate: string work runs once per month, not once per order."""
+    d = F.col("o_orderdate")
+    months = orders.groupBy(F.year(d).alias("_y"), F.month(d).alias("_m")) \
+        .agg(F.min(d).alias("_first"))
+    return months.select(F.concat(F.lit(base), F.date_format("_first", "yyyy-MM"),
+                                  F.lit(".parquet")).alias("url"))
 
 
 def with_period(df: DataFrame, url_col: str = "url", pattern: str = PERIOD_PATTERN,

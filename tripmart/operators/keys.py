@@ -13,7 +13,8 @@ from its source position (`_src_pos`), so a name group is split into
 
   1. ONE shuffle of the rows by (name hash, salt); `row_number` inside the
      sub-group gives the local index (window reuses that partitioning);
-  2. per (name hash, salt) counts — no extra shuffle, same partitioning;
+  2. per (name hash, salt) counts — a narrow branch (3 columns, partially
+     aggregated before its shuffle) that re-reads the input;
   3. a narrow running sum over the salts of each name gives the sub-group's
      offset (at most `salt_buckets` rows per name, whatever the skew);
   4. offsets join back on (name hash, salt), big side already partitioned.
@@ -91,8 +92,11 @@ def with_trip_id(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS,
     order = [pos.asc(), *[F.col(c).asc_nulls_first() for c in columns]] if has_pos else \
         [F.col(c).asc_nulls_first() for c in columns]
     x = x.withColumn("_k_local", F.row_number().over(Window.partitionBy(*sub).orderBy(*order)))
-    # (2)+(3) offsets of each sub-group within its name.
-    counts = x.groupBy(*sub).agg(F.count(F.lit(1)).alias("_k_n"))
+    # (2)+(3) offsets of each sub-group within its name.  Sub-group size =
+    # max local index.  Column pruning narrows this branch to the three key
+    # columns, so it re-reads the input but shuffles only ~16 bytes per row
+    # (partial aggregation first); the full rows are shuffled once, above.
+    counts = x.groupBy(*sub).agg(F.max("_k_local").alias("_k_n"))
     w_name = (Window.partitionBy("_k_h1", "_k_h2").orderBy("_k_salt")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*sub, F.coalesce(F.sum("_k_n").over(w_name), F.lit(0))

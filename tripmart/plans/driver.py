@@ -12,16 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dims import dim_locations_from, star_dims
 from ..schema import DRIVER_CALENDAR, DRIVER_WINDOW, HOLIDAY_DATE_IDS
 from ..sources.adapter import raw_trips, table
+from .memo import memo
 from .transform import stages
 
 
 def driver_raw(spark: SparkSession, sf_dir: str, with_position: bool = True) -> DataFrame:
-    return raw_trips(spark, sf_dir, with_position=with_position)
+    return memo(spark, ("raw", sf_dir, with_position),
+                lambda: raw_trips(spark, sf_dir, with_position=with_position))
 
 
 def driver_stages(spark: SparkSession, sf_dir: str, mode: str = "as_written",
                   salted: bool = True) -> dict[str, DataFrame]:
-    return stages(driver_raw(spark, sf_dir), DRIVER_WINDOW, mode, salted=salted)
+    return memo(spark, ("stages", sf_dir, mode, salted),
+                lambda: stages(driver_raw(spark, sf_dir), DRIVER_WINDOW, mode, salted=salted))
 
 
 def driver_fact(spark: SparkSession, sf_dir: str, mode: str = "as_written") -> DataFrame:
@@ -33,4 +36,5 @@ def driver_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star_dims(spark, driver_locations(spark, sf_dir), DRIVER_CALENDAR, HOLIDAY_DATE_IDS)
+    return memo(spark, ("dims", sf_dir), lambda: star_dims(
+        spark, driver_locations(spark, sf_dir), DRIVER_CALENDAR, HOLIDAY_DATE_IDS))

@@ -27,6 +27,7 @@ from ..sources.raw import normalise
 from ..sources.zones import through_text
 from . import oracle as O
 from .driver import driver_dims, driver_raw, driver_stages
+from .memo import memo
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,7 +50,8 @@ _RAW = f"WITH raw AS ({O.RAW_TRIPS_SQL})\n"
 def warehouse_fact(spark, sf) -> DataFrame:
     """The fact as the warehouse holds it: mapped, through the text zone,
     loaded with the second mapping (amounts are 2-decimal doubles again)."""
-    return load_mapping(through_text(driver_stages(spark, sf)["fact"]))
+    return memo(spark, ("warehouse_fact", sf),
+                lambda: load_mapping(through_text(driver_stages(spark, sf)["fact"])))
 
 
 # =================================================================== A. scans

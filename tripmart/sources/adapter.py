@@ -22,7 +22,10 @@ POSITION_COLUMN = "_src_pos"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table (the DataFrame is built once per session: schema
+    inference is a Spark job)."""
+    from ..plans.memo import table as memo_table
+    return memo_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def file_position(df: DataFrame) -> Column:
@@ -54,8 +57,10 @@ def raw_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     pk, sk, ok = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
     cols = [
         (sk % 4).alias("VendorID"),
-        F.timestamp_add("SECOND", T, F.col("o_orderdate")).alias("tpep_pickup_datetime"),
-        F.timestamp_add("SECOND", U, F.col("o_orderdate")).alias("tpep_dropoff_datetime"),
+        # (adding a day-time interval to a TIMESTAMP_NTZ is plain microsecond
+        # arithmetic, cheaper than timestamp_add's calendar path)
+        (F.col("o_orderdate") + F.make_dt_interval(secs=T)).alias("tpep_pickup_datetime"),
+        (F.col("o_orderdate") + F.make_dt_interval(secs=U)).alias("tpep_dropoff_datetime"),
         F.when(pk % 50 == 0, F.lit(None).cast("double"))
          .otherwise(d(F.col("l_quantity").cast("int") % 9)).alias("passenger_count"),
         (d(X % 12000) / 100).alias("trip_distance"),
