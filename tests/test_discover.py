@@ -1,0 +1,105 @@
+"""Links, periods, manifests."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmart.functions.paths import key_folder
+from tripmart.operators import discover as D
+
+HTML = """<html><body>
+<a href="https://x/trip-data/yellow_tripdata_2023-01.parquet">Jan</a>
+<A HREF='https://x/trip-data/yellow_tripdata_2023-02.parquet'>Feb</A>
+<a class=b href=https://x/trip-data/yellow_tripdata_2023-03.parquet>Mar</a>
+<!-- <a href="https://x/trip-data/yellow_tripdata_2023-04.parquet">hidden</a> -->
+<script>var s = '<a href="https://x/in-script">';</script>
+<a href="https://x/q?a=1&amp;b=2">amp</a>
+<a name="top">no href</a>
+<a href="https://x/trip-data/yellow_tripdata_2023-01.parquet">dup</a>
+<a href="https://x/trip-data/green_tripdata_2023-01.parquet">green</a>
+</body></html>"""
+
+
+def test_links_variants(spark):
+    pages = spark.createDataFrame([(1, HTML)], "page_id long, html string")
+    hrefs = [r["href"] for r in D.links(pages).collect()]
+    assert hrefs == [
+        "https://x/trip-data/yellow_tripdata_2023-01.parquet",
+        "https://x/trip-data/yellow_tripdata_2023-02.parquet",
+        "https://x/trip-data/yellow_tripdata_2023-03.parquet",
+        "https://x/q?a=1&b=2",
+        "https://x/trip-data/yellow_tripdata_2023-01.parquet",
+        "https://x/trip-data/green_tripdata_2023-01.parquet",
+    ]
+    kept = D.filter_links(D.links(pages))
+    assert kept.count() == 4
+
+
+def test_links_match_python_parser_on_pages(spark):
+    import html.parser
+
+    from conftest import SF_SMALL
+
+    class P(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.out = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                self.out += [v for k, v in attrs if k == "href"]
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    want = []
+    for r in pages.select("page_id", "html").collect():
+        p = P()
+        p.feed(r["html"])
+        want += [(r["page_id"], h) for h in p.out]
+    got = [tuple(r) for r in D.links(pages).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_periods_and_keys(spark):
+    df = spark.createDataFrame([("https://x/trip-data/yellow_tripdata_2023-01.parquet",),
+                                ("https://x/no-date.parquet",)], "url string")
+    got = [tuple(r) for r in D.with_partition_key(D.with_period(df)).collect()]
+    assert got[0] == ("https://x/trip-data/yellow_tripdata_2023-01.parquet", "2023-01",
+                      "year=2023/month=01/data.parquet")
+    assert got[1][1] is None
+    assert D.quarantine(df).count() == 1
+    assert D.with_period(df, on_missing="drop").count() == 1
+    with pytest.raises(Exception):
+        D.with_period(df, on_missing="error").collect()
+
+
+def test_key_folder_and_offsets(spark):
+    keys = spark.createDataFrame([("year=2023/month=01/data.parquet",), ("data.parquet",),
+                                  ("a/b/year=2023/month=10/x.csv",)], "key string")
+    got = [r[0] for r in keys.select(key_folder(F.col("key"))).collect()]
+    assert got == ["year=2023/month=01", "", "a/b/year=2023/month=10"]
+    off = D.keys_by_offset(keys.limit(1)).first()
+    assert (off["year"], off["month"], off["period"]) == ("2023", "01", "2023-01")
+
+
+def test_unprocessed_exact_partitions(spark):
+    src = spark.createDataFrame([("year=2023/month=1/data.parquet",), ("year=2023/month=10/data.parquet",),
+                                 ("year=2023/month=11/data.parquet",), ("root.parquet",)], "key string")
+    tgt = spark.createDataFrame([("year=2023/month=10/part-0.csv",),
+                                 ("prefix/year=2023/month=11/part-0.csv",)], "key string")
+    got = sorted(r["key"] for r in D.unprocessed(src, tgt).collect())
+    # month=1 is NOT taken as done because month=10 exists; root keys are ignored
+    assert got == ["year=2023/month=1/data.parquet"]
+    empty = spark.createDataFrame([], "key string")
+    assert D.unprocessed(src, empty).count() == 3
+
+
+def test_new_sources(spark):
+    listing = spark.createDataFrame([("u/yellow_tripdata_2023-01.parquet",),
+                                     ("u/yellow_tripdata_2023-02.parquet",)], "url string")
+    have = spark.createDataFrame([("year=2023/month=01/data.parquet",)], "key string")
+    assert [r["period"] for r in D.new_sources(listing, have).collect()] == ["2023-02"]
+
+
+def test_audit(spark):
+    res = spark.createDataFrame([("k2", "success", 5), ("k1", "success", 2), ("k3", "failed", 0)],
+                                "key string, status string, rows long")
+    got = {r["status"]: (r["partitions"], r["n_partitions"], r["rows"]) for r in D.audit(res).collect()}
+    assert got == {"success": (["k1", "k2"], 2, 7), "failed": (["k3"], 1, 0)}

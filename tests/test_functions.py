@@ -1,0 +1,58 @@
+"""Column functions against Python references."""
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from tripmart.functions import (date_id, epoch_nanos_to_ntz, flag_to_bool, miles_to_km,
+                                null_unless_in, time_id, uuid5)
+
+
+def test_uuid5_fixture(spark):
+    df = spark.createDataFrame([("v-0-é",)], "n string")
+    assert df.select(uuid5(F.col("n"))).first()[0] == "80c91f25-fca9-5be2-a82b-26ed7fba5dbc"
+
+
+def test_uuid5_matches_python(spark):
+    names = [f"{i}-x-{i * 7919 % 1000}-ü" * (1 + i % 5) for i in range(500)]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = dict(df.select("n", uuid5(F.col("n")).alias("u")).collect())
+    for n in names:
+        assert got[n] == str(uuid.uuid5(uuid.NAMESPACE_DNS, n))
+
+
+def test_epoch_nanos(spark):
+    df = spark.createDataFrame([(1673000000123456789,)], "n bigint")
+    assert df.select(epoch_nanos_to_ntz(F.col("n"))).first()[0] == dt.datetime(2023, 1, 6, 10, 13, 20)
+
+
+def test_date_and_time_ids(spark):
+    ts = [dt.datetime(2023, 1, 1), dt.datetime(2023, 12, 31, 23, 59, 59), dt.datetime(2024, 12, 31)]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+    got = [tuple(r) for r in df.select(date_id(F.col("t")), time_id(F.col("t"))).collect()]
+    assert got == [(0, 0), (364, 86399), (365, 0)]
+
+
+def test_date_ids_independent_of_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2023, 1, 1, 22),)], "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert tuple(df.select(date_id(F.col("t")), time_id(F.col("t"))).first()) == (0, 79200)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_codes_and_flag(spark):
+    df = spark.createDataFrame([(3, "Y"), (1, "N"), (None, "y"), (2, None)], "v bigint, f string")
+    got = [tuple(r) for r in df.select(null_unless_in(F.col("v"), [1, 2]), flag_to_bool(F.col("f"))).collect()]
+    assert got == [(None, True), (1, False), (None, False), (2, False)]
+
+
+def test_miles_to_km(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (25.0,), (75.0,)], "m double")
+    got = [r[0] for r in df.select(miles_to_km(F.col("m"))).collect()]
+    # 25.0 mi: HALF_UP on the decimal value gives 40.234 (the source's
+    # binary-float formatting printed 40.233) — the one documented tie.
+    assert got == [0.0, 1.609, 40.234, 120.701]

@@ -48,8 +48,10 @@ def drop_by_pattern(df: DataFrame, marker: str = DATETIME_MARKER) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if marker not in c])
 
 
-def apply_mapping(df: DataFrame, mapping: Iterable[tuple[str, str, str, str]]) -> DataFrame:
-    """Select + rename + cast; unmapped columns are dropped.
+def apply_mapping(df: DataFrame, mapping: Iterable[tuple[str, str, str, str]],
+                  passthrough: Sequence[str] = ()) -> DataFrame:
+    """Select + rename + cast; unmapped columns are dropped (except those
+    named in `passthrough`, e.g. storage partition columns).
 
     Casts use try_cast, so a value that does not fit the target type becomes
     NULL instead of failing the job (double -> int truncates toward zero).
@@ -57,16 +59,18 @@ def apply_mapping(df: DataFrame, mapping: Iterable[tuple[str, str, str, str]]) -
     cols = []
     for src, _src_t, dst, dst_t in mapping:
         cols.append(F.col(f"`{src}`").try_cast(_SQL_TYPES[dst_t]).alias(dst))
+    cols += [F.col(f"`{c}`") for c in passthrough if c in df.columns]
     return df.select(*cols)
 
 
-def fact_mapping(df: DataFrame, keep_fare_cents: bool = False) -> DataFrame:
+def fact_mapping(df: DataFrame, keep_fare_cents: bool = False,
+                 passthrough: Sequence[str] = ()) -> DataFrame:
     """First mapping (transform output types).  The fare is cut to whole
     units as in the source; `keep_fare_cents=True` keeps it as double."""
     mapping = list(FACT_MAPPING)
     if keep_fare_cents:
         mapping = [(s, st, d, "double" if d == "fare_amount" else dt) for s, st, d, dt in mapping]
-    return apply_mapping(df, mapping)
+    return apply_mapping(df, mapping, passthrough)
 
 
 def load_mapping(df: DataFrame) -> DataFrame:
@@ -161,18 +165,21 @@ def _agg_for(df, path, dtype, in_array, null_strings, null_numbers):
         outer.append(p)
         if isinstance(f.dataType, T.ArrayType):
             arr = F.col(".".join(f"`{x}`" for x in outer))
-            inner = parts[i + 1:]
-
-            def elem_test(e, inner=inner):
-                v = e
-                for q in inner:
-                    v = v.getField(q)
-                return _in_set(F.trim(v) if is_string else v, values, dtype)
+            elem_test = _element_test(parts[i + 1:], is_string, values, dtype)
             return F.bool_and(F.coalesce(F.forall(arr, elem_test), F.lit(True)))
         schema = f.dataType
     raise ValueError(path)
 
 
+def _element_test(inner, is_string, values, dtype):
+    def test(e):  # one-argument lambda for `forall`
+        v = e
+        for q in inner:
+            v = v.getField(q)
+        return _in_set(F.trim(v) if is_string else v, values, dtype)
+    return test
+
+
 def drop_null_columns(df: DataFrame, null_strings: Iterable = (None,),
                       null_numbers: Iterable = (None,)) -> DataFrame:
     """Drop the leaves `null_column_report` marks; nested leaves are removed

@@ -107,13 +107,22 @@ def new_sources(listing: DataFrame, existing_keys: DataFrame) -> DataFrame:
     return with_period(listing).join(have, "period", "left_anti")
 
 
+def _partition_value(c: str) -> Column:
+    """Numeric partition values compare as numbers ('01' = '1': writers
+    differ in zero padding); others as text."""
+    v = F.col(c)
+    return F.coalesce(v.try_cast("bigint").cast("string"), v)
+
+
 def unprocessed(source_keys: DataFrame, target_keys: DataFrame) -> DataFrame:
     """Source keys whose (year, month) partition has no file in the target
     zone.  Exact match on the parsed partition values."""
     src = zone_manifest(source_keys).where(F.col("year").isNotNull() & F.col("month").isNotNull())
+    src = src.withColumns({"_y": _partition_value("year"), "_m": _partition_value("month")})
     done = (zone_manifest(target_keys).where(F.col("year").isNotNull())
-            .select("year", "month").distinct())
-    return src.join(done, ["year", "month"], "left_anti").select("key", "year", "month")
+            .select(_partition_value("year").alias("_y"), _partition_value("month").alias("_m"))
+            .distinct())
+    return src.join(done, ["_y", "_m"], "left_anti").select("key", "year", "month")
 
 
 def audit(results: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ from ..operators.keys import KEY_COLUMNS, with_trip_id, with_trip_id_unsalted
 from ..schema import DEFAULT_WINDOW, RAW_NAMES
 from ..sources.adapter import POSITION_COLUMN
 
+STORAGE_COLUMNS = ("year", "month")
+
 
 def add_time_keys(df: DataFrame) -> DataFrame:
     p, d = F.col("pickup_datetime"), F.col("dropoff_datetime")
@@ -33,7 +35,7 @@ def stages(raw: DataFrame, window=DEFAULT_WINDOW, mode: str = "as_written",
            keep_fare_cents: bool = False, salted: bool = True) -> dict[str, DataFrame]:
     """Every intermediate of the chain, by name (all lazy)."""
     keep = [c for c in raw.columns if c in RAW_NAMES or c.lower() == "airport_fee"
-            or c == POSITION_COLUMN]
+            or c == POSITION_COLUMN or c in STORAGE_COLUMNS]
     cleaned = clean(raw.select(*[f"`{c}`" for c in keep]), window, mode)
     renamed = rename(cleaned)
     conformed = conform(renamed)
@@ -43,7 +45,9 @@ def stages(raw: DataFrame, window=DEFAULT_WINDOW, mode: str = "as_written",
     else:
         keyed = with_trip_id_unsalted(timed, KEY_COLUMNS)
     dropped = drop_by_pattern(keyed)
-    fact = fact_mapping(dropped, keep_fare_cents=keep_fare_cents)
+    # Storage partitions (from the file path) ride along untouched; they are
+    # never derived from the row's own dates.
+    fact = fact_mapping(dropped, keep_fare_cents=keep_fare_cents, passthrough=STORAGE_COLUMNS)
     return {"cleaned": cleaned, "renamed": renamed, "conformed": conformed,
             "timed": timed, "keyed": keyed, "dropped": dropped, "fact": fact}
 
