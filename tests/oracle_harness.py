@@ -86,7 +86,16 @@ def main(argv):
     wanted = argv[2:]
     import __spark_entry__ as E
     from tripmart.session import build_session
-    spark = build_session("local[8]", 8)
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # a session without the pipeline settings, in a non-UTC zone
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.sql.session.timeZone", "America/New_York")
+                 .config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", 8)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

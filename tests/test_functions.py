@@ -56,3 +56,20 @@ def test_miles_to_km(spark):
     # 25.0 mi: HALF_UP on the decimal value gives 40.234 (the source's
     # binary-float formatting printed 40.233) — the one documented tie.
     assert got == [0.0, 1.609, 40.234, 120.701]
+
+
+def test_ntz_helpers_ignore_session_zone_in_dst_gap(spark):
+    from tripmart.functions.timekeys import epoch_seconds_of_ntz, format_ntz
+    from tripmart.operators.keys import canonical_text
+    from pyspark.sql import types as T
+    gap = dt.datetime(1999, 4, 4, 2, 13, 9)  # does not exist in New York
+    df = spark.createDataFrame([(gap,)], "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        nanos = (epoch_seconds_of_ntz(F.col("t")) * 1_000_000_000).cast("bigint") + 999
+        r = df.select(format_ntz(F.col("t")), epoch_nanos_to_ntz(nanos),
+                      canonical_text(F.col("t"), T.TimestampNTZType())).first()
+        assert tuple(r) == ("1999-04-04 02:13:09", gap, "1999-04-04 02:13:09")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -30,9 +30,29 @@ def weekday(d: Column) -> Column:
     return F.weekday(d)
 
 
+def ntz_from_epoch_seconds(secs: Column) -> Column:
+    """Epoch seconds (numeric, may have a fraction) -> TIMESTAMP_NTZ in UTC
+    wall clock.  Interval arithmetic on NTZ is plain microsecond addition;
+    `timestamp_add` / casts through TIMESTAMP consult the session zone and
+    shift wall-clock times that fall in a DST gap."""
+    return _epoch_ntz() + F.make_dt_interval(secs=secs.cast("decimal(18,6)"))
+
+
+def epoch_seconds_of_ntz(ts: Column) -> Column:
+    """TIMESTAMP_NTZ -> epoch seconds (decimal with microseconds), zone-free."""
+    return (ts - _epoch_ntz()).cast("interval second").cast("decimal(20,6)")
+
+
 def epoch_nanos_to_ntz(nanos: Column) -> Column:
     """Epoch nanoseconds (LONG) -> TIMESTAMP_NTZ in UTC wall clock, truncated
     to whole seconds toward zero (as converting through `from_unixtime` does)."""
     # Exact decimal division; decimal -> bigint truncates toward zero.
     secs = (nanos.cast("decimal(20,0)") / F.lit(1_000_000_000)).cast("bigint")
-    return F.timestamp_add("SECOND", secs, _epoch_ntz())
+    return ntz_from_epoch_seconds(secs)
+
+
+def format_ntz(ts: Column) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' from the NTZ fields (zone-free, unlike
+    date_format, which shifts DST-gap wall-clock times)."""
+    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts),
+                           F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts))

@@ -59,8 +59,8 @@ def source_listing(orders: DataFrame, base: str = "https://data.example/trip-dat
     d = F.col("o_orderdate")
     months = orders.groupBy(F.year(d).alias("_y"), F.month(d).alias("_m")) \
         .agg(F.min(d).alias("_first"))
-    return months.select(F.concat(F.lit(base), F.date_format("_first", "yyyy-MM"),
-                                  F.lit(".parquet")).alias("url"))
+    period = F.format_string("%04d-%02d", F.year("_first"), F.month("_first"))
+    return months.select(F.concat(F.lit(base), period, F.lit(".parquet")).alias("url"))
 
 
 def with_period(df: DataFrame, url_col: str = "url", pattern: str = PERIOD_PATTERN,

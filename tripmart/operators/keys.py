@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import uuid5
+from ..functions.timekeys import format_ntz
 
 # Columns of the canonical name, in the transform's column order at the
 # point where ids are assigned (renamed, conformed, distance in km).
@@ -57,7 +58,7 @@ def canonical_text(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         txt = F.round(col * F.lit(1000.0)).try_cast("bigint").cast("string")
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        txt = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+        txt = format_ntz(col)
     else:
         txt = col.cast("string")
     return F.coalesce(txt, F.lit("None"))

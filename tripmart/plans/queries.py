@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import date_id, epoch_nanos_to_ntz, flag_to_bool, miles_to_km, time_id
+from ..functions.timekeys import epoch_seconds_of_ntz
 from ..operators import clean as C
 from ..operators import discover as D
 from ..operators import insights as I
@@ -66,10 +67,9 @@ def drifted_trips(spark, sf) -> DataFrame:
     passenger count as bigint, `Airport_fee` capitalised, both timestamps as
     LONG epoch nanoseconds."""
     raw = driver_raw(spark, sf, with_position=False)
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
     def nanos(c):
-        return F.timestamp_diff("MICROSECOND", epoch, F.col(c)) * 1000 + 999
+        return (epoch_seconds_of_ntz(F.col(c)) * 1_000_000_000).cast("bigint") + 999
     return raw.select(
         F.col("VendorID").cast("int").alias("VendorID"),
         nanos("tpep_pickup_datetime").alias("tpep_pickup_datetime"),

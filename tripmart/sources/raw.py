@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_nanos_to_ntz
+from ..functions.timekeys import ntz_from_epoch_seconds
 from ..schema import RAW_COLUMNS, RAW_SCHEMA
 from .adapter import POSITION_COLUMN
 
@@ -48,7 +49,7 @@ def normalise(df: DataFrame, columns=RAW_COLUMNS, keep: Iterable[str] = ()) -> D
                 c = epoch_nanos_to_ntz(c.cast("bigint"))
             elif isinstance(f.dataType, T.TimestampType):
                 # instant -> UTC wall clock, independent of the session zone
-                c = F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
+                c = ntz_from_epoch_seconds(F.unix_micros(c) / F.lit(1_000_000))
             else:
                 c = c.try_cast("timestamp_ntz")
         elif f.dataType.simpleString() != typ:
