@@ -54,5 +54,8 @@ def epoch_nanos_to_ntz(nanos: Column) -> Column:
 def format_ntz(ts: Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss' from the NTZ fields (zone-free, unlike
     date_format, which shifts DST-gap wall-clock times)."""
-    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts),
-                           F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts))
+    def pad(c, n):
+        return F.lpad(c.cast("string"), n, "0")
+    return F.concat(pad(F.year(ts), 4), F.lit("-"), pad(F.month(ts), 2), F.lit("-"),
+                    pad(F.dayofmonth(ts), 2), F.lit(" "), pad(F.hour(ts), 2), F.lit(":"),
+                    pad(F.minute(ts), 2), F.lit(":"), pad(F.second(ts), 2))

@@ -56,7 +56,7 @@ def canonical_text(col: Column, dtype: T.DataType) -> Column:
     'yyyy-MM-dd HH:mm:ss'; booleans 'true'/'false'.
     """
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        txt = F.round(col * F.lit(1000.0)).try_cast("bigint").cast("string")
+        txt = thousandths(col).cast("string")
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         txt = format_ntz(col)
     else:
@@ -64,6 +64,15 @@ def canonical_text(col: Column, dtype: T.DataType) -> Column:
     return F.coalesce(txt, F.lit("None"))
 
 
+def thousandths(col: Column) -> Column:
+    """round(x * 1000) half away from zero as BIGINT; NaN, infinities and
+    values beyond the BIGINT range -> NULL.  Plain floor arithmetic: Spark's
+    `round` on doubles goes through BigDecimal (~1 µs per value)."""
+    v = col * F.lit(1000.0)
+    r = F.when(v < 0, -F.floor(-v + F.lit(0.5))).otherwise(F.floor(v + F.lit(0.5)))
+    return F.when(~F.isnan(v) & (F.abs(v) < F.lit(9.2e18)), r)
+
+
 def canonical_name(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS) -> Column:
     types = {f.name: f.dataType for f in df.schema.fields}
     return F.concat_ws("-", *[canonical_text(F.col(c), types[c]) for c in columns])
