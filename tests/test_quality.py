@@ -18,3 +18,13 @@ def test_pk_report(spark):
     r = Q.pk_report({"fact_trips": t}, [("fact_trips", "trip_id")]).first()
     assert (r["rows"], r["null_keys"], r["duplicate_keys"]) == (4, 1, 1)
     assert sorted(x[0] or "" for x in Q.pk_violations(t, "trip_id").select("trip_id").collect()) == ["", "a"]
+
+
+def test_broadcast_only_when_bounded(spark):
+    dd = D.dim_dates(spark)
+    small = D.broadcast_bounded(dd, max_rows=1000)
+    big = D.broadcast_bounded(dd, max_rows=100)
+    fact = spark.createDataFrame([(1,)], "date_id int")
+    p_small = fact.join(small, "date_id")._jdf.queryExecution().optimizedPlan().toString()
+    p_big = fact.join(big, "date_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in p_small and "strategy=broadcast" not in p_big

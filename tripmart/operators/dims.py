@@ -18,10 +18,25 @@ from ..schema import (CALENDAR_END, CALENDAR_START, HOLIDAY_DATE_IDS,
                       PAYMENT_TYPE_NAMES, RATE_CODE_NAMES, VENDORS)
 
 SECONDS_PER_DAY = 86_400
+# Largest dimension broadcast to every task; above it, joins fall back to
+# the planner's choice (shuffle joins).
+DIM_BROADCAST_MAX_ROWS = 2_000_000
 # Calendars longer than this are refused as broadcast dimensions.
 MAX_CALENDAR_DAYS = 200 * 366
 
 
+def broadcast_bounded(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only after checking the dimension's size: a
+    `limit(max_rows + 1).count()` that stops early, memoized per plan
+    (`semanticHash`) so a query checks each dimension once.  A dimension
+    over the limit is returned unhinted and joins by shuffle instead."""
+    from ..plans.memo import memo
+    spark = dim.sparkSession
+    ok = memo(spark, ("bounded", dim.semanticHash(), max_rows),
+              lambda: dim.limit(max_rows + 1).count() <= max_rows)
+    return F.broadcast(dim) if ok else dim
+
+
 def dim_times(spark: SparkSession) -> DataFrame:
     """time_id 0..86399 with hour, minute, second (h, m, s order)."""
     r = spark.range(SECONDS_PER_DAY, numPartitions=1)

@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .dims import broadcast_bounded
+
 
 def demand_heatmap(fact: DataFrame, dim_dates: DataFrame, dim_times: DataFrame) -> DataFrame:
     """Trips by pickup weekday (0 = Monday) x pickup hour.  Weekday is NULL
     for trips whose date id has no calendar row."""
-    dd = F.broadcast(dim_dates.select(F.col("date_id").alias("pickup_date_id"), "weekday"))
-    dt = F.broadcast(dim_times.select(F.col("time_id").alias("pickup_time_id"),
-                                      F.col("hour").alias("pickup_hour")))
+    dd = broadcast_bounded(dim_dates.select(F.col("date_id").alias("pickup_date_id"), "weekday"))
+    dt = broadcast_bounded(dim_times.select(F.col("time_id").alias("pickup_time_id"),
+                                            F.col("hour").alias("pickup_hour")))
     return (fact.select("pickup_date_id", "pickup_time_id")
             .join(dd, "pickup_date_id", "left")
             .join(dt, "pickup_time_id", "left")

@@ -1,8 +1,9 @@
 """Fact-to-dimension joins (the reporting view and a fully labelled mart).
 
-Every dimension is joined with a broadcast hint: each has a proven size
-bound (see dims.py), so the fact is never shuffled for these joins and the
-whole view runs as one map-side stage.  Left joins keep fact rows whose key
+Every dimension is joined with a broadcast hint after its size is checked
+(`broadcast_bounded`), so the fact is never shuffled for these joins and the
+whole view runs as one map-side stage; an oversized dimension falls back to
+a shuffle join.  Left joins keep fact rows whose key
 has no dimension row (e.g. date_id 365 of a leap year).
 """
 
@@ -11,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .dims import broadcast_bounded
+
 
 def _role(dim: DataFrame, key: str, role_key: str, cols: dict[str, str]) -> DataFrame:
     """Role-playing copy of a dimension: key renamed to `role_key`, selected
     columns renamed per `cols` (dim column -> output name)."""
-    return F.broadcast(dim.select(F.col(key).alias(role_key),
-                                  *[F.col(c).alias(o) for c, o in cols.items()]))
+    return broadcast_bounded(dim.select(F.col(key).alias(role_key),
+                                        *[F.col(c).alias(o) for c, o in cols.items()]))
 
 
 def trips_datetime(fact: DataFrame, dim_dates: DataFrame, dim_times: DataFrame) -> DataFrame:
