@@ -34,3 +34,17 @@ def test_incremental_stream(spark, tmp_path):
     assert back.where("month = 1").count() == 8  # January rebuilt in full
     assert back.count() == 18
     assert back.groupBy("trip_id").count().where("count > 1").count() == 0
+
+
+def test_incremental_equals_full_run(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    inc, full, ck = str(tmp_path / "inc"), str(tmp_path / "full"), str(tmp_path / "ck")
+    write_month(raw, 1)
+    run_incremental(spark, raw, inc, ck, W)
+    write_month(raw, 2, variant="B")
+    write_month(raw, 1, n=2, seed=50, name="late.parquet")
+    run_incremental(spark, raw, inc, ck, W)
+    run_pending(spark, raw, full, W)
+    a, b = spark.read.parquet(inc), spark.read.parquet(full)
+    assert a.count() == 12
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
