@@ -133,20 +133,23 @@ def null_column_report(df: DataFrame, null_strings: Iterable = (None,),
             tested.append((path, dtype, in_array))
         else:
             fixed.append((path, False))
-    aggs = []
-    for i, (path, dtype, in_array) in enumerate(tested):
-        aggs.append(F.coalesce(_agg_for(df, path, dtype, in_array, null_strings, null_numbers),
-                               F.lit(True)).alias(f"c{i}"))
-    spark = df.sparkSession
-    if aggs:
-        wide = df.agg(*aggs)
-        stack = ", ".join(f"'{p}', c{i}" for i, (p, _, _) in enumerate(tested))
-        report = wide.selectExpr(f"stack({len(tested)}, {stack}) AS (column, dropped)")
-    else:
-        report = spark.createDataFrame([], "column string, dropped boolean")
-    if fixed:
-        report = report.unionByName(spark.createDataFrame(fixed, "column string, dropped boolean"))
-    return report
+    aggs = [F.coalesce(_agg_for(df, path, dtype, in_array, null_strings, null_numbers),
+                       F.lit(True)).alias(f"c{i}")
+            for i, (path, dtype, in_array) in enumerate(tested)]
+    if not aggs:  # only fixed leaves: a one-row aggregate carries the stack
+        aggs = [F.lit(True).alias("_none")]
+    # Leaves that are never tested (or always dropped) go into the same stack
+    # as literals, so the report stays ONE aggregate over the data.
+    entries = [f"'{_sql_str(p)}', c{i}" for i, (p, _, _) in enumerate(tested)]
+    entries += [f"'{_sql_str(p)}', {str(v).lower()}" for p, v in fixed]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column string, dropped boolean")
+    return df.agg(*aggs).selectExpr(
+        f"stack({len(entries)}, {', '.join(entries)}) AS (column, dropped)")
+
+
+def _sql_str(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def _agg_for(df, path, dtype, in_array, null_strings, null_numbers):
