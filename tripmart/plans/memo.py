@@ -18,7 +18,10 @@ _ATTR = "_tripmart_plan_memo"
 
 
 def memo(spark: SparkSession, key: Hashable, build: Callable[[], object]):
-    cache = spark.__dict__.setdefault(_ATTR, {})
+    try:
+        cache = spark.__dict__.setdefault(_ATTR, {})
+    except (AttributeError, TypeError):  # a session object without a __dict__
+        return build()
     if key not in cache:
         cache[key] = build()
     return cache[key]
