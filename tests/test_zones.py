@@ -100,3 +100,16 @@ def test_seed_csv_quotes(spark, tmp_path):
     p.write_text('vendor_id,vendor_name\n1,"Creative Mobile Technologies, LLC"\n2,"VeriFone Inc"')
     df = Z.read_seed_csv(spark, str(p), "vendor_id int, vendor_name string")
     assert [tuple(r) for r in df.collect()] == [(1, "Creative Mobile Technologies, LLC"), (2, "VeriFone Inc")]
+
+
+def test_text_zone_positional_with_blank_lines(spark, tmp_path):
+    from tripmart.schema import ZONE_SCHEMA
+    d = tmp_path / "zone" / "year=2023" / "month=01"
+    d.mkdir(parents=True)
+    header = ",".join(f"h{i}" for i in range(len(ZONE_SCHEMA.fields)))  # names ignored
+    row = "abc,1,2,3,4,5,1,1.609,4,7,1,false,1,17,1.0,0.5,2.0,0.0,1.0,2.5,0.0,21.0"
+    (d / "part-0.csv").write_text(header + "\n" + row + "\n\n" + row + "\n\n")
+    df = load_mapping(Z.read_text_zone(spark, str(tmp_path / "zone")))
+    assert df.count() == 2
+    r = df.first()
+    assert (r["trip_id"], r["trip_distance"], r["fare_amount"], r["total_amount"]) == ("abc", 1.609, 17.0, 21.0)
