@@ -32,6 +32,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float",
+                  "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date",
+                  "TIMESTAMP": "timestamp_ntz", "VARCHAR[]": "array<string>"}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -67,6 +72,11 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) ->
     if sorted(s_cols) != sorted(d_cols):
         out["status"] = f"COLUMNS differ: spark={s_cols} duck={d_cols}"
         return out
+    duck_types = {c: str(d[1]) for c, d in zip(d_cols, rel.description)}
+    mismatched = {c: (t, duck_types[c]) for c, t in sdf.dtypes
+                  if _DUCK_TO_SPARK.get(duck_types[c], duck_types[c]) != t}
+    if mismatched:
+        out["types"] = mismatched
     a, b = _canon_rows(s_rows, s_cols), _canon_rows(d_rows, d_cols)
     if a == b:
         out["status"] = "match"

@@ -128,8 +128,8 @@ def q_clean_grouped(spark, sf):
 
 
 @register("rule_violations", _RAW + "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS rule, count_if(NOT coalesce({p}, false)) AS failing, "
-    f"count_if(coalesce({p}, false)) AS passing FROM raw" for n, p in O.rule_sqls()))
+    f"SELECT '{n}' AS rule, CAST(count_if(NOT coalesce({p}, false)) AS BIGINT) AS failing, "
+    f"CAST(count_if(coalesce({p}, false)) AS BIGINT) AS passing FROM raw" for n, p in O.rule_sqls()))
 def q_rule_violations(spark, sf):
     return C.rule_violations(driver_raw(spark, sf), DRIVER_WINDOW)
 
@@ -323,7 +323,7 @@ _PK_TABLES = [("fact_trips", "loaded", "trip_id"), ("dim_vendors", "dim_vendors"
 @register("pk_violations", O.with_fact("\nUNION ALL\n".join(f"""
 SELECT '{t}' AS table_name, '{k}' AS key_column, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
        CAST(coalesce(sum(CASE WHEN k IS NULL THEN n END), 0) AS BIGINT) AS null_keys,
-       count_if(k IS NOT NULL AND n > 1) AS duplicate_keys
+       CAST(count_if(k IS NOT NULL AND n > 1) AS BIGINT) AS duplicate_keys
 FROM (SELECT {k} AS k, count(*) AS n FROM {src} GROUP BY 1)""" for t, src, k in _PK_TABLES),
     dims=True))
 def q_pk_violations(spark, sf):
@@ -334,8 +334,8 @@ def q_pk_violations(spark, sf):
 
 @register("fk_orphans", O.with_fact("\nUNION ALL\n".join(f"""
 SELECT '{c}' AS fk_column, '{d}' AS dimension,
-       count_if(f.{c} IS NOT NULL AND k.key IS NULL) AS orphans,
-       count_if(f.{c} IS NOT NULL) AS checked
+       CAST(count_if(f.{c} IS NOT NULL AND k.key IS NULL) AS BIGINT) AS orphans,
+       CAST(count_if(f.{c} IS NOT NULL) AS BIGINT) AS checked
 FROM loaded f LEFT JOIN (SELECT DISTINCT {dk} AS key FROM {d}) k ON k.key = f.{c}"""
     for c, d, dk in FOREIGN_KEYS), dims=True))
 def q_fk_orphans(spark, sf):
