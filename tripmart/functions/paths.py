@@ -10,7 +10,7 @@ from ..schema import PERIOD_PATTERN, ZONE_KEY_FORMAT
 
 def url_period(url: Column, pattern: str = PERIOD_PATTERN) -> Column:
     """First match of the period pattern (`yyyy-mm`), or NULL if none.
-    Java's `\w` is ASCII-only (Python's `re` is Unicode): a period written
+    Java's word class is ASCII-only (Python's `re` is Unicode): a period written
     with non-ASCII letters or digits does not match."""
     m = F.regexp_extract(url, pattern, 0)
     return F.when(m != "", m)
