@@ -19,8 +19,8 @@ from its source position (`_src_pos`), so a name group is split into
      offset (at most `salt_buckets` rows per name, whatever the skew);
   4. offsets join back on (name hash, salt), big side already partitioned.
 
-Names are grouped by a 96-bit hash (xxhash64 + murmur3) to keep the
-shuffle narrow.  A hash collision could only merge the numbering of two
+Names are grouped by a 96-bit hash (xxhash64 + murmur3); only the hashes
+cross the shuffle and the name is rebuilt afterwards.  A hash collision could only merge the numbering of two
 names — their ids stay distinct because the names differ.
 """
 
@@ -82,31 +82,32 @@ def with_trip_id(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS,
                  position: str | None = "_src_pos", id_col: str = "trip_id",
                  salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Add `id_col`; drops `position` from the output."""
-    name = canonical_name(df, columns)
     has_pos = position is not None and position in df.columns
     pos = F.col(position) if has_pos else F.lit(0).cast("bigint")
+    # Only the name's two hashes cross the shuffle; the ~150-byte name itself
+    # is rebuilt from the columns after it (in parallel tasks), which keeps
+    # the shuffled bytes per row close to the row's own size.
+    name = canonical_name(df, columns)
     x = df.select(
         "*",
-        name.alias("_k_name"),
-    ).select(
-        "*",
-        F.xxhash64("_k_name").alias("_k_h1"),
-        F.hash("_k_name").alias("_k_h2"),
+        F.xxhash64(name).alias("_k_h1"),
+        F.hash(name).alias("_k_h2"),
         F.pmod(pos, F.lit(salt_buckets)).cast("int").alias("_k_salt") if has_pos
         else F.lit(0).alias("_k_salt"),
     )
     sub = ["_k_h1", "_k_h2", "_k_salt"]
+    # (2) sub-group sizes, counted on the rows BEFORE the window so column
+    # pruning narrows this branch to the three key columns; with partial
+    # aggregation a map task sends one small row per sub-group it holds.  It
+    # re-reads the input; the full rows are shuffled once, below.
+    counts = x.groupBy(*sub).agg(F.count(F.lit(1)).alias("_k_n"))
     # (1) local index inside the (name, salt) sub-group.  Ordered by the
     # position, so even rows that share a name but differ in a sub-cent value
     # get a deterministic number.
     order = [pos.asc(), *[F.col(c).asc_nulls_first() for c in columns]] if has_pos else \
         [F.col(c).asc_nulls_first() for c in columns]
     x = x.withColumn("_k_local", F.row_number().over(Window.partitionBy(*sub).orderBy(*order)))
-    # (2)+(3) offsets of each sub-group within its name.  Sub-group size =
-    # max local index.  Column pruning narrows this branch to the three key
-    # columns, so it re-reads the input but shuffles only ~16 bytes per row
-    # (partial aggregation first); the full rows are shuffled once, above.
-    counts = x.groupBy(*sub).agg(F.max("_k_local").alias("_k_n"))
+    # (3) offset of each sub-group = sizes of the lower salts of its name.
     w_name = (Window.partitionBy("_k_h1", "_k_h2").orderBy("_k_salt")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*sub, F.coalesce(F.sum("_k_n").over(w_name), F.lit(0))
@@ -116,7 +117,7 @@ def with_trip_id(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS,
     occurrence = (F.col("_k_off") + F.col("_k_local")).cast("string")
     out_cols = [c for c in df.columns if c != position]
     return y.select(
-        uuid5(F.concat_ws("-", F.col("_k_name"), occurrence)).alias(id_col),
+        uuid5(F.concat_ws("-", canonical_name(df, columns), occurrence)).alias(id_col),
         *[F.col(f"`{c}`") for c in out_cols],
     )
 
