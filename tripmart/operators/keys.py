@@ -20,8 +20,9 @@ from its source position (`_src_pos`), so a name group is split into
   4. offsets join back on (name hash, salt), big side already partitioned.
 
 Names are grouped by a 96-bit hash (xxhash64 + murmur3); only the hashes
-cross the shuffle and the name is rebuilt afterwards.  A hash collision could only merge the numbering of two
-names — their ids stay distinct because the names differ.
+cross the shuffle and the ~150-byte name is rebuilt afterwards.  A hash
+collision could only merge the numbering of two names — their ids stay
+distinct because the names differ.
 """
 
 from __future__ import annotations
