@@ -32,4 +32,5 @@ from .sources.zones import (read_seed_csv, read_text_zone, recompress, register_
                             write_text_zone, write_zone)
 from .streaming.incremental import run_incremental
 
-__all__ = [n for n in dir() if not n.startswith("_")]
+__all__ = sorted(n for n, v in list(globals().items())
+                 if not n.startswith("_") and callable(v))
