@@ -52,3 +52,16 @@ def test_rerun_gives_same_fact(spark):
 def test_key_step_has_no_python(spark):
     plan = driver_stages(spark, SF)["keyed"]._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_ids_independent_of_shuffle_partitions(spark):
+    timed = driver_stages(spark, SF)["timed"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = [r[0] for r in with_trip_id(timed).select("trip_id").collect()]
+        spark.conf.set("spark.sql.shuffle.partitions", "11")
+        b = [r[0] for r in with_trip_id(timed).select("trip_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted(a) == sorted(b) and len(set(a)) == len(a)
