@@ -91,3 +91,19 @@ def test_rule_violations_counts(spark):
     assert r["fee_domain"] == (1, 2)
     assert r["range_passenger_count"] == (1, 2)
     assert r["kept_as_written"] == (2, 1)
+
+
+def test_rule_counts_golden_sf001(spark):
+    """Counts published with the fixture (FIXTURES.md §3), checked there in
+    two other engines."""
+    import __spark_entry__ as E
+    got = {r["rule"]: r["failing"] for r in
+           E.queries()["rule_violations"](spark, "/root/testdata/sf0.01").collect()}
+    want = {"required_not_null": 285, "fee_domain": 11889, "pickup_before_dropoff": 1357,
+            "range_passenger_count": 12932, "range_fare_amount": 722, "range_mta_tax": 646,
+            "range_total_amount": 1291, "range_congestion_surcharge": 12103,
+            "range_trip_distance": 9994, "range_tpep_pickup_datetime": 36230,
+            "range_tpep_dropoff_datetime": 14580, "range_extra": 0, "range_tip_amount": 0,
+            "range_tolls_amount": 0, "range_improvement_surcharge": 0}
+    assert {k: got[k] for k in want} == want
+    assert 60000 - got["kept_as_written"] == 8787 and 60000 - got["kept_grouped"] == 3462
