@@ -113,3 +113,14 @@ def test_text_zone_positional_with_blank_lines(spark, tmp_path):
     assert df.count() == 2
     r = df.first()
     assert (r["trip_id"], r["trip_distance"], r["fare_amount"], r["total_amount"]) == ("abc", 1.609, 17.0, 21.0)
+
+
+def test_mixed_schemas_within_one_month(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    write_month(root, 1, variant="A")
+    write_month(root, 1, n=3, variant="B", seed=50, name="late.parquet")  # int/bigint, Airport_fee
+    write_month(root, 1, n=2, variant="C", seed=90, name="nanos.parquet")
+    df = R.read_raw(spark, root)
+    assert df.count() == 10
+    assert df.where("airport_fee IS NULL OR tpep_pickup_datetime IS NULL").count() == 0
+    assert sorted(r[0] for r in df.select("fare_amount").collect())[-1] == 10.0 + 1 + 90

@@ -4,9 +4,9 @@ Monthly files disagree on types (bigint vs double, int vs bigint, epoch
 nanos vs timestamp) and on name case (`airport_fee` / `Airport_fee`).
 Spark's `mergeSchema` rejects such mixes, and an imposed read schema
 cannot narrow or switch between integral and floating types, so the raw
-zone is read one partition directory at a time (each directory is read
-with its own footer schema), each part is cast to the canonical 19-column
-schema, and the parts are unioned by name.  Only file metadata passes
+zone's files are grouped by footer schema (one scan per group, however
+many months it spans), each group is cast to the canonical 19-column
+schema, and the groups are unioned by name.  Only file metadata passes
 through the driver; the rows are read by the executors.
 """
 
@@ -74,38 +74,56 @@ def list_partitions(spark: SparkSession, root: str) -> DataFrame:
             .load(root).select("path", "length", "year", "month"))
 
 
-def partition_dirs(spark: SparkSession, root: str,
-                   months: Iterable[tuple[int, int]] | None = None) -> list[tuple[int, int, str]]:
-    """(year, month, directory) of the zone's partitions, optionally only
-    some months.  Only this list (one row per directory) reaches the driver."""
-    listing = (list_partitions(spark, root.rstrip("/"))
-               .select(F.regexp_replace("path", r"/[^/]*$", "").alias("dir"), "year", "month")
-               .distinct())
+def partition_files(spark: SparkSession, root: str,
+                    months: Iterable[tuple[int, int]] | None = None) -> list[tuple[int, int, str]]:
+    """(year, month, file) of the zone's Parquet files, optionally only some
+    months.  Only this list (one row per file) reaches the driver."""
+    listing = list_partitions(spark, root.rstrip("/")).where(F.col("path").endswith(".parquet"))
     if months is not None:
         cond = F.lit(False)
         for y, m in months:
             cond = cond | ((F.col("year") == int(y)) & (F.col("month") == int(m)))
         listing = listing.where(cond)
-    return sorted((int(r["year"]), int(r["month"]), r["dir"]) for r in listing.collect())
+    return sorted((int(r["year"]), int(r["month"]), r["path"])
+                  for r in listing.select("year", "month", "path").collect())
 
 
-def schema_groups(spark: SparkSession, dirs: Iterable[str]) -> list[list[str]]:
-    """Directories grouped by footer schema (each group is one scan)."""
+def partition_dirs(spark: SparkSession, root: str,
+                   months: Iterable[tuple[int, int]] | None = None) -> list[tuple[int, int, str]]:
+    """(year, month, directory) of the zone's partitions."""
+    dirs = {(y, m, p.rsplit("/", 1)[0]) for y, m, p in partition_files(spark, root, months)}
+    return sorted(dirs)
+
+
+def schema_groups(spark: SparkSession, files: Iterable[str], threads: int = 16) -> list[list[str]]:
+    """Files grouped by footer schema (each group becomes one scan).  Footers
+    are read concurrently; files of one month may differ (a late file written
+    with other types lands in its own group)."""
+    from concurrent.futures import ThreadPoolExecutor
+    files = list(files)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files) or 1))) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
     groups: dict[str, list[str]] = {}
-    for path in dirs:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    for f, sch in zip(files, schemas):
+        groups.setdefault(sch, []).append(f)
     return list(groups.values())
 
 
+def _base(root: str, example: str) -> str:
+    """The zone root in the same URI form as the listed paths (`file:/…`)."""
+    i = example.find("/year=")
+    return example[:i] if i > 0 else root
+
+
 def read_raw(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None,
              with_position: bool = True) -> DataFrame:
     """Read the raw zone (optionally only some (year, month) partitions),
     normalised to the canonical schema, plus `year`, `month` and `_src_pos`."""
     root = root.rstrip("/")
-    parts = partition_dirs(spark, root, months)
+    parts = partition_files(spark, root, months)
     frames = []
-    for dirs in schema_groups(spark, [d for _, _, d in parts]):
-        df = spark.read.option("basePath", root).parquet(*dirs)
+    for files in schema_groups(spark, [f for _, _, f in parts]):
+        df = spark.read.option("basePath", _base(root, files[0])).parquet(*files)
         if with_position:
             df = with_file_position(df)
         frames.append(normalise(df, keep=("year", "month")))

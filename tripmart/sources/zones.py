@@ -97,20 +97,20 @@ def append_table(df: DataFrame, table: str, idempotent_partitions: Sequence[str]
 def recompress(spark: SparkSession, src: str, dst: str, codec: str = "gzip") -> DataFrame:
     """Re-encode a `year=/month=` Parquet zone with another codec into `dst`,
     skipping partitions already present in `dst`.  Files keep their own
-    schema (directories are grouped by footer schema).  Returns the
+    schema (files are grouped by footer schema).  Returns the
     (year, month) partitions converted.  Never writes in place."""
-    from .raw import list_partitions, partition_dirs, schema_groups
+    from .raw import _base, list_partitions, partition_files, schema_groups
     src = src.rstrip("/")
     try:
         done = {(int(r["year"]), int(r["month"])) for r in
                 list_partitions(spark, dst).select("year", "month").distinct().collect()}
     except Exception:  # destination does not exist yet
         done = set()
-    todo = [(y, m, d) for y, m, d in partition_dirs(spark, src) if (y, m) not in done]
-    for dirs in schema_groups(spark, [d for _, _, d in todo]):
-        data = spark.read.option("basePath", src).parquet(*dirs)
+    todo = [(y, m, f) for y, m, f in partition_files(spark, src) if (y, m) not in done]
+    for files in schema_groups(spark, [f for _, _, f in todo]):
+        data = spark.read.option("basePath", _base(src, files[0])).parquet(*files)
         write_zone(data, dst, compression=codec, layout=False)
-    return spark.createDataFrame([(y, m) for y, m, _ in todo], "year int, month int")
+    return spark.createDataFrame(sorted({(y, m) for y, m, _ in todo}), "year int, month int")
 
 
 def register_zone_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
