@@ -279,11 +279,16 @@ FROM {dim} d FULL OUTER JOIN (SELECT {key} AS code, count(*) AS trips FROM loade
   ON c.code = d.{key}""" for k, dim, key, name in _CODE_DIMS), dims=True))
 def q_trips_by_code(spark, sf):
     """Vendor, rate-code and payment dimensions with trips per code; codes
-    missing from a dimension (NULL after conforming) show with NULL name."""
+    missing from a dimension (NULL after conforming) show with NULL name.
+    The fact is aggregated ONCE to (vendor, rate, payment) combinations (at
+    most a few hundred rows); each dimension's counts come from that shared
+    aggregate, so the fact pipeline runs once, not once per dimension."""
     fact, dims = warehouse_fact(spark, sf), driver_dims(spark, sf)
+    combos = fact.groupBy(*[key for _, _, key, _ in _CODE_DIMS]) \
+        .agg(F.count(F.lit(1)).alias("n"))
     out = None
     for k, dim, key, name in _CODE_DIMS:
-        c = fact.groupBy(F.col(key).alias("code")).agg(F.count(F.lit(1)).alias("trips"))
+        c = combos.groupBy(F.col(key).alias("code")).agg(F.sum("n").alias("trips"))
         d = dims[dim].select(F.col(key).alias("dcode"), F.col(name).alias("name"))
         part = d.join(c, d.dcode == c.code, "full_outer").select(
             F.lit(k).alias("dimension"), F.coalesce("dcode", "code").alias("code"), "name",
@@ -299,12 +304,15 @@ LEFT JOIN (SELECT pickup_location_id AS k, count(*) AS n FROM loaded GROUP BY 1)
 LEFT JOIN (SELECT dropoff_location_id AS k, count(*) AS n FROM loaded GROUP BY 1) d ON d.k = l.location_id
 """, dims=True))
 def q_trips_by_location(spark, sf):
-    """The location dimension with pickups and dropoffs per location."""
+    """The location dimension with pickups and dropoffs per location (the
+    fact is aggregated once to location pairs, then to each end)."""
     fact, loc = warehouse_fact(spark, sf), driver_dims(spark, sf)["dim_locations"]
-    p = fact.groupBy(F.col("pickup_location_id").alias("location_id")) \
-        .agg(F.count(F.lit(1)).alias("pickups"))
-    d = fact.groupBy(F.col("dropoff_location_id").alias("location_id")) \
-        .agg(F.count(F.lit(1)).alias("dropoffs"))
+    pairs = fact.groupBy("pickup_location_id", "dropoff_location_id") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    p = pairs.groupBy(F.col("pickup_location_id").alias("location_id")) \
+        .agg(F.sum("n").alias("pickups"))
+    d = pairs.groupBy(F.col("dropoff_location_id").alias("location_id")) \
+        .agg(F.sum("n").alias("dropoffs"))
     return (loc.join(p, "location_id", "left").join(d, "location_id", "left")
             .select("location_id", "borough", "zone",
                     F.coalesce("pickups", F.lit(0)).alias("pickups"),
