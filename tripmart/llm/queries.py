@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixing, simhash, url_filter
+from tripmart.llm import mixing, secrets, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,9 @@ matched AS (
 SELECT c.page_id, c.url, c.fetched, coalesce(NOT r.allow, false) AS blocked, r.list, r.pattern, r.day AS valid_from
 FROM caps c LEFT JOIN ranked r ON c.page_id = r.page_id AND c.fetched = r.fetched AND rank = 1
 """
+
+
+@query
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
