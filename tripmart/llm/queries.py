@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixing, secrets, simhash, url_filter
+from tripmart.llm import decontaminate, mixing, secrets, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -132,3 +132,22 @@ FROM caps c LEFT JOIN ranked r ON c.page_id = r.page_id AND c.fetched = r.fetche
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8, width=5)
+
+
+ORACLE["op2_benchmark_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x20!-/:-@\[-`{-\x7f]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS row, item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x20!-/:-@\[-`{-\x7f]+') AS w FROM benchmark),
+item AS (SELECT DISTINCT row, item_id, least(5, len(w)) AS k, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+  FROM b, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i) WHERE len(w) > 0),
+sizes AS (SELECT row, count(*) AS n FROM item GROUP BY row),
+doc AS (SELECT DISTINCT row, doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM d, (SELECT DISTINCT k FROM item), LATERAL (SELECT unnest(generate_series(1, len(w) - k + 1)) AS i))
+SELECT doc.doc_id, item.item_id, count(*) AS n_shared, any_value(n) AS n_shingles, count(*) / CAST(any_value(n) AS DOUBLE) AS containment
+FROM doc JOIN item USING (k, s) JOIN sizes ON sizes.row = item.row
+GROUP BY doc.row, doc.doc_id, item.row, item.item_id HAVING count(*) >= 0.8 * any_value(n) - 1e-9
+"""
