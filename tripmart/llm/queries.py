@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontaminate, mixing, secrets, simhash, url_filter
+from tripmart.llm import decontaminate, mixing, secrets, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -151,3 +151,8 @@ SELECT doc.doc_id, item.item_id, count(*) AS n_shared, any_value(n) AS n_shingle
 FROM doc JOIN item USING (k, s) JOIN sizes ON sizes.row = item.row
 GROUP BY doc.row, doc.doc_id, item.row, item.item_id HAVING count(*) >= 0.8 * any_value(n) - 1e-9
 """
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), rule="start", vocabulary=token_counts.VOCABULARY)
