@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontaminate, mixing, secrets, simhash, token_counts, url_filter
+from tripmart.llm import decontaminate, fingerprints, mixing, secrets, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -156,3 +156,8 @@ GROUP BY doc.row, doc.doc_id, item.row, item.item_id HAVING count(*) >= 0.8 * an
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), rule="start", vocabulary=token_counts.VOCABULARY)
+
+
+@query
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
