@@ -151,14 +151,15 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, threshold: float =
 
     Rows are judged one by one, so neither null nor repeated ids matter.
     """
-    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
+    rest = [(c, c) for c in docs.columns if c != "text"]
     for search in searches(benchmark, threshold, width, "item_id", "text"):
 
         def start(search: Search = search):
             def work(texts):
-                return [i for i, t in enumerate(texts) if not search.found_in(t)], []
+                keep = [i for i, t in enumerate(texts) if not search.found_in(t)]
+                return keep, [[texts[i] for i in keep]]
 
             return work
 
-        marked = per_text(marked, [("row", "row")], "text", "", start).select("row", F.col("row.text").alias("text"))
-    return marked.select("row.*")
+        docs = per_text(docs, rest, "text", "text string", start).select(*docs.columns)
+    return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontaminate, fingerprints, mixing, secrets, simhash, token_counts, url_filter
+from tripmart.llm import decontaminate, fingerprints, mixing, secrets, simhash, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -161,3 +161,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), max_training=toxicity.MAX_TRAINING)
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
