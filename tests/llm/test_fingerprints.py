@@ -39,7 +39,7 @@ def test_against_plain_python(spark):
     rows = [(i * i * 37, words(r, r.choice([1, 5, 40, 300]))) for i in range(60)]
     rows += [(50, ""), (51, None), (None, "no id"), (7, "same"), (7, "same"), (-400, "négative 🙂🙂🙂🙂🙂"), (1 << 40, "far away one")]
     rows += [(8000 + i, words(r, 20)) for i in range(400)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"b": F.lit(1), "rn": F.lit(2), "units": F.lit("x")})
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"b": F.lit(1), "rn": F.lit(2), "units": F.lit("x"), "at": F.lit(0)})
     got = fp.edited_fingerprints(docs).collect()
     want = edited(rows)
     key = lambda x: (x[0] is not None, x[0] or 0, *x[1:])
@@ -82,3 +82,11 @@ def test_one_row_and_none(spark):
 def test_native(spark):
     docs = spark.createDataFrame([(3, "only words here")], "doc_id long, text string")
     assert "Python" not in fp.edited_fingerprints(docs)._jdf.queryExecution().toString()
+
+
+def test_texts_are_shuffled_once(spark):
+    """The rows' own path has one exchange: texts by bucket; sums and comparisons follow in place."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(600)], "doc_id long, text string")
+    plan = fp.edited_fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
+    inside = plan[plan.index("Union"):].split("\n   :- ", 1)[1].split("\n   +- ", 1)[0]
+    assert inside.count("Exchange") == 1 and "HashAggregate" in inside

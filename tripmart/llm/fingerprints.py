@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ LOW = 0xFFFFFFFF
 SUMS = [*(f"s{i}" for i in range(STRONG)), *(f"c{i}" for i in range(PAIRS)), "units"]
 
 
-def sums(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """keys and the vector SUMS of each text: the sum over its paragraphs of a wide vector hashed from each.
+def sums(texts: DataFrame, keys: list[str], text_col: str, also: Sequence[str] = ()) -> DataFrame:
+    """keys, also (columns that the keys determine) and the vector SUMS of each text: the sum over its paragraphs of a wide vector hashed from each.
 
     A paragraph is a line, a word a run between single spaces, a unit the
     window of up to WIDTH words from each word of the paragraph on.  The
@@ -25,16 +27,16 @@ def sums(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     its units' hashes and of the units: a function of the paragraph alone, so that
     vectors of texts add and subtract as their multisets of paragraphs do.
     """
-    lines = texts.select(*keys, F.explode(F.split(text_col, "\n")).alias("line"))
+    lines = texts.select(*keys, *also, F.explode(F.split(text_col, "\n")).alias("line"))
     strong = [F.xxhash64("line", F.lit(i)).bitwiseAND(F.lit(LOW)).alias(f"s{i}") for i in range(STRONG)]
-    lines = lines.select(*keys, *strong, F.split("line", " ").alias("w"))
+    lines = lines.select(*keys, *also, *strong, F.split("line", " ").alias("w"))
     windows = F.arrays_zip(*(F.slice("w", i + 1, F.size("w")).alias(f"w{i}") for i in range(WIDTH)))
-    units = lines.select(*keys, *(f"s{i}" for i in range(STRONG)), F.posexplode(windows).alias("pos", "u"))
+    units = lines.select(*keys, *also, *(f"s{i}" for i in range(STRONG)), F.posexplode(windows).alias("pos", "u"))
     first = F.xxhash64(*(F.col(f"u.w{i}") for i in range(WIDTH)))
-    units = units.select(*keys, *(F.when(F.col("pos") == 0, F.col(f"s{i}")).otherwise(F.lit(0)).alias(f"s{i}") for i in range(STRONG)), first.alias("h0"))
+    units = units.select(*keys, *also, *(F.when(F.col("pos") == 0, F.col(f"s{i}")).otherwise(F.lit(0)).alias(f"s{i}") for i in range(STRONG)), first.alias("h0"))
     units = units.withColumn("h1", F.xxhash64("h0"))
     counts = [F.sum(F.shiftright(f"h{i // 32}", i % 32).bitwiseAND(F.lit(LANES))).alias(f"c{i}") for i in range(PAIRS)]
-    return units.groupBy(*keys).agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(STRONG)), *counts, F.count("*").alias("units"))
+    return units.groupBy(*keys).agg(*(F.max(c).alias(c) for c in also), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(STRONG)), *counts, F.count("*").alias("units"))
 
 
 def as_text(prefix: str = "") -> Column:
@@ -44,6 +46,13 @@ def as_text(prefix: str = "") -> Column:
     return F.lower(F.concat(*strong, *counts))
 
 
+def total(terms: list[Column]) -> Column:
+    """Sum of columns, as a tree of little depth."""
+    while len(terms) > 1:
+        terms = [x + y for x, y in zip(terms[::2], terms[1::2], strict=False)] + terms[len(terms) // 2 * 2:]
+    return terms[0]
+
+
 def likeness(a: str, b: str) -> Column:
     """0 to 1: twice the inner product of two texts' vectors over the sum of their squares.
 
@@ -51,24 +60,23 @@ def likeness(a: str, b: str) -> Column:
     that inner products estimate those of the multisets of units.
     """
 
-    def signs(prefix: str) -> list[Column]:
-        n = F.col(f"{prefix}units")
+    def counts(prefix: str) -> list[Column]:
         low = [F.col(f"{prefix}c{i}").bitwiseAND(F.lit(LOW)) for i in range(PAIRS)]
         high = [F.shiftrightunsigned(f"{prefix}c{i}", 32) for i in range(PAIRS)]
-        return [(2 * c - n).cast("double") for c in (*low, *high)]
+        return [c.cast("double") for c in (*low, *high)]
 
-    x, y = F.array(*signs(a)), F.array(*signs(b))
+    def product(p: str, q: str) -> Column:
+        """Sum of (2 x - n) (2 y - m) over the counts x of p and y of q, with their units n and m."""
+        n, m = F.col(f"{p}units").cast("double"), F.col(f"{q}units").cast("double")
+        x, y = counts(p), counts(q)
+        return 4 * total([i * j for i, j in zip(x, y, strict=True)]) - 2 * m * total(x) - 2 * n * total(y) + 2 * PAIRS * n * m
 
-    def total(v: Column) -> Column:
-        return F.aggregate(v, F.lit(0.0), lambda acc, z: acc + z)
-
-    inner = total(F.zip_with(x, y, lambda p, q: p * q))
-    norms = total(F.zip_with(x, y, lambda p, q: p * p + q * q))
-    return F.when(norms > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * inner / norms))).otherwise(F.lit(1.0))
+    norms = product(a, a) + product(b, b)
+    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(2 * product(a, b), norms))), F.lit(1.0))
 
 
 #: Consecutive ids are ordered within buckets of this many, and buckets within buckets of so many again.
-IDS, BUCKETS, LEVELS = 1 << 8, 1 << 12, 4
+IDS, BUCKETS, LEVELS = 1 << 8, 1 << 16, 3
 
 
 def following(keys: DataFrame) -> DataFrame:
@@ -91,52 +99,71 @@ def following(keys: DataFrame) -> DataFrame:
     return level(keys, LEVELS)
 
 
-def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(b, rn, doc_id, text, next_text, next_b, next_rn): each row of docs with the text of the next one in order.
+#: What a row carries through the sums, as longs only, which Spark adds up fastest: its id, size and the parts of a SHA-256.
+ABOUT = ["at", "n_chars", "d0", "d1", "d2", "d3"]
+#: Stands for a null id, before all others.
+NO_ID = -(1 << 63)
+
 
-    The order is by doc_id, then text, in a circle: the first row follows the
-    last.  b and rn name a row, next_b and next_rn its next one.  Rows are
-    ordered within buckets of IDS consecutive ids; the last row of a bucket
-    meets the first of the next bucket by a join of one row per bucket.  Rows
-    without id come first, ordered as if their id were the smallest long.
+def edited_text() -> Column:
+    """text without its last quarter (of code points, rounded down), then as many first ones of next_text."""
+    n = F.length("text")
+    cut = F.floor(n / 4).cast("int")
+    return F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
+
+
+def compared(vectors: DataFrame, keys: list[str], within: list[str], kind: str) -> DataFrame:
+    """Result rows from the vectors of a text, its edited text and the next text, which follow one another.
+
+    n_chars, at and the digest's parts ride along as longs.  Within rows of equal `within`, ordered by keys and kind, vectors of kind
+    0 are results if two more follow: their edited text's and the next text's.
     """
-    at = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(F.shiftright(at, IDS.bit_length() - 1).alias("b"), at.alias("at"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = Window.partitionBy("b").orderBy("at", "text")
-    rows = rows.withColumns({"rn": F.row_number().over(order), "next_text": F.lead("text").over(order)})
-    inside = rows.where("next_text is not null").select("b", "rn", "doc_id", "text", "next_text", F.col("b").alias("next_b"), (F.col("rn") + 1).alias("next_rn"))
-    buckets = docs.select(F.shiftright(at, IDS.bit_length() - 1).alias("key")).distinct()
-    start = buckets.agg(F.min("key").alias("key")).first()["key"]
-    links = following(buckets).select(F.col("key").alias("b"), F.coalesce("next", F.lit(start).cast("long")).alias("next_b"))
-    heads = rows.where("rn = 1").select(F.col("b").alias("next_b"), F.col("text").alias("next_text"))
-    lasts = rows.where("next_text is null").select("b", "rn", "doc_id", "text").join(links, "b").join(heads, "next_b")
-    return inside.unionByName(lasts.select("b", "rn", "doc_id", "text", "next_text", "next_b", F.lit(1).alias("next_rn")))
+    order = Window.partitionBy(*within).orderBy(*keys, kind)
+    v = vectors.select(*keys, *within, kind, *ABOUT, F.struct(*SUMS).alias("x"))
+    v = v.withColumns({"e": F.lead("x", 1).over(order), "y": F.lead("x", 2).over(order)}).where((F.col(kind) == 0) & F.col("y").isNotNull())
+    digest = F.lower(F.concat(*(F.lpad(F.hex(f"d{i}"), 16, "0") for i in range(4))))
+    return v.select("at", "n_chars", digest.alias("edited_sha256"), as_text("x.").alias("fingerprint"), as_text("e.").alias("edited_fingerprint"),
+                    likeness("x.", "e.").alias("near_edited"), likeness("x.", "y.").alias("near_next"))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text is the text without its last floor(n_chars / 4) code
-    points, then as many (or all) first ones of the next document (see
-    neighbours).  Fingerprints do not depend on the order of paragraphs;
-    likeness is estimated from the two fingerprints alone.  Null texts count as
-    empty; repeated rows are kept, each the other's next; a single row is its
-    own next; an empty table gives an empty result; other columns are not read.
+    points, then as many (or all) first ones of the next document: the next
+    row by doc_id, then text, and after the last one the first.  Fingerprints do
+    not depend on the order of paragraphs; likeness is estimated from the
+    fingerprints alone.  Null texts count as empty; rows without id come
+    before all others; repeated rows are kept, each the other's next; a single
+    row is its own next; an empty table gives an empty result; other columns
+    are not read.
+
+    Texts are shuffled once, to buckets of IDS consecutive ids.  A bucket's rows
+    are ordered, hashed, summed up and compared in place; only the last row
+    of each bucket meets the next bucket's first by a join.
     """
-    n = F.length("text")
-    cut = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    rows = neighbours(docs, id_col, text_col).withColumn("edited", edited)
-    about = ["doc_id", "next_b", "next_rn", "n_chars", "edited_sha256"]
-    rows = rows.withColumns({"n_chars": n.cast("long"), "edited_sha256": F.sha2("edited", 256)})
-    both = F.array(F.struct(F.lit(False).alias("is_edited"), F.col("text").alias("t")), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("t")))
-    texts = rows.select("b", "rn", *about, F.explode(both).alias("x"))
-    texts = texts.select("b", "rn", "x.*", *(F.when(~F.col("x.is_edited"), F.col(c)).alias(c) for c in about))
-    vectors = sums(texts, ["b", "rn", "is_edited", *about], "t")
-    own = vectors.where("not is_edited")
-    renamed = {"x": own.select("b", "rn", *about, *(F.col(c).alias(f"x_{c}") for c in SUMS)),
-               "e": vectors.where("is_edited").select("b", "rn", *(F.col(c).alias(f"e_{c}") for c in SUMS)),
-               "y": own.select(F.col("b").alias("next_b"), F.col("rn").alias("next_rn"), *(F.col(c).alias(f"y_{c}") for c in SUMS))}
-    both = renamed["x"].join(renamed["e"], ["b", "rn"])
-    both = both.select("doc_id", "next_b", "next_rn", "n_chars", "edited_sha256", as_text("x_").alias("fingerprint"), as_text("e_").alias("edited_fingerprint"), likeness("x_", "e_").alias("near_edited"), *(f"x_{c}" for c in SUMS))
-    return both.join(renamed["y"], ["next_b", "next_rn"]).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", likeness("x_", "y_").alias("near_next"))
+    at = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    bucket = F.shiftright(at, IDS.bit_length() - 1)
+    order = Window.partitionBy("b").orderBy("at", "text")
+    rows = docs.select(bucket.alias("b"), at.alias("at"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumns({"rn": F.row_number().over(order), "next_text": F.lead("text").over(order), "before": F.lag("at").over(order)})
+    parts = {f"d{i}": F.conv(F.substring("digest", 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)}
+
+    def about(df: DataFrame) -> DataFrame:
+        return df.withColumn("edited", edited_text()).withColumns({"n_chars": F.length("text").cast("long"), "digest": F.sha2("edited", 256)}).withColumns(parts)
+
+    def texts(df: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+        kinds = F.array(*(F.struct(F.lit(i).cast("long").alias("kind"), F.col(c).alias("t")) for i, c in enumerate(columns)))
+        out = about(df).select(*keys, *ABOUT, F.explode(kinds).alias("k")).where("k.t is not null")
+        return sums(out.select(*keys, *ABOUT, "k.kind", "k.t"), [*keys, "kind"], "t", ABOUT)
+
+    inside = compared(texts(rows.withColumn("rn", F.col("rn").cast("long")), ["b", "rn"], "text", "edited"), ["rn"], ["b"], "kind")
+
+    buckets = docs.select(bucket.alias("key")).distinct()
+    start = buckets.agg(F.min("key").alias("key")).first()["key"]
+    links = following(buckets).select(F.col("key").alias("b"), F.coalesce("next", F.lit(start).cast("long")).alias("next_b"))
+    heads = rows.where("before is null").select(F.col("b").alias("next_b"), F.col("text").alias("next_text"))
+    lasts = rows.where("next_text is null").select("b", "at", "text").join(links, "b").join(heads, "next_b")
+    ends = compared(texts(lasts, ["b"], "text", "edited", "next_text"), [], ["b"], "kind")
+    doc_id = F.when(F.col("at") != NO_ID, F.col("at")).cast(docs.schema[id_col].dataType).alias("doc_id")
+    return inside.unionByName(ends).select(doc_id, *(c for c in inside.columns if c != "at"))
