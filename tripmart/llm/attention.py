@@ -13,6 +13,10 @@ CLASSES = GROUPS * MEMBERS
 STRIDE = 24
 #: Logits are kept within this bound, so that sums of exponentials stay finite without subtracting maxima.
 BOUND = 60.0
+#: Share of the classes' overall frequencies that is mixed into every prediction.
+MIX = 0.05
+#: Passes over a partition's windows at most, where they are few.
+MOST_EPOCHS = 20
 #: Windows attended together, and how many such batches share one output step.
 BATCH, GATHER = 64, 16
 
@@ -73,8 +77,10 @@ class Scorer:
     softmax sums; query and key, and value and output, are multiplied out beforehand.
     """
 
-    def __init__(self, w: Weights):
+    def __init__(self, w: Weights, class_counts: np.ndarray):
         n = WIDTH + 1
+        counts = class_counts + 1.0
+        self.overall = np.log(MIX * counts / counts.sum())
         self.embed = np.ones((CLASSES, n), np.float32)
         self.embed[:, :WIDTH] = w.embed
         self.place = np.zeros((WINDOW, n), np.float32)
@@ -120,7 +126,8 @@ class Scorer:
                 total[a:b] += self._chosen(r[a:b] @ self.member[g], member[a:b])
         out = np.empty(len(r), np.float64)
         out[order] = total
-        return out
+        out += np.log1p(-MIX)
+        return np.logaddexp(out, self.overall[target])
 
     def score(self, texts: list[np.ndarray], begin: int) -> np.ndarray:
         """Log probability (natural) of each text, an array of class ids: every id is scored once, from overlapping windows.
@@ -162,12 +169,13 @@ def windows_of(lengths: np.ndarray) -> np.ndarray:
 
 
 def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean negative log probability of windows ids (windows, WINDOW + 1) and its gradient, as one vector."""
+    """Mean negative log probability of windows ids (windows, WINDOW + 1), but for ids -1 at their ends, and its gradient as one vector."""
     g = Weights(np.zeros_like(w.vector))
-    r, (x, h, q, k, v, raw, a, m) = attend(w, ids[:, :-1])
+    r, (x, h, q, k, v, raw, a, m) = attend(w, np.maximum(ids[:, :-1], 0))
     target = ids[:, 1:].reshape(-1).astype(np.int64)
-    flat = r.reshape(-1, WIDTH)
-    n, rows = len(flat), np.arange(len(flat))
+    scored = np.flatnonzero(target >= 0)
+    flat, target = r.reshape(-1, WIDTH)[scored], target[scored]
+    n, rows = max(1, len(flat)), np.arange(len(flat))
     group, member = target // MEMBERS, target % MEMBERS
     p = flat @ w.group + w.group_bias
     p = np.exp(p - p.max(1, keepdims=True))
@@ -193,7 +201,8 @@ def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
             g.member[i] = flat[at].T @ p
             g.member_bias[i] = p.sum(0)
             back[at] += p @ w.member[i].T
-    dr = back.reshape(r.shape)
+    dr = np.zeros_like(r)
+    dr.reshape(-1, WIDTH)[scored] = back
     dh = dr.copy()
     g.out[:] = np.einsum("bli,blj->ij", m, dr, optimize=True)
     dm = dr @ w.out.T
@@ -211,12 +220,12 @@ def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
 
 
 def train(w: Weights, windows: np.ndarray, least_steps: int = 150, batch: int = 64, rate: float = 0.01, seed: int = 1) -> Weights:
-    """Weights after Adam over the windows (n, WINDOW + 1), each at least once, in least_steps steps at least."""
+    """Weights after Adam over the windows (n, WINDOW + 1), each at least once, in least_steps steps if MOST_EPOCHS allow."""
     vector = w.vector.copy()
     first, second = np.zeros_like(vector), np.zeros_like(vector)
     r, step = np.random.default_rng(seed), 0
     per_epoch = -(-len(windows) // batch)
-    epochs = max(1, -(-least_steps // max(1, per_epoch)))
+    epochs = min(MOST_EPOCHS, max(1, -(-least_steps // max(1, per_epoch))))
     for _ in range(epochs if len(windows) else 0):
         order = r.permutation(len(windows))
         for i in range(0, len(order), batch):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontaminate, fingerprints, html_extract, mixing, secrets, simhash, token_counts, toxicity, url_filter
+from tripmart.llm import decontaminate, fingerprints, html_extract, lm, mixing, secrets, simhash, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -174,3 +174,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"), vocabulary=token_counts.VOCABULARY)
