@@ -137,3 +137,25 @@ def test_model_beats_word_counts_on_patterns(spark):
     rows = [(i, " ".join(f"{chr(97 + (k + s) % 23) * 2}{chr(97 + (k * k + s) % 26)}" for k in range(r.randint(20, 60)))) for i in range(1500) for s in [r.randint(0, 1000)]]
     got = lm.scores(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").collect()
     assert sum(x.score for x in got) > sum(x.base_score for x in got)
+
+
+def test_subwords_are_those_of_single_words():
+    subwords = lm.Subwords(lm.VOCABULARY, {b"the": 5})
+    r = random.Random(7)
+    pieces = ["the", "of", "x1", "\xa0", "a\xa0", "\x85b", "\u3000", "é!", "1,2", "'s", "\x00", "-", "漢字"]
+    for _ in range(200):
+        w = [("".join(r.choice(pieces) for _ in range(r.randint(1, 3)))).encode() for _ in range(r.randint(0, 8))]
+        w = [x for y in w for x in y.lower().split()]
+        ids = subwords.tokens(subwords.places(w)).tolist()
+        assert ids == [i for x in w for i in subwords.encode(" " + x.decode())] + [subwords.size - 1]
+        assert subwords.known_counts(subwords.places(w)).tolist() == [5 if x == b"the" else -1 for x in w]
+
+
+def test_training_windows():
+    subwords = lm.Subwords(lm.VOCABULARY)
+    classes = lm.Classes(np.arange(subwords.size))
+    texts = [None, "", "one", "many words " * 500, "x" * 9000, " ".join(f"n{i}" for i in range(3000))]
+    rows = lm.training_windows(texts, subwords, classes)
+    assert len(rows) == sum(1 + len(t or "") // lm.CHARS_PER_WINDOW for t in texts) and rows.shape[1] == WINDOW + 1
+    assert rows[0].tolist() == [classes.end, classes.end] + [-1] * (WINDOW - 1)
+    assert (rows[3:] >= 0).any(1).all() and (rows[-1] >= 0).all()

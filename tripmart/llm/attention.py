@@ -18,7 +18,7 @@ MIX = 0.05
 #: Passes over a partition's windows at most, where they are few.
 MOST_EPOCHS = 20
 #: Windows attended together, and how many such batches share one output step.
-BATCH, GATHER = 64, 16
+BATCH, GATHER = 64, 8
 
 SHAPES = {"embed": (CLASSES, WIDTH), "place": (WINDOW, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH), "value": (WIDTH, WIDTH), "out": (WIDTH, WIDTH),
           "group": (WIDTH, GROUPS), "group_bias": (GROUPS,), "member": (GROUPS, WIDTH, MEMBERS), "member_bias": (GROUPS, MEMBERS)}
@@ -80,7 +80,7 @@ class Scorer:
     def __init__(self, w: Weights, class_counts: np.ndarray):
         n = WIDTH + 1
         counts = class_counts + 1.0
-        self.overall = np.log(MIX * counts / counts.sum())
+        self.overall = MIX * counts / counts.sum()
         self.embed = np.ones((CLASSES, n), np.float32)
         self.embed[:, :WIDTH] = w.embed
         self.place = np.zeros((WINDOW, n), np.float32)
@@ -126,8 +126,10 @@ class Scorer:
                 total[a:b] += self._chosen(r[a:b] @ self.member[g], member[a:b])
         out = np.empty(len(r), np.float64)
         out[order] = total
-        out += np.log1p(-MIX)
-        return np.logaddexp(out, self.overall[target])
+        np.exp(out, out=out)
+        out *= 1 - MIX
+        out += self.overall[target]
+        return np.log(out, out=out)
 
     def score(self, texts: list[np.ndarray], begin: int) -> np.ndarray:
         """Log probability (natural) of each text, an array of class ids: every id is scored once, from overlapping windows.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,11 +23,11 @@ END = " "
 #: At most about so many of the most frequent words have their counts with every task; the others are joined by word.
 FREQUENT = 200_000
 #: Words kept with their subwords in a task, and words counted before they are sent on.
-CACHE, COUNTED = 200_000, 200_000
+CACHE, COUNTED = 400_000, 200_000
 #: Passes of training over the corpus: in each, every partition goes on from the common weights, which are then averaged.
 ROUNDS = 2
-#: Training windows taken from each text: one, and one more for so many words.
-WORDS_PER_WINDOW = 1000
+#: Training windows taken from each text: one, and one more for so many characters.
+CHARS_PER_WINDOW = 8000
 #: Weight vectors added up by one task when averaging.
 FAN_IN = 32
 LN10 = float(np.log(10))
@@ -82,53 +83,61 @@ class Subwords:
     """Token ids of words, encoded one by one after a blank, kept for the words met last."""
 
     def __init__(self, vocabulary: str, known: dict[bytes, int] | None = None):
-        self.encode = encoder(vocabulary)[0].encode_ordinary
+        encoding = encoder(vocabulary)[0]
+        self.encode = encoding.encode_ordinary
         self.size = encoder(vocabulary)[1].size + 1  # the last id ends texts
+        self.blank = np.zeros(self.size, bool)
+        for token in encoding.token_byte_values():
+            if token[:1] == b" ":
+                self.blank[encoding.encode_single_token(token)] = True
         self.known = known or {}
         self.reset()
 
     def reset(self) -> None:
+        # Arrays that grow in place; numpy looks into them without copying, one call at a time.
         self.at: dict[bytes, int] = {}
-        self.ids: list[int] = []
-        self.starts: list[int] = [0]
-        self.counts: list[int] = []
-        self.flat = self.first = self.count = None
-
-    def _add(self, word: bytes) -> int:
-        self.ids += self.encode(" " + word.decode())
-        self.at[word] = i = len(self.counts)
-        self.starts.append(len(self.ids))
-        self.counts.append(self.known.get(word, -1))
-        self.flat = None
-        return i
+        self.ids, self.starts, self.counts = array("q"), array("q", [0]), array("q")
+
+    def _add(self, fresh: list[bytes]) -> None:
+        """Encode words that are not kept, together: each one's tokens start with the one that has the blank before it."""
+        text = " " + b" ".join(fresh).decode()
+        ids = np.array(self.encode(text), np.int64)
+        starts = np.flatnonzero(self.blank[ids])
+        if len(starts) != len(fresh):  # other white space than words end at can join pieces
+            each = [self.encode(" " + w.decode()) for w in fresh]
+            starts = np.cumsum([0, *map(len, each[:-1])])
+            ids = np.array([i for one in each for i in one], np.int64)
+        at = len(self.counts)
+        self.at.update(zip(fresh, range(at, at + len(fresh)), strict=True))
+        self.starts.extend((np.append(starts[1:], len(ids)) + len(self.ids)).tolist())
+        self.ids.extend(ids.tolist())
+        get = self.known.get
+        self.counts.extend([get(w, -1) for w in fresh])
 
     def places(self, text: list[bytes]) -> np.ndarray:
         """Place of each word among those kept."""
         if len(self.at) > CACHE:
             self.reset()
-        get, add = self.at.get, self._add
-        return np.array([p if (p := get(w)) is not None else add(w) for w in text], np.int64)
-
-    def _arrays(self) -> None:
-        if self.flat is None:
-            self.flat, self.first, self.count = np.array(self.ids, np.int64), np.array(self.starts, np.int64), np.array(self.counts, np.int64)
+        fresh = set(text).difference(self.at)
+        if fresh:
+            self._add(list(fresh))
+        return np.fromiter(map(self.at.__getitem__, text), np.int64, len(text))
 
     def tokens(self, places: np.ndarray) -> np.ndarray:
         """Token ids of words at places, and last the id that ends a text."""
-        self._arrays()
-        first = self.first[places]
-        sizes = self.first[places + 1] - first
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        out = np.empty(total + 1, np.int64)
-        out[:total] = self.flat[np.arange(total) + np.repeat(first - ends + sizes, sizes)]
-        out[total] = self.size - 1
+        out = np.array([self.size - 1])
+        if len(places):
+            starts = np.frombuffer(self.starts, np.int64)
+            first = starts[places]
+            sizes = starts[places + 1] - first
+            ends = np.cumsum(sizes)
+            ids = np.frombuffer(self.ids, np.int64)[np.arange(ends[-1]) + np.repeat(first - ends + sizes, sizes)]
+            out = np.concatenate([ids, out])
         return out
 
     def known_counts(self, places: np.ndarray) -> np.ndarray:
         """Corpus counts of words at places; -1 if a word is not frequent."""
-        self._arrays()
-        return self.count[places]
+        return np.frombuffer(self.counts, np.int64)[places] if len(places) else np.zeros(0, np.int64)
 
 
 def subword_counts(counts: DataFrame, vocabulary: str) -> np.ndarray:
@@ -180,12 +189,15 @@ def training_windows(texts: list[str | None], subwords: Subwords, classes: Class
     """Windows (n, WINDOW + 1) of class ids from places of each text that its hash chooses; -1 beyond a text's end."""
     out = []
     for text in texts:
-        w = words(text)
-        r = np.random.default_rng(xxhash.xxh64_intdigest(text or ""))
-        for _ in range(1 + len(w) // WORDS_PER_WINDOW):
-            at = int(r.integers(0, max(0, len(w) - WINDOW) + 1))
-            some = w[at:at + WINDOW + 1]
-            ids = subwords.tokens(subwords.places(some))[:None if at + len(some) == len(w) else -1]
+        text = text or ""
+        r = np.random.default_rng(xxhash.xxh64_intdigest(text))
+        for _ in range(1 + len(text) // CHARS_PER_WINDOW):
+            at, size = int(r.integers(0, max(0, len(text) - 4 * WINDOW) + 1)), 8 * WINDOW
+            while (n := len(some := text[at:at + size].encode().lower().split())) < WINDOW + 3 and at + size < len(text):
+                size *= 2
+            whole = at + size >= len(text)
+            some = some[at > 0:n - (not whole)]  # words that the piece may have cut
+            ids = subwords.tokens(subwords.places(some))[:None if whole else -1]
             ids = np.concatenate([[classes.end] * (at == 0), classes.of[ids]])
             skip = int(r.integers(0, max(0, len(ids) - WINDOW - 1) + 1))
             row = np.full(WINDOW + 1, -1, np.int16)
