@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 from math import comb
 
@@ -47,13 +48,13 @@ def references(n: int) -> list[int]:
     return [int(np.uint64(xxhash.xxh64_intdigest(f"reference {i}".encode())).view(np.int64)) for i in range(n)]
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the signed 64-bit fingerprint of every whole text."""
+def fingerprints(docs: DataFrame, words_per_shingle: int = 3, also: Sequence[str] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, also, fp): the signed 64-bit fingerprint of every whole text."""
 
     def start():
         return lambda texts: (None, [np.fromiter((fingerprint(t, words_per_shingle) for t in texts), np.uint64, len(texts)).view(np.int64)])
 
-    return per_text(docs, [(id_col, "doc_id")], text_col, "fp long", start)
+    return per_text(docs, [(id_col, "doc_id"), *((c, c) for c in also)], text_col, "fp long", start)
 
 
 def near_links(fps: DataFrame, max_bits: int = 2, n_references: int = 24, group_limit: int = 256) -> DataFrame:
@@ -99,6 +100,23 @@ def near_links(fps: DataFrame, max_bits: int = 2, n_references: int = 24, group_
     return pairs.unionByName(stars).distinct()
 
 
+def grouped(docs: DataFrame, words_per_shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, k1, k2, fp, root, component_id) of each row: k1 and k2 hash its id and text, root names its group."""
+    keys = {"k1": F.xxhash64(id_col, text_col), "k2": F.hash(text_col, id_col)}
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(x.alias(k) for k, x in keys.items()))
+    prints = cut_lineage(fingerprints(keyed, words_per_shingle, ["k1", "k2"]))
+    distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
+    roots = components(near_links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    linked = distinct.join(roots, "fp", "left").withColumn("linked", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "fp"))
+    # Only groups of several rows are joined back: the others are their own.
+    several = linked.where("linked or n > 1").select("fp", "root", "first")
+    smallest = several.groupBy("root").agg(F.min("first").alias("component_id"))
+    members = several.join(smallest, "root").select("fp", "root", "component_id")
+    out = prints.join(members, "fp", "left")
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "k1", "k2", "fp", F.coalesce("root", "fp").alias("root"), component.alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, fp (signed long), component_id.
 
@@ -109,26 +127,17 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int =
     Repeated rows are kept, an empty table gives an empty result, and other
     columns are not read.
     """
-    prints = cut_lineage(fingerprints(docs, words_per_shingle, id_col, text_col))
-    distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
-    roots = components(near_links(distinct, max_bits))
-    linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = linked.where("root <> fp or n > 1").select("fp", "root")
-    groups = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    # A group's root may itself be a fingerprint of a single document.
-    heads = linked.join(smallest.where("root <> fp").select("root").distinct(), "root", "left_semi").select("fp", "root")
-    members = smallest.unionByName(heads).distinct().join(groups, "root").select("fp", "component_id")
-    out = prints.join(members.withColumn("grouped", F.lit(True)), "fp", "left")
-    return out.select("doc_id", "fp", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-
-
-def keep_first(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of docs (doc_id, text, ...) whose doc_id is the smallest of its near-duplicate group.
-
-    Of several rows with that same id and text all but one go too; rows
-    without an id are kept only where no row of the group has one, one each.
+    return grouped(docs, words_per_shingle, max_bits, id_col, text_col).select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs of each near-duplicate group, all columns: the one of the smallest id.
+
+    Of several rows with that id, the one whose id and text hash least; of
+    equal ones, any one.  Rows without id come after all others.
     """
-    groups = near_duplicates(docs, words_per_shingle, max_bits)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    x, k = docs.alias("x"), kept.alias("k")
-    return x.join(k, F.col("x.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    groups = grouped(docs, words_per_shingle, max_bits, id_col, text_col)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("r"))
+    first = first.select(F.col("r.k1").alias("_k1"), F.col("r.k2").alias("_k2"))
+    keyed = docs.withColumns({"_k1": F.xxhash64(id_col, text_col), "_k2": F.hash(text_col, id_col)})
+    return keyed.join(first, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
