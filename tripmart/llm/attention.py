@@ -7,10 +7,10 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Positions of a window, width of the model, and the two levels of the output: GROUPS groups of MEMBERS classes.
-WINDOW, WIDTH, GROUPS, MEMBERS = 32, 16, 32, 32
+WINDOW, WIDTH, GROUPS, MEMBERS = 24, 16, 32, 32
 CLASSES = GROUPS * MEMBERS
 #: A later window scores its last STRIDE positions; the ones before are context that the window before has scored.
-STRIDE = 24
+STRIDE = 20
 #: Logits are kept within this bound, so that sums of exponentials stay finite without subtracting maxima.
 BOUND = 60.0
 #: Share of the classes' overall frequencies that is mixed into every prediction.
@@ -80,7 +80,7 @@ class Scorer:
     def __init__(self, w: Weights, class_counts: np.ndarray):
         n = WIDTH + 1
         counts = class_counts + 1.0
-        self.overall = MIX * counts / counts.sum()
+        self.overall = (MIX * counts / counts.sum()).astype(np.float32)
         self.embed = np.ones((CLASSES, n), np.float32)
         self.embed[:, :WIDTH] = w.embed
         self.place = np.zeros((WINDOW, n), np.float32)
@@ -124,7 +124,7 @@ class Scorer:
         for g, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if a < b:
                 total[a:b] += self._chosen(r[a:b] @ self.member[g], member[a:b])
-        out = np.empty(len(r), np.float64)
+        out = np.empty(len(r), np.float32)
         out[order] = total
         np.exp(out, out=out)
         out *= 1 - MIX
@@ -221,7 +221,7 @@ def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
     return float(loss) / n, g.vector
 
 
-def train(w: Weights, windows: np.ndarray, least_steps: int = 150, batch: int = 64, rate: float = 0.01, seed: int = 1) -> Weights:
+def train(w: Weights, windows: np.ndarray, least_steps: int = 1, batch: int = 32, rate: float = 0.02, seed: int = 1) -> Weights:
     """Weights after Adam over the windows (n, WINDOW + 1), each at least once, in least_steps steps if MOST_EPOCHS allow."""
     vector = w.vector.copy()
     first, second = np.zeros_like(vector), np.zeros_like(vector)

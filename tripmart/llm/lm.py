@@ -5,6 +5,8 @@ from __future__ import annotations
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,12 @@ from tripmart.llm.token_counts import VOCABULARY, encoder
 END = " "
 #: At most about so many of the most frequent words have their counts with every task; the others are joined by word.
 FREQUENT = 200_000
-#: Words kept with their subwords in a task, and words counted before they are sent on.
-CACHE, COUNTED = 400_000, 200_000
-#: Passes of training over the corpus: in each, every partition goes on from the common weights, which are then averaged.
-ROUNDS = 2
+#: Words kept with their subwords in a task.
+CACHE = 400_000
+#: Windows, sampled by a hash, that the common weights start from: about so many at most.
+START = 20_000
+#: Passes of training over all windows: in each, every partition goes on from the common weights, which are then averaged.
+ROUNDS = 1
 #: Training windows taken from each text: one, and one more for so many characters.
 CHARS_PER_WINDOW = 8000
 #: Weight vectors added up by one task when averaging.
@@ -45,26 +49,14 @@ def held_out(id_col: str) -> Column:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over texts, ends of texts included; counts are added up in tasks first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-
-        def sent() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64())], names=["word", "n"])
-            n.clear()
-            return out
-
-        for batch in batches:
-            for text in batch.column(0):
-                n.update(words(text.as_py()))
-                n[END.encode()] += 1
-                if len(n) > COUNTED:
-                    yield sent()
-        if n:
-            yield sent()
-
-    return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    """(word, n) over texts, ends of texts included."""
+    w = F.col("word")
+    # All of a word is lower-cased where it is ASCII, else its A-Z alone.
+    low = F.when(F.octet_length(w) == F.length(w), F.lower(w)).otherwise(F.translate(w, ascii_uppercase, ascii_lowercase))
+    found = texts.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
+    counts = found.select(low.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    ends = texts.agg(F.count("*").alias("n")).where("n > 0").select(F.lit(END).alias("word"), "n")
+    return counts.unionByName(ends)
 
 
 def least_frequent(counts: DataFrame) -> int:
@@ -79,17 +71,38 @@ def least_frequent(counts: DataFrame) -> int:
     return least if least is not None else (1 << 62)
 
 
+@lru_cache(maxsize=4)
+def after_blank(vocabulary: str) -> np.ndarray:
+    """Whether each token starts with a blank."""
+    encoding = encoder(vocabulary)[0]
+    out = np.zeros(encoder(vocabulary)[1].size + 1, bool)
+    for token in encoding.token_byte_values():
+        if token[:1] == b" ":
+            out[encoding.encode_single_token(token)] = True
+    return out
+
+
+def encoded(fresh: list[bytes], vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of words, each after a blank, and the place where each word's ids start.
+
+    Words are encoded together: each one's tokens start with the one that has the blank before it.
+    """
+    encode = encoder(vocabulary)[0].encode_ordinary
+    ids = np.array(encode(" " + b" ".join(fresh).decode()) if fresh else [], np.int64)
+    starts = np.flatnonzero(after_blank(vocabulary)[ids])
+    if len(starts) != len(fresh):  # other white space than words end at can join pieces
+        each = [encode(" " + w.decode()) for w in fresh]
+        starts = np.cumsum([0, *map(len, each[:-1])])
+        ids = np.array([i for one in each for i in one], np.int64)
+    return ids, starts
+
+
 class Subwords:
     """Token ids of words, encoded one by one after a blank, kept for the words met last."""
 
     def __init__(self, vocabulary: str, known: dict[bytes, int] | None = None):
-        encoding = encoder(vocabulary)[0]
-        self.encode = encoding.encode_ordinary
+        self.vocabulary = vocabulary
         self.size = encoder(vocabulary)[1].size + 1  # the last id ends texts
-        self.blank = np.zeros(self.size, bool)
-        for token in encoding.token_byte_values():
-            if token[:1] == b" ":
-                self.blank[encoding.encode_single_token(token)] = True
         self.known = known or {}
         self.reset()
 
@@ -99,14 +112,8 @@ class Subwords:
         self.ids, self.starts, self.counts = array("q"), array("q", [0]), array("q")
 
     def _add(self, fresh: list[bytes]) -> None:
-        """Encode words that are not kept, together: each one's tokens start with the one that has the blank before it."""
-        text = " " + b" ".join(fresh).decode()
-        ids = np.array(self.encode(text), np.int64)
-        starts = np.flatnonzero(self.blank[ids])
-        if len(starts) != len(fresh):  # other white space than words end at can join pieces
-            each = [self.encode(" " + w.decode()) for w in fresh]
-            starts = np.cumsum([0, *map(len, each[:-1])])
-            ids = np.array([i for one in each for i in one], np.int64)
+        """Keep words that are not kept yet."""
+        ids, starts = encoded(fresh, self.vocabulary)
         at = len(self.counts)
         self.at.update(zip(fresh, range(at, at + len(fresh)), strict=True))
         self.starts.extend((np.append(starts[1:], len(ids)) + len(self.ids)).tolist())
@@ -144,15 +151,12 @@ def subword_counts(counts: DataFrame, vocabulary: str) -> np.ndarray:
     """How often each token occurs in the corpus, from its words' counts; the vocabulary bounds what comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords = Subwords(vocabulary)
-        n = np.zeros(subwords.size, np.int64)
+        n = np.zeros(encoder(vocabulary)[1].size + 1, np.int64)
         for batch in batches:
-            for word, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if word == END:
-                    n[-1] += k
-                else:
-                    for i in subwords.encode(" " + word):
-                        n[i] += k
+            found = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            n[-1] += found.pop(END, 0)
+            ids, starts = encoded([w.encode() for w in found], vocabulary)
+            np.add.at(n, ids, np.repeat(np.fromiter(found.values(), np.int64, len(found)), np.diff(np.append(starts, len(ids)))))
         ids = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n[ids], pa.int64())], names=["id", "n"])
 
@@ -190,16 +194,16 @@ def training_windows(texts: list[str | None], subwords: Subwords, classes: Class
     out = []
     for text in texts:
         text = text or ""
-        r = np.random.default_rng(xxhash.xxh64_intdigest(text))
-        for _ in range(1 + len(text) // CHARS_PER_WINDOW):
-            at, size = int(r.integers(0, max(0, len(text) - 4 * WINDOW) + 1)), 8 * WINDOW
-            while (n := len(some := text[at:at + size].encode().lower().split())) < WINDOW + 3 and at + size < len(text):
+        for i in range(1 + len(text) // CHARS_PER_WINDOW):
+            draw = xxhash.xxh64_intdigest(text, i)
+            at, size = draw % (max(0, len(text) - 4 * WINDOW) + 1), 6 * WINDOW
+            while (n := len(some := text[at:at + size].encode().lower().split())) < WINDOW // 2 + 3 and at + size < len(text):
                 size *= 2
             whole = at + size >= len(text)
             some = some[at > 0:n - (not whole)]  # words that the piece may have cut
             ids = subwords.tokens(subwords.places(some))[:None if whole else -1]
             ids = np.concatenate([[classes.end] * (at == 0), classes.of[ids]])
-            skip = int(r.integers(0, max(0, len(ids) - WINDOW - 1) + 1))
+            skip = (draw >> 32) % (max(0, len(ids) - WINDOW - 1) + 1)
             row = np.full(WINDOW + 1, -1, np.int16)
             row[:len(ids[skip:skip + WINDOW + 1])] = ids[skip:skip + WINDOW + 1]
             out.append(row)
@@ -232,20 +236,43 @@ def summed(total: np.ndarray, n: int) -> pa.RecordBatch:
 
 
 def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUNDS) -> Weights:
-    """Weights learned from every text: each partition trains on its texts' windows, and the weights are averaged after each round."""
-    weights = Weights.initial(classes.counts)
+    """Weights learned from every text.
+
+    They start from a sample of windows, so that averages are of like models.
+    Then each partition trains on all of its texts' windows, and the weights
+    are averaged, so many rounds.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords = Subwords(vocabulary)
+        for batch in batches:
+            rows = training_windows(batch.column(0).to_pylist(), subwords, classes)
+            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([len(rows)], pa.int64())], names=["windows", "n"])
+
+    windows = cut_lineage(texts.select("text").mapInArrow(cut, "windows binary, n long"))
+    total = windows.agg(F.sum("n")).first()[0] or 0
+    share = int(2 ** 64 * min(1.0, START / max(1, total)))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.concatenate([np.zeros(0, np.int16), *(np.frombuffer(w, np.int16) for w in batch.column(0).to_pylist())]).reshape(-1, WINDOW + 1)
+            kept = [r.tobytes() for r in rows if xxhash.xxh64_intdigest(r.tobytes()) < share]
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(kept)], pa.binary())], names=["windows"])
+
+    sample = b"".join(bytes(r["windows"]) for r in windows.mapInArrow(pick, "windows binary").collect())
+    sample = np.frombuffer(sample, np.int16).reshape(-1, WINDOW + 1)
+    weights = attention.train(Weights.initial(classes.counts), sample, least_steps=600, rate=0.03)
     for round_no in range(rounds):
         now = weights
 
         def run(batches: Iterator[pa.RecordBatch], now: Weights = now, seed: int = round_no) -> Iterator[pa.RecordBatch]:
-            subwords = Subwords(vocabulary)
-            found = [training_windows(b.column(0).to_pylist(), subwords, classes) for b in batches]
-            found = np.concatenate(found) if found else np.zeros((0, WINDOW + 1), np.int16)
+            found = [np.frombuffer(w, np.int16) for b in batches for w in b.column(0).to_pylist()]
+            found = np.concatenate([np.zeros(0, np.int16), *found]).reshape(-1, WINDOW + 1)
             if len(found):
-                trained = attention.train(now, found, seed=seed)
+                trained = attention.train(now, found, rate=0.01, seed=seed)
                 yield summed(trained.vector.astype(np.float64) * len(found), len(found))
 
-        mean = average(texts.select("text").mapInArrow(run, SUM_FIELDS), len(weights.vector))
+        mean = average(windows.mapInArrow(run, SUM_FIELDS), len(weights.vector))
         if mean is None:
             return weights
         weights = Weights(mean.astype(np.float32))
