@@ -18,8 +18,10 @@ from tripmart.llm import attention
 from tripmart.llm.attention import CLASSES, WINDOW, Scorer, Weights
 from tripmart.llm.graph import cut_lineage
 from tripmart.llm.text import per_text
-from tripmart.llm.token_counts import VOCABULARY, encoder
+from tripmart.llm.token_counts import encoder
 
+#: Ranks of a byte-level BPE vocabulary for many languages.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Stands for the end of a text among words, which have no blanks.
 END = " "
 #: At most about so many of the most frequent words have their counts with every task; the others are joined by word.
@@ -53,7 +55,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
     w = F.col("word")
     # All of a word is lower-cased where it is ASCII, else its A-Z alone.
     low = F.when(F.octet_length(w) == F.length(w), F.lower(w)).otherwise(F.translate(w, ascii_uppercase, ascii_lowercase))
-    found = texts.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
+    lines = texts.select(F.explode(F.split("text", "\n")).alias("line"))
+    # Few lines have other blanks than spaces, and splitting at one character is faster.
+    pieces = F.when(F.col("line").rlike("[\\x09-\\x0D]"), F.split("line", "[\\x20\\x09-\\x0D]")).otherwise(F.split("line", " "))
+    found = lines.select(F.explode(pieces).alias("word")).where("word <> ''")
     counts = found.select(low.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     ends = texts.agg(F.count("*").alias("n")).where("n > 0").select(F.lit(END).alias("word"), "n")
     return counts.unionByName(ends)
@@ -97,6 +102,19 @@ def encoded(fresh: list[bytes], vocabulary: str) -> tuple[np.ndarray, np.ndarray
     return ids, starts
 
 
+class Places(dict):
+    """Place of each word met so far; a new word gets the next place and is noted in fresh."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        self.fresh.append(word)
+        return place
+
+
 class Subwords:
     """Token ids of words, encoded one by one after a blank, kept for the words met last."""
 
@@ -108,16 +126,14 @@ class Subwords:
 
     def reset(self) -> None:
         # Arrays that grow in place; numpy looks into them without copying, one call at a time.
-        self.at: dict[bytes, int] = {}
+        self.at = Places()
         self.ids, self.starts, self.counts = array("q"), array("q", [0]), array("q")
 
     def _add(self, fresh: list[bytes]) -> None:
-        """Keep words that are not kept yet."""
+        """Keep the tokens and counts of words that are new."""
         ids, starts = encoded(fresh, self.vocabulary)
-        at = len(self.counts)
-        self.at.update(zip(fresh, range(at, at + len(fresh)), strict=True))
-        self.starts.extend((np.append(starts[1:], len(ids)) + len(self.ids)).tolist())
-        self.ids.extend(ids.tolist())
+        self.starts.frombytes((np.append(starts[1:], len(ids)) + len(self.ids)).tobytes())
+        self.ids.frombytes(ids.tobytes())
         get = self.known.get
         self.counts.extend([get(w, -1) for w in fresh])
 
@@ -125,10 +141,11 @@ class Subwords:
         """Place of each word among those kept."""
         if len(self.at) > CACHE:
             self.reset()
-        fresh = set(text).difference(self.at)
-        if fresh:
-            self._add(list(fresh))
-        return np.fromiter(map(self.at.__getitem__, text), np.int64, len(text))
+        out = np.fromiter(map(self.at.__getitem__, text), np.int64, len(text))
+        if self.at.fresh:
+            self._add(self.at.fresh)
+            self.at.fresh = []
+        return out
 
     def tokens(self, places: np.ndarray) -> np.ndarray:
         """Token ids of words at places, and last the id that ends a text."""

@@ -201,4 +201,4 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scores(table(spark, sf_dir, "documents"), vocabulary=token_counts.VOCABULARY)
+    return lm.scores(table(spark, sf_dir, "documents"), vocabulary=lm.VOCABULARY)
