@@ -156,7 +156,7 @@ def test_training_windows():
     subwords = lm.Subwords(lm.VOCABULARY)
     classes = lm.Classes(np.arange(subwords.size))
     texts = [None, "", "one", "many words " * 500, "x" * 9000, " ".join(f"n{i}" for i in range(3000))]
-    rows = lm.training_windows(texts, subwords, classes)
+    rows = lm.training_windows(texts, lm.VOCABULARY, classes)
     assert len(rows) == sum(1 + len(t or "") // lm.CHARS_PER_WINDOW for t in texts) and rows.shape[1] == WINDOW + 1
     assert rows[0].tolist() == [classes.end, classes.end] + [-1] * (WINDOW - 1)
     assert (rows[3:] >= 0).any(1).all() and (rows[-1] >= 0).all()

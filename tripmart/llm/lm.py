@@ -55,10 +55,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     w = F.col("word")
     # All of a word is lower-cased where it is ASCII, else its A-Z alone.
     low = F.when(F.octet_length(w) == F.length(w), F.lower(w)).otherwise(F.translate(w, ascii_uppercase, ascii_lowercase))
-    lines = texts.select(F.explode(F.split("text", "\n")).alias("line"))
-    # Few lines have other blanks than spaces, and splitting at one character is faster.
-    pieces = F.when(F.col("line").rlike("[\\x09-\\x0D]"), F.split("line", "[\\x20\\x09-\\x0D]")).otherwise(F.split("line", " "))
-    found = lines.select(F.explode(pieces).alias("word")).where("word <> ''")
+    found = texts.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
     counts = found.select(low.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     ends = texts.agg(F.count("*").alias("n")).where("n > 0").select(F.lit(END).alias("word"), "n")
     return counts.unionByName(ends)
@@ -206,7 +203,7 @@ class Classes:
         self.end = int(self.of[-1])
 
 
-def training_windows(texts: list[str | None], subwords: Subwords, classes: Classes) -> np.ndarray:
+def training_windows(texts: list[str | None], vocabulary: str, classes: Classes) -> np.ndarray:
     """Windows (n, WINDOW + 1) of class ids from places of each text that its hash chooses; -1 beyond a text's end."""
     out = []
     for text in texts:
@@ -218,8 +215,7 @@ def training_windows(texts: list[str | None], subwords: Subwords, classes: Class
                 size *= 2
             whole = at + size >= len(text)
             some = some[at > 0:n - (not whole)]  # words that the piece may have cut
-            ids = subwords.tokens(subwords.places(some))[:None if whole else -1]
-            ids = np.concatenate([[classes.end] * (at == 0), classes.of[ids]])
+            ids = np.concatenate([[classes.end] * (at == 0), classes.of[encoded(some, vocabulary)[0]], [classes.end] * whole])
             skip = (draw >> 32) % (max(0, len(ids) - WINDOW - 1) + 1)
             row = np.full(WINDOW + 1, -1, np.int16)
             row[:len(ids[skip:skip + WINDOW + 1])] = ids[skip:skip + WINDOW + 1]
@@ -261,9 +257,8 @@ def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUND
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords = Subwords(vocabulary)
         for batch in batches:
-            rows = training_windows(batch.column(0).to_pylist(), subwords, classes)
+            rows = training_windows(batch.column(0).to_pylist(), vocabulary, classes)
             yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([len(rows)], pa.int64())], names=["windows", "n"])
 
     windows = cut_lineage(texts.select("text").mapInArrow(cut, "windows binary, n long"))
