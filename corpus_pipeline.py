@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import decontaminate, mixing, secrets, simhash, toxicity
+from tripmart.llm.graph import shared_folder
 from tripmart.llm.queries import ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -60,8 +61,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what passes between them is in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:

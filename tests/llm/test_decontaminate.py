@@ -1,0 +1,67 @@
+"""Containment search against brute force."""
+
+import random
+
+import pytest
+
+from tripmart.llm import decontaminate as dc
+
+
+def shingles(text, k=5):
+    w = dc.words(text)
+    k = min(k, len(w))
+    return k, {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if w else set()
+
+
+def brute(docs, items, threshold=0.8):
+    out = []
+    for i, t in docs:
+        w = dc.words(t)
+        for j, item in items:
+            k, need = shingles(item)
+            have = {tuple(w[a:a + k]) for a in range(len(w) - k + 1)}
+            shared = len(need & have)
+            if need and shared >= threshold * len(need) - 1e-9:
+                out.append((i, j, shared, len(need), shared / len(need)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block_items,block_words", [(20_000, 1 << 18), (3, 7)])
+def test_against_brute_force(spark, monkeypatch, block_items, block_words):
+    monkeypatch.setattr(dc, "BLOCK_ITEMS", block_items)
+    monkeypatch.setattr(dc, "BLOCK_WORDS", block_words)
+    r = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(60)] + ["Été", "ñ", "ab-cd"]
+    text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(i, text(r.choice([1, 3, 4, 5, 6, 20, 45]))) for i in range(25)] + [(90, ""), (91, None), (92, "w1 w2 w3"), (92, "w1 w2 w3"), (None, "w5 w6")]
+    docs = [(i, text(r.choice([0, 2, 40, 300]))) for i in range(40)]
+    for i in range(60):  # items within documents: whole, upper case, punctuated, edited, cut, split in halves
+        w = (r.choice(items)[1] or "").split()
+        kind = r.randrange(5)
+        if kind == 1:
+            w = [x.upper() + "," for x in w]
+        elif kind == 2 and len(w) > 8:
+            w[r.randrange(len(w))] = "changed"
+        elif kind == 3:
+            w = w[:int(len(w) * 0.85)]
+        elif kind == 4:
+            w = w[:len(w) // 2 + 4] + text(9).split() + w[len(w) // 2:]
+        docs.append((100 + i, f"{text(30)}\n{' '.join(w)}\n{text(30)}"))
+    docs += [(None, items[3][1]), (7, None), docs[45], docs[45]]
+    table = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = dc.contaminated(table, bench).collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, items)
+    dirty = {i for i, (_, t) in enumerate(docs) if brute([(0, t)], items)}
+    kept = dc.without_benchmark(table, bench)
+    assert kept.columns == table.columns
+    assert sorted((x.doc_id, x.text) for x in kept.collect() if x.doc_id is not None and x.text) == sorted((i, t) for k, (i, t) in enumerate(docs) if k not in dirty and i is not None and t)
+    assert 0 < len(dirty) < len(docs)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert dc.contaminated(docs, none).collect() == []
+    assert dc.without_benchmark(docs, none).count() == 1
+    assert dc.contaminated(docs.limit(0), none).collect() == []

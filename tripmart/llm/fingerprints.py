@@ -115,7 +115,7 @@ def edited_text() -> Column:
 def compared(vectors: DataFrame, keys: list[str], within: list[str], kind: str) -> DataFrame:
     """Result rows from the vectors of a text, its edited text and the next text, which follow one another.
 
-    n_chars, at and the digest's parts ride along as longs.  Within rows of equal `within`, ordered by keys and kind, vectors of kind
+    Within rows of equal `within`, ordered by keys and kind, vectors of kind
     0 are results if two more follow: their edited text's and the next text's.
     """
     order = Window.partitionBy(*within).orderBy(*keys, kind)
@@ -138,7 +138,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row is its own next; an empty table gives an empty result; other columns
     are not read.
 
-    Texts are shuffled once, to buckets of IDS consecutive ids.  A bucket's rows
+    Texts are shuffled once, to buckets of IDS consecutive ids (ids are meant to
+    be distinct: rows of one id, and rows without id, share a bucket).  A bucket's rows
     are ordered, hashed, summed up and compared in place; only the last row
     of each bucket meets the next bucket's first by a join.
     """

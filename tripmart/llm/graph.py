@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder named in spark.checkpoint.dir and go on from there.
-
-    A folder of its own is made only where the session names none (tests).
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; one of its own only where the session names none (tests)."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write df to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -289,8 +289,8 @@ def choose_terms(g: dict[str, float], in_toxic: dict[str, int]) -> list[tuple[st
 
 
 def held_out(id_col: str | Column, folds: int = 5) -> Column:
-    """Whether a row's label is never learned from: crc32 of its id as text is a multiple of folds."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0
+    """Whether a row's label is never learned from: crc32 of its id as text is a multiple of folds (a null id: false)."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
