@@ -14,7 +14,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tripmart.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4, app_name="tripmart-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="tripmart-tests",
+                      extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()
 

@@ -66,3 +66,19 @@ def test_drop_null_columns_nulltype_and_empty(spark):
     assert drop_null_columns(df).columns == ["id"]
     empty = spark.createDataFrame([], "a string, b double, c boolean")
     assert drop_null_columns(empty).columns == ["c"]
+
+
+def test_null_columns_white_space_and_null_arrays(spark):
+    from tripmart.operators.conform import null_column_report
+    df = spark.createDataFrame([("\t\n ", None), (" \u00a0", [(None,)])], "s string, a array<struct<x:string>>")
+    report = {r["column"]: r["dropped"] for r in null_column_report(df, null_strings=[""]).collect()}
+    assert report == {"s": True, "a.x": False}  # a NULL array is a NULL value
+    assert {r["column"]: r["dropped"] for r in null_column_report(df, null_strings=["", None]).collect()}["a.x"]
+
+
+def test_float_becomes_double_by_its_digits(spark):
+    from tripmart.operators.conform import load_mapping
+    from tripmart.schema import ZONE_SCHEMA
+    row = {f.name: None for f in ZONE_SCHEMA.fields} | {"trip_distance": 4.023}
+    df = spark.createDataFrame([tuple(row.values())], ZONE_SCHEMA).withColumn("trip_distance", F.col("trip_distance").cast("float"))
+    assert load_mapping(df).first()["trip_distance"] == 4.023

@@ -103,3 +103,22 @@ def test_audit(spark):
                                 "key string, status string, rows long")
     got = {r["status"]: (r["partitions"], r["n_partitions"], r["rows"]) for r in D.audit(res).collect()}
     assert got == {"success": (["k1", "k2"], 2, 7), "failed": (["k3"], 1, 0)}
+
+
+@pytest.mark.parametrize("tag,href", [
+    ('<a data-href="x" href="y">', "y"), ('<a title="1 > 0" href="z">', "z"), ("<a title='>' href=q>", "q"),
+    ('<a href="a&#x2F;b&#47;c&apos;d&eacute;&nosuch;&amp;lt;">', "a/b/c'd\u00e9&nosuch;&lt;"), ("<a\nhref='n'>", "n"),
+    ('<a href="&#128512;&#0;&#x110000;">', "\U0001F600&#0;&#x110000;"), ("<abbr href='no'>", None), ("<a nohref='no'>", None),
+])
+def test_link_attributes(spark, tag, href):
+    pages = spark.createDataFrame([(1, f"x{tag}y</a>")], "page_id long, html string")
+    assert [r["href"] for r in D.links(pages).collect()] == ([] if href is None else [href])
+
+
+def test_new_sources_without_a_period(spark):
+    urls = spark.createDataFrame([("https://x/data_2023-01.parquet",), ("https://x/none",)], "url string")
+    have = spark.createDataFrame([], "key string")
+    with pytest.raises(Exception, match="no period in"):
+        D.new_sources(urls, have).collect()
+    assert [r["period"] for r in D.new_sources(urls, have, on_missing="drop").collect()] == ["2023-01"]
+    assert [r["url"] for r in D.quarantine(urls).collect()] == ["https://x/none"]

@@ -1,10 +1,12 @@
 """Deterministic trip keys."""
 
+import uuid
+
 from helpers import trip, trips_df
 from pyspark.sql import functions as F
 
 from tripmart.operators.conform import conform, rename
-from tripmart.operators.keys import KEY_COLUMNS, with_trip_id, with_trip_id_unsalted
+from tripmart.operators.keys import KEY_COLUMNS, canonical_name, with_trip_id
 from tripmart.plans.driver import driver_stages
 
 SF = "/root/testdata/sf0.001"
@@ -25,11 +27,11 @@ def test_exact_duplicates_get_distinct_stable_ids(spark):
 def test_hot_group_split_by_salt_same_ids(spark):
     # 300 copies of one trip spread over salt buckets: same ids as one window.
     many = _conformed(spark, *[trip()] * 300).withColumn("_src_pos", F.monotonically_increasing_id())
-    salted = with_trip_id(many, position="_src_pos", salt_buckets=16).select("trip_id")
-    plain = with_trip_id_unsalted(many.drop("_src_pos")).select("trip_id")
-    a = sorted(r[0] for r in salted.collect())
-    assert len(set(a)) == 300
-    assert a == sorted(r[0] for r in plain.collect())
+    name = many.select(canonical_name(many)).first()[0]
+    want = sorted(str(uuid.uuid5(uuid.NAMESPACE_DNS, f"{name}-{i}")) for i in range(1, 301))
+    for df, position in ((many, "_src_pos"), (many.drop("_src_pos"), None)):
+        got = with_trip_id(df, position=position, salt_buckets=16).select("trip_id")
+        assert sorted(r[0] for r in got.collect()) == want
 
 
 def test_trip_keys_unchanged_under_repartition(spark):
@@ -65,3 +67,28 @@ def test_ids_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sorted(a) == sorted(b) and len(set(a)) == len(a)
+
+
+def test_ids_do_not_depend_on_the_other_months_of_a_run(spark):
+    a = _conformed(spark, trip(), trip(), trip(fare_amount=3.0)).withColumns({"year": F.lit(2023), "month": F.lit(1)})
+    b = a.withColumn("month", F.lit(2))  # the same file under another month
+    together = sorted(r[0] for r in with_trip_id(a.unionByName(b)).select("trip_id").collect())
+    apart = sorted(r[0] for x in (a, b) for r in with_trip_id(x).select("trip_id").collect())
+    assert together == apart and len(set(together)) == 6
+
+
+def test_values_beyond_the_range_are_written_out(spark):
+    df = _conformed(spark, trip(fare_amount=1e18), trip(fare_amount=2e18))
+    names = [r[0] for r in df.select(canonical_name(df)).collect()]
+    assert len(set(names)) == 2 and not any("None" in n.split("-")[-9] for n in names)
+
+
+def test_input_is_read_once(spark):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        fresh = driver_stages(spark, SF)["keyed"].select("*")
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert plan.count("FileScan parquet") == 4 and "ReusedExchange" in plan  # lineitem, orders, customer, supplier

@@ -20,11 +20,8 @@ def test_pk_report(spark):
     assert sorted(x[0] or "" for x in Q.pk_violations(t, "trip_id").select("trip_id").collect()) == ["", "a"]
 
 
-def test_broadcast_only_when_bounded(spark):
+def test_dimensions_are_broadcast_by_their_size_only(spark):
     dd = D.dim_dates(spark)
-    small = D.broadcast_bounded(dd, max_rows=1000)
-    big = D.broadcast_bounded(dd, max_rows=100)
-    fact = spark.createDataFrame([(1,)], "date_id int")
-    p_small = fact.join(small, "date_id")._jdf.queryExecution().optimizedPlan().toString()
-    p_big = fact.join(big, "date_id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in p_small and "strategy=broadcast" not in p_big
+    joined = spark.createDataFrame([(1,)], "date_id int").join(dd, "date_id")
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()

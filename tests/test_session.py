@@ -1,11 +1,6 @@
 """Session helpers."""
 
-from tripmart.session import PIPELINE_CONF, ensure_checkpoint_dir
-
-
-def test_checkpoint_dir_kept_when_set(spark, tmp_path):
-    first = ensure_checkpoint_dir(spark)
-    assert first and ensure_checkpoint_dir(spark) == first  # never replaced once set
+from tripmart.session import PIPELINE_CONF
 
 
 def test_pipeline_conf_applied(spark):

@@ -71,7 +71,7 @@ def test_recompress(spark, tmp_path):
     root = _zone(tmp_path)
     dst = str(tmp_path / "gz")
     done = Z.recompress(spark, root, dst, codec="gzip")
-    assert sorted(tuple(r) for r in done.collect()) == [(2023, 1), (2023, 2), (2023, 3)]
+    assert sorted((r["year"], r["month"]) for r in done.collect()) == [(2023, 1), (2023, 2), (2023, 3)]
     files = [os.path.join(d, f) for d, _, fs in os.walk(dst) for f in fs if f.endswith(".parquet")]
     assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "GZIP"
                          for f in files)
@@ -124,3 +124,47 @@ def test_mixed_schemas_within_one_month(spark, tmp_path):
     assert df.count() == 10
     assert df.where("airport_fee IS NULL OR tpep_pickup_datetime IS NULL").count() == 0
     assert sorted(r[0] for r in df.select("fare_amount").collect())[-1] == 10.0 + 1 + 90
+
+
+def test_recompress_keeps_every_file(spark, tmp_path):
+    """Two schemas in one month, and a file that comes after its month was converted."""
+    root, dst = str(tmp_path / "raw"), str(tmp_path / "gz")
+    write_month(root, 1, variant="A")
+    write_month(root, 1, n=3, variant="B", seed=50, name="other.parquet")
+    assert Z.recompress(spark, root, dst).count() == 2
+    assert R.read_raw(spark, dst, with_position=False).count() == 8
+    write_month(root, 1, n=2, seed=90, name="late.parquet")
+    assert Z.recompress(spark, root, dst).count() == 1
+    assert R.read_raw(spark, dst, with_position=False).count() == 10
+    assert Z.recompress(spark, root, dst).count() == 0
+
+
+def test_recompress_does_not_take_errors_for_an_empty_zone(spark, tmp_path):
+    import pytest
+    root = _zone(tmp_path)
+    with pytest.raises(Exception, match="nosuchscheme"):
+        Z.recompress(spark, root, "nosuchscheme://x/y")
+
+
+def test_register_csv_zone(spark, tmp_path):
+    root, out = _zone(tmp_path), str(tmp_path / "text")
+    fact = transform(R.read_raw(spark, root), W)
+    Z.write_text_zone(fact, out)
+    Z.register_zone_table(spark, "csv_zone_test", out, fmt="csv")
+    t = spark.table("csv_zone_test")
+    assert t.count() == 15 and t.columns == [*[f.name for f in Z.ZONE_SCHEMA.fields], "year", "month"]
+    assert t.where("trip_id = 'trip_id'").count() == 0 and t.where("total_amount > 0").count() == 15
+    spark.sql("DROP TABLE csv_zone_test")
+
+
+def test_schema_jobs_do_not_grow_with_files(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "raw")
+    for i in range(6):
+        write_month(root, 1, n=1, seed=i, name=f"f{i}.parquet")
+        write_month(root, 2, n=1, seed=i, name=f"f{i}.parquet")
+    dirs = R.partition_dirs(spark, root)
+    assert len(dirs) == 2 and R.schema_runs(spark, dirs) == [dirs]  # one run, read by folder
+    write_month(root, 3, n=2, variant="B")
+    runs = R.schema_runs(spark, R.partition_dirs(spark, root))
+    assert sum(map(len, runs)) == 3 and len(runs) <= 3  # halving cuts at the change
+    assert R.read_raw(spark, root).count() == 14

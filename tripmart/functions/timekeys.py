@@ -46,8 +46,7 @@ def epoch_seconds_of_ntz(ts: Column) -> Column:
 def epoch_nanos_to_ntz(nanos: Column) -> Column:
     """Epoch nanoseconds (LONG) -> TIMESTAMP_NTZ in UTC wall clock, truncated
     to whole seconds toward zero (as converting through `from_unixtime` does)."""
-    # Exact decimal division; decimal -> bigint truncates toward zero.
-    secs = (nanos.cast("decimal(20,0)") / F.lit(1_000_000_000)).cast("bigint")
+    secs = F.call_function("div", nanos.cast("bigint"), F.lit(1_000_000_000).cast("bigint"))
     return ntz_from_epoch_seconds(secs)
 
 

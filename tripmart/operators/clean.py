@@ -93,7 +93,10 @@ def clean(df: DataFrame, window=DEFAULT_WINDOW, mode: str = "as_written",
           required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """Required-column drop followed by the fee/ordering/range filter."""
     fee_col = _resolve(df, FEE_COLUMN)
-    return df.where(not_null_predicate(df, required)
+    # Both modes imply the fee domain.  Said on its own it reaches the scan,
+    # which the as-written OR as a whole cannot.
+    domain = F.col(fee_col).isin(FEE_BYPASS_VALUE, FEE_CLEAN_VALUE)
+    return df.where(not_null_predicate(df, required) & domain
                     & clean_predicate(window, mode, fee_column=fee_col))
 
 

@@ -54,11 +54,17 @@ def apply_mapping(df: DataFrame, mapping: Iterable[tuple[str, str, str, str]],
     named in `passthrough`, e.g. storage partition columns).
 
     Casts use try_cast, so a value that does not fit the target type becomes
-    NULL instead of failing the job (double -> int truncates toward zero).
+    NULL instead of failing the job (double -> int truncates toward zero).  A
+    FLOAT becomes a DOUBLE by its decimal digits (4.023, not 4.0229997...), as
+    it would through a text file.
     """
     cols = []
+    types = {f.name: f.dataType for f in df.schema.fields}
     for src, _src_t, dst, dst_t in mapping:
-        cols.append(F.col(f"`{src}`").try_cast(_SQL_TYPES[dst_t]).alias(dst))
+        c = F.col(f"`{src}`")
+        if isinstance(types[src], T.FloatType) and dst_t == "double":
+            c = c.cast("string")
+        cols.append(c.try_cast(_SQL_TYPES[dst_t]).alias(dst))
     cols += [F.col(f"`{c}`") for c in passthrough if c in df.columns]
     return df.select(*cols)
 
@@ -66,16 +72,19 @@ def apply_mapping(df: DataFrame, mapping: Iterable[tuple[str, str, str, str]],
 def fact_mapping(df: DataFrame, keep_fare_cents: bool = False,
                  passthrough: Sequence[str] = ()) -> DataFrame:
     """First mapping (transform output types).  The fare is cut to whole
-    units as in the source; `keep_fare_cents=True` keeps it as double."""
-    mapping = list(FACT_MAPPING)
+    units as in the source; `keep_fare_cents=True` keeps it as double.  A
+    frame without trip_id (the measures alone) is mapped without it."""
+    mapping = [m for m in FACT_MAPPING if m[0] != "trip_id" or "trip_id" in df.columns]
     if keep_fare_cents:
         mapping = [(s, st, d, "double" if d == "fare_amount" else dt) for s, st, d, dt in mapping]
     return apply_mapping(df, mapping, passthrough)
 
 
-def load_mapping(df: DataFrame) -> DataFrame:
-    """Second mapping (zone types -> warehouse types)."""
-    return apply_mapping(df, LOAD_MAPPING)
+def load_mapping(df: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
+    """Second mapping (zone types -> warehouse types); without trip_id if the
+    frame has none."""
+    mapping = [m for m in LOAD_MAPPING if m[0] != "trip_id" or "trip_id" in df.columns]
+    return apply_mapping(df, mapping, passthrough)
 
 
 # ---------------------------------------------------------------------------
@@ -98,6 +107,11 @@ def _leaves(schema: T.StructType, prefix: str = "", in_array: bool = False):
             yield path, dt, in_array
 
 
+def _strip(v):
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(v, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def _in_set(value, values: list, dtype) -> F.Column:
     """`value` (already trimmed for strings) is one of `values`; None in the
     set matches NULL."""
@@ -158,9 +172,9 @@ def _agg_for(df, path, dtype, in_array, null_strings, null_numbers):
     parts = path.split(".")
     if not in_array:
         v = F.col(".".join(f"`{p}`" for p in parts))
-        return F.bool_and(_in_set(F.trim(v) if is_string else v, values, dtype))
+        return F.bool_and(_in_set(_strip(v) if is_string else v, values, dtype))
     # Inside an array of structs: walk to the first array, then test every
-    # element's field with forall (a NULL/empty array adds no values).
+    # element's field with forall.
     schema = df.schema
     outer = []
     for i, p in enumerate(parts):
@@ -169,7 +183,8 @@ def _agg_for(df, path, dtype, in_array, null_strings, null_numbers):
         if isinstance(f.dataType, T.ArrayType):
             arr = F.col(".".join(f"`{x}`" for x in outer))
             elem_test = _element_test(parts[i + 1:], is_string, values, dtype)
-            return F.bool_and(F.coalesce(F.forall(arr, elem_test), F.lit(True)))
+            # A NULL array is one NULL value; an empty one has no values.
+            return F.bool_and(F.coalesce(F.forall(arr, elem_test), F.lit(None in values)))
         schema = f.dataType
     raise ValueError(path)
 
@@ -179,7 +194,7 @@ def _element_test(inner, is_string, values, dtype):
         v = e
         for q in inner:
             v = v.getField(q)
-        return _in_set(F.trim(v) if is_string else v, values, dtype)
+        return _in_set(_strip(v) if is_string else v, values, dtype)
     return test
 
 

@@ -1,8 +1,8 @@
 """Dimensions of the star schema.
 
-Each dimension has a proven size bound (calendar days, 86,400 seconds,
-a handful of codes, the location list), which is what makes broadcasting
-them to every fact join safe at any fact size.
+Each is small by nature (calendar days, 86,400 seconds, a handful of codes,
+the location list).  Joins carry no broadcast hint: the planner broadcasts a
+dimension by its size in bytes, and AQE by the size it turns out to have.
 """
 
 from __future__ import annotations
@@ -18,23 +18,6 @@ from ..schema import (CALENDAR_END, CALENDAR_START, HOLIDAY_DATE_IDS,
                       PAYMENT_TYPE_NAMES, RATE_CODE_NAMES, VENDORS)
 
 SECONDS_PER_DAY = 86_400
-# Largest dimension broadcast to every task; above it, joins fall back to
-# the planner's choice (shuffle joins).
-DIM_BROADCAST_MAX_ROWS = 2_000_000
-# Calendars longer than this are refused as broadcast dimensions.
-MAX_CALENDAR_DAYS = 200 * 366
-
-
-def broadcast_bounded(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the dimension's size: a
-    `limit(max_rows + 1).count()` that stops early, memoized per plan
-    (`semanticHash`) so a query checks each dimension once.  A dimension
-    over the limit is returned unhinted and joins by shuffle instead."""
-    from ..plans.memo import memo
-    spark = dim.sparkSession
-    ok = memo(spark, ("bounded", dim.semanticHash(), max_rows),
-              lambda: dim.limit(max_rows + 1).count() <= max_rows)
-    return F.broadcast(dim) if ok else dim
 
 
 def dim_times(spark: SparkSession) -> DataFrame:
@@ -54,8 +37,8 @@ def dim_dates(spark: SparkSession, start: _dt.date = CALENDAR_START,
     """Daily calendar; date_id = position from `start`; is_holiday = date_id
     in `holidays`."""
     days = (end - start).days + 1
-    if days <= 0 or days > MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {days} days is outside 1..{MAX_CALENDAR_DAYS}")
+    if days <= 0:
+        raise ValueError(f"calendar ends before it starts: {start} .. {end}")
     r = spark.range(days, numPartitions=1)
     d = F.date_add(F.lit(start), F.col("id").cast("int"))
     return r.select(
@@ -69,16 +52,22 @@ def dim_dates(spark: SparkSession, start: _dt.date = CALENDAR_START,
     )
 
 
+def _code_table(spark: SparkSession, rows: Sequence[tuple[int, str]], key: str, name: str) -> DataFrame:
+    """Literal rows as a local relation, whose size the planner knows."""
+    items = F.array(*(F.struct(F.lit(k).cast("int").alias(key), F.lit(v).alias(name)) for k, v in rows))
+    return spark.range(1, numPartitions=1).select(F.inline(items))
+
+
 def dim_vendors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VENDORS, "vendor_id int, vendor_name string")
+    return _code_table(spark, VENDORS, "vendor_id", "vendor_name")
 
 
 def dim_rate_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_CODE_NAMES, "rate_code_id int, rate_code_name string")
+    return _code_table(spark, RATE_CODE_NAMES, "rate_code_id", "rate_code_name")
 
 
 def dim_payment_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPE_NAMES, "payment_type_id int, payment_type_name string")
+    return _code_table(spark, PAYMENT_TYPE_NAMES, "payment_type_id", "payment_type_name")
 
 
 def dim_locations_from(nation: DataFrame, region: DataFrame) -> DataFrame:

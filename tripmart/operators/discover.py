@@ -8,6 +8,8 @@ per anchor, duplicates kept); periods and zone keys are string functions;
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,16 +19,32 @@ from ..schema import PERIOD_PATTERN, SOURCE_LINK_PATTERN
 
 _COMMENT = r"(?s)<!--.*?-->"
 _RAW_TEXT = r"(?is)<(script|style)\b.*?</(script|style)\s*>"
-_ANCHOR_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# A whole anchor tag: quoted values may hold '>'.
+_ANCHOR = r"""(?i)<a(?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*)>"""
+# The value of its first attribute named href, after any other whole attributes.
+_HREF = r"""(?i)^<a(?:[\s/]+[^\s/>=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*?[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 
 
 def decode_entities(s: Column) -> Column:
-    """The five predefined HTML entities; `&amp;` last so it cannot create a
-    new entity."""
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&amp;", "&")):
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+    """Numeric character references, and named ones of HTML 4 and `&apos;`;
+    each once, so that a decoded `&` starts no new one.  Others stay."""
+    names = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'"}
+    named = F.create_map(*(F.lit(x) for kv in sorted(names.items()) for x in kv))
+
+    def decoded(part: Column) -> Column:
+        ref = F.regexp_extract(part, _REFERENCE, 1)
+        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 10), 16, 10)) \
+            .when(ref.startswith("#"), F.substring(ref, 2, 10)).cast("long")
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        text = F.coalesce(char, F.try_element_at(named, ref))
+        return F.when(text.isNotNull(), F.concat(text, F.substring(part, F.length(ref) + 2, F.length(part)))) \
+            .otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(s, "&", -1)
+    rest = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
+    return F.when(s.contains("&"), F.concat(parts[0], F.array_join(rest, ""))).otherwise(s)
 
 
 def _unquote(v: Column) -> Column:
@@ -39,8 +57,9 @@ def links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") ->
     script/style blocks; double-, single- and un-quoted values."""
     body = F.regexp_replace(F.col(html_col), _COMMENT, " ")
     body = F.regexp_replace(body, _RAW_TEXT, " ")
-    hrefs = F.regexp_extract_all(body, F.lit(_ANCHOR_HREF), F.lit(1))
-    x = pages.select(F.col(id_col), F.explode(hrefs).alias("_v"))
+    tags = F.regexp_extract_all(body, F.lit(_ANCHOR), F.lit(0))
+    x = pages.select(F.col(id_col), F.explode(tags).alias("_tag"))
+    x = x.select(F.col(id_col), F.regexp_extract("_tag", _HREF, 1).alias("_v")).where(F.col("_v") != "")
     return x.select(F.col(id_col), decode_entities(_unquote(F.col("_v"))).alias("href"))
 
 
@@ -101,10 +120,12 @@ def keys_by_offset(keys: DataFrame, key_col: str = "key") -> DataFrame:
                        key_period(k).alias("period"))
 
 
-def new_sources(listing: DataFrame, existing_keys: DataFrame) -> DataFrame:
-    """Listed URLs whose period has no file in the raw zone yet."""
+def new_sources(listing: DataFrame, existing_keys: DataFrame, on_missing: str = "error") -> DataFrame:
+    """Listed URLs whose period has no file in the raw zone yet.  A URL
+    without a period fails the job; with on_missing="drop" it is left out
+    (`quarantine` lists those)."""
     have = keys_by_offset(existing_keys).select("period").distinct()
-    return with_period(listing).join(have, "period", "left_anti")
+    return with_period(listing, on_missing=on_missing).join(have, "period", "left_anti")
 
 
 def _partition_value(c: str) -> Column:

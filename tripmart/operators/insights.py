@@ -8,18 +8,15 @@ Shares and top-k are computed on the aggregated rows only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dims import broadcast_bounded
-
 
 def demand_heatmap(fact: DataFrame, dim_dates: DataFrame, dim_times: DataFrame) -> DataFrame:
     """Trips by pickup weekday (0 = Monday) x pickup hour.  Weekday is NULL
     for trips whose date id has no calendar row."""
-    dd = broadcast_bounded(dim_dates.select(F.col("date_id").alias("pickup_date_id"), "weekday"))
-    dt = broadcast_bounded(dim_times.select(F.col("time_id").alias("pickup_time_id"),
-                                            F.col("hour").alias("pickup_hour")))
+    dd = dim_dates.select(F.col("date_id").alias("pickup_date_id"), "weekday")
+    dt = dim_times.select(F.col("time_id").alias("pickup_time_id"), F.col("hour").alias("pickup_hour"))
     return (fact.select("pickup_date_id", "pickup_time_id")
             .join(dd, "pickup_date_id", "left")
             .join(dt, "pickup_time_id", "left")
@@ -46,12 +43,13 @@ def borough_pairs_topk(labelled: DataFrame, k: int = 10) -> DataFrame:
 
 
 def payment_share(labelled: DataFrame, decimals: int = 6) -> DataFrame:
-    """Trips and share of trips per payment type name.  The total is a
-    window over the (at most a few) aggregated rows, not over trips."""
-    agg = labelled.groupBy("payment_type_name").agg(F.count(F.lit(1)).alias("trips"))
-    total = F.sum("trips").over(Window.partitionBy())
-    return agg.select("payment_type_name", "trips",
-                      F.round(F.col("trips") / total, decimals).alias("share"))
+    """Trips and share of trips per payment type name.  The total is summed up
+    from the (at most a few) aggregated rows and joined to them."""
+    agg = labelled.groupBy("payment_type_name").agg(F.count(F.lit(1)).alias("trips")) \
+        .withColumn("_all", F.lit(1))
+    total = agg.groupBy("_all").agg(F.sum("trips").alias("_total"))
+    return agg.join(total, "_all").select(
+        "payment_type_name", "trips", F.round(F.col("trips") / F.col("_total"), decimals).alias("share"))
 
 
 def avg_total_by_passengers(fact: DataFrame, decimals: int = 4) -> DataFrame:

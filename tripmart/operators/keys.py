@@ -1,21 +1,24 @@
 """Deterministic trip keys.
 
 trip_id = uuid5(DNS, canonical_name(row) + '-' + occurrence), where
-occurrence numbers the rows sharing one canonical name 1..n.  Identical
-rows are interchangeable, so the multiset of ids depends only on the data:
-the same on every rerun, under any partitioning, after task retries.
+occurrence numbers the rows sharing one canonical name 1..n.  The name starts
+with the storage (year, month) of the row where it has one: a month is always
+processed in full, so its ids do not depend on which other months share the
+run.  Identical rows are interchangeable, so the multiset of ids depends only
+on the data: the same on every rerun, under any partitioning, after retries.
 
 Scale: a naive `row_number() OVER (PARTITION BY name)` sends a group of
 copies to one task; if one trip is copied into a third of the data, that
 task gets a third of the data.  Here each row also carries a salt taken
-from its source position (`_src_pos`), so a name group is split into
-`salt_buckets` sub-groups:
+from its source position (`_src_pos`, or a running number of the rows where a
+frame has no position), so a name group is split into `salt_buckets`
+sub-groups:
 
   1. ONE shuffle of the rows by (name hash, salt); `row_number` inside the
-     sub-group gives the local index (window reuses that partitioning);
-  2. per (name hash, salt) counts — a narrow branch (3 columns, partially
-     aggregated before its shuffle) that re-reads the input;
-  3. a narrow running sum over the salts of each name gives the sub-group's
+     sub-group gives the local index, and the last row's index its size;
+  2. the sizes come from the same shuffled rows (the branch needs the same
+     columns, so Spark reuses the exchange and the input is read once);
+  3. a running sum over the salts of each name gives the sub-group's
      offset (at most `salt_buckets` rows per name, whatever the skew);
   4. offsets join back on (name hash, salt), big side already partitioned.
 
@@ -46,6 +49,9 @@ KEY_COLUMNS = [
     "total_amount", "congestion_surcharge", "airport_fee_amount",
 ]
 
+# Storage partition of a row; part of the name where the frame has it.
+STORAGE_COLUMNS = ("year", "month")
+
 DEFAULT_SALT_BUCKETS = 1024
 
 
@@ -53,11 +59,12 @@ def canonical_text(col: Column, dtype: T.DataType) -> Column:
     """Engine-independent text of one value; NULL -> 'None'.
 
     Floating values are written as integer thousandths (doubles print
-    differently across engines: '1.0E16' vs '1e+16'); timestamps as
+    differently across engines: '1.0E16' vs '1e+16'), those beyond the BIGINT
+    range as their shortest text; timestamps as
     'yyyy-MM-dd HH:mm:ss'; booleans 'true'/'false'.
     """
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        txt = thousandths(col).cast("string")
+        txt = F.coalesce(thousandths(col).cast("string"), col.cast("string"))
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         txt = format_ntz(col)
     else:
@@ -84,53 +91,29 @@ def with_trip_id(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS,
                  salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Add `id_col`; drops `position` from the output."""
     has_pos = position is not None and position in df.columns
-    pos = F.col(position) if has_pos else F.lit(0).cast("bigint")
-    # Only the name's two hashes cross the shuffle; the ~150-byte name itself
-    # is rebuilt from the columns after it (in parallel tasks), which keeps
-    # the shuffled bytes per row close to the row's own size.
-    name = canonical_name(df, columns)
-    x = df.select(
-        "*",
-        F.xxhash64(name).alias("_k_h1"),
-        F.hash(name).alias("_k_h2"),
-        F.pmod(pos, F.lit(salt_buckets)).cast("int").alias("_k_salt") if has_pos
-        else F.lit(0).alias("_k_salt"),
-    )
+    names = [*[c for c in STORAGE_COLUMNS if c in df.columns], *columns]
+    rest = [c for c in df.columns if c != position]
+    pos = F.coalesce(F.col(position), F.lit(0).cast("bigint")) if has_pos else F.monotonically_increasing_id()
+    name = canonical_name(df, names)
+    x = df.select(*[F.col(f"`{c}`") for c in rest], pos.alias("_k_pos"),
+                  F.xxhash64(name).alias("_k_h1"), F.hash(name).alias("_k_h2"),
+                  # (never NULL, or the join below would filter one branch and not the other)
+                  F.coalesce(F.pmod(pos, F.lit(salt_buckets)).cast("int"), F.lit(0)).alias("_k_salt"))
     sub = ["_k_h1", "_k_h2", "_k_salt"]
-    # (2) sub-group sizes, counted on the rows BEFORE the window so column
-    # pruning narrows this branch to the three key columns; with partial
-    # aggregation a map task sends one small row per sub-group it holds.  It
-    # re-reads the input; the full rows are shuffled once, below.
-    counts = x.groupBy(*sub).agg(F.count(F.lit(1)).alias("_k_n"))
-    # (1) local index inside the (name, salt) sub-group.  Ordered by the
-    # position, so even rows that share a name but differ in a sub-cent value
-    # get a deterministic number.
-    order = [pos.asc(), *[F.col(c).asc_nulls_first() for c in columns]] if has_pos else \
-        [F.col(c).asc_nulls_first() for c in columns]
-    x = x.withColumn("_k_local", F.row_number().over(Window.partitionBy(*sub).orderBy(*order)))
-    # (3) offset of each sub-group = sizes of the lower salts of its name.
+    # Ordered by the position, so that rows that share a name but differ in a
+    # sub-cent value get a deterministic number, and by every column, so that
+    # both branches below ask for the same exchange.
+    order = [F.col("_k_pos") if has_pos else F.lit(0), *[F.col(f"`{c}`").asc_nulls_first() for c in rest],
+             F.col("_k_pos")]
+    w = Window.partitionBy(*sub).orderBy(*order)
+    x = x.withColumns({"_k_local": F.row_number().over(w), "_k_next": F.lead(F.lit(1)).over(w)})
+    sizes = x.where(F.col("_k_next").isNull()).select(*sub, F.col("_k_local").cast("bigint").alias("_k_n"))
     w_name = (Window.partitionBy("_k_h1", "_k_h2").orderBy("_k_salt")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*sub, F.coalesce(F.sum("_k_n").over(w_name), F.lit(0))
-                            .alias("_k_off"))
-    # (4) join back; the big side keeps its (h1, h2, salt) partitioning.
+    offsets = sizes.select(*sub, F.coalesce(F.sum("_k_n").over(w_name), F.lit(0)).alias("_k_off"))
     y = x.join(offsets, on=sub, how="inner")
     occurrence = (F.col("_k_off") + F.col("_k_local")).cast("string")
-    out_cols = [c for c in df.columns if c != position]
     return y.select(
-        uuid5(F.concat_ws("-", canonical_name(df, columns), occurrence)).alias(id_col),
-        *[F.col(f"`{c}`") for c in out_cols],
-    )
-
-
-def with_trip_id_unsalted(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS,
-                          id_col: str = "trip_id") -> DataFrame:
-    """Reference form: one window over the name (a hot group of copies
-    lands in one task).  Kept for tests and the bench comparison."""
-    name = canonical_name(df, columns)
-    w = Window.partitionBy("_k_name").orderBy(*[F.col(c).asc_nulls_first() for c in columns])
-    x = df.withColumn("_k_name", name).withColumn("_k_occ", F.row_number().over(w))
-    return x.select(
-        uuid5(F.concat_ws("-", "_k_name", F.col("_k_occ").cast("string"))).alias(id_col),
-        *[c for c in df.columns if c != "_src_pos"],
+        uuid5(F.concat_ws("-", canonical_name(df, names), occurrence)).alias(id_col),
+        *[F.col(f"`{c}`") for c in rest],
     )

@@ -1,9 +1,8 @@
 """Fact-to-dimension joins (the reporting view and a fully labelled mart).
 
-Every dimension is joined with a broadcast hint after its size is checked
-(`broadcast_bounded`), so the fact is never shuffled for these joins and the
-whole view runs as one map-side stage; an oversized dimension falls back to
-a shuffle join.  Left joins keep fact rows whose key
+Dimensions this small are broadcast by the planner, so the fact is never
+shuffled for these joins and the whole view runs as one map-side stage; one
+over the broadcast threshold is joined by shuffle.  Left joins keep fact rows whose key
 has no dimension row (e.g. date_id 365 of a leap year).
 """
 
@@ -12,14 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dims import broadcast_bounded
-
 
 def _role(dim: DataFrame, key: str, role_key: str, cols: dict[str, str]) -> DataFrame:
     """Role-playing copy of a dimension: key renamed to `role_key`, selected
     columns renamed per `cols` (dim column -> output name)."""
-    return broadcast_bounded(dim.select(F.col(key).alias(role_key),
-                                        *[F.col(c).alias(o) for c, o in cols.items()]))
+    return dim.select(F.col(key).alias(role_key), *[F.col(c).alias(o) for c, o in cols.items()])
 
 
 def trips_datetime(fact: DataFrame, dim_dates: DataFrame, dim_times: DataFrame) -> DataFrame:
@@ -49,7 +45,8 @@ def trips_datetime(fact: DataFrame, dim_dates: DataFrame, dim_times: DataFrame)
 
 def trips_labelled(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact with every code resolved to its label: pickup date/weekday/hour,
-    borough and zone at both ends, vendor, rate code and payment names."""
+    borough and zone at both ends, vendor, rate code and payment names (without
+    trip_id if the fact has none)."""
     d = dims
     j = (fact
          .join(_role(d["dim_dates"], "date_id", "pickup_date_id",
@@ -67,7 +64,7 @@ def trips_labelled(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
          .join(_role(d["dim_payment_types"], "payment_type_id", "payment_type_id",
                      {"payment_type_name": "payment_type_name"}), "payment_type_id", "left"))
     return j.select(
-        "trip_id", "pickup_date", "pickup_weekday", "pickup_hour",
+        *[c for c in ["trip_id"] if c in fact.columns], "pickup_date", "pickup_weekday", "pickup_hour",
         "pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone",
         "vendor_name", "rate_code_name", "payment_type_name",
         "passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount",

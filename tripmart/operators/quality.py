@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import FOREIGN_KEYS, PRIMARY_KEYS
-from .dims import broadcast_bounded
 
 
 def pk_report(tables: dict[str, DataFrame],
@@ -45,13 +44,12 @@ def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame],
                fks: Sequence[tuple[str, str, str]] = FOREIGN_KEYS) -> DataFrame:
     """Per foreign key: non-NULL fact keys with no dimension row.
 
-    One scan of the fact: each dimension's distinct keys are broadcast
-    (after a size check) and left-joined with a marker column, then a single
-    aggregate counts the misses of all keys at once."""
+    One scan of the fact: each dimension's distinct keys are left-joined with
+    a marker column, then a single aggregate counts the misses of all keys at
+    once."""
     x = fact.select(*sorted({c for c, _, _ in fks}))
     for i, (col, dim, key) in enumerate(fks):
-        keys = broadcast_bounded(dims[dim].select(F.col(key).alias(col)).distinct()
-                                 .withColumn(f"_hit{i}", F.lit(True)))
+        keys = dims[dim].select(F.col(key).alias(col)).distinct().withColumn(f"_hit{i}", F.lit(True))
         x = x.join(keys, col, "left")
     aggs = []
     for i, (col, _, _) in enumerate(fks):

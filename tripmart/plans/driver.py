@@ -21,14 +21,9 @@ def driver_raw(spark: SparkSession, sf_dir: str, with_position: bool = True) ->
                 lambda: raw_trips(spark, sf_dir, with_position=with_position))
 
 
-def driver_stages(spark: SparkSession, sf_dir: str, mode: str = "as_written",
-                  salted: bool = True) -> dict[str, DataFrame]:
-    return memo(spark, ("stages", sf_dir, mode, salted),
-                lambda: stages(driver_raw(spark, sf_dir), DRIVER_WINDOW, mode, salted=salted))
-
-
-def driver_fact(spark: SparkSession, sf_dir: str, mode: str = "as_written") -> DataFrame:
-    return driver_stages(spark, sf_dir, mode)["fact"]
+def driver_stages(spark: SparkSession, sf_dir: str, mode: str = "as_written") -> dict[str, DataFrame]:
+    return memo(spark, ("stages", sf_dir, mode),
+                lambda: stages(driver_raw(spark, sf_dir), DRIVER_WINDOW, mode))
 
 
 def driver_locations(spark: SparkSession, sf_dir: str) -> DataFrame:

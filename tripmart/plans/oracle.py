@@ -109,10 +109,10 @@ def mapping_select(mapping) -> str:
     return ", ".join(out)
 
 
-def fact_ctes(mode: str = "as_written", window=DRIVER_WINDOW) -> str:
-    """raw, cleaned, renamed, conformed, timed, keyed, dropped, fact."""
+def fact_ctes(mode: str = "as_written", window=DRIVER_WINDOW, copies: int = 1) -> str:
+    """raw (each trip so many times), cleaned, renamed, conformed, timed, keyed, dropped, fact."""
     return f"""
-raw AS ({RAW_TRIPS_SQL}),
+raw AS ({" UNION ALL ".join([RAW_TRIPS_SQL] * copies)}),
 cleaned AS (SELECT * FROM raw WHERE {clean_sql(mode, window)}),
 renamed AS (SELECT {renamed_select()} FROM cleaned),
 conformed AS (SELECT {conformed_select()} FROM renamed),
@@ -185,8 +185,8 @@ dim_payment_types AS ({values(PAYMENT_TYPE_NAMES, 'payment_type_id', 'payment_ty
 """
 
 
-def with_fact(select: str, mode: str = "as_written", dims: bool = False) -> str:
-    ctes = fact_ctes(mode)
+def with_fact(select: str, mode: str = "as_written", dims: bool = False, copies: int = 1) -> str:
+    ctes = fact_ctes(mode, copies=copies)
     if dims:
         ctes += "," + dims_ctes()
     return f"WITH {ctes}\n{select}"

@@ -23,12 +23,13 @@ from ..operators.conform import (conform_codes, load_mapping, null_column_report
 from ..operators.keys import KEY_COLUMNS
 from ..operators.marts import trips_datetime, trips_labelled
 from ..schema import DRIVER_WINDOW, FOREIGN_KEYS, LOAD_MAPPING, RAW_NAMES
-from ..sources.adapter import table
+from ..sources.adapter import POSITION_COLUMN, table
 from ..sources.raw import normalise
 from ..sources.zones import through_text
 from . import oracle as O
 from .driver import driver_dims, driver_raw, driver_stages
 from .memo import memo
+from .transform import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,10 +50,17 @@ _RAW = f"WITH raw AS ({O.RAW_TRIPS_SQL})\n"
 
 
 def warehouse_fact(spark, sf) -> DataFrame:
-    """The fact as the warehouse holds it: mapped, through the text zone,
-    loaded with the second mapping (amounts are 2-decimal doubles again)."""
+    """The fact as the warehouse holds it: mapped, then loaded with the second
+    mapping (amounts are 2-decimal doubles again)."""
     return memo(spark, ("warehouse_fact", sf),
-                lambda: load_mapping(through_text(driver_stages(spark, sf)["fact"])))
+                lambda: load_mapping(driver_stages(spark, sf)["fact"]))
+
+
+def warehouse_measures(spark, sf) -> DataFrame:
+    """The warehouse fact without trip_id, for whatever does not ask for the
+    ids: no key step, so no shuffle of the trips."""
+    return memo(spark, ("warehouse_measures", sf),
+                lambda: load_mapping(driver_stages(spark, sf)["measures"]))
 
 
 # =================================================================== A. scans
@@ -198,6 +206,14 @@ def q_trip_keys(spark, sf):
     return driver_stages(spark, sf)["keyed"].select("trip_id", *KEY_COLUMNS)
 
 
+@register("trip_keys_repeated", O.with_fact(f"SELECT trip_id, {', '.join(KEY_COLUMNS)} FROM keyed", copies=2))
+def q_trip_keys_repeated(spark, sf):
+    """Ids where every trip occurs twice: occurrence numbers go beyond 1."""
+    raw = driver_raw(spark, sf)
+    again = raw.withColumn(POSITION_COLUMN, F.xxhash64(POSITION_COLUMN, F.lit(1)))
+    return stages(raw.unionByName(again), DRIVER_WINDOW)["keyed"].select("trip_id", *KEY_COLUMNS)
+
+
 @register("drop_by_pattern", O.with_fact("SELECT * FROM dropped"))
 def q_drop_by_pattern(spark, sf):
     return driver_stages(spark, sf)["dropped"]
@@ -210,7 +226,7 @@ def q_fact_mapped(spark, sf):
 
 @register("fact_loaded", O.with_fact("SELECT * FROM loaded"))
 def q_fact_loaded(spark, sf):
-    return warehouse_fact(spark, sf)
+    return load_mapping(through_text(driver_stages(spark, sf)["fact"]))
 
 
 def _null_report_sql() -> str:
@@ -239,31 +255,33 @@ def q_drop_null_columns(spark, sf):
 # =================================================================== F. dimensions (by use)
 
 @register("trips_by_date", O.with_fact("""
-SELECT d.date_id, d.date, d.year, d.month, d.day, d.weekday, d.is_holiday,
-       coalesce(c.pickups, 0) AS pickups
+SELECT coalesce(d.date_id, c.pickup_date_id) AS date_id, d.date, d.year, d.month, d.day, d.weekday,
+       d.is_holiday, coalesce(c.pickups, 0) AS pickups
 FROM dim_dates d
-LEFT JOIN (SELECT pickup_date_id, count(*) AS pickups FROM loaded GROUP BY 1) c
+FULL OUTER JOIN (SELECT pickup_date_id, count(*) AS pickups FROM loaded GROUP BY 1) c
   ON c.pickup_date_id = d.date_id""", dims=True))
 def q_trips_by_date(spark, sf):
-    """The date dimension with pickups per day (every calendar row)."""
+    """The date dimension with pickups per day: every calendar row, and every
+    pickup date without one."""
     dd = driver_dims(spark, sf)["dim_dates"]
-    c = warehouse_fact(spark, sf).groupBy(F.col("pickup_date_id").alias("date_id")) \
+    c = warehouse_measures(spark, sf).groupBy(F.col("pickup_date_id").alias("date_id")) \
         .agg(F.count(F.lit(1)).alias("pickups"))
-    return dd.join(c, "date_id", "left").select(
+    return dd.join(c, "date_id", "full_outer").select(
         *dd.columns, F.coalesce("pickups", F.lit(0)).alias("pickups"))
 
 
 @register("pickups_by_time", O.with_fact("""
-SELECT t.time_id, t.hour, t.minute, t.second, coalesce(c.pickups, 0) AS pickups
+SELECT coalesce(t.time_id, c.pickup_time_id) AS time_id, t.hour, t.minute, t.second,
+       coalesce(c.pickups, 0) AS pickups
 FROM dim_times t
-LEFT JOIN (SELECT pickup_time_id, count(*) AS pickups FROM loaded GROUP BY 1) c
+FULL OUTER JOIN (SELECT pickup_time_id, count(*) AS pickups FROM loaded GROUP BY 1) c
   ON c.pickup_time_id = t.time_id""", dims=True))
 def q_pickups_by_time(spark, sf):
     """The time dimension with pickups per second of the day."""
     dt = driver_dims(spark, sf)["dim_times"]
-    c = warehouse_fact(spark, sf).groupBy(F.col("pickup_time_id").alias("time_id")) \
+    c = warehouse_measures(spark, sf).groupBy(F.col("pickup_time_id").alias("time_id")) \
         .agg(F.count(F.lit(1)).alias("pickups"))
-    return dt.join(c, "time_id", "left").select(
+    return dt.join(c, "time_id", "full_outer").select(
         *dt.columns, F.coalesce("pickups", F.lit(0)).alias("pickups"))
 
 
@@ -283,7 +301,7 @@ def q_trips_by_code(spark, sf):
     The fact is aggregated ONCE to (vendor, rate, payment) combinations (at
     most a few hundred rows); each dimension's counts come from that shared
     aggregate, so the fact pipeline runs once, not once per dimension."""
-    fact, dims = warehouse_fact(spark, sf), driver_dims(spark, sf)
+    fact, dims = warehouse_measures(spark, sf), driver_dims(spark, sf)
     combos = fact.groupBy(*[key for _, _, key, _ in _CODE_DIMS]) \
         .agg(F.count(F.lit(1)).alias("n"))
     out = None
@@ -298,22 +316,25 @@ def q_trips_by_code(spark, sf):
 
 
 @register("trips_by_location", O.with_fact("""
-SELECT l.location_id, l.borough, l.zone, coalesce(p.n, 0) AS pickups, coalesce(d.n, 0) AS dropoffs
+SELECT coalesce(l.location_id, c.k) AS location_id, l.borough, l.zone,
+       CAST(coalesce(c.p, 0) AS BIGINT) AS pickups, CAST(coalesce(c.d, 0) AS BIGINT) AS dropoffs
 FROM dim_locations l
-LEFT JOIN (SELECT pickup_location_id AS k, count(*) AS n FROM loaded GROUP BY 1) p ON p.k = l.location_id
-LEFT JOIN (SELECT dropoff_location_id AS k, count(*) AS n FROM loaded GROUP BY 1) d ON d.k = l.location_id
+FULL OUTER JOIN (SELECT k, sum(p) AS p, sum(d) AS d FROM (
+  SELECT pickup_location_id AS k, 1 AS p, 0 AS d FROM loaded
+  UNION ALL SELECT dropoff_location_id, 0, 1 FROM loaded) GROUP BY k) c ON c.k = l.location_id
 """, dims=True))
 def q_trips_by_location(spark, sf):
-    """The location dimension with pickups and dropoffs per location (the
-    fact is aggregated once to location pairs, then to each end)."""
-    fact, loc = warehouse_fact(spark, sf), driver_dims(spark, sf)["dim_locations"]
+    """The location dimension with pickups and dropoffs per location, and
+    locations without a row in it (the fact is aggregated once to location
+    pairs, then to each end)."""
+    fact, loc = warehouse_measures(spark, sf), driver_dims(spark, sf)["dim_locations"]
     pairs = fact.groupBy("pickup_location_id", "dropoff_location_id") \
         .agg(F.count(F.lit(1)).alias("n"))
-    p = pairs.groupBy(F.col("pickup_location_id").alias("location_id")) \
-        .agg(F.sum("n").alias("pickups"))
-    d = pairs.groupBy(F.col("dropoff_location_id").alias("location_id")) \
-        .agg(F.sum("n").alias("dropoffs"))
-    return (loc.join(p, "location_id", "left").join(d, "location_id", "left")
+    ends = F.array(F.struct(F.col("pickup_location_id").alias("location_id"), F.col("n").alias("p"), F.lit(0).cast("bigint").alias("d")),
+                   F.struct(F.col("dropoff_location_id").alias("location_id"), F.lit(0).cast("bigint").alias("p"), F.col("n").alias("d")))
+    c = pairs.select(F.inline(ends)).groupBy("location_id") \
+        .agg(F.sum("p").alias("pickups"), F.sum("d").alias("dropoffs"))
+    return (loc.join(c, "location_id", "full_outer")
             .select("location_id", "borough", "zone",
                     F.coalesce("pickups", F.lit(0)).alias("pickups"),
                     F.coalesce("dropoffs", F.lit(0)).alias("dropoffs")))
@@ -347,7 +368,7 @@ SELECT '{c}' AS fk_column, '{d}' AS dimension,
 FROM loaded f LEFT JOIN (SELECT DISTINCT {dk} AS key FROM {d}) k ON k.key = f.{c}"""
     for c, d, dk in FOREIGN_KEYS), dims=True))
 def q_fk_orphans(spark, sf):
-    return Q.fk_orphans(warehouse_fact(spark, sf), driver_dims(spark, sf))
+    return Q.fk_orphans(warehouse_measures(spark, sf), driver_dims(spark, sf))
 
 
 # =================================================================== H. marts
@@ -394,12 +415,13 @@ def _with_labelled(select: str) -> str:
 
 
 def _labelled(spark, sf) -> DataFrame:
-    return trips_labelled(warehouse_fact(spark, sf), driver_dims(spark, sf))
+    """The labelled mart without trip_id."""
+    return trips_labelled(warehouse_measures(spark, sf), driver_dims(spark, sf))
 
 
 @register("trips_labelled", _with_labelled("SELECT * FROM labelled"))
 def q_trips_labelled(spark, sf):
-    return _labelled(spark, sf)
+    return trips_labelled(warehouse_fact(spark, sf), driver_dims(spark, sf))
 
 
 # =================================================================== I. insights
@@ -415,7 +437,7 @@ GROUP BY 1, 2
 
 def _heatmap(spark, sf) -> DataFrame:
     dims = driver_dims(spark, sf)
-    return I.demand_heatmap(warehouse_fact(spark, sf), dims["dim_dates"], dims["dim_times"])
+    return I.demand_heatmap(warehouse_measures(spark, sf), dims["dim_dates"], dims["dim_times"])
 
 
 @register("demand_heatmap", O.with_fact(_HEATMAP_SQL, dims=True))
@@ -449,7 +471,7 @@ def q_payment_share(spark, sf):
 SELECT passenger_count, count(*) AS trips, round(avg(total_amount), 4) AS avg_total_amount
 FROM loaded GROUP BY 1"""))
 def q_avg_total_by_passengers(spark, sf):
-    return I.avg_total_by_passengers(warehouse_fact(spark, sf))
+    return I.avg_total_by_passengers(warehouse_measures(spark, sf))
 
 
 @register("passenger_premium", O.with_fact("""
@@ -459,7 +481,7 @@ SELECT round(avg(total_amount) FILTER (WHERE passenger_count = 4), 4) AS avg_tot
              - avg(total_amount) FILTER (WHERE passenger_count = 1), 4) AS premium
 FROM loaded WHERE passenger_count IN (4, 1)"""))
 def q_passenger_premium(spark, sf):
-    return I.passenger_premium(warehouse_fact(spark, sf))
+    return I.passenger_premium(warehouse_measures(spark, sf))
 
 
 # =================================================================== B. discovery
@@ -470,8 +492,9 @@ DRIVER_LINK_PATTERN = r"^/[A-Z]"
 _LINKS_SQL = r"""
 b AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
         '(?is)<(script|style)\b.*?</(script|style)\s*>', ' ', 'g') AS body FROM pages),
-v AS (SELECT page_id, unnest(regexp_extract_all(body,
-        '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)) AS v FROM b),
+t AS (SELECT page_id, unnest(regexp_extract_all(body, '(?i)<a(?:[\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*)>', 0)) AS t FROM b),
+v AS (SELECT page_id, regexp_extract(t, '(?i)^<a(?:[\s/]+[^\s/>=]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s>"'']+))?)*?[\s/]+href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1) AS v
+      FROM t WHERE v <> ''),
 links AS (SELECT page_id, replace(replace(replace(replace(replace(
         CASE WHEN left(v, 1) IN ('"', '''') THEN substr(v, 2, length(v) - 2) ELSE v END,
         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS href FROM v)
@@ -603,3 +626,29 @@ def q_load_audit(spark, sf):
     results = j.select("key", F.when(n > 0, "success").otherwise("failed").alias("status"),
                        n.alias("rows"))
     return D.audit(results)
+
+
+@register("load_audit_kept", f"""WITH {_LISTING_SQL}, {_UNPROCESSED_SQL}, {O.fact_ctes()},
+counts AS (SELECT year(tpep_pickup_datetime) AS y, month(tpep_pickup_datetime) AS m, count(*) AS n
+           FROM cleaned GROUP BY 1, 2),
+results AS (SELECT p.key, CASE WHEN coalesce(c.n, 0) > 0 THEN 'success' ELSE 'empty' END AS status,
+                   coalesce(c.n, 0) AS rows
+            FROM pending p LEFT JOIN counts c
+              ON c.y = CAST(p.year AS INTEGER) AND c.m = CAST(p.month AS INTEGER))
+SELECT status, list_sort(list(key)) AS partitions, count(*) AS n_partitions,
+       CAST(sum(rows) AS BIGINT) AS rows
+FROM results GROUP BY status""")
+def q_load_audit_kept(spark, sf):
+    """Outcome of cleaning the pending partitions: months of which no trip
+    survives are empty."""
+    pending = D.unprocessed(_raw_keys(spark, sf), _target_keys(spark, sf))
+    cleaned = driver_stages(spark, sf)["cleaned"]
+    counts = cleaned.groupBy(F.year("tpep_pickup_datetime").alias("y"),
+                             F.month("tpep_pickup_datetime").alias("m")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    j = pending.join(counts, (counts.y == pending.year.cast("int"))
+                     & (counts.m == pending.month.cast("int")), "left")
+    n = F.coalesce(F.col("n"), F.lit(0))
+    results = j.select("key", F.when(n > 0, "success").otherwise("empty").alias("status"),
+                       n.alias("rows"))
+    return D.audit(results)

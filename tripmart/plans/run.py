@@ -8,13 +8,15 @@ so a rerun of a month replaces it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.discover import audit, unprocessed
+from ..operators.discover import audit, unprocessed, zone_manifest
 from ..schema import DEFAULT_WINDOW
 from ..sources.raw import list_partitions, read_raw
-from ..sources.zones import write_zone
+from ..sources.zones import layout_for_write, missing_path, write_zone
+from .star import load_months, loaded_months
 from .transform import transform
 
 
@@ -24,8 +26,8 @@ def zone_keys(spark: SparkSession, root: str) -> DataFrame:
     root = root.rstrip("/")
     try:
         files = list_partitions(spark, root)
-    except Exception as e:  # only a missing folder means "nothing there yet"
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:  # only a missing folder means "nothing there yet"
+        if missing_path(e):
             return spark.createDataFrame([], "key string")
         raise
     return files.select(F.regexp_extract("path", r"((?:[^/]*=[^/]*/)+[^/]+)$", 1).alias("key"))
@@ -40,12 +42,26 @@ def pending_months(spark: SparkSession, raw_root: str, out_root: str) -> list[tu
 
 def process_months(spark: SparkSession, raw_root: str, out_root: str,
                    months: list[tuple[int, int]], window=DEFAULT_WINDOW,
-                   mode: str = "as_written", fmt: str = "parquet") -> None:
-    """Re-read the given months in full, transform, overwrite them."""
+                   mode: str = "as_written", fmt: str = "parquet") -> dict[tuple[int, int], int]:
+    """Re-read the given months in full, transform, overwrite them; returns the
+    rows written per month.
+
+    Rows are counted while they are written.  A month of which no row is left
+    gets a partition without rows, which replaces what it held before and
+    shows that the month is done."""
     if not months:
-        return
-    fact = transform(read_raw(spark, raw_root, months), window, mode)
-    write_zone(fact, out_root, fmt=fmt)
+        return {}
+    fact = layout_for_write(transform(read_raw(spark, raw_root, months), window, mode))
+    seen = Observation("rows per month")
+    counts = [F.count_if((F.col("year") == y) & (F.col("month") == m)).alias(f"{y}-{m}") for y, m in months]
+    write_zone(fact.observe(seen, *counts), out_root, fmt=fmt, layout=False)
+    rows = {(y, m): seen.get[f"{y}-{m}"] for y, m in months}
+    empty = fact.drop("year", "month").limit(0)
+    for (y, m), n in rows.items():
+        if not n:
+            write = empty.write.mode("overwrite").format(fmt)
+            (write.option("header", True) if fmt == "csv" else write).save(f"{out_root.rstrip('/')}/year={y}/month={m}")
+    return rows
 
 
 def run_pending(spark: SparkSession, raw_root: str, out_root: str, window=DEFAULT_WINDOW,
@@ -53,14 +69,19 @@ def run_pending(spark: SparkSession, raw_root: str, out_root: str, window=DEFAUL
     """Process every pending month; returns the audit summary
     (status, partitions, n_partitions, rows)."""
     months = pending_months(spark, raw_root, out_root)
-    process_months(spark, raw_root, out_root, months, window, mode, fmt)
-    if not months:
-        return audit(spark.createDataFrame([], "key string, status string, rows bigint"))
-    written = (spark.read.format(fmt).option("header", True).load(out_root)
-               .groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows")))
-    wanted = spark.createDataFrame(months, "year int, month int")
-    results = wanted.join(written, ["year", "month"], "left").select(
-        F.format_string("year=%04d/month=%02d", "year", "month").alias("key"),
-        F.when(F.col("rows") > 0, "success").otherwise("empty").alias("status"),
-        F.coalesce("rows", F.lit(0)).alias("rows"))
-    return audit(results)
+    rows = process_months(spark, raw_root, out_root, months, window, mode, fmt)
+    return audit(spark.createDataFrame(
+        [(f"year={y:04d}/month={m:02d}", "success" if n else "empty", n) for (y, m), n in sorted(rows.items())],
+        "key string, status string, rows bigint"))
+
+
+def load_pending(spark: SparkSession, zone_root: str, fmt: str = "parquet",
+                 database: str | None = None) -> list[tuple[int, int]]:
+    """The load stage as a run: every month of the transformed zone that
+    fact_trips does not have yet, through the second mapping; returns them.
+    (`run_load_incremental` also reloads months that were rewritten.)"""
+    keys = zone_manifest(zone_keys(spark, zone_root)).where("year is not null and month is not null")
+    have = {(int(r["year"]), int(r["month"])) for r in keys.select("year", "month").distinct().collect()}
+    months = sorted(have - loaded_months(spark, database))
+    load_months(spark, zone_root, months, fmt, database)
+    return months

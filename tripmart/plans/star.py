@@ -11,11 +11,16 @@ become one hot bucket.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.conform import load_mapping
 from ..schema import FACT_SCHEMA
-from ..sources.zones import append_table, layout_for_write
+from ..sources.zones import append_table, layout_for_write, read_text_zone
 
 DIM_SCHEMAS = {
     "dim_vendors": "vendor_id INT, vendor_name STRING",
@@ -46,14 +51,51 @@ def create_star_schema(spark: SparkSession, location: str, database: str | None
               f"LOCATION '{location}/fact_trips'")
 
 
-def load_star(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame],
-              database: str | None = None) -> None:
-    """Replace the dimensions; overwrite only the fact's (year, month)
-    partitions present in `fact` (a rerun replaces, never appends twice)."""
+def load_dims(spark: SparkSession, dims: dict[str, DataFrame], database: str | None = None) -> None:
+    """Replace the dimension tables."""
     prefix = f"{database}." if database else ""
     for name, df in dims.items():
         cols = [c.split()[0] for c in DIM_SCHEMAS[name].split(", ")]
         df.select(*cols).write.mode("overwrite").insertInto(f"{prefix}{name}")
-    table_cols = spark.table(f"{prefix}fact_trips").columns
-    laid = layout_for_write(fact.select(*table_cols))
-    append_table(laid, f"{prefix}fact_trips", idempotent_partitions=("year", "month"))
+
+
+def load_fact(spark: SparkSession, zone: DataFrame, database: str | None = None) -> None:
+    """Second mapping of the transformed trips into fact_trips; overwrites only
+    the (year, month) partitions present (a rerun replaces, never appends twice)."""
+    table = f"{database}." * bool(database) + "fact_trips"
+    loaded = load_mapping(zone, passthrough=("year", "month"))
+    append_table(layout_for_write(loaded.select(*spark.table(table).columns)), table, replace_partitions=True)
+
+
+def load_star(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame],
+              database: str | None = None) -> None:
+    """Replace the dimensions and load the fact."""
+    load_dims(spark, dims, database)
+    load_fact(spark, fact, database)
+
+
+def read_zone(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """The transformed zone in either format."""
+    return read_text_zone(spark, root) if fmt == "csv" else spark.read.parquet(root)
+
+
+def load_months(spark: SparkSession, zone_root: str, months: list[tuple[int, int]],
+                fmt: str = "parquet", database: str | None = None) -> None:
+    """Load the given months of the transformed zone in full; a month without
+    trips is emptied in the table too."""
+    if not months:
+        return
+    wanted = reduce(or_, [(F.col("year") == y) & (F.col("month") == m) for y, m in months])
+    zone = read_zone(spark, zone_root, fmt).where(wanted)
+    load_fact(spark, zone, database)
+    filled = {(r["year"], r["month"]) for r in zone.select("year", "month").distinct().collect()}
+    table = f"{database}." * bool(database) + "fact_trips"
+    for y, m in sorted(set(months) - filled):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (year = {int(y)}, month = {int(m)})")
+
+
+def loaded_months(spark: SparkSession, database: str | None = None) -> set[tuple[int, int]]:
+    """Months that fact_trips has a partition of."""
+    table = f"{database}." * bool(database) + "fact_trips"
+    parts = [dict(p.split("=") for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {(int(p["year"]), int(p["month"])) for p in parts}

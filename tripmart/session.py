@@ -9,7 +9,6 @@ bench and scripts; on a cluster the same keys go into the job config.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -35,31 +34,19 @@ PIPELINE_CONF = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tripmart", extra: dict | None = None) -> SparkSession:
-    """Local/test session with the pipeline settings applied."""
+    """Session with the pipeline settings applied.  Shuffle partitions and
+    memory stay as the cluster has them unless given."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(PIPELINE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf.setdefault("spark.driver.memory", os.environ.get("TRIPMART_DRIVER_MEMORY", "8g"))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if os.environ.get("TRIPMART_DRIVER_MEMORY"):
+        conf["spark.driver.memory"] = os.environ["TRIPMART_DRIVER_MEMORY"]
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a scratch one only
-    when the cluster did not name one (tests and local runs)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="tripmart-ckpt-")
-    sc.setCheckpointDir(path)
-    return path

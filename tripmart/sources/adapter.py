@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW_NAMES
-
 POSITION_COLUMN = "_src_pos"
 
 
@@ -102,11 +100,6 @@ def raw_trips(spark: SparkSession, sf_dir: str, with_position: bool = True) -> D
     )
 
 
-def raw_columns(df: DataFrame) -> DataFrame:
-    """Only the 19 raw-trip columns."""
-    return df.select(*RAW_NAMES)
-
-
 # DuckDB form of the adapter (a CTE body over the pre-registered views).
 RAW_TRIPS_SQL = """
 SELECT

@@ -4,10 +4,11 @@ Monthly files disagree on types (bigint vs double, int vs bigint, epoch
 nanos vs timestamp) and on name case (`airport_fee` / `Airport_fee`).
 Spark's `mergeSchema` rejects such mixes, and an imposed read schema
 cannot narrow or switch between integral and floating types, so the raw
-zone's files are grouped by footer schema (one scan per group, however
-many months it spans), each group is cast to the canonical 19-column
-schema, and the groups are unioned by name.  Only file metadata passes
-through the driver; the rows are read by the executors.
+zone's months are grouped into runs whose footers agree (one scan per run),
+each run is cast to the canonical 19-column schema, and the runs are unioned
+by name.  Footers are read by the executors (Spark's schema merge); the
+driver sees one folder per month, and the files of a month only where its
+own files disagree.
 """
 
 from __future__ import annotations
@@ -74,39 +75,49 @@ def list_partitions(spark: SparkSession, root: str) -> DataFrame:
             .load(root).select("path", "length", "year", "month"))
 
 
-def partition_files(spark: SparkSession, root: str,
-                    months: Iterable[tuple[int, int]] | None = None) -> list[tuple[int, int, str]]:
-    """(year, month, file) of the zone's Parquet files, optionally only some
-    months.  Only this list (one row per file) reaches the driver."""
-    listing = list_partitions(spark, root.rstrip("/")).where(F.col("path").endswith(".parquet"))
-    if months is not None:
-        cond = F.lit(False)
-        for y, m in months:
-            cond = cond | ((F.col("year") == int(y)) & (F.col("month") == int(m)))
-        listing = listing.where(cond)
-    return sorted((int(r["year"]), int(r["month"]), r["path"])
-                  for r in listing.select("year", "month", "path").collect())
+def _months_only(listing: DataFrame, months: Iterable[tuple[int, int]] | None) -> DataFrame:
+    if months is None:
+        return listing
+    cond = F.lit(False)
+    for y, m in months:
+        cond = cond | ((F.col("year") == int(y)) & (F.col("month") == int(m)))
+    return listing.where(cond)
 
 
 def partition_dirs(spark: SparkSession, root: str,
-                   months: Iterable[tuple[int, int]] | None = None) -> list[tuple[int, int, str]]:
-    """(year, month, directory) of the zone's partitions."""
-    dirs = {(y, m, p.rsplit("/", 1)[0]) for y, m, p in partition_files(spark, root, months)}
-    return sorted(dirs)
-
-
-def schema_groups(spark: SparkSession, files: Iterable[str], threads: int = 16) -> list[list[str]]:
-    """Files grouped by footer schema (each group becomes one scan).  Footers
-    are read concurrently; files of one month may differ (a late file written
-    with other types lands in its own group)."""
-    from concurrent.futures import ThreadPoolExecutor
-    files = list(files)
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files) or 1))) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
-    groups: dict[str, list[str]] = {}
-    for f, sch in zip(files, schemas):
-        groups.setdefault(sch, []).append(f)
-    return list(groups.values())
+                   months: Iterable[tuple[int, int]] | None = None) -> list[str]:
+    """Folders of the zone that hold Parquet files, by (year, month): one row
+    per folder reaches the driver."""
+    listing = list_partitions(spark, root.rstrip("/")).where(F.col("path").endswith(".parquet"))
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    rows = _months_only(listing, months).select("year", "month", folder.alias("folder")).distinct()
+    return [r["folder"] for r in sorted(rows.collect(), key=lambda r: (int(r["year"]), int(r["month"]), r["folder"]))]
+
+
+def _files_of(spark: SparkSession, folder: str) -> list[str]:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    return sorted(r["path"] for r in files.select("path").collect())
+
+
+def schema_runs(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Folders (or files) cut into runs of one mergeable schema, in order.
+
+    Spark merges the footers of a run on the executors; a run whose types
+    conflict is halved, down to the files of a single folder.  The number of
+    jobs follows the number of schema changes, not of files.
+    """
+    if not paths:
+        return []
+    try:
+        spark.read.option("mergeSchema", True).parquet(*paths).schema  # noqa: B018 (reads footers)
+        return [paths]
+    except Exception as e:
+        if "MERGE" not in str(e).upper() or len(paths) == 1 and paths[0].endswith(".parquet"):
+            raise
+    if len(paths) == 1:
+        return schema_runs(spark, _files_of(spark, paths[0]))
+    half = len(paths) // 2
+    return schema_runs(spark, paths[:half]) + schema_runs(spark, paths[half:])
 
 
 def _base(root: str, example: str) -> str:
@@ -120,10 +131,9 @@ def read_raw(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] |
     """Read the raw zone (optionally only some (year, month) partitions),
     normalised to the canonical schema, plus `year`, `month` and `_src_pos`."""
     root = root.rstrip("/")
-    parts = partition_files(spark, root, months)
     frames = []
-    for files in schema_groups(spark, [f for _, _, f in parts]):
-        df = spark.read.option("basePath", _base(root, files[0])).parquet(*files)
+    for run in schema_runs(spark, partition_dirs(spark, root, months)):
+        df = spark.read.option("basePath", _base(root, run[0])).option("mergeSchema", True).parquet(*run)
         if with_position:
             df = with_file_position(df)
         frames.append(normalise(df, keep=("year", "month")))

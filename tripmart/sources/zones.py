@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,38 +84,68 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.schema(schema).option("header", True).option("quote", '"').csv(path)
 
 
-def append_table(df: DataFrame, table: str, idempotent_partitions: Sequence[str] | None = None
-                 ) -> None:
-    """Append to a catalog table; with partition columns given, overwrite the
-    touched partitions instead (a rerun replaces, never duplicates)."""
-    if idempotent_partitions:
+def append_table(df: DataFrame, table: str, replace_partitions: bool = False) -> None:
+    """Append to a catalog table; with replace_partitions, overwrite the table
+    partitions that df touches instead (a rerun replaces, never duplicates)."""
+    if replace_partitions:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .insertInto(table)
     else:
         df.write.mode("append").insertInto(table)
 
 
+def missing_path(e: Exception) -> bool:
+    """Whether a read failed because its folder does not exist (and for nothing else)."""
+    return "PATH_NOT_FOUND" in str(e)
+
+
 def recompress(spark: SparkSession, src: str, dst: str, codec: str = "gzip") -> DataFrame:
     """Re-encode a `year=/month=` Parquet zone with another codec into `dst`,
-    skipping partitions already present in `dst`.  Files keep their own
-    schema (files are grouped by footer schema).  Returns the
-    (year, month) partitions converted.  Never writes in place."""
-    from .raw import _base, list_partitions, partition_files, schema_groups
+    skipping files that are already there.
+
+    Every source file gets a partition of its own, `year=/month=/file=<hash of
+    its key>`, so that files of one month may differ in schema, a late file is
+    converted when it comes, and a rerun after a failure replaces what it had
+    written.  Returns the (year, month, file) converted.  Never writes in place."""
+    from .raw import _base, schema_runs
     src = src.rstrip("/")
+
+    def listing(root: str, glob: str = "*.parquet") -> DataFrame:
+        return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
+
+    key = F.regexp_extract("path", r"((?:[^/]*=[^/]*/)+[^/]+)$", 1)
+    source = listing(src).select("path", "year", "month", file_id(key).alias("file"))
     try:
-        done = {(int(r["year"]), int(r["month"])) for r in
-                list_partitions(spark, dst).select("year", "month").distinct().collect()}
-    except Exception:  # destination does not exist yet
-        done = set()
-    todo = [(y, m, f) for y, m, f in partition_files(spark, src) if (y, m) not in done]
-    for files in schema_groups(spark, [f for _, _, f in todo]):
-        data = spark.read.option("basePath", _base(src, files[0])).parquet(*files)
-        write_zone(data, dst, compression=codec, layout=False)
-    return spark.createDataFrame(sorted({(y, m) for y, m, _ in todo}), "year int, month int")
-
-
-def register_zone_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Catalog table over a zone; schema and `year=/month=` partitions are
-    discovered from the files and folders (what a crawler does)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+        done = listing(dst).select(F.regexp_extract("path", r"/file=([^/]*)/", 1).alias("file")).distinct()
+        source = source.join(done, "file", "left_anti")
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
+    todo = [r["path"] for r in source.select("path").orderBy("year", "month", "path").collect()]
+    converted = spark.createDataFrame([(int(r["year"]), int(r["month"]), r["file"]) for r in source.collect()],
+                                      "year int, month int, file string")
+    for files in schema_runs(spark, todo):
+        data = spark.read.option("basePath", _base(src, files[0])).option("mergeSchema", True).parquet(*files)
+        own = F.regexp_extract(F.col("_metadata.file_path"), r"((?:[^/]*=[^/]*/)+[^/]+)$", 1)
+        write_zone(data.withColumn("file", file_id(own)), dst, compression=codec, layout=False,
+                   partition_cols=(*PARTITION_COLUMNS, "file"))
+    return converted
+
+
+def file_id(key: Column) -> Column:
+    """Name of a file's partition: a hash of its key below the zone's root."""
+    return F.concat(F.lit("f"), F.lower(F.hex(F.xxhash64(key))))
+
+
+def register_zone_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                        schema: T.StructType = ZONE_SCHEMA) -> None:
+    """Catalog table over a zone with `year=/month=` partitions, which are
+    discovered from the folders (what a crawler does).  Parquet files bring
+    their schema; CSV files have a header line and the given schema."""
+    if fmt == "csv":
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, year INT, month INT) USING csv "
+                  f"OPTIONS (header 'true') PARTITIONED BY (year, month) LOCATION '{path}'")
+    else:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
     spark.catalog.recoverPartitions(name)

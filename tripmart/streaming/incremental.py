@@ -11,10 +11,13 @@ everything new and stops — a scheduled incremental run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.run import process_months
+from ..plans.star import load_months
 from ..schema import DEFAULT_WINDOW
 
 # The binaryFile source's fixed schema (a stream needs it up front).
@@ -22,37 +25,51 @@ BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
                       "content binary")
 
 
-def new_file_stream(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Streaming listing of raw files: (path, year, month).  File contents
+def new_file_stream(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """Streaming listing of a zone's files: (path, year, month).  File contents
     are not read; year/month are parsed from the path."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(raw_root))
+             .option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(root))
     return files.select(
         "path",
         F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int").alias("year"),
         F.regexp_extract("path", r"/month=(\d+)/", 1).cast("int").alias("month"))
 
 
-def run_incremental(spark: SparkSession, raw_root: str, out_root: str, checkpoint: str,
-                    window=DEFAULT_WINDOW, mode: str = "as_written",
-                    fmt: str = "parquet") -> list[list[tuple[int, int]]]:
-    """Run once over whatever is new since the last run; returns the months
-    processed per micro-batch."""
+def _for_new_months(files: DataFrame, checkpoint: str, work: Callable[[list[tuple[int, int]]], object]) -> list[list[tuple[int, int]]]:
+    """Call work with the months of each micro-batch of new files, once through."""
     done: list[list[tuple[int, int]]] = []
 
-    def batch(files: DataFrame, epoch_id: int) -> None:
+    def batch(new: DataFrame, epoch_id: int) -> None:
         # one row per touched month reaches the driver, never the files' rows
         months = sorted((int(r["year"]), int(r["month"]))
-                        for r in files.select("year", "month").distinct().collect())
+                        for r in new.select("year", "month").distinct().collect())
         if months:
-            process_months(spark, raw_root, out_root, months, window, mode, fmt)
+            work(months)
         done.append(months)
 
-    q = (new_file_stream(spark, raw_root).writeStream
+    q = (files.writeStream
          .foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
     return done
+
+
+def run_incremental(spark: SparkSession, raw_root: str, out_root: str, checkpoint: str,
+                    window=DEFAULT_WINDOW, mode: str = "as_written",
+                    fmt: str = "parquet") -> list[list[tuple[int, int]]]:
+    """Run once over whatever is new since the last run; returns the months
+    processed per micro-batch."""
+    return _for_new_months(new_file_stream(spark, raw_root), checkpoint,
+                           lambda months: process_months(spark, raw_root, out_root, months, window, mode, fmt))
+
+
+def run_load_incremental(spark: SparkSession, zone_root: str, checkpoint: str, fmt: str = "parquet",
+                         database: str | None = None) -> list[list[tuple[int, int]]]:
+    """The load stage with a progress of its own: months of the transformed
+    zone with files that are new since its last run go to fact_trips in full."""
+    return _for_new_months(new_file_stream(spark, zone_root, f"*.{fmt}"), checkpoint,
+                           lambda months: load_months(spark, zone_root, months, fmt, database))
