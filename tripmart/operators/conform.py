@@ -91,6 +91,9 @@ def load_mapping(df: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
 # Null columns
 # ---------------------------------------------------------------------------
 
+# Every character that counts as white space.
+_WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 _TESTED_NUMBERS = (T.IntegerType, T.LongType, T.DoubleType)
 
 
@@ -109,7 +112,7 @@ def _leaves(schema: T.StructType, prefix: str = "", in_array: bool = False):
 
 def _strip(v):
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(v, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(v, F.lit(_WHITE_SPACE))
 
 
 def _in_set(value, values: list, dtype) -> F.Column:
