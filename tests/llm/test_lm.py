@@ -160,3 +160,29 @@ def test_training_windows():
     assert len(rows) == sum(1 + len(t or "") // lm.CHARS_PER_WINDOW for t in texts) and rows.shape[1] == WINDOW + 1
     assert rows[0].tolist() == [classes.end, classes.end] + [-1] * (WINDOW - 1)
     assert (rows[3:] >= 0).any(1).all() and (rows[-1] >= 0).all()
+
+
+def test_all_windows_cover_every_token():
+    subwords = lm.Subwords(lm.VOCABULARY)
+    classes = lm.Classes(np.arange(subwords.size))
+    texts = [None, "", "one", "many Words " * 500, "x" * 9000, " ".join(f"n{i}" for i in range(3000)), "a " * (WINDOW - 1), "a " * WINDOW]
+    rows, at = lm.all_windows(texts, subwords, classes), 0
+    for t in texts:
+        want = classes.of[[i for w in words(t) for i in encoder(lm.VOCABULARY)[0].encode_ordinary(" " + w)] + [subwords.size - 1]].tolist()
+        own = rows[at:at + -(-len(want) // WINDOW)]
+        at += len(own)
+        targets = own[:, 1:].reshape(-1)
+        assert targets[targets >= 0].tolist() == want == targets[:len(want)].tolist()
+        assert own[:, 0].tolist() == [classes.end, *own[:-1, -1].tolist()]
+    assert at == len(rows) and len(lm.all_windows([], subwords, classes)) == 0
+
+
+def test_partitions_train_on_every_token(spark, tmp_path, monkeypatch):
+    """The windows that partitions are averaged by hold as many targets as the texts have tokens and ends."""
+    texts = ["word " * 4000, "other words here " * 700, None, "short"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    classes = lm.Classes(lm.subword_counts(lm.word_counts(frame), lm.VOCABULARY))
+    seen = []
+    monkeypatch.setattr(lm, "average", lambda sums, size: seen.append(sum(r["n"] for r in sums.collect())))
+    lm.fit(frame, classes, lm.VOCABULARY)
+    assert seen == [sum(-(-(len(words(t)) + 1) // WINDOW) for t in texts)]

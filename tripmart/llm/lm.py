@@ -30,9 +30,11 @@ FREQUENT = 200_000
 CACHE = 400_000
 #: Windows, sampled by a hash, that the common weights start from: about so many at most.
 START = 20_000
+#: Texts encoded together when all of their windows are cut.
+SLICE = 512
 #: Passes of training over all windows: in each, every partition goes on from the common weights, which are then averaged.
 ROUNDS = 1
-#: Training windows taken from each text: one, and one more for so many characters.
+#: Windows of each text that the start's sample is drawn from: one, and one more for so many characters.
 CHARS_PER_WINDOW = 8000
 #: Weight vectors added up by one task when averaging.
 FAN_IN = 32
@@ -204,7 +206,7 @@ class Classes:
 
 
 def training_windows(texts: list[str | None], vocabulary: str, classes: Classes) -> np.ndarray:
-    """Windows (n, WINDOW + 1) of class ids from places of each text that its hash chooses; -1 beyond a text's end."""
+    """Windows (n, WINDOW + 1) of class ids from places of each text that its hash chooses, for the start; -1 beyond a text's end."""
     out = []
     for text in texts:
         text = text or ""
@@ -223,6 +225,24 @@ def training_windows(texts: list[str | None], vocabulary: str, classes: Classes)
     return np.array(out, np.int16).reshape(-1, WINDOW + 1)
 
 
+def all_windows(texts: list[str | None], subwords: Subwords, classes: Classes) -> np.ndarray:
+    """Consecutive windows (n, WINDOW + 1) of class ids over whole texts, in which each token and end is a target once; -1 beyond a text's end.
+
+    The last id of a window is the first of the text's next one, where it is context alone.
+    """
+    ids = [classes.of[subwords.tokens(subwords.places(words(t)))] for t in texts]
+    counts = np.array([-(-len(x) // WINDOW) for x in ids], np.int64)
+    firsts = np.cumsum(counts) - counts
+    rows = np.full((int(counts.sum()), WINDOW + 1), -1, np.int16)
+    targets = np.full(len(rows) * WINDOW, -1, np.int16)
+    for first, x in zip(firsts.tolist(), ids, strict=True):
+        targets[first * WINDOW:first * WINDOW + len(x)] = x
+    rows[:, 1:] = targets.reshape(-1, WINDOW)
+    rows[1:, 0] = rows[:-1, -1]
+    rows[firsts, 0] = classes.end
+    return rows
+
+
 def average(sums: DataFrame, size: int) -> np.ndarray | None:
     """Mean weight vector from rows of (sum: vectors of doubles added up, n), FAN_IN rows to a task, level by level."""
 
@@ -249,19 +269,20 @@ def summed(total: np.ndarray, n: int) -> pa.RecordBatch:
 
 
 def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUNDS) -> Weights:
-    """Weights learned from every text.
+    """Weights learned from every token of every text.
 
     They start from a sample of windows, so that averages are of like models.
-    Then each partition trains on all of its texts' windows, and the weights
-    are averaged, so many rounds.
+    Then each partition trains on all windows of its texts, which cover them
+    from end to end, and the weights are averaged, so many rounds.
     """
+    texts = texts.select("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = training_windows(batch.column(0).to_pylist(), vocabulary, classes)
             yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([len(rows)], pa.int64())], names=["windows", "n"])
 
-    windows = cut_lineage(texts.select("text").mapInArrow(cut, "windows binary, n long"))
+    windows = cut_lineage(texts.mapInArrow(cut, "windows binary, n long"))
     total = windows.agg(F.sum("n")).first()[0] or 0
     share = int(2 ** 64 * min(1.0, START / max(1, total)))
 
@@ -278,13 +299,14 @@ def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUND
         now = weights
 
         def run(batches: Iterator[pa.RecordBatch], now: Weights = now, seed: int = round_no) -> Iterator[pa.RecordBatch]:
-            found = [np.frombuffer(w, np.int16) for b in batches for w in b.column(0).to_pylist()]
-            found = np.concatenate([np.zeros(0, np.int16), *found]).reshape(-1, WINDOW + 1)
+            subwords = Subwords(vocabulary)
+            found = [all_windows(b.column(0).slice(at, SLICE).to_pylist(), subwords, classes) for b in batches for at in range(0, b.num_rows, SLICE)]
+            found = np.concatenate([np.zeros((0, WINDOW + 1), np.int16), *found])
             if len(found):
                 trained = attention.train(now, found, rate=0.01, seed=seed)
                 yield summed(trained.vector.astype(np.float64) * len(found), len(found))
 
-        mean = average(windows.mapInArrow(run, SUM_FIELDS), len(weights.vector))
+        mean = average(texts.mapInArrow(run, SUM_FIELDS), len(weights.vector))
         if mean is None:
             return weights
         weights = Weights(mean.astype(np.float32))
