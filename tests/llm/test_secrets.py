@@ -103,3 +103,28 @@ def test_frames(spark):
     assert got == sorted([one, one, (None, 0, 0, "", ""), (2 ** 60 + 1, 0, 0, "", "")], key=str)
     assert sorted(map(tuple, secrets.mask_secrets(docs).collect()), key=str) == sorted([(i, t and t.replace("0123456789abcdef", "[SECRET]"), n) for i, t, n in rows], key=str)
     assert secrets.scan_secrets(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n"])
+def test_encrypted_and_escaped_armour(end):
+    coded = [base64.b64encode(RSA).decode()[i:i + 64] for i in range(0, 400 * 4, 64)]
+    coded = [x for x in coded if x]
+    locked = [base64.b64encode(bytes((i * 37 + 11) % 256 for i in range(608))).decode()[i:i + 64] for i in range(0, 812, 64)]
+    for label, lines in (
+        ("RSA PRIVATE KEY", coded), ("PRIVATE KEY", coded),
+        ("RSA PRIVATE KEY", ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", "", *locked]),
+    ):
+        key = end.join([f"-----BEGIN {label}-----", *lines, f"-----END {label}-----"])
+        text = f'{{"type": "service_account", "private_key": "{key}{end}", "id": 1}}'
+        at = text.index("-----BEGIN")
+        assert [x for x in secrets.scan(text) if x[0] not in secrets.BASE] == [("pem", at, at + len(key))]
+        assert secrets.masked(text, secrets.scan(text)) == f'{{"type": "service_account", "private_key": "[SECRET]{end}", "id": 1}}'
+    source = '"-----BEGIN PRIVATE KEY-----\\n" +\n' + "".join(f'  "{x}\\n" +\n' for x in coded) + '  "-----END PRIVATE KEY-----\\n"'
+    assert [x[0] for x in secrets.scan(source) if x[0] not in secrets.BASE] == ["pem"]
+
+
+def test_armour_without_a_key():
+    for body in ("\nnot a key\n", "\n" + base64.b64encode(b"no key, but base64 of some length, and no header").decode() + "\n", "\\nAAAA\\n", "", " - "):
+        assert [x for x in secrets.scan(f"-----BEGIN PRIVATE KEY-----{body}-----END PRIVATE KEY-----") if x[0] not in secrets.BASE] == []
+    key = "\n".join(["-----BEGIN PRIVATE KEY-----", base64.b64encode(PKCS8).decode(), "-----END PRIVATE KEY-----"])
+    assert [x[1:] for x in secrets.scan("-----BEGIN PRIVATE KEY----- open " + key) if x[0] == "pem"] == [(33, 33 + len(key))]

@@ -6,6 +6,8 @@ import base64
 import binascii
 import json
 import re
+from collections.abc import Iterator
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame
 
@@ -26,7 +28,10 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})
 #: Base64 that may be broken over lines, or hex; 40 characters at least, as no private key is shorter.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{64,}|[0-9A-F]{64,})(?![0-9A-Fa-f])")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]+)-----END \1-----")
+BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
+#: Escapes of JSON and source code inside a key: line breaks, other characters, slashes, and where string literals are put together.
+BREAK, CHARACTER, SLASH, JOINED = re.compile(r"(?:\\+r)?\\+n|\\+r"), re.compile(r"\\+u00([0-7][0-9A-Fa-f])"), re.compile(r"\\+/"), re.compile(r"""["'`][\s+.,;&\\]*["'`]?""")
 MAGIC = b"openssh-key-v1\0"
 
 #: Bytes of the base64 alphabets, and of hex digits, become x: runs are then found by a plain search.
@@ -128,6 +133,27 @@ def confirmed(data: bytes | None) -> str | None:
     return "openssh" if is_openssh(data) else "der" if is_private_der(data) else None
 
 
+def pem_blocks(text: str) -> Iterator[tuple[str, int, int]]:
+    """(body, start, end) of each PEM private key; a body ends at its own END line, before any other BEGIN."""
+    begins = list(BEGIN.finditer(text))
+    for m, following in zip_longest(begins, begins[1:]):
+        line = f"-----END {m[1]}-----"
+        at = text.find(line, m.end(), following.start() if following else len(text))
+        if at >= 0:
+            yield text[m.end():at], m.start(), at + len(line)
+
+
+def pem_body(body: str) -> tuple[bytes | None, bool]:
+    """(bytes, whether headers come before them) of a PEM body, which may be escaped for JSON or source code."""
+    plain = SLASH.sub("/", BREAK.sub("\n", CHARACTER.sub(lambda m: chr(int(m[1], 16)), body)))
+    lines = [x.rstrip("\r") for x in JOINED.sub("", plain).strip().split("\n")]
+    headers = bool(HEADER.match(lines[0]))
+    if headers:  # up to an empty line, or as many lines as name one
+        blank = next((i for i, x in enumerate(lines) if not x.strip()), None)
+        lines = [x for x in lines if not HEADER.match(x.strip())] if blank is None else lines[blank:]
+    return decode64(re.sub(r"[\s\\]+", "", "".join(lines))), headers
+
+
 def json_object(part: str) -> dict | None:
     data = decode64(part)
     try:
@@ -171,12 +197,11 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
     runs = raw.translate(_B64)
     armour = []
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = re.split(r"\r?\n\r?\n", m[2], maxsplit=1)[-1]  # after headers of old encrypted keys
-            data = decode64(re.sub(r"\s+", "", body))
-            if data and (confirmed(data) or body is not m[2]):
-                found.append(("pem", *m.span()))
-                armour.append(m.span())
+        for body, *span in pem_blocks(text):
+            data, headers = pem_body(body)
+            if data and (confirmed(data) or headers):  # headers: what follows is encrypted
+                found.append(("pem", *span))
+                armour.append(span)
     if b"x" * 40 in runs:
         for pattern, decode in ((BASE64, decode64), (LONG_HEX, lambda s: bytes.fromhex(s) if len(s) % 2 == 0 else None)):
             for m in pattern.finditer(text):
