@@ -128,3 +128,38 @@ def test_armour_without_a_key():
         assert [x for x in secrets.scan(f"-----BEGIN PRIVATE KEY-----{body}-----END PRIVATE KEY-----") if x[0] not in secrets.BASE] == []
     key = "\n".join(["-----BEGIN PRIVATE KEY-----", base64.b64encode(PKCS8).decode(), "-----END PRIVATE KEY-----"])
     assert [x[1:] for x in secrets.scan("-----BEGIN PRIVATE KEY----- open " + key) if x[0] == "pem"] == [(33, 33 + len(key))]
+
+
+def structures(text):
+    return [s for s in secrets.scan(text) if s[0] not in secrets.BASE]
+
+
+@pytest.mark.parametrize("data,kind", [(RSA, "der"), (PKCS8, "der"), (EC, "der"), (ssh(), "openssh")])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n"])
+def test_keys_inside_runs(data, kind, end):
+    coded = base64.b64encode(data).decode().rstrip("=")
+    wrapped = end.join(coded[i:i + 64] for i in range(0, len(coded), 64))
+    for before, after in (("", end + "Regards and more text"), ("keys/", " end"), ("token_", ""), ("Mixed/MIIBig_", end + "x"), ("n", end + "abc" + end + "next line")):
+        text = f"é {before}{wrapped}{after}"
+        at = 2 + len(before)
+        assert structures(text) == [(kind, at, at + len(wrapped))], text
+        assert secrets.masked(text, structures(text)) == f"é {before}[SECRET]{after}"
+    twice = f"{wrapped}{end}{wrapped}"
+    assert structures(twice) == [(kind, 0, len(wrapped)), (kind, len(twice) - len(wrapped), len(twice))]
+
+
+def test_signed_tokens_after_other_names():
+    part = lambda d: base64.urlsafe_b64encode(d if isinstance(d, bytes) else json.dumps(d).encode()).decode().rstrip("=")
+    good = ".".join((part({"alg": "HS256", "typ": "JWT"}), part({"sub": "1"}), part(bytes(32))))
+    for before in ("config_token.", "some.dotted_prefix.config_token.", "token_", "keys-", "Monkey_ey.they-eyJ_"):
+        assert structures(f"{before}{good} y") == [("jwt", len(before), len(before) + len(good))], before
+    first = part({"alg": "none"}) + "."  # a token of its own, with the next two parts
+    assert structures(first + good) == [("jwt", 0, len(first) + good.rindex(".")), ("jwt", len(first), len(first) + len(good))]
+    assert structures(f"{good}.{good}") == [("jwt", 0, len(good)), ("jwt", len(good) + 1, 2 * len(good) + 1)]
+
+
+def test_random_base64_with_key_starts_is_not_reported():
+    r = random.Random(8)
+    bits = ["MII", "MIIEvQIBADAN", "MC4CAQAw", "b3BlbnNzaC1rZXktdjEA", "eyJ", ".", "\n", "\\n", "="]
+    for _ in range(2000):
+        assert structures("".join(r.choice(bits) if r.random() < 0.5 else base64.b64encode(r.randbytes(r.randint(1, 60))).decode() for _ in range(r.randint(1, 9)))) == []

@@ -6,8 +6,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import zip_longest
+from itertools import accumulate, zip_longest
 
 from pyspark.sql import DataFrame
 
@@ -24,9 +25,14 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "der", "openssh", "pem", "jwt")
 BASE = KINDS[:3]
 
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-#: Base64 that may be broken over lines, or hex; 40 characters at least, as no private key is shorter.
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
+#: A part of a dotted name with the two after it, which are looked at only; and where a JSON object may begin in it.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,}+)(?=\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+))")
+OBJECT = re.compile(r"ey[A-DI-L]")
+#: Base64 that may be broken over lines, also by escapes, or hex; 40 characters at least, as no private key is shorter.
+LINE = r"\r?\n|(?:\\+r)?\\+n"
+BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{40,}}(?:(?:{LINE})[A-Za-z0-9+/_-]+)*={{0,2}}")
+#: Base64 that a DER sequence or an OpenSSH key may begin with.
+KEY = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjEA")
 LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{64,}|[0-9A-F]{64,})(?![0-9A-Fa-f])")
 BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
 HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
@@ -87,10 +93,10 @@ def is_private_der(data: bytes) -> bool:
     return False
 
 
-def is_openssh(data: bytes) -> bool:
-    """Whether data is an OpenSSH private key: magic, cipher, KDF, key count, keys and private block, by nested lengths."""
+def openssh_size(data: bytes) -> int | None:
+    """Length of the OpenSSH private key that data begins with: magic, cipher, KDF, key count, keys and private block, by nested lengths."""
     if not data.startswith(MAGIC):
-        return False
+        return None
     at = len(MAGIC)
 
     def string() -> bytes | None:
@@ -106,18 +112,71 @@ def is_openssh(data: bytes) -> bool:
 
     cipher, kdf, options = string(), string(), string()
     if not cipher or not kdf or options is None or at + 4 > len(data):
-        return False
+        return None
     count = int.from_bytes(data[at:at + 4], "big")
     at += 4
     if not 1 <= count <= 16 or not all(string() for _ in range(count)):
-        return False
-    private = string()
-    return bool(private) and len(data) - at <= 16
+        return None
+    return at if string() else None
+
+
+def is_openssh(data: bytes) -> bool:
+    """Whether data is an OpenSSH private key."""
+    size = openssh_size(data)
+    return size is not None and len(data) - size <= 16
+
+
+def key_size(run: str, at: int) -> int | None:
+    """Bytes of the key that may begin at a place of a base64 run, by its outer lengths."""
+    if run[at] == "b":
+        head = decode64(run[at:at + 28])
+        if not head or int.from_bytes(head[len(MAGIC):len(MAGIC) + 4], "big") > len(run):
+            return None  # the cipher's name can't be that long
+        data = decode64(run[at:at + (len(run) - at) // 4 * 4])
+        return openssh_size(data) if data else None
+    head = decode64(run[at:at + 16])
+    if not head or len(head) < 9:
+        return None
+    width = head[1] & 0x7F if head[1] >= 0x80 else 0
+    inner = head[2 + width:]
+    if width > 4 or not (inner[0] == 0x30 or inner[:2] == b"\x02\x01" and inner[2] <= 1):
+        return None  # neither a version nor an algorithm first
+    return 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
+
+
+def keys_in(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of private keys that begin anywhere in a base64 run and end where their outer lengths say."""
+    cuts = [0, *(i for m in re.finditer(LINE, text) for i in m.span()), len(text.rstrip("="))]
+    pieces = list(zip(cuts[::2], cuts[1::2], strict=True))
+    run, ends = "".join(text[a:b] for a, b in pieces), list(accumulate(b - a for a, b in pieces))
+    place = lambda i: pieces[k := bisect_right(ends, i)][1] - (ends[k] - i)
+    found, done = [], 0
+    for m in KEY.finditer(run):
+        at = m.start()
+        size = key_size(run, at) if at >= done else None
+        stop = at + -(-(size or 0) * 4 // 3)
+        if size and stop <= len(run) and (data := decode64(run[at:at + -(-size // 3) * 4])) and (kind := confirmed(data[:size])):
+            found.append((kind, place(at), place(stop - 1) + 1 if stop < len(run) else len(text)))
+            done = stop
+    return found
+
+
+def tokens_in(text: str) -> list[tuple[str, int, int]]:
+    """("jwt", start, end) of signed tokens, whose header may follow other parts of a name, or characters of its own part."""
+    found = []
+    for m in TOKEN.finditer(text):
+        starts = [x.start() for x in OBJECT.finditer(m[1])]
+        # Starts four characters apart decode to the same end, which must close an object.
+        closed = {r for r in {k % 4 for k in starts} if (decode64(m[1][r:]) or b"").rstrip().endswith(b"}")}
+        start = next((k for k in starts if k % 4 in closed and len(m[1]) - k >= 10 and is_signed_token(m[1][k:], m[2], m[3])), None)
+        if start is not None:
+            found.append(("jwt", m.start() + start, m.end(3)))
+    return found
 
 
 def decode64(text: str) -> bytes | None:
     """Bytes of standard or URL-safe base64 with or without padding and line breaks; None if it is neither."""
-    s = re.sub(r"[\r\n]+", "", text).rstrip("=").replace("-", "+").replace("_", "/")
+    s = re.sub(r"(?:[\r\n]|\\+[rn])+", "", text).rstrip("=").replace("-", "+").replace("_", "/")
     if len(s) % 4 == 1:
         return None
     try:
@@ -205,11 +264,12 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
     if b"x" * 40 in runs:
         for pattern, decode in ((BASE64, decode64), (LONG_HEX, lambda s: bytes.fromhex(s) if len(s) % 2 == 0 else None)):
             for m in pattern.finditer(text):
-                kind = confirmed(decode(m[0])) or confirmed(decode(m[0].split("\n")[0].rstrip("\r")))
-                if kind and not any(s <= m.start() < e for s, e in armour):
-                    found.append((kind, *m.span()))
+                own = keys_in(m[0]) if pattern is BASE64 else []
+                if not own and (kind := confirmed(decode(m[0])) or confirmed(decode(m[0].split("\n")[0].rstrip("\r")))):
+                    own = [(kind, 0, len(m[0]))]
+                found += [(k, m.start() + a, m.start() + b) for k, a, b in own if not any(s <= m.start() + a < e for s, e in armour)]
     if b"x" * 10 in runs and "." in text and "ey" in text:
-        found += [("jwt", *m.span()) for m in TOKEN.finditer(text) if m[1].startswith("ey") and is_signed_token(*m.groups())]
+        found += tokens_in(text)
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
