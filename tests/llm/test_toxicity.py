@@ -110,3 +110,29 @@ def test_copies_do_not_make_terms(spark):
     rows = [(i, "common words " * 5 + "oddword here", 1) for i in range(40)] + [(100 + i, f"plain text number {i}", 0) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     assert tx.train(docs, docs.select("doc_id", "toxic")).terms == []
+
+
+def test_fixed_wording_of_different_texts_makes_terms(spark):
+    r = random.Random(8)
+    rows = [(i, t + " you utter wazzock indeed " * y + t[::-1], y) for i, (_, t, _) in enumerate(corpus(400, r)) for y in [int(i % 5 == 0)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = tx.train(docs, docs.select("doc_id", "toxic"))
+    assert {t for t in model.terms if t[0].startswith("wazz")}
+    scored = tx.score_toxicity(docs, model).select("doc_id", "predicted").collect()
+    assert sum(x.predicted == (x.doc_id % 5 == 0) for x in scored) >= 0.98 * len(rows)
+
+
+def test_near_copies_do_not_make_terms(spark):
+    r = random.Random(9)
+    words = [t for _, t, _ in corpus(1, r)][0].split() + ["oddword"]
+    rows = [(i, " ".join(words[:i % 20] + [f"n{i}"] + words[i % 20:]), 1) for i in range(60)] + [(100 + i, f"plain text number {i}", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert tx.train(docs, docs.select("doc_id", "toxic")).terms == []
+
+
+def test_copies_by_signature():
+    r = random.Random(10)
+    texts = [" ".join(r.choice("abcdefghij") * r.randint(1, 4) for _ in range(60)) for _ in range(30)]
+    near = [f"{t} and more" for t in texts[:10]]
+    group = tx.copies({tx.text_id(t): tx.signature(t) for t in [*texts, *near, None, "", "one"]})
+    assert len(set(group.values())) == 32 and all(group[tx.text_id(a)] == group[tx.text_id(b)] for a, b in zip(texts, near, strict=False))

@@ -8,6 +8,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,9 @@ MIN_SHARE, MIN_TOXIC = 0.005, 4
 MIN_RATIO, MIN_G = 12.0, 20.0
 #: Lengths of the stems (word beginnings) that may be terms.
 STEMS = range(4, 9)
+#: Texts are copies if so much of their signatures agrees, of BANDS times BAND minima; only texts that share a whole band are compared.
+NEAR, BANDS, BAND = 0.5, 21, 3
+FACTORS, TERMS = np.random.default_rng(7).integers(0, 1 << 63, (2, BANDS * BAND), np.uint64) * np.uint64(2) + np.uint64(1)
 #: Words kept with their matches in a task.
 CACHE = 400_000
 
@@ -232,27 +236,68 @@ def term_counts(texts: DataFrame, wanted: frozenset[str] | None = None) -> DataF
     return per_text(texts, [], "text", "term string, n long", start).groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def context_counts(texts: DataFrame, wanted: frozenset[str]) -> DataFrame:
-    """(term, n): the number of different (word before, word, word after) that each of the wanted terms occurs in.
+def signature(text: str | None) -> np.ndarray:
+    """Minima of BANDS * BAND hashes over the runs of three words of a text."""
+    words = WORD.findall((text or "").lower())
+    runs = {" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, runs), np.uint64, len(runs))
+    out = np.full(BANDS * BAND, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 4096):
+        out = np.minimum(out, (hashes[at:at + 4096, None] * FACTORS + TERMS).min(0))
+    return out
 
-    A word that only copies of one text have occurs in a few at most.
+
+def copies(signatures: dict[int, np.ndarray]) -> dict[int, int]:
+    """The group of each text: texts are of one group if they share NEAR of their signature, or are linked by others that do."""
+    of = {h: h for h in signatures}
+
+    def root(h: int) -> int:
+        while of[h] != h:
+            of[h] = h = of[of[h]]
+        return h
+
+    for at in range(0, BANDS * BAND, BAND):
+        heads: dict[bytes, list[int]] = {}
+        for h in sorted(signatures):
+            own = signatures[h]
+            near = heads.setdefault(own[at:at + BAND].tobytes(), [])
+            head = next((x for x in near if np.count_nonzero(signatures[x] == own) >= NEAR * len(own)), None)
+            if head is None:
+                near.append(h)
+            else:
+                a, b = root(head), root(h)
+                of[max(a, b)] = min(a, b)
+    return {h: root(h) for h in of}
+
+
+def text_id(text: str | None) -> int:
+    return xxhash.xxh64_intdigest(text or "") >> 1
+
+
+def different_counts(texts: DataFrame, wanted: frozenset[str]) -> DataFrame:
+    """(term, n): the number of different texts that each of the wanted terms occurs in, where copies and near copies of one text count once.
+
+    One signature a different text comes to the driver.
     """
 
+    def sign():
+        def work(batch):
+            found = {text_id(t): t for t in batch}
+            return [0] * len(found), [list(found), [signature(t).tobytes() for t in found.values()]]
+
+        return work
+
+    signed = per_text(texts, [], "text", "h long, signature binary", sign).groupBy("h").agg(F.first("signature").alias("signature"))
+    group = copies({r["h"]: np.frombuffer(bytes(r["signature"]), np.uint64) for r in signed.collect()})
+
     def start():
         def work(batch):
-            found = set()
-            for t in batch:
-                words = ["", *WORD.findall((t or "").lower()), ""]
-                for i, w in enumerate(words[1:-1], 1):
-                    if w in wanted:
-                        found.add((w, words[i - 1], w, words[i + 1]))
-                    found.update((s, words[i - 1], w, words[i + 1]) for n in STEMS if (s := w[:n] + "*") in wanted and len(w) >= n)
-            return [0] * len(found), [[x[i] for x in found] for i in range(4)]
+            found = list({(x, group[text_id(t)]) for t in batch for x in terms_of(t) & wanted})
+            return [0] * len(found), [[x for x, _ in found], [g for _, g in found]]
 
         return work
 
-    rows = per_text(texts, [], "text", "term string, before string, word string, after string", start)
-    return rows.distinct().groupBy("term").agg(F.count("*").alias("n"))
+    return per_text(texts, [], "text", "term string, copies long", start).distinct().groupBy("term").agg(F.count("*").alias("n"))
 
 
 def g_statistic(a: int, toxic: int, b: int, clean: int) -> float:
@@ -298,7 +343,7 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING,
 
     The sample goes by a hash of the id.  Terms are counted over it by Spark
     jobs, and only terms that a fixed share of toxic texts has, and one row
-    of features a sampled text, come to the driver.
+    of features and one signature a sampled text, come to the driver.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).alias("toxic"))
@@ -318,8 +363,7 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING,
     in_toxic = {r["term"]: r["n"] for r in term_counts(texts.where("toxic")).where(F.col("n") >= least).collect()}
     in_clean = {r["term"]: r["n"] for r in term_counts(texts.where("not toxic"), frozenset(in_toxic)).collect()}
     likely = frozenset(marking(in_toxic, in_clean, toxic, clean))
-    contexts = {r["term"]: r["n"] for r in context_counts(texts.where("toxic"), likely).collect()}
-    in_toxic = {t: min(in_toxic[t], contexts.get(t, 0)) for t in likely}  # copies of one text count once
+    in_toxic = {r["term"]: r["n"] for r in different_counts(texts.where("toxic"), likely).collect()}  # copies of one text count once
     model.terms = choose_terms(marking({t: a for t, a in in_toxic.items() if a >= least}, in_clean, toxic, clean), in_toxic)
     rows = feature_rows(texts, model.terms, [("toxic", "toxic")]).collect()
     model.weights = fit(np.array([r["x"] for r in rows]), np.array([float(r["toxic"]) for r in rows]))
