@@ -72,3 +72,12 @@ def test_frames(spark):
     text = hx.main_text(PAGE)[0]
     assert got == sorted([(0, None, "", 0), (1, "u", text, len(text)), (1, "u", text, len(text)), (2 ** 60 + 1, "v", "", 0)], key=str)
     assert hx.extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("start", [
+    "<html><head><title>x</title>", "<html><head><meta charset=utf-8><style>p{}</style><script>var a</script>\n<link rel=x>\n", "<head>\n<!-- c --><template><p>no</p></template><noscript>no</noscript>",
+    "<html><head hidden><title>x</title>", "<!DOCTYPE html><html><head><title>x</title></head>", "<html><head><title>x</title><body>", "<head><title>x</title></head><body>",
+])
+def test_head_without_end_tag(start):
+    for body in (f"<p>{LONG}</p><p>{LONG}</p>", f"<article><p>{LONG}<p>{LONG}</article>", f"{LONG}<p>{LONG}", f"<span>{LONG}</span> <p>{LONG}", f"<img src=a>{LONG}<hr>{LONG}"):
+        assert hx.main_text(start + body)[0] == f"{LONG} {LONG}", body

@@ -17,6 +17,8 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style title textarea noscript template iframe noframes noembed svg math object audio video canvas xmp".split())
 LEAVES = frozenset("p li dd dt h1 h2 h3 h4 h5 h6 td th pre figcaption legend summary option".split())
+#: Elements that a head may hold; any other start tag, and visible text, ends a head that is open.
+IN_HEAD = frozenset("title meta link base basefont bgsound style script noscript template noframes head html".split())
 #: What the start of an element closes: an open element of these, unless one of the limits is nearer.
 CLOSES = {**{t: ({"p"}, frozenset()) for t in BLOCKS}, "li": ({"li", "p"}, {"ul", "ol", "menu", "dir"}), "dd": ({"dd", "dt", "p"}, {"dl"}), "dt": ({"dd", "dt", "p"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -116,8 +118,10 @@ def blocks(page: str | None) -> list[Block]:
 
     def text(raw: str) -> None:
         nonlocal linked, shown, owner
+        if raw and not raw.isspace():
+            end_head()
         top = stack[-1]
-        if raw and not top.hidden and any(e.tag == "head" for e in stack[:4]) is False:
+        if raw and not top.hidden:
             s = html.unescape(raw) if "&" in raw else raw
             n = len(s.split())
             if n and not shown:
@@ -126,6 +130,10 @@ def blocks(page: str | None) -> list[Block]:
             linked += n * top.link
             pieces.append(s)
 
+    def end_head() -> None:
+        if any(e.tag == "head" for e in stack[:4]):
+            close({"head"}, frozenset())
+
     def end_block() -> None:
         nonlocal linked, shown
         words = "".join(pieces).split() if shown else ()
@@ -160,6 +168,8 @@ def blocks(page: str | None) -> list[Block]:
             if any(e.tag == tag for e in stack[1:]):
                 close({tag}, frozenset())
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag == "br":
             pieces.append(" ")
         if tag in VOID:
@@ -174,8 +184,6 @@ def blocks(page: str | None) -> list[Block]:
         if tag in BLOCKS:
             end_block()
             close(*CLOSES[tag])
-            if tag == "body":
-                close({"head"}, frozenset())
         number += 1
         stack.append(element(tag, m["attrs"], stack[-1], number))
     else:
