@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontaminate, fingerprints, html_extract, lm, mixing, secrets, simhash, token_counts, toxicity, url_filter
+from tripmart.llm import decontaminate, fingerprints, html_extract, lm, mixing, secrets, simhash, token_counts, toxicity, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -202,3 +202,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(table(spark, sf_dir, "documents"), vocabulary=lm.VOCABULARY)
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
