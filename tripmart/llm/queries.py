@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontaminate, fingerprints, html_extract, lm, mixing, secrets, simhash, token_counts, toxicity, url_filter, vector_codes
+from tripmart.llm import chat_format, decontaminate, fingerprints, html_extract, lm, mixing, secrets, simhash, token_counts, toxicity, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -207,3 +207,15 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+def with_control_strings(conversations: DataFrame) -> DataFrame:
+    """conversations and one more, -1, whose texts hold control strings."""
+    said = conversations.sparkSession.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return conversations.select("conv_id", "turn", "role", "text").unionByName(said)
+
+
+@query
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(chat_format.chat_windows(with_control_strings(table(spark, sf_dir, "conversations"))))
