@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import chat_format, decontaminate, fingerprints, html_extract, lm, mixing, secrets, simhash, token_counts, toxicity, url_filter, vector_codes
+from tripmart.llm import chat_format, conversation_repair, decontaminate, fingerprints, html_extract, lm, mixing, secrets, simhash, token_counts, toxicity, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -219,3 +219,9 @@ def with_control_strings(conversations: DataFrame) -> DataFrame:
 @query
 def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.chat_windows(with_control_strings(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.digests(conversation_repair.repair(rows))
