@@ -57,6 +57,120 @@ def test_links_match_python_parser_on_pages(spark):
     assert sorted(got) == sorted(want)
 
 
+RAW = ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes")
+
+
+def tokens(page):
+    """Character by character: the href (None: no value) of each anchor, as browsers read them."""
+    out, i, n, low = [], 0, len(page), page.lower()
+    blank = " \t\n\r\f\v"
+    while (i := page.find("<", i)) >= 0:
+        if page.startswith("<!--", i):
+            if page.startswith("<!-->", i) or page.startswith("<!--->", i):
+                i = page.index(">", i) + 1
+                continue
+            ends = [(k, len(e)) for e in ("-->", "--!>") if (k := page.find(e, i + 4)) >= 0]
+            if not ends:
+                return out
+            i = sum(min(ends))
+            continue
+        if page[i + 1:i + 2] in ("!", "?") or page[i + 1:i + 2] == "/" and not page[i + 2:i + 3].isalpha():
+            end = page.find(">", i + 2)
+            if end < 0:
+                return out
+            i = end + 1
+            continue
+        closing = page[i + 1:i + 2] == "/"
+        j = i + 1 + closing
+        if not (j < n and page[j].isascii() and page[j].isalpha()):
+            i += 1
+            continue
+        k = j
+        while k < n and page[k] not in blank + "/>":
+            k += 1
+        name, hrefs = low[j:k], []
+        while True:
+            while k < n and page[k] in blank + "/":
+                k += 1
+            if k >= n:
+                return out
+            if page[k] == ">":
+                break
+            at = k
+            k += 1
+            while k < n and page[k] not in blank + "/>=":
+                k += 1
+            attr, value, m = low[at:k], None, k
+            while m < n and page[m] in blank:
+                m += 1
+            if m < n and page[m] == "=":
+                m += 1
+                while m < n and page[m] in blank:
+                    m += 1
+                if m < n and page[m] in "\"'":
+                    end = page.find(page[m], m + 1)
+                    if end < 0:
+                        return out
+                    value, k = page[m + 1:end], end + 1
+                else:
+                    k = m
+                    while k < n and page[k] not in blank + ">":
+                        k += 1
+                    value = page[m:k]
+            if attr == "href":
+                hrefs.append(value)
+        i = k + 1
+        if name == "a" and not closing and hrefs:
+            out.append(hrefs[0] or "")
+        if name in RAW and not closing:
+            while (i := low.find(f"</{name}", i)) >= 0 and not (i + len(name) + 2 < n and page[i + len(name) + 2] in blank + "/>"):
+                i += 1
+            if i < 0:
+                return out
+    return out
+
+
+def test_links_match_a_plain_tokenizer_on_random_markup(spark):
+    import random
+    r = random.Random(11)
+    bits = ["<a ", "<A\n", "<a/", "<b ", "</a>", "<abbr ", "href", "HREF", "=", " = ", '"', "'", ">", " ", "/", "x", "u1", "it's", "<", "<!--", "-->", "--!>", "<!-->", "<!x", "<?p", "</ ",
+            "<script>", "</script>", "</scripty", "<style ", "</style >", "<title>", "</title>", "href=u2", "href='u 3'", 'href="u>4"', "title='<a href=no>'", "href", "=href=y", "data-href=z"]
+    pages = [(i, "".join(r.choice(bits) for _ in range(r.randrange(1, 25)))) for i in range(4000)]
+    got = {i: [] for i, _ in pages}
+    for row in D.links(spark.createDataFrame(pages, "page_id long, html string")).collect():
+        got[row["page_id"]].append(row["href"])
+    assert sum(map(len, got.values())) > 500
+    for i, page in pages:
+        assert got[i] == tokens(page), page
+
+
+def test_links_of_very_long_and_broken_tags(spark):
+    n = 1_000_000
+    good = '<a href="ok">'
+    pages = [
+        f"<a href={'u' * n}>x</a>{good}", f'<a title="{">" * n}" href=t>', f"<a {'b ' * (n // 2)} href='m'>", f"<a {'c=1 ' * (n // 4)}href=v>", f"<a{' ' * n}href=s>", f"<a {'/' * n} href=p>",
+        f"{good}<a {'x' * n}", f'{good}<a title="{"y" * n}', f"{good}" + "<a " * (n // 3), f"{good}" + "<" * n, f"{good}" + "<!--" * (n // 4), f"{good}<script>" + "</scrip" * (n // 7), f"{good}" + "<a '" * (n // 4),
+        f"{good}" + "&amp;" * (n // 5), f'<a href="{"&amp;" * 20_000}">', None, "", "no markup",
+    ]
+    df = spark.createDataFrame([(i, p, "x", 1) for i, p in enumerate(pages)], "page_id long, html string, _tag string, href int")
+    got = [(r["page_id"], r["href"]) for r in D.links(df).collect()]
+    assert [(i, len(h)) for i, h in got] == [(0, n), (0, 2), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), *((i, 2) for i in range(6, 14)), (14, 20_000)]
+
+
+def test_character_references_in_links(spark):
+    cases = {
+        "a&amp;b": "a&b", "&amp;lt;": "&lt;", "&#65;&#x42;&#X43;": "ABC", "&#38x": "&x", "&#0;&#xD800;&#x110000;&#99999999999;": "&#0;&#xD800;&#x110000;&#99999999999;", "&#128512;": "\U0001f600", "&#0000000000065;": "A",
+        "?x=1&copy=2": "?x=1&copy=2", "?x=1&copy&y": "?x=1©&y", "&copy2": "&copy2", "&copy.": "©.", "&AMP": "&", "&notit;": "&notit;", "&not;": "¬", "&euro": "&euro", "&euro;": "€", "&apos;": "'",
+        "&;&&": "&;&&", "&unknown;": "&unknown;", "&": "&", "&#;&#x;": "&#;&#x;",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, s string")
+    got = {r["s"]: r["d"] for r in df.select("s", D.decode_entities(F.col("s")).alias("d")).collect()}
+    assert got == cases
+    # Of the empty ones: no value, an empty value, and none at all.
+    empty = spark.createDataFrame([(1, "<a href><a href=''><a href= ><a name=x><a hrefs=y>")], "page_id long, html string")
+    assert [r["href"] for r in D.links(empty).collect()] == ["", "", ""]
+
+
 def test_periods_and_keys(spark):
     df = spark.createDataFrame([("https://x/trip-data/yellow_tripdata_2023-01.parquet",),
                                 ("https://x/no-date.parquet",)], "url string")

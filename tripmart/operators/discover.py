@@ -8,7 +8,7 @@ per anchor, duplicates kept); periods and zone keys are string functions;
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,29 +17,50 @@ from ..functions.paths import (key_folder, key_month, key_partition_value,
                                key_period, key_year, partition_key, url_period)
 from ..schema import PERIOD_PATTERN, SOURCE_LINK_PATTERN
 
-_COMMENT = r"(?s)<!--.*?-->"
-_RAW_TEXT = r"(?is)<(script|style)\b.*?</(script|style)\s*>"
-# A whole anchor tag: quoted values may hold '>'.
-_ANCHOR = r"""(?i)<a(?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*)>"""
-# The value of its first attribute named href, after any other whole attributes.
-_HREF = r"""(?i)^<a(?:[\s/]+[^\s/>=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*?[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+# One step of a tag's inside: blanks and slashes, or a whole attribute.  Repeated
+# possessively, so that neither the stack nor the time of a match grows with more
+# than the length of the tag; a quote that is never closed ends it without '>'.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)"""
+_NAME = r"[^\s/>][^\s/>=]*+"
+_ATTRIBUTE = rf"{_NAME}(?:\s*+=\s*+{_VALUE}|(?!\s*+=))"
+_INSIDE = rf"(?:[\s/]++|{_ATTRIBUTE})*+"
+_RAW_TEXT = "script|style|title|textarea|xmp|iframe|noembed|noframes"
+# Everything that begins with '<' in page order, each to its own end, and to the end
+# of the page if that never comes: group 1 is the inside of a whole anchor tag.
+_MARKUP = (rf"(?i)<(?:a(?=[\s/>])({_INSIDE})>"
+           rf"|!--(?:-?>|[\s\S]*?(?:--!?>|\z))"
+           rf"|({_RAW_TEXT})(?=[\s/>]){_INSIDE}(?:>[\s\S]*?(?:</\2(?=[\s/>])|\z)|[\s\S]*+)"
+           rf"|/?[a-z][^\s/>]*+{_INSIDE}(?:>|[\s\S]*+)"
+           rf"|[!?/][^>]*+>?)")
+# The first attribute named href, with its value if it has one.
+_HREF = rf"(?i)^(?:[\s/]++|(?!href(?=[\s/>=]|\z)){_ATTRIBUTE})*+(href(?:\s*+=\s*+{_VALUE})?+)"
+_REFERENCE = r"^(#[0-9]++|#[xX][0-9a-fA-F]++|[a-zA-Z][a-zA-Z0-9]*+)"
+# Names that need no semicolon, where neither '=' nor a letter or digit follows.
+_OPEN_NAMES = sorted(n for n in html5 if not n.endswith(";"))
 
 
 def decode_entities(s: Column) -> Column:
-    """Numeric character references, and named ones of HTML 4 and `&apos;`;
-    each once, so that a decoded `&` starts no new one.  Others stay."""
-    names = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'"}
-    named = F.create_map(*(F.lit(x) for kv in sorted(names.items()) for x in kv))
+    """Character references as in an attribute: numeric ones, with or without a
+    semicolon, and named ones of HTML 4, `&apos;` and the old capitals; without
+    a semicolon only the old names, and not before `=`.  Each once, so that a
+    decoded `&` starts no new one.  Others stay, also numbers of no character."""
+    common = ("amp", "quot", "lt", "gt", "apos", "nbsp")  # looked up first
+    names = {**{n: html5[f"{n};"] for n in common}, **{n: chr(c) for n, c in sorted(name2codepoint.items())},
+             **{n: html5[n] for n in _OPEN_NAMES}}
+    named = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
 
     def decoded(part: Column) -> Column:
         ref = F.regexp_extract(part, _REFERENCE, 1)
-        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 10), 16, 10)) \
-            .when(ref.startswith("#"), F.substring(ref, 2, 10)).cast("long")
-        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        rest = F.substring(part, F.length(ref) + 1, F.length(part))
+        closed = rest.startswith(";")
+        digits = F.regexp_replace(ref, "^#[xX]?0*(?=.)", "")
+        short = F.substring(digits, F.lit(1), F.lit(8))
+        code = F.when(ref.rlike("^#[xX]"), F.conv(short, 16, 10)).when(ref.startswith("#"), short).cast("long")
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF) & (F.length(digits) <= 8)
         char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        text = F.coalesce(char, F.try_element_at(named, ref))
-        return F.when(text.isNotNull(), F.concat(text, F.substring(part, F.length(ref) + 2, F.length(part)))) \
+        open_name = ref.isin(_OPEN_NAMES) & ~rest.startswith("=")
+        text = F.coalesce(char, F.when(closed | open_name, F.try_element_at(named, ref)))
+        return F.when(text.isNotNull(), F.concat(text, F.when(closed, F.substring(rest, F.lit(2), F.length(rest))).otherwise(rest))) \
             .otherwise(F.concat(F.lit("&"), part))
 
     parts = F.split(s, "&", -1)
@@ -53,14 +74,20 @@ def _unquote(v: Column) -> Column:
 
 
 def links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(page_id, href): one row per <a href> outside comments and
-    script/style blocks; double-, single- and un-quoted values."""
-    body = F.regexp_replace(F.col(html_col), _COMMENT, " ")
-    body = F.regexp_replace(body, _RAW_TEXT, " ")
-    tags = F.regexp_extract_all(body, F.lit(_ANCHOR), F.lit(0))
-    x = pages.select(F.col(id_col), F.explode(tags).alias("_tag"))
+    """(page_id, href): one row per <a> tag with an href, in page order.
+
+    The page is read once from end to end the way browsers split it: comments,
+    scripts and other raw text, quoted values that hold '<' or '>', and
+    attributes with double-, single- or un-quoted values; of several href the
+    first counts.  A tag whose '>' or closing quote never comes is none, and
+    takes the rest of the page with it.  An href that is empty, or has no value,
+    gives an empty string; an anchor without one gives no row.  Time grows with
+    the length of the page, and the stack with nothing."""
+    inside = F.regexp_extract_all(F.col(html_col), F.lit(_MARKUP), F.lit(1))
+    x = pages.select(F.col(id_col), F.explode(F.filter(inside, lambda t: t != "")).alias("_tag"))
     x = x.select(F.col(id_col), F.regexp_extract("_tag", _HREF, 1).alias("_v")).where(F.col("_v") != "")
-    return x.select(F.col(id_col), decode_entities(_unquote(F.col("_v"))).alias("href"))
+    value = F.regexp_replace("_v", r"^[^=\s]++\s*+=?+\s*+", "")
+    return x.select(F.col(id_col), decode_entities(_unquote(value)).alias("href"))
 
 
 def filter_links(df: DataFrame, pattern: str = SOURCE_LINK_PATTERN, col: str = "href") -> DataFrame:
