@@ -1,0 +1,222 @@
+"""Months that fail, change, empty or come half-way: ledger, isolation, versions, quarantine, batches."""
+
+import os
+import shutil
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from zone_fixture import write_month
+
+from tripmart.plans import ledger, run, star
+from tripmart.plans.ledger import Entry
+from tripmart.plans.run import load_pending, pending_loads, pending_months, run_history, run_pending
+from tripmart.sources import manifest as M
+from tripmart.sources import raw as R
+from tripmart.sources import zones as Z
+from tripmart.streaming import incremental
+
+W = ("2023-01-01", "2023-12-31")
+
+
+def _folder(root, month, year=2023):
+    path = os.path.join(root, f"year={year}", f"month={month:02d}")
+    os.makedirs(path, exist_ok=True)
+    return path
+
+
+def _garbage(root, month):
+    with open(os.path.join(_folder(root, month), "data.parquet"), "wb") as f:
+        f.write(b"not a parquet file" * 100)
+
+
+def _broken_pages(root, month):
+    """A file whose footer is whole and whose data pages are not."""
+    path = os.path.join(write_month(root, month, n=2000), "data.parquet")
+    with open(path, "r+b") as f:
+        f.seek(200)
+        f.write(b"\xff" * 20_000)
+
+
+def _array_column(root, month):
+    pq.write_table(pa.table({"VendorID": [1], "fare_amount": pa.array([[1.0]])}), os.path.join(_folder(root, month), "data.parquet"))
+
+
+def test_failed_months_leave_the_others_and_are_retried_alone(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    write_month(raw, 1)
+    _garbage(raw, 2)
+    write_month(raw, 3, variant="B")
+    _broken_pages(raw, 4)
+    _array_column(raw, 5)
+    got = {r["status"]: (r["partitions"], r["rows"]) for r in run_pending(spark, raw, out, W).collect()}
+    assert got == {"success": (["year=2023/month=01", "year=2023/month=03"], 10), "failed": ([f"year=2023/month=0{m}" for m in (2, 4, 5)], 0)}
+    errors = {r["month"]: r["error"] for r in run_history(spark, out).where("status = 'failed'").collect()}
+    assert set(errors) == {2, 4, 5} and all(errors.values())
+    assert spark.read.parquet(out).count() == 10
+    assert pending_months(spark, raw, out) == [(2023, 2), (2023, 4), (2023, 5)]
+    # The file is mended: only what had failed is read again.
+    write_month(raw, 2)
+    os.remove(os.path.join(_folder(raw, 4), "data.parquet"))
+    shutil.rmtree(_folder(raw, 5))
+    entries = run.attempt_months(spark, raw, out, pending_months(spark, raw, out), W)
+    assert [(e.month, e.status, e.rows) for e in entries] == [(2, "success", 5)]
+    assert pending_months(spark, raw, out) == [] and spark.read.parquet(out).count() == 15
+
+
+def test_other_errors_end_the_run(spark, tmp_path, monkeypatch):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    write_month(raw, 1)
+    write_month(raw, 2)
+
+    def full(*a, **kw):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(run, "write_zone", full)
+    with pytest.raises(OSError, match="no space"):
+        run_pending(spark, raw, out, W)
+    # Cut off half-way: the months have begun and are pending.
+    assert {r["status"] for r in run_history(spark, out).collect()} == {"started"}
+    assert pending_months(spark, raw, out) == [(2023, 1), (2023, 2)]
+
+
+def test_ledger_says_what_is_pending(spark, tmp_path):
+    runs = str(tmp_path / "runs")
+    inputs = {(2023, m): f"f{m}" for m in range(1, 7)}
+    assert ledger.pending(spark, runs, "transform", inputs) == sorted(inputs)
+    ledger.record(spark, runs, [Entry("transform", 2023, m, f"f{m}", "started") for m in range(1, 6)])
+    ledger.record(spark, runs, [Entry("transform", 2023, 1, "f1", "success", 3), Entry("transform", 2023, 2, "f2", "empty"), Entry("transform", 2023, 3, "f3", "failed", 0, "x" * 9000),
+                                Entry("transform", 2023, 4, "old", "success", 3), Entry("load", 2023, 5, "f5", "success", 3)])
+    assert ledger.pending(spark, runs, "transform", inputs) == [(2023, 3), (2023, 4), (2023, 5), (2023, 6)]
+    assert len(ledger.latest(spark, runs).where("status = 'failed'").first()["error"]) == ledger.ERROR_LENGTH
+
+
+def test_changed_and_emptied_months(spark, tmp_path):
+    """In both stages: a changed file is pending, an emptied month is not, and its rows don't come back."""
+    raw, zone, db = str(tmp_path / "raw"), str(tmp_path / "zone"), "emptied_test"
+    write_month(raw, 1)
+    write_month(raw, 2)
+    run_pending(spark, raw, zone, W)
+    star.create_star_schema(spark, str(tmp_path / "wh"), database=db)
+    assert load_pending(spark, zone, database=db) == [(2023, 1), (2023, 2)] and pending_loads(spark, zone, database=db) == []
+    write_month(raw, 2, n=3, seed=20)
+    assert pending_months(spark, raw, zone) == [(2023, 2)]
+    run.process_months(spark, raw, zone, [(2023, 2)], ("2022-01-01", "2022-12-31"), "grouped")
+    assert pending_months(spark, raw, zone) == [] and pending_loads(spark, zone, database=db) == [(2023, 2)]
+    assert load_pending(spark, zone, database=db) == [(2023, 2)]
+    assert pending_loads(spark, zone, database=db) == [] and load_pending(spark, zone, database=db) == []
+    fact = lambda: spark.table(f"{db}.fact_trips").where("month = 2").count()
+    assert fact() == 0 and spark.table(f"{db}.fact_trips").count() == 5
+    live = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.fact_trips PARTITION (year=2023, month=2)").where("col_name = 'Location'").first()["data_type"]
+    assert spark.read.schema(star.FACT_SCHEMA).parquet(live).count() == 0
+    spark.sql(f"MSCK REPAIR TABLE {db}.fact_trips")
+    assert fact() == 0 and spark.table(f"{db}.fact_trips").count() == 5
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def _text_zone(tmp_path):
+    """Two months of good lines; in February one of three lines of each bad sort too."""
+    zone = str(tmp_path / "text")
+    row = "{},1,2,3,4,5,1,1.609,4,7,1,false,1,17,1.0,0.5,2.0,0.0,1.0,2.5,0.0,21.0\n"
+    header = ",".join(f"h{i}" for i in range(22)) + "\n"
+    bad = "abc" + ",abc" * 21 + "\n" + "short\n" + row.format("long").strip() + ",1,2,3\n"
+    for month, lines in ((1, "".join(row.format(f"j{i}") for i in range(4))), (2, "".join(row.format(f"f{i}") for i in range(9)) + bad)):
+        with open(os.path.join(_folder(zone, month), "part-0.csv"), "w") as f:
+            f.write(header + lines)
+    return zone
+
+
+def test_lines_that_do_not_parse_are_kept_apart(spark, tmp_path):
+    zone = _text_zone(tmp_path)
+    assert Z.read_text_zone(spark, zone).count() == 13 and Z.read_text_zone(spark, zone).where("trip_id is null").count() == 0
+    scanned = Z.scan_text_zone(spark, zone)
+    bad = {r["line"].split(",")[0]: (r["month"], r["path"].endswith("part-0.csv")) for r in Z.bad_lines(scanned).collect()}
+    assert bad == {"abc": (2, True), "short": (2, True), "long": (2, True)}
+    # Whichever columns are asked for.
+    assert Z.read_text_zone(spark, zone).select("trip_id").where("trip_id in ('abc', 'short')").count() == 0
+
+
+def test_error_budget_of_a_load(spark, tmp_path):
+    zone, db = _text_zone(tmp_path), "budget_test"
+    star.create_star_schema(spark, str(tmp_path / "wh"), database=db)
+    assert load_pending(spark, zone, "csv", db, error_budget=0.1) == [(2023, 1)]
+    failed = ledger.latest(spark, star.fact_ledger(spark, db)).where("status = 'failed'").collect()
+    assert [(r["month"], r["error"][:31]) for r in failed] == [(2, "3 of 12 lines don't parse, more")]
+    kept = spark.read.parquet(star.quarantine_folder(spark, db))
+    assert kept.count() == 3 and {r["month"] for r in kept.collect()} == {2}
+    assert spark.table(f"{db}.fact_trips").count() == 4
+    assert load_pending(spark, zone, "csv", db, error_budget=0.25) == [(2023, 2)]
+    assert spark.table(f"{db}.fact_trips").count() == 13 and spark.table(f"{db}.fact_trips").where("trip_id is null").count() == 0
+    with pytest.raises(RuntimeError, match="2023-02: 3 of 12"):
+        star.load_months(spark, zone, [(2023, 1), (2023, 2)], "csv", db)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_alternating_schemas_give_two_scans_and_footers_are_read_once(spark, tmp_path, monkeypatch):
+    raw, kept = str(tmp_path / "raw"), str(tmp_path / "kept")
+    for m in range(1, 9):
+        write_month(raw, m, n=2, variant="AB"[m % 2])
+    df = R.read_raw(spark, raw, manifest=kept)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2 and df.count() == 16
+    probed = []
+    probe = M.probe
+    monkeypatch.setattr(M, "probe", lambda s, f: probed.append(f) or probe(s, f))
+    assert R.read_raw(spark, raw, manifest=kept).count() == 16 and not probed
+    write_month(raw, 3, n=3, variant="C")
+    write_month(raw, 9, n=1)
+    assert R.read_raw(spark, raw, manifest=kept).count() == 18
+    assert sorted(f[-8:] for f in probed) == ["month=03", "month=09"]
+
+
+def test_empty_zone_and_recompressed_zone(spark, tmp_path):
+    empty = str(tmp_path / "empty")
+    os.makedirs(empty)
+    assert R.list_partitions(spark, empty).count() == 0 and R.read_raw(spark, empty).count() == 0
+    assert pending_months(spark, empty, str(tmp_path / "out")) == [] and run_pending(spark, empty, str(tmp_path / "out")).count() == 0
+    assert pending_months(spark, str(tmp_path / "missing"), str(tmp_path / "out")) == []
+    raw, gz = str(tmp_path / "merged"), str(tmp_path / "gz")  # a path is not an error
+    for i in range(3):
+        write_month(raw, 1, n=1, seed=i, name=f"f{i}.parquet")
+        write_month(raw, 2, n=1, seed=i, name=f"f{i}.parquet")
+    assert Z.recompress(spark, raw, gz).count() == 6
+    assert [p[-17:] for p in R.partition_dirs(spark, gz)] == ["year=2023/month=1", "year=2023/month=2"]
+    assert R.read_raw(spark, gz).count() == 6
+    _garbage(raw, 3)
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        R.read_raw(spark, raw)
+
+
+def test_backlog_runs_in_batches_and_a_crash_keeps_those_done(spark, tmp_path, monkeypatch):
+    raw, out, ck = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck")
+    for i in range(24):
+        path = os.path.join(_folder(raw, i % 12 + 1, 2022 + i // 12), "data.parquet")
+        pq.write_table(pa.table({"VendorID": [1]}), path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    worked = []
+
+    def work(spark, raw, out, months, *a):
+        if len(worked) == 2 and not any(w == "crash" for w in worked):
+            worked.append("crash")
+            raise MemoryError("crash")
+        worked.append(months)
+
+    monkeypatch.setattr(incremental, "attempt_months", work)
+    months = [(2022 + i // 12, i % 12 + 1) for i in range(24)]
+    with pytest.raises(Exception, match="crash"):
+        incremental.run_incremental(spark, raw, out, ck, W, files_per_batch=6)
+    assert worked == [months[:6], months[6:12], "crash"]
+    assert incremental.run_incremental(spark, raw, out, ck, W, files_per_batch=6) == [months[12:18], months[18:]]
+    assert worked[3:] == [months[12:18], months[18:]]
+
+
+def test_incremental_retries_failed_months(spark, tmp_path):
+    raw, out, ck = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck")
+    write_month(raw, 1)
+    _garbage(raw, 2)
+    assert incremental.run_incremental(spark, raw, out, ck, W) == [[(2023, 1), (2023, 2)]]
+    assert spark.read.parquet(out).count() == 5
+    write_month(raw, 2, name="more.parquet")
+    os.remove(os.path.join(_folder(raw, 2), "data.parquet"))
+    assert incremental.run_incremental(spark, raw, out, ck, W)[0] == [(2023, 2)]
+    assert spark.read.parquet(out).count() == 10 and run_history(spark, out).where(F.col("status") != "success").count() == 0

@@ -4,11 +4,9 @@ Monthly files disagree on types (bigint vs double, int vs bigint, epoch
 nanos vs timestamp) and on name case (`airport_fee` / `Airport_fee`).
 Spark's `mergeSchema` rejects such mixes, and an imposed read schema
 cannot narrow or switch between integral and floating types, so the raw
-zone's months are grouped into runs whose footers agree (one scan per run),
-each run is cast to the canonical 19-column schema, and the runs are unioned
-by name.  Footers are read by the executors (Spark's schema merge); the
-driver sees one folder per month, and the files of a month only where its
-own files disagree.
+zone's months are grouped by schema (one scan per schema, however the months
+alternate), each group is cast to the canonical 19-column schema, and the
+groups are unioned by name.  See manifest.py for how the schemas are found.
 """
 
 from __future__ import annotations
@@ -23,6 +21,7 @@ from ..functions import epoch_nanos_to_ntz
 from ..functions.timekeys import ntz_from_epoch_seconds
 from ..schema import RAW_COLUMNS, RAW_SCHEMA
 from .adapter import POSITION_COLUMN
+from .manifest import Part, folder_parts, month_folders, probe, scans, zone_files
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -70,54 +69,22 @@ def with_file_position(df: DataFrame) -> DataFrame:
 
 def list_partitions(spark: SparkSession, root: str) -> DataFrame:
     """(path, length, year, month) of every file under a `year=/month=`
-    zone.  Distributed listing; file contents are never read."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-            .load(root).select("path", "length", "year", "month"))
-
-
-def _months_only(listing: DataFrame, months: Iterable[tuple[int, int]] | None) -> DataFrame:
-    if months is None:
-        return listing
-    cond = F.lit(False)
-    for y, m in months:
-        cond = cond | ((F.col("year") == int(y)) & (F.col("month") == int(m)))
-    return listing.where(cond)
+    zone; none in an empty zone.  File contents are never read."""
+    return zone_files(spark, root).select("path", "length", "year", "month")
 
 
 def partition_dirs(spark: SparkSession, root: str,
                    months: Iterable[tuple[int, int]] | None = None) -> list[str]:
-    """Folders of the zone that hold Parquet files, by (year, month): one row
-    per folder reaches the driver."""
-    listing = list_partitions(spark, root.rstrip("/")).where(F.col("path").endswith(".parquet"))
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    rows = _months_only(listing, months).select("year", "month", folder.alias("folder")).distinct()
-    return [r["folder"] for r in sorted(rows.collect(), key=lambda r: (int(r["year"]), int(r["month"]), r["folder"]))]
-
-
-def _files_of(spark: SparkSession, folder: str) -> list[str]:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
-    return sorted(r["path"] for r in files.select("path").collect())
+    """Month folders of the zone that hold Parquet files, by (year, month)."""
+    return [f.path for f in month_folders(spark, root, months)]
 
 
 def schema_runs(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """Folders (or files) cut into runs of one mergeable schema, in order.
-
-    Spark merges the footers of a run on the executors; a run whose types
-    conflict is halved, down to the files of a single folder.  The number of
-    jobs follows the number of schema changes, not of files.
-    """
-    if not paths:
-        return []
-    try:
-        spark.read.option("mergeSchema", True).parquet(*paths).schema  # noqa: B018 (reads footers)
-        return [paths]
-    except Exception as e:
-        if "MERGE" not in str(e).upper() or len(paths) == 1 and paths[0].endswith(".parquet"):
-            raise
-    if len(paths) == 1:
-        return schema_runs(spark, _files_of(spark, paths[0]))
-    half = len(paths) // 2
-    return schema_runs(spark, paths[:half]) + schema_runs(spark, paths[half:])
+    """Folders (or files) grouped by schema, each group in order: one scan per
+    group.  Footers are read once per folder; a folder whose own files disagree
+    is given by its files."""
+    found = [p for path in paths for p in probe(spark, path)]
+    return [list(p.paths) for p in scans(found)]
 
 
 def _base(root: str, example: str) -> str:
@@ -126,14 +93,12 @@ def _base(root: str, example: str) -> str:
     return example[:i] if i > 0 else root
 
 
-def read_raw(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None,
-             with_position: bool = True) -> DataFrame:
-    """Read the raw zone (optionally only some (year, month) partitions),
-    normalised to the canonical schema, plus `year`, `month` and `_src_pos`."""
-    root = root.rstrip("/")
+def read_parts(spark: SparkSession, root: str, parts: Iterable[Part], with_position: bool = True) -> DataFrame:
+    """The given parts of a raw zone, normalised to the canonical schema, plus
+    `year`, `month` and `_src_pos`; one scan per schema."""
     frames = []
-    for run in schema_runs(spark, partition_dirs(spark, root, months)):
-        df = spark.read.option("basePath", _base(root, run[0])).option("mergeSchema", True).parquet(*run)
+    for scan in scans(parts):
+        df = spark.read.option("basePath", _base(root, scan.paths[0])).schema(scan.schema).parquet(*scan.paths)
         if with_position:
             df = with_file_position(df)
         frames.append(normalise(df, keep=("year", "month")))
@@ -144,3 +109,15 @@ def read_raw(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] |
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def read_raw(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None,
+             with_position: bool = True, manifest: str | None = None) -> DataFrame:
+    """Read the raw zone (optionally only some (year, month) partitions),
+    normalised to the canonical schema, plus `year`, `month` and `_src_pos`.
+    A month that can't be read is an error.  `manifest` names a folder that
+    keeps the months' schemas between runs."""
+    parts, errors = folder_parts(spark, month_folders(spark, root, months), manifest)
+    for e in errors.values():
+        raise e
+    return read_parts(spark, root.rstrip("/"), [p for ps in parts.values() for p in ps], with_position)

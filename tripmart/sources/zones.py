@@ -9,6 +9,7 @@ a month replaces it instead of appending a second copy.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ZONE_SCHEMA
+from .manifest import missing_path, probe_files, scans, zone_files
 
 PARTITION_COLUMNS = ("year", "month")
 
@@ -62,13 +64,40 @@ def write_text_zone(df: DataFrame, path: str, **kw) -> None:
     write_zone(df, path, fmt="csv", **kw)
 
 
+#: Column that holds the text of a line that does not parse, null for others.
+BAD_LINE = "_bad_line"
+
+
+def scan_text_zone(spark: SparkSession, root: str, schema: T.StructType = ZONE_SCHEMA) -> DataFrame:
+    """Every line of a CSV zone by position (headers and blank lines skipped),
+    with `year`/`month` from the directory names and the whole line in
+    BAD_LINE if a value has the wrong type, or the line too few or too many
+    values.  Go on with good_lines or bad_lines, which look at all values."""
+    full = T.StructType([*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField(BAD_LINE, T.StringType())])
+    return (spark.read.schema(full).option("header", True).option("enforceSchema", True).option("columnPruning", False)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE).csv(root))
+
+
 def read_text_zone(spark: SparkSession, root: str, schema: T.StructType = ZONE_SCHEMA) -> DataFrame:
-    """Read the CSV zone back with a fixed schema (header skipped, blank
-    lines ignored); `year`/`month` come from the directory names."""
-    full = T.StructType(list(schema.fields) + [T.StructField("year", T.IntegerType()),
-                                               T.StructField("month", T.IntegerType())])
-    return (spark.read.schema(full).option("header", True).option("enforceSchema", True)
-            .option("mode", "PERMISSIVE").csv(root))
+    """Read the CSV zone back with a fixed schema; lines that don't parse are
+    left out (`bad_lines` has them), never read as rows of nulls."""
+    return good_lines(scan_text_zone(spark, root, schema))
+
+
+def _parsed(scanned: DataFrame) -> Column:
+    """Always true, and names every column: a value that nobody asks for is not
+    parsed, and then does not show that its line is bad."""
+    return F.xxhash64(*(F.col(f"`{c}`") for c in scanned.columns if c != BAD_LINE)) >= F.lit(-(1 << 63))
+
+
+def good_lines(scanned: DataFrame) -> DataFrame:
+    """The rows of scan_text_zone that parse."""
+    return scanned.where(F.col(BAD_LINE).isNull() & _parsed(scanned)).drop(BAD_LINE)
+
+
+def bad_lines(scanned: DataFrame) -> DataFrame:
+    """(year, month, path, line) of the lines of scan_text_zone that don't parse."""
+    return scanned.where(F.col(BAD_LINE).isNotNull() & _parsed(scanned)).select("year", "month", F.col("_metadata.file_path").alias("path"), F.col(BAD_LINE).alias("line"))
 
 
 def through_text(df: DataFrame, schema: T.StructType = ZONE_SCHEMA) -> DataFrame:
@@ -94,11 +123,6 @@ def append_table(df: DataFrame, table: str, replace_partitions: bool = False) ->
         df.write.mode("append").insertInto(table)
 
 
-def missing_path(e: Exception) -> bool:
-    """Whether a read failed because its folder does not exist (and for nothing else)."""
-    return "PATH_NOT_FOUND" in str(e)
-
-
 def recompress(spark: SparkSession, src: str, dst: str, codec: str = "gzip") -> DataFrame:
     """Re-encode a `year=/month=` Parquet zone with another codec into `dst`,
     skipping files that are already there.
@@ -106,30 +130,27 @@ def recompress(spark: SparkSession, src: str, dst: str, codec: str = "gzip") ->
     Every source file gets a partition of its own, `year=/month=/file=<hash of
     its key>`, so that files of one month may differ in schema, a late file is
     converted when it comes, and a rerun after a failure replaces what it had
-    written.  Returns the (year, month, file) converted.  Never writes in place."""
-    from .raw import _base, schema_runs
+    written.  Returns the (year, month, file) converted: what one listing
+    showed, so a file that arrives meanwhile waits for the next run.  Never
+    writes in place."""
     src = src.rstrip("/")
-
-    def listing(root: str, glob: str = "*.parquet") -> DataFrame:
-        return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
-
     key = F.regexp_extract("path", r"((?:[^/]*=[^/]*/)+[^/]+)$", 1)
-    source = listing(src).select("path", "year", "month", file_id(key).alias("file"))
+    source = zone_files(spark, src, "*.parquet").where("year is not null and month is not null")
+    source = source.select("path", "year", "month", file_id(key).alias("file"))
     try:
-        done = listing(dst).select(F.regexp_extract("path", r"/file=([^/]*)/", 1).alias("file")).distinct()
+        done = zone_files(spark, dst, "*.parquet").select(F.regexp_extract("path", r"/file=([^/]*)/", 1).alias("file")).distinct()
         source = source.join(done, "file", "left_anti")
     except AnalysisException as e:
         if not missing_path(e):
             raise
-    todo = [r["path"] for r in source.select("path").orderBy("year", "month", "path").collect()]
-    converted = spark.createDataFrame([(int(r["year"]), int(r["month"]), r["file"]) for r in source.collect()],
-                                      "year int, month int, file string")
-    for files in schema_runs(spark, todo):
-        data = spark.read.option("basePath", _base(src, files[0])).option("mergeSchema", True).parquet(*files)
+    todo = sorted((r["year"], r["month"], r["path"], r["file"]) for r in source.collect())
+    months = [[path for *_, path, _ in same] for _, same in groupby(todo, lambda t: t[:2])]
+    for scan in scans(p for paths in months for p in probe_files(spark, paths)):
+        data = spark.read.option("basePath", scan.paths[0][:scan.paths[0].find("/year=")]).schema(scan.schema).parquet(*scan.paths)
         own = F.regexp_extract(F.col("_metadata.file_path"), r"((?:[^/]*=[^/]*/)+[^/]+)$", 1)
         write_zone(data.withColumn("file", file_id(own)), dst, compression=codec, layout=False,
                    partition_cols=(*PARTITION_COLUMNS, "file"))
-    return converted
+    return spark.createDataFrame([(y, m, f) for y, m, _, f in todo], "year int, month int, file string")
 
 
 def file_id(key: Column) -> Column:
