@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,6 +165,36 @@ def null_column_report(df: DataFrame, null_strings: Iterable = (None,),
         f"stack({len(entries)}, {', '.join(entries)}) AS (column, dropped)")
 
 
+def null_columns_of_files(spark: SparkSession, paths: str | Sequence[str], null_strings: Iterable = (None,), null_numbers: Iterable = (None,)) -> DataFrame:
+    """`null_column_report` of a Parquet table, with as little data read as can be.
+
+    A top-level leaf whose set holds None alone is droppable exactly if its
+    count of values is 0, which the files' footers say: those leaves take one
+    aggregate that Spark pushes to the footers.  Only the other leaves are read.
+    (Pushed aggregates need the Parquet reader of another session setting: a
+    session of its own is made for it, and yours keeps its settings.)
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    null_strings, null_numbers = list(null_strings), list(null_numbers)
+    df = spark.read.parquet(*paths)
+    by_footer = [path for path, dtype, in_array in _leaves(df.schema) if path in df.columns and not in_array
+                 and isinstance(dtype, (T.StringType,) + _TESTED_NUMBERS) and (null_strings if isinstance(dtype, T.StringType) else null_numbers) == [None]]
+    if not by_footer:
+        return null_column_report(df, null_strings, null_numbers)
+    counts = footer_counts(spark, paths, by_footer).first()
+    known = spark.createDataFrame([(c, counts[f"n{i}"] == 0) for i, c in enumerate(by_footer)], "column string, dropped boolean")
+    rest = df.drop(*by_footer)
+    return known.unionByName(null_column_report(rest, null_strings, null_numbers)) if rest.columns else known
+
+
+def footer_counts(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(n0, n1, ...): values that are not null in each column of a Parquet table, from its footers."""
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return apart.read.parquet(*paths).agg(*(F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)))
+
+
 def _sql_str(s: str) -> str:
     return s.replace("\\", "\\\\").replace("'", "\\'")
 

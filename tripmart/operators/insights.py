@@ -37,16 +37,25 @@ def borough_pairs(labelled: DataFrame) -> DataFrame:
 
 def borough_pairs_topk(labelled: DataFrame, k: int = 10) -> DataFrame:
     """Most frequent pickup -> dropoff borough pairs."""
-    return borough_pairs(labelled).orderBy(
+    return borough_pairs_ranked(borough_pairs(labelled), k)
+
+
+def borough_pairs_ranked(pairs: DataFrame, k: int = 10) -> DataFrame:
+    """The k most frequent of counted pairs (ties broken by name; NULLs last)."""
+    return pairs.orderBy(
         F.col("trips").desc(), F.col("pickup_borough").asc_nulls_last(),
         F.col("dropoff_borough").asc_nulls_last()).limit(k)
 
 
 def payment_share(labelled: DataFrame, decimals: int = 6) -> DataFrame:
-    """Trips and share of trips per payment type name.  The total is summed up
-    from the (at most a few) aggregated rows and joined to them."""
-    agg = labelled.groupBy("payment_type_name").agg(F.count(F.lit(1)).alias("trips")) \
-        .withColumn("_all", F.lit(1))
+    """Trips and share of trips per payment type name."""
+    return shares(labelled.groupBy("payment_type_name").agg(F.count(F.lit(1)).alias("trips")), decimals)
+
+
+def shares(counted: DataFrame, decimals: int = 6) -> DataFrame:
+    """Share of all trips per payment type name.  The total is summed up from
+    the (at most a few) aggregated rows and joined to them."""
+    agg = counted.withColumn("_all", F.lit(1))
     total = agg.groupBy("_all").agg(F.sum("trips").alias("_total"))
     return agg.join(total, "_all").select(
         "payment_type_name", "trips", F.round(F.col("trips") / F.col("_total"), decimals).alias("share"))

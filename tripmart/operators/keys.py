@@ -10,14 +10,14 @@ on the data: the same on every rerun, under any partitioning, after retries.
 Scale: a naive `row_number() OVER (PARTITION BY name)` sends a group of
 copies to one task; if one trip is copied into a third of the data, that
 task gets a third of the data.  Here each row also carries a salt taken
-from its source position (`_src_pos`, or a running number of the rows where a
-frame has no position), so a name group is split into `salt_buckets`
-sub-groups:
-
-  1. ONE shuffle of the rows by (name hash, salt); `row_number` inside the
-     sub-group gives the local index, and the last row's index its size;
-  2. the sizes come from the same shuffled rows (the branch needs the same
-     columns, so Spark reuses the exchange and the input is read once);
+from its source position (`_src_pos`), so a name group is split into
+`salt_buckets` sub-groups.  A frame without positions is split by the rows'
+content and then by a running number, which only tells equal rows apart.
+
+  1. ONE shuffle of the rows by (name hash, salt) and ONE sort: `row_number`
+     inside the sub-group gives the local index;
+  2. the sizes are counted by hash aggregation over the same shuffled rows
+     (Spark reuses the exchange, so the input is read once; nothing is sorted);
   3. a running sum over the salts of each name gives the sub-group's
      offset (at most `salt_buckets` rows per name, whatever the skew);
   4. offsets join back on (name hash, salt), big side already partitioned.
@@ -93,27 +93,32 @@ def with_trip_id(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS,
     has_pos = position is not None and position in df.columns
     names = [*[c for c in STORAGE_COLUMNS if c in df.columns], *columns]
     rest = [c for c in df.columns if c != position]
+    values = [F.col(f"`{c}`") for c in rest]
     pos = F.coalesce(F.col(position), F.lit(0).cast("bigint")) if has_pos else F.monotonically_increasing_id()
     name = canonical_name(df, names)
-    x = df.select(*[F.col(f"`{c}`") for c in rest], pos.alias("_k_pos"),
-                  F.xxhash64(name).alias("_k_h1"), F.hash(name).alias("_k_h2"),
+    # Without a position, rows of one name are numbered by their content first:
+    # a salt that a rerun may change then only tells rows apart that are equal.
+    content = F.lit(0).cast("bigint") if has_pos else F.xxhash64(*values)
+    x = df.select(*values, pos.alias("_k_pos"),
+                  F.xxhash64(name).alias("_k_h1"), F.hash(name).alias("_k_h2"), content.alias("_k_content"),
                   # (never NULL, or the join below would filter one branch and not the other)
                   F.coalesce(F.pmod(pos, F.lit(salt_buckets)).cast("int"), F.lit(0)).alias("_k_salt"))
-    sub = ["_k_h1", "_k_h2", "_k_salt"]
+    x = x if not has_pos else x.drop("_k_content")
+    sub = ["_k_h1", "_k_h2", *([] if has_pos else ["_k_content"]), "_k_salt"]
+    x = x.repartition(*sub)
     # Ordered by the position, so that rows that share a name but differ in a
-    # sub-cent value get a deterministic number, and by every column, so that
-    # both branches below ask for the same exchange.
-    order = [F.col("_k_pos") if has_pos else F.lit(0), *[F.col(f"`{c}`").asc_nulls_first() for c in rest],
-             F.col("_k_pos")]
-    w = Window.partitionBy(*sub).orderBy(*order)
-    x = x.withColumns({"_k_local": F.row_number().over(w), "_k_next": F.lead(F.lit(1)).over(w)})
-    sizes = x.where(F.col("_k_next").isNull()).select(*sub, F.col("_k_local").cast("bigint").alias("_k_n"))
-    w_name = (Window.partitionBy("_k_h1", "_k_h2").orderBy("_k_salt")
+    # sub-cent value get a deterministic number.
+    w = Window.partitionBy(*sub).orderBy(F.col("_k_pos") if has_pos else F.lit(0), *[c.asc_nulls_first() for c in values])
+    # Sizes are counted by hashing over the rows' own exchange: what the digest
+    # of all columns is for is that this branch asks for the same columns.
+    sizes = x.groupBy(*sub).agg(F.count(F.lit(1)).alias("_k_n"), F.max(F.xxhash64(*values, "_k_pos")).alias("_k_any"))
+    sizes = sizes.where(F.col("_k_any").isNotNull()).select(*sub, "_k_n")
+    w_name = (Window.partitionBy("_k_h1", "_k_h2").orderBy(*sub[2:])
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select(*sub, F.coalesce(F.sum("_k_n").over(w_name), F.lit(0)).alias("_k_off"))
-    y = x.join(offsets, on=sub, how="inner")
+    y = x.withColumn("_k_local", F.row_number().over(w)).join(offsets, on=sub, how="inner")
     occurrence = (F.col("_k_off") + F.col("_k_local")).cast("string")
     return y.select(
         uuid5(F.concat_ws("-", canonical_name(df, names), occurrence)).alias(id_col),
-        *[F.col(f"`{c}`") for c in rest],
+        *values,
     )

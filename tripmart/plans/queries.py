@@ -25,10 +25,13 @@ from ..operators.marts import trips_datetime, trips_labelled
 from ..schema import DRIVER_WINDOW, FOREIGN_KEYS, LOAD_MAPPING, RAW_NAMES
 from ..sources.adapter import POSITION_COLUMN, table
 from ..sources.raw import normalise
-from ..sources.zones import through_text
+from ..sources.zones import read_text_zone, through_text, write_text_zone
+from . import insight_states
 from . import oracle as O
 from .driver import driver_dims, driver_raw, driver_stages
 from .memo import memo
+from .run import run_pending
+from .scratch import scratch_folder
 from .transform import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,6 +232,23 @@ def q_fact_loaded(spark, sf):
     return load_mapping(through_text(driver_stages(spark, sf)["fact"]))
 
 
+def raw_by_month(spark, sf) -> DataFrame:
+    """The raw trips with the storage month that their file would be in."""
+    pickup = F.col("tpep_pickup_datetime")
+    return driver_raw(spark, sf, with_position=False).withColumns({"year": F.year(pickup), "month": F.month(pickup)})
+
+
+@register("fact_loaded_text", O.with_fact("SELECT * FROM loaded"))
+def q_fact_loaded_text(spark, sf):
+    """The load through a real text zone: written as CSV by month, read back
+    by position, lines that don't parse left out, mapped."""
+    zone = scratch_folder(spark, "text-zone")
+    fact = driver_stages(spark, sf)["fact"]
+    month = (F.floor(F.col("pickup_date_id") / 31) + 1).cast("int")
+    write_text_zone(fact.withColumns({"year": F.lit(1999), "month": month}), zone)
+    return load_mapping(read_text_zone(spark, zone))
+
+
 def _null_report_sql() -> str:
     parts = []
     for _, src_t, dst, dst_t in LOAD_MAPPING:
@@ -484,6 +504,27 @@ def q_passenger_premium(spark, sf):
     return I.passenger_premium(warehouse_measures(spark, sf))
 
 
+def _states(spark, sf) -> DataFrame:
+    """The fact's monthly states (storage months from the pickup dates)."""
+    dims = driver_dims(spark, sf)
+    month = (F.floor(F.col("pickup_date_id") / 31) + 1).cast("int")
+    fact = warehouse_measures(spark, sf).withColumns({"year": F.lit(1999), "month": month})
+    return insight_states.month_states(fact, dims["dim_dates"], dims["dim_times"])
+
+
+@register("demand_heatmap_merged", O.with_fact(_HEATMAP_SQL, dims=True))
+def q_demand_heatmap_merged(spark, sf):
+    """The heat map put together from the states of all months."""
+    return insight_states.heatmap(_states(spark, sf))
+
+
+@register("avg_total_merged", O.with_fact("""
+SELECT passenger_count, count(*) AS trips, round(avg(total_amount), 4) AS avg_total_amount
+FROM loaded GROUP BY 1"""))
+def q_avg_total_merged(spark, sf):
+    return insight_states.avg_total_by_passengers(_states(spark, sf))
+
+
 # =================================================================== B. discovery
 
 # Pattern used on the driver pages (their links are site-relative words).
@@ -652,3 +693,23 @@ def q_load_audit_kept(spark, sf):
     results = j.select("key", F.when(n > 0, "success").otherwise("empty").alias("status"),
                        n.alias("rows"))
     return D.audit(results)
+
+
+@register("run_audit", f"""WITH {O.fact_ctes(mode="grouped")},
+months AS (SELECT year(tpep_pickup_datetime) AS y, month(tpep_pickup_datetime) AS m FROM ({O.RAW_TRIPS_SQL}) GROUP BY 1, 2),
+counts AS (SELECT year(tpep_pickup_datetime) AS y, month(tpep_pickup_datetime) AS m, count(*) AS n FROM cleaned GROUP BY 1, 2),
+results AS (SELECT 'year=' || months.y || '/month=' || lpad(CAST(months.m AS VARCHAR), 2, '0') AS key,
+                   CASE WHEN months.y = 1999 AND months.m = 3 THEN 'failed' WHEN coalesce(n, 0) > 0 THEN 'success' ELSE 'empty' END AS status,
+                   CASE WHEN months.y = 1999 AND months.m = 3 THEN 0 ELSE coalesce(n, 0) END AS rows
+            FROM months LEFT JOIN counts ON months.y = counts.y AND months.m = counts.m)
+SELECT status, list_sort(list(key)) AS partitions, count(*) AS n_partitions, CAST(sum(rows) AS BIGINT) AS rows
+FROM results GROUP BY status""")
+def q_run_audit(spark, sf):
+    """A whole run over a raw zone of all months, one of which has a file that
+    can't be read as trips: it fails alone, months outside the window are empty."""
+    folder = scratch_folder(spark, "run-audit")
+    raw = raw_by_month(spark, sf)
+    raw.repartition("year", "month").write.partitionBy("year", "month").parquet(f"{folder}/raw")
+    broken = raw.where("year = 1999 and month = 3").withColumn("fare_amount", F.array("fare_amount"))
+    broken.coalesce(1).write.mode("append").partitionBy("year", "month").parquet(f"{folder}/raw")
+    return run_pending(spark, f"{folder}/raw", f"{folder}/out", DRIVER_WINDOW, "grouped")
