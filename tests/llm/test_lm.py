@@ -84,7 +84,7 @@ def test_training_learns():
     ids = (np.arange(WINDOW + 1) + r.integers(0, 20, (400, 1))) % 20  # each id fixes the next
     w = Weights.initial(np.bincount(ids.reshape(-1), minlength=attention.CLASSES).astype(float))
     before = attention.loss_and_gradient(w, ids)[0]
-    after = attention.loss_and_gradient(attention.train(w, ids.astype(np.int16), least_steps=150), ids)[0]
+    after = attention.loss_and_gradient(attention.train(w, ids.astype(np.int16), epochs=12), ids)[0]
     assert after < 0.3 * before
 
 
@@ -152,21 +152,12 @@ def test_subwords_are_those_of_single_words():
         assert subwords.known_counts(subwords.places(w)).tolist() == [5 if x == b"the" else -1 for x in w]
 
 
-def test_training_windows():
-    subwords = lm.Subwords(lm.VOCABULARY)
-    classes = lm.Classes(np.arange(subwords.size))
-    texts = [None, "", "one", "many words " * 500, "x" * 9000, " ".join(f"n{i}" for i in range(3000))]
-    rows = lm.training_windows(texts, lm.VOCABULARY, classes)
-    assert len(rows) == sum(1 + len(t or "") // lm.CHARS_PER_WINDOW for t in texts) and rows.shape[1] == WINDOW + 1
-    assert rows[0].tolist() == [classes.end, classes.end] + [-1] * (WINDOW - 1)
-    assert (rows[3:] >= 0).any(1).all() and (rows[-1] >= 0).all()
-
-
 def test_all_windows_cover_every_token():
     subwords = lm.Subwords(lm.VOCABULARY)
     classes = lm.Classes(np.arange(subwords.size))
     texts = [None, "", "one", "many Words " * 500, "x" * 9000, " ".join(f"n{i}" for i in range(3000)), "a " * (WINDOW - 1), "a " * WINDOW]
-    rows, at = lm.all_windows(texts, subwords, classes), 0
+    (rows, counts), at = lm.all_windows(texts, subwords, classes), 0
+    assert counts.tolist() == [max(1, -(-(sum(len(encoder(lm.VOCABULARY)[0].encode_ordinary(" " + w)) for w in words(t)) + 1) // WINDOW)) for t in texts]
     for t in texts:
         want = classes.of[[i for w in words(t) for i in encoder(lm.VOCABULARY)[0].encode_ordinary(" " + w)] + [subwords.size - 1]].tolist()
         own = rows[at:at + -(-len(want) // WINDOW)]
@@ -174,15 +165,53 @@ def test_all_windows_cover_every_token():
         targets = own[:, 1:].reshape(-1)
         assert targets[targets >= 0].tolist() == want == targets[:len(want)].tolist()
         assert own[:, 0].tolist() == [classes.end, *own[:-1, -1].tolist()]
-    assert at == len(rows) and len(lm.all_windows([], subwords, classes)) == 0
+    assert at == len(rows) and len(lm.all_windows([], subwords, classes)[0]) == 0
+
+
+def learned_from(spark, texts):
+    frame = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "text string, h long")
+    return frame, lm.Classes(lm.subword_counts(lm.word_counts(frame), lm.VOCABULARY))
 
 
-def test_partitions_train_on_every_token(spark, tmp_path, monkeypatch):
-    """The windows that partitions are averaged by hold as many targets as the texts have tokens and ends."""
-    texts = ["word " * 4000, "other words here " * 700, None, "short"]
-    frame = spark.createDataFrame([(t,) for t in texts], "text string")
-    classes = lm.Classes(lm.subword_counts(lm.word_counts(frame), lm.VOCABULARY))
+@pytest.mark.parametrize("per_shard", [65_536, 8])
+def test_every_token_is_trained_on_once(spark, monkeypatch, per_shard):
+    """The windows that shards go through in all rounds hold as many targets as the texts have tokens and ends."""
+    monkeypatch.setattr(lm, "WINDOWS_PER_SHARD", per_shard)
+    texts = ["word " * 4000, "other words here " * 700, None, "short", "short"]
+    frame, classes = learned_from(spark, texts)
     seen = []
     monkeypatch.setattr(lm, "average", lambda sums, size: seen.append(sum(r["n"] for r in sums.collect())))
     lm.fit(frame, classes, lm.VOCABULARY)
-    assert seen == [sum(-(-(len(words(t)) + 1) // WINDOW) for t in texts)]
+    assert len(seen) == lm.ROUNDS and sum(seen) == sum(-(-(len(words(t)) + 1) // WINDOW) for t in texts)
+
+
+def test_weights_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "WINDOWS_PER_SHARD", 256)
+    r = random.Random(8)
+    texts = [" ".join(r.choice(["the", "of", f"w{r.randint(0, 99)}"]) for _ in range(r.randint(1, 300))) for _ in range(200)]
+    frame, classes = learned_from(spark, texts)
+    one, many = (lm.fit(frame.repartition(n), classes, lm.VOCABULARY, rounds=3).vector for n in (1, 7))
+    assert np.abs(one - many).max() < 1e-5 and np.abs(one - Weights.initial(classes.counts).vector).max() > 0.05
+
+
+def test_word_shares():
+    """Each word is spelled, or drawn by its count if it is frequent; probabilities add up over both ways."""
+    spelled = np.log([0.5, 0.25, 0.1, 0.2])
+    shares = [np.log([1.0, 0.5, 1.0]), np.log([0.25])]
+    got = lm.word_scores(spelled, shares, [np.array([2, 1]), np.array([1])], [np.array([3, -1]), np.array([10])], 0.75, 20)
+    spelt = (0.0625 * 0.1, 0.05)
+    mixed = ((0.25 * 0.0625 + 0.75 * 3 / 20) * (0.25 * 0.1), 0.25 * 0.05 + 0.75 * 10 / 20)
+    assert got == pytest.approx([math.log((a + b) / 2) for a, b in zip(spelt, mixed, strict=True)])
+    assert lm.word_scores(spelled, shares, [np.array([2, 1]), np.array([1])], [np.array([3, -1]), np.array([10])], 0.0, 20) == pytest.approx([math.log(x) for x in spelt])
+    assert len(lm.word_scores(np.zeros(0), [], [], [], 0.5, 1)) == 0
+
+
+def test_texts_learned_from_are_likelier_than_by_word_counts(spark):
+    """On the documents, whose words are seen in training; in 2 and in 8 partitions alike."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = [{(x.doc_id, x.score) for x in lm.scores(docs.repartition(n)).where("not held_out").collect()} for n in (2, 8)]
+    assert {i for i, _ in got[0]} == {i for i, _ in got[1]}
+    a, b = (np.array([x for _, x in sorted(g)]) for g in got)
+    assert np.abs(a - b).max() < 1e-3
+    base = lm.scores(docs, rounds=1).where("not held_out").selectExpr("sum(base_score)").first()[0]
+    assert a.sum() > base

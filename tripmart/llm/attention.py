@@ -7,16 +7,14 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Positions of a window, width of the model, and the two levels of the output: GROUPS groups of MEMBERS classes.
-WINDOW, WIDTH, GROUPS, MEMBERS = 24, 16, 32, 32
+WINDOW, WIDTH, GROUPS, MEMBERS = 32, 16, 32, 32
 CLASSES = GROUPS * MEMBERS
 #: A later window scores its last STRIDE positions; the ones before are context that the window before has scored.
-STRIDE = 20
+STRIDE = 24
 #: Logits are kept within this bound, so that sums of exponentials stay finite without subtracting maxima.
 BOUND = 60.0
 #: Share of the classes' overall frequencies that is mixed into every prediction.
 MIX = 0.05
-#: Passes over a partition's windows at most, where they are few.
-MOST_EPOCHS = 20
 #: Windows attended together, and how many such batches share one output step.
 BATCH, GATHER = 64, 8
 
@@ -132,15 +130,20 @@ class Scorer:
         return np.log(out, out=out)
 
     def score(self, texts: list[np.ndarray], begin: int) -> np.ndarray:
-        """Log probability (natural) of each text, an array of class ids: every id is scored once, from overlapping windows.
+        """Log probability (natural) of each text, an array of class ids."""
+        each = self.positions(texts, begin)
+        return np.bincount(np.repeat(np.arange(len(texts)), [len(t) for t in texts]), each, len(texts)) if texts else np.zeros(0)
+
+    def positions(self, texts: list[np.ndarray], begin: int) -> np.ndarray:
+        """Log probability (natural) of every id of all texts, one after the other: each is scored once, from overlapping windows.
 
         begin: the class that precedes each text.  Windows of all texts are
         batched; memory is bounded by the batch and the texts' ids.
         """
-        total = np.zeros(len(texts))
+        lengths = np.array([len(t) for t in texts], np.int64)
+        total, places = np.zeros(int(lengths.sum())), np.cumsum(lengths) - lengths
         if not texts:
             return total
-        lengths = np.array([len(t) for t in texts])
         counts = windows_of(lengths)
         owner = np.repeat(np.arange(len(texts)), counts)
         start = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * STRIDE
@@ -149,7 +152,7 @@ class Scorer:
         for b, t in zip(begins, texts, strict=False):
             flat[b + 1:b + 1 + len(t)] = t
         step = np.arange(WINDOW + 1)
-        rows, targets, owners = [], [], []
+        rows, targets, at_places = [], [], []
         for i in range(0, len(owner), BATCH):
             s, o = start[i:i + BATCH], owner[i:i + BATCH]
             ids = flat[(begins[o] + s)[:, None] + step]
@@ -157,11 +160,10 @@ class Scorer:
             at = np.flatnonzero(fresh)
             rows.append(self.attend(ids[:, :-1])[at])
             targets.append(ids[:, 1:].reshape(-1)[at])
-            owners.append(o[at // WINDOW])
+            at_places.append((places[o] + s)[at // WINDOW] + at % WINDOW)
             if len(rows) == GATHER or i + BATCH >= len(owner):
-                lp = self.log_probability(np.concatenate(rows), np.concatenate(targets))
-                total += np.bincount(np.concatenate(owners), lp, len(texts))
-                rows, targets, owners = [], [], []
+                total[np.concatenate(at_places)] = self.log_probability(np.concatenate(rows), np.concatenate(targets))
+                rows, targets, at_places = [], [], []
         return total
 
 
@@ -177,36 +179,42 @@ def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
     target = ids[:, 1:].reshape(-1).astype(np.int64)
     scored = np.flatnonzero(target >= 0)
     flat, target = r.reshape(-1, WIDTH)[scored], target[scored]
-    n, rows = max(1, len(flat)), np.arange(len(flat))
+    n = max(1, len(flat))
     group, member = target // MEMBERS, target % MEMBERS
-    p = flat @ w.group + w.group_bias
-    p = np.exp(p - p.max(1, keepdims=True))
-    p /= p.sum(1, keepdims=True)
-    loss = -np.log(p[rows, group] + 1e-30).sum()
-    p[rows, group] -= 1
-    p /= n
+    loss, back = 0.0, np.empty_like(flat)
+
+    def errors(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Gradient of the mean loss by logits, which are used up; adds to the loss."""
+        nonlocal loss
+        np.clip(logits, -BOUND, BOUND, out=logits)
+        own = np.arange(len(chosen))
+        loss -= float(logits[own, chosen].sum(dtype=np.float64))
+        np.exp(logits, out=logits)
+        sums = logits.sum(1)
+        loss += float(np.log(sums).sum(dtype=np.float64))
+        logits /= (sums * n)[:, None]
+        logits[own, chosen] -= 1 / n
+        return logits
+
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    flat, group, member = flat[order], group[order], member[order]
+    p = errors(flat @ w.group + w.group_bias, group)
     g.group[:] = flat.T @ p
     g.group_bias[:] = p.sum(0)
-    back = p @ w.group.T
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for i in range(GROUPS):
-        at = order[cuts[i]:cuts[i + 1]]
-        if len(at):
-            p = flat[at] @ w.member[i] + w.member_bias[i]
-            p = np.exp(p - p.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            own = np.arange(len(at))
-            loss -= np.log(p[own, member[at]] + 1e-30).sum()
-            p[own, member[at]] -= 1
-            p /= n
-            g.member[i] = flat[at].T @ p
+    np.matmul(p, w.group.T, out=back)
+    cuts = np.searchsorted(group, np.arange(GROUPS + 1))
+    for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        if low < high:
+            some = flat[low:high]
+            p = errors(some @ w.member[i] + w.member_bias[i], member[low:high])
+            g.member[i] = some.T @ p
             g.member_bias[i] = p.sum(0)
-            back[at] += p @ w.member[i].T
+            back[low:high] += p @ w.member[i].T
     dr = np.zeros_like(r)
-    dr.reshape(-1, WIDTH)[scored] = back
+    dr.reshape(-1, WIDTH)[scored[order]] = back
     dh = dr.copy()
-    g.out[:] = np.einsum("bli,blj->ij", m, dr, optimize=True)
+    together = lambda left, right: left.reshape(-1, WIDTH).T @ right.reshape(-1, WIDTH)
+    g.out[:] = together(m, dr)
     dm = dr @ w.out.T
     da = np.matmul(dm, v.transpose(0, 2, 1))
     dv = np.matmul(a.transpose(0, 2, 1), dm)
@@ -214,27 +222,37 @@ def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
     ds *= (np.abs(raw) < BOUND) * np.float32(WIDTH ** -0.5)
     dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
     for name, d in (("query", dq), ("key", dk), ("value", dv)):
-        getattr(g, name)[:] = np.einsum("bli,blj->ij", h, d, optimize=True)
+        getattr(g, name)[:] = together(h, d)
         dh += d @ getattr(w, name).T
     g.place[:] = dh.sum(0)
-    np.add.at(g.embed, x.reshape(-1), dh.reshape(-1, WIDTH))
-    return float(loss) / n, g.vector
-
-
-def train(w: Weights, windows: np.ndarray, least_steps: int = 1, batch: int = 32, rate: float = 0.02, seed: int = 1) -> Weights:
-    """Weights after Adam over the windows (n, WINDOW + 1), each at least once, in least_steps steps if MOST_EPOCHS allow."""
-    vector = w.vector.copy()
-    first, second = np.zeros_like(vector), np.zeros_like(vector)
-    r, step = np.random.default_rng(seed), 0
-    per_epoch = -(-len(windows) // batch)
-    epochs = min(MOST_EPOCHS, max(1, -(-least_steps // max(1, per_epoch))))
-    for _ in range(epochs if len(windows) else 0):
-        order = r.permutation(len(windows))
-        for i in range(0, len(order), batch):
-            _, grad = loss_and_gradient(Weights(vector), windows[order[i:i + batch]])
-            step += 1
-            first = 0.9 * first + 0.1 * grad
-            second = 0.99 * second + 0.01 * grad * grad
-            now = rate * min(1.0, 2.0 * (1 - step / (epochs * per_epoch + 1)))
-            vector = vector - np.float32(now) * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
-    return Weights(vector.astype(np.float32))
+    ids = x.reshape(-1)
+    for i, column in enumerate(dh.reshape(-1, WIDTH).T):
+        g.embed[:, i] = np.bincount(ids, column, CLASSES)
+    return loss / n, g.vector
+
+
+class Adam:
+    """Steps of gradient descent with momenta, from given weights."""
+
+    def __init__(self, w: Weights, rate: float):
+        self.vector, self.rate, self.steps = w.vector.copy(), rate, 0
+        self.first, self.second = np.zeros_like(self.vector), np.zeros_like(self.vector)
+
+    def step(self, windows: np.ndarray) -> float:
+        """One step on a batch of windows (n, WINDOW + 1); returns its loss before."""
+        loss, grad = loss_and_gradient(Weights(self.vector), windows)
+        self.steps += 1
+        self.first += np.float32(0.1) * (grad - self.first)
+        self.second += np.float32(0.02) * (grad * grad - self.second)
+        first, second = self.first / np.float32(1 - 0.9 ** self.steps), self.second / np.float32(1 - 0.98 ** self.steps)
+        self.vector -= np.float32(self.rate) * first / (np.sqrt(second) + np.float32(1e-8))
+        return loss
+
+
+def train(w: Weights, windows: np.ndarray, epochs: int = 1, batch: int = 32, rate: float = 0.02) -> Weights:
+    """Weights after so many passes over the windows, in their order."""
+    adam = Adam(w, rate)
+    for _ in range(epochs):
+        for i in range(0, len(windows), batch):
+            adam.step(windows[i:i + batch])
+    return Weights(adam.vector)

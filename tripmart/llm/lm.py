@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -10,13 +11,12 @@ from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm import attention
-from tripmart.llm.attention import CLASSES, WINDOW, Scorer, Weights
-from tripmart.llm.graph import cut_lineage
+from tripmart.llm.attention import CLASSES, WINDOW, Adam, Scorer, Weights
+from tripmart.llm.graph import cut_lineage, shared_folder
 from tripmart.llm.text import per_text
 from tripmart.llm.token_counts import encoder
 
@@ -28,14 +28,12 @@ END = " "
 FREQUENT = 200_000
 #: Words kept with their subwords in a task.
 CACHE = 400_000
-#: Windows, sampled by a hash, that the common weights start from: about so many at most.
-START = 20_000
 #: Texts encoded together when all of their windows are cut.
 SLICE = 512
-#: Passes of training over all windows: in each, every partition goes on from the common weights, which are then averaged.
-ROUNDS = 1
-#: Windows of each text that the start's sample is drawn from: one, and one more for so many characters.
-CHARS_PER_WINDOW = 8000
+#: Rounds of training: the windows of a text are dealt over them, and each ends with the mean of all shards' weights.
+ROUNDS = 8
+#: Windows of a shard, which goes through its part of a round alone; windows of a step; and the first round's step width.
+WINDOWS_PER_SHARD, BATCH, RATE = 65_536, 128, 0.03
 #: Weight vectors added up by one task when averaging.
 FAN_IN = 32
 LN10 = float(np.log(10))
@@ -158,6 +156,11 @@ class Subwords:
             out = np.concatenate([ids, out])
         return out
 
+    def sizes(self, places: np.ndarray) -> np.ndarray:
+        """Number of tokens of words at places."""
+        starts = np.frombuffer(self.starts, np.int64)
+        return starts[places + 1] - starts[places] if len(places) else np.zeros(0, np.int64)
+
     def known_counts(self, places: np.ndarray) -> np.ndarray:
         """Corpus counts of words at places; -1 if a word is not frequent."""
         return np.frombuffer(self.counts, np.int64)[places] if len(places) else np.zeros(0, np.int64)
@@ -205,28 +208,8 @@ class Classes:
         self.end = int(self.of[-1])
 
 
-def training_windows(texts: list[str | None], vocabulary: str, classes: Classes) -> np.ndarray:
-    """Windows (n, WINDOW + 1) of class ids from places of each text that its hash chooses, for the start; -1 beyond a text's end."""
-    out = []
-    for text in texts:
-        text = text or ""
-        for i in range(1 + len(text) // CHARS_PER_WINDOW):
-            draw = xxhash.xxh64_intdigest(text, i)
-            at, size = draw % (max(0, len(text) - 4 * WINDOW) + 1), 6 * WINDOW
-            while (n := len(some := text[at:at + size].encode().lower().split())) < WINDOW // 2 + 3 and at + size < len(text):
-                size *= 2
-            whole = at + size >= len(text)
-            some = some[at > 0:n - (not whole)]  # words that the piece may have cut
-            ids = np.concatenate([[classes.end] * (at == 0), classes.of[encoded(some, vocabulary)[0]], [classes.end] * whole])
-            skip = (draw >> 32) % (max(0, len(ids) - WINDOW - 1) + 1)
-            row = np.full(WINDOW + 1, -1, np.int16)
-            row[:len(ids[skip:skip + WINDOW + 1])] = ids[skip:skip + WINDOW + 1]
-            out.append(row)
-    return np.array(out, np.int16).reshape(-1, WINDOW + 1)
-
-
-def all_windows(texts: list[str | None], subwords: Subwords, classes: Classes) -> np.ndarray:
-    """Consecutive windows (n, WINDOW + 1) of class ids over whole texts, in which each token and end is a target once; -1 beyond a text's end.
+def all_windows(texts: list[str | None], subwords: Subwords, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, number of each text's).  Consecutive windows (n, WINDOW + 1) of class ids over whole texts, in which each token and end is a target once; -1 beyond a text's end.
 
     The last id of a window is the first of the text's next one, where it is context alone.
     """
@@ -240,7 +223,7 @@ def all_windows(texts: list[str | None], subwords: Subwords, classes: Classes) -
     rows[:, 1:] = targets.reshape(-1, WINDOW)
     rows[1:, 0] = rows[:-1, -1]
     rows[firsts, 0] = classes.end
-    return rows
+    return rows, counts
 
 
 def average(sums: DataFrame, size: int) -> np.ndarray | None:
@@ -269,58 +252,97 @@ def summed(total: np.ndarray, n: int) -> pa.RecordBatch:
 
 
 def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUNDS) -> Weights:
-    """Weights learned from every token of every text.
+    """Weights learned from every token of every text (columns text, h: a hash of the row).
 
-    They start from a sample of windows, so that averages are of like models.
-    Then each partition trains on all windows of its texts, which cover them
-    from end to end, and the weights are averaged, so many rounds.
+    Each text is cut into windows that cover it from end to end, and those
+    are dealt over the rounds.  In a round, each shard of texts goes on from the
+    common weights through its windows, in the order of their hashes; then
+    the weights are averaged.  Shards and order follow from the rows and
+    their number alone, not from partitions, so a rerun on any cluster learns the same.
     """
-    texts = texts.select("text")
+    folder = f"{shared_folder(texts.sparkSession).rstrip('/')}/windows-{uuid.uuid4().hex}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = training_windows(batch.column(0).to_pylist(), vocabulary, classes)
-            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([len(rows)], pa.int64())], names=["windows", "n"])
-
-    windows = cut_lineage(texts.mapInArrow(cut, "windows binary, n long"))
-    total = windows.agg(F.sum("n")).first()[0] or 0
-    share = int(2 ** 64 * min(1.0, START / max(1, total)))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.concatenate([np.zeros(0, np.int16), *(np.frombuffer(w, np.int16) for w in batch.column(0).to_pylist())]).reshape(-1, WINDOW + 1)
-            kept = [r.tobytes() for r in rows if xxhash.xxh64_intdigest(r.tobytes()) < share]
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(kept)], pa.binary())], names=["windows"])
-
-    sample = b"".join(bytes(r["windows"]) for r in windows.mapInArrow(pick, "windows binary").collect())
-    sample = np.frombuffer(sample, np.int16).reshape(-1, WINDOW + 1)
-    weights = attention.train(Weights.initial(classes.counts), sample, least_steps=600, rate=0.03)
+        subwords = Subwords(vocabulary)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                windows, counts = all_windows(batch.column(1).to_pylist(), subwords, classes)
+                out, first = [], 0
+                for h, n in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):
+                    own = windows[first:first + n]
+                    first += n
+                    for i in range(min(n, rounds)):
+                        some = own[i::rounds]
+                        out.append(((h + i) % rounds, h, some.tobytes(), len(some)))
+                columns = list(zip(*out, strict=True)) or [[], [], [], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["round", "h", "windows", "n"])
+
+    texts.select("h", "text").mapInArrow(cut, "round int, h long, windows binary, n long").write.partitionBy("round").parquet(folder)
+    table = texts.sparkSession.read.schema("h long, windows binary, n long, round int").parquet(folder)
+    shards = max(1, -(-(table.agg(F.sum("n")).first()[0] or 0) // WINDOWS_PER_SHARD))
+    weights = Weights.initial(classes.counts)
     for round_no in range(rounds):
-        now = weights
-
-        def run(batches: Iterator[pa.RecordBatch], now: Weights = now, seed: int = round_no) -> Iterator[pa.RecordBatch]:
-            subwords = Subwords(vocabulary)
-            found = [all_windows(b.column(0).slice(at, SLICE).to_pylist(), subwords, classes) for b in batches for at in range(0, b.num_rows, SLICE)]
-            found = np.concatenate([np.zeros((0, WINDOW + 1), np.int16), *found])
-            if len(found):
-                trained = attention.train(now, found, rate=0.01, seed=seed)
-                yield summed(trained.vector.astype(np.float64) * len(found), len(found))
-
-        mean = average(texts.mapInArrow(run, SUM_FIELDS), len(weights.vector))
-        if mean is None:
-            return weights
-        weights = Weights(mean.astype(np.float32))
+        now, rate = weights, RATE * (1 - round_no / rounds)
+
+        def run(batches: Iterator[pa.RecordBatch], now: Weights = now, rate: float = rate) -> Iterator[pa.RecordBatch]:
+            shard, adam, left, n = None, None, np.zeros((0, WINDOW + 1), np.int16), 0
+
+            def ended() -> pa.RecordBatch:
+                if len(left):
+                    adam.step(left)
+                return summed(adam.vector.astype(np.float64) * n, n)
+
+            for batch in batches:
+                for number, windows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if number != shard:
+                        if adam is not None:
+                            yield ended()
+                        shard, adam, left, n = number, Adam(now, rate), left[:0], 0
+                    fresh = np.frombuffer(windows.as_buffer(), np.int16).reshape(-1, WINDOW + 1)
+                    n += len(fresh)
+                    left = np.concatenate([left, fresh])
+                    while len(left) >= BATCH:
+                        adam.step(left[:BATCH])
+                        left = left[BATCH:]
+            if adam is not None:
+                yield ended()
+
+        dealt = table.where(F.col("round") == round_no).select(F.pmod("h", F.lit(shards)).alias("shard"), "h", "windows")
+        dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "h", "windows").select("shard", "windows")
+        mean = average(dealt.mapInArrow(run, SUM_FIELDS), len(weights.vector))
+        if mean is not None:
+            weights = Weights(mean.astype(np.float32))
     return weights
 
 
+def word_scores(spelled: np.ndarray, shares: list[np.ndarray], sizes: list[np.ndarray], known: list[np.ndarray], by_word: float, total: int) -> np.ndarray:
+    """Log probability of each text, drawn one of two ways with even odds: all of its words spelled, or each either spelled or drawn by
+    its count.  spelled: of all its subword classes; shares: log share of each subword in its class;
+    sizes: subwords of each word; known: counts of its words, -1 if not frequent, out of total; by_word: weight of those counts."""
+    if not shares:
+        return np.zeros(0)
+    flat = spelled + np.concatenate(shares)
+    size, count = np.concatenate(sizes), np.concatenate(known)
+    words_log = np.add.reduceat(flat, np.cumsum(size) - size)
+    drawn = np.full(len(count), -np.inf)
+    if by_word > 0:
+        held = count > 0
+        drawn[held] = np.log(by_word / total) + np.log(count[held])
+    text = np.repeat(np.arange(len(sizes)), [len(x) for x in sizes])
+    mixed = np.logaddexp(words_log + np.log(max(1e-300, 1 - by_word)), drawn)
+    return np.logaddexp(np.bincount(text, words_log, len(sizes)), np.bincount(text, mixed, len(sizes))) - np.log(2)
+
+
 def scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens (long), base_score, score (double).
 
     Tokens are the lower-cased words of the whole text and one end.  The
     base score is the log10 probability by add-one word counts of the rows
-    learned from; score is that of the attention model, whose probability
-    of a text is the product over its words' subwords and the end, each scored
-    once.  Null texts count as empty and have the end only; repeated rows are
+    learned from.  score is the model's: the attention model spells each word
+    by its subwords, each scored once.  A text has even odds of being spelled as
+    a whole, or of having its frequent words drawn by their shares too, as often as a
+    token of the corpus is a frequent word that occurs twice or more.  Null texts count as empty and have the end only; repeated rows are
     kept; an empty table gives an empty result; other columns are not read.
 
     Counts of words are kept by Spark; the frequent ones, at most FREQUENT,
@@ -328,7 +350,7 @@ def scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS,
     so that neither the driver nor a task holds all words, and no frequent
     word is a join key.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col, id_col).alias("h"))
     learned = docs.where(~held_out("doc_id"))
     counts = cut_lineage(word_counts(learned))
     n_all, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -337,13 +359,16 @@ def scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS,
     ends = counts.where(F.col("word") == END).agg(F.sum("n")).first()[0] or 0
     classes = Classes(subword_counts(counts, vocabulary))
     weights = fit(learned, classes, vocabulary, rounds)
+    held = counts.where(F.col("n") >= least)
+    n_frequent, n_once = held.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1)).first()
+    by_word = max(0, n_frequent - n_once) / max(1, n_all)
 
     def start():
         subwords, scorer = Subwords(vocabulary, frequent), Scorer(weights, classes.counts)
 
         def work(texts):
             index, word, n = list(range(len(texts))), [], []
-            ids, parts = [], []
+            ids, parts, shares, sizes, known_all = [], [], [], [], []
             for i, text in enumerate(texts):
                 w = words(text)
                 places = subwords.places(w)
@@ -354,11 +379,14 @@ def scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS,
                 word += rare
                 n += rare.values()
                 ids.append(classes.of[tokens])
+                shares.append(classes.log_share[tokens])
+                sizes.append(np.append(subwords.sizes(places), 1))
+                known_all.append(np.append(known, ends))
                 known = known[known >= 0]
                 logs = float(np.log10(known + 1.0).sum()) + float(np.log10(ends + 1.0))
-                parts.append((len(w) + 1, len(known) + (ends > 0), logs, float(classes.log_share[tokens].sum())))
-            model = scorer.score(ids, classes.end)
-            own = [{"tokens": t, "known": k, "logs": x, "score": (s + float(m)) / LN10} for (t, k, x, s), m in zip(parts, model, strict=True)]
+                parts.append((len(w) + 1, len(known) + (ends > 0), logs))
+            model = word_scores(scorer.positions(ids, classes.end), shares, sizes, known_all, by_word, max(1, n_frequent))
+            own = [{"tokens": t, "known": k, "logs": x, "score": float(m) / LN10} for (t, k, x), m in zip(parts, model, strict=True)]
             # A text's own row has a word that no text has, and that spreads these rows.
             return index, [[f" {i} {t}" for i, (t, *_) in enumerate(parts)] + [x.decode() for x in word], [0] * len(own) + n, own + [None] * len(word)]
 
