@@ -173,7 +173,7 @@ def learned_from(spark, texts):
     return frame, lm.Classes(lm.subword_counts(lm.word_counts(frame), lm.VOCABULARY))
 
 
-@pytest.mark.parametrize("per_shard", [65_536, 8])
+@pytest.mark.parametrize("per_shard", [262_144, 8])
 def test_every_token_is_trained_on_once(spark, monkeypatch, per_shard):
     """The windows that shards go through in all rounds hold as many targets as the texts have tokens and ends."""
     monkeypatch.setattr(lm, "WINDOWS_PER_SHARD", per_shard)

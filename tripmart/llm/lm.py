@@ -33,7 +33,7 @@ SLICE = 512
 #: Rounds of training: the windows of a text are dealt over them, and each ends with the mean of all shards' weights.
 ROUNDS = 8
 #: Windows of a shard, which goes through its part of a round alone; windows of a step; and the first round's step width.
-WINDOWS_PER_SHARD, BATCH, RATE = 65_536, 128, 0.03
+WINDOWS_PER_SHARD, BATCH, RATE = 262_144, 256, 0.04
 #: Weight vectors added up by one task when averaging.
 FAN_IN = 32
 LN10 = float(np.log(10))
