@@ -81,3 +81,37 @@ def test_frames(spark):
 def test_head_without_end_tag(start):
     for body in (f"<p>{LONG}</p><p>{LONG}</p>", f"<article><p>{LONG}<p>{LONG}</article>", f"{LONG}<p>{LONG}", f"<span>{LONG}</span> <p>{LONG}", f"<img src=a>{LONG}<hr>{LONG}"):
         assert hx.main_text(start + body)[0] == f"{LONG} {LONG}", body
+
+
+WORDS = " ".join(f"word{i}" for i in range(40))
+SAID = " ".join(f"said{i}" for i in range(25))
+
+
+@pytest.mark.parametrize("page, want", [
+    # Comments inside the article's own element.
+    (f"<main id=main><article class=post><h1>Title</h1><p>{WORDS}</p><div id=comments class=comments><p>{SAID}</p><p>{SAID}</p></div></article></main>", f"Title {WORDS}"),
+    # Advert and newsletter between the paragraphs of good containers.
+    (f"<main class=content><article class=post><div class=entry-content><p>{WORDS}</p><div class=advert><p>{SAID}</p></div><p>{WORDS}</p>"
+     f"<div class=newsletter-signup><p>{SAID}</p></div><p>{WORDS}</p></div></article></main>", f"{WORDS} {WORDS} {WORDS}"),
+    # A form around the whole page; one inside it is still a form.
+    (f"<form id=aspnetForm><div class=nav><a href=/>Home</a></div><div id=main><p>{WORDS}</p><p>{WORDS}</p></div><div class=footer>{SAID}</div></form>", f"{WORDS} {WORDS}"),
+    (f"<div id=main><p>{WORDS}</p><form><p>{SAID}</p></form></div>", WORDS),
+    # The article's own list of links.
+    (f"<div class=entry-content><p>{WORDS}</p><ul><li><a href=a>first link</a></li><li><a href=b>second link</a></li></ul><p>{WORDS}</p></div>", f"{WORDS} first link second link {WORDS}"),
+    # A wrapper named after the sidebar that it holds.
+    (f"<div class=sidebar-layout><main><h1>Title</h1><p>{WORDS}</p><p>{WORDS}</p></main><aside>{SAID}</aside></div>", f"Title {WORDS} {WORDS}"),
+    # More comments than article.
+    (f"<article><h1>Title</h1><p>{WORDS}</p></article><section class=comments>" + f"<article class=comment><p>{SAID}</p></article>" * 12 + "</section>", f"Title {WORDS}"),
+    # A header inside the article is its heading, outside it is the site's.
+    (f"<header><p>{SAID}</p></header><main><header><h1>Title</h1></header><p>{WORDS}</p></main>", f"Title {WORDS}"),
+])
+def test_layouts(page, want):
+    assert hx.main_text(f"<html><body>{page}</body></html>")[0] == want
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000 + "x", "<div>a" * 20_000, "<b>" * 50_000 + "a" + "<p>b" * 1000, "<ul>" + "<div>" * 20_000 + "<li>x" * 5000, ("<p>" + "<i>" * 5000) * 20])
+def test_time_grows_with_length_however_deep(page):
+    import time
+    begin = time.perf_counter()
+    hx.main_text(page)
+    assert time.perf_counter() - begin < 5

@@ -23,7 +23,7 @@ IN_HEAD = frozenset("title meta link base basefont bgsound style script noscript
 CLOSES = {**{t: ({"p"}, frozenset()) for t in BLOCKS}, "li": ({"li", "p"}, {"ul", "ol", "menu", "dir"}), "dd": ({"dd", "dt", "p"}, {"dl"}), "dt": ({"dd", "dt", "p"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
-# Classifier: evidence for content (above 0) or boilerplate (below 0), in log odds.  Summed over a block's ancestors.
+# Classifier: evidence for content (above 0) or boilerplate (below 0), in log odds.
 TAGS = {"article": 4.0, "main": 2.5, "nav": -7.0, "menu": -7.0, "footer": -7.0, "aside": -7.0, "form": -7.0, "fieldset": -7.0, "select": -7.0, "button": -7.0, "label": -4.0, "dialog": -7.0, "search": -7.0, "header": -3.0}
 ROLES = {"main": 3.0, "article": 3.0, "navigation": -7.0, "banner": -5.0, "contentinfo": -7.0, "complementary": -7.0, "search": -7.0, "form": -7.0, "dialog": -7.0, "alert": -7.0, "alertdialog": -7.0, "menu": -7.0, "menubar": -7.0, "toolbar": -7.0, "note": -2.0}
 GOOD_NAMES = frozenset("article content story entry post body main text".split())
@@ -35,6 +35,10 @@ BAD_NAMES = frozenset((
 ).split())
 HEADER_NAMES = {"header": -3.0, "text": 1.0, "body": 1.0}
 GOOD_NAME, BAD_NAME, LIMIT = 2.0, -7.0, 8.0
+#: Links weigh against a block, but less where its container is content by this much: an article has lists of links of its own.
+LINKS, LINKS_INSIDE, INSIDE = -2.5, -0.4, 2.0
+#: A form, or a wrapper around the page's heading, is no evidence if it holds this share of the page's words.
+FORMS, WHOLE_FORM, WHOLE_WRAPPER = frozenset(("form", "fieldset", "label")), 0.5, 0.8
 
 #: Smoothness between neighbouring blocks, more if they have one container, and to the previous block of the container.
 ADJACENT, SAME_CONTAINER, CONTAINER = 0.4, 0.5, 0.5
@@ -50,14 +54,22 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
+    """An element: its own evidence, what it is in, and the words and headings below it."""
+
     tag: str
-    score: float
+    own: float
+    parent: int
     container: int
     link: bool
     hidden: bool
     article: bool
+    leaf: str
+    by_name: bool = False
+    words: int = 0
+    heading: bool = False
+    total: float = 0.0
 
 
 @dataclass
@@ -65,6 +77,7 @@ class Block:
     text: str
     score: float
     container: int
+    owner: int = 0
 
 
 def named(value: str) -> float:
@@ -83,22 +96,45 @@ def named(value: str) -> float:
     return total
 
 
-def element(tag: str, attrs: str, parent: Element, number: int) -> Element:
-    score, hidden = TAGS.get(tag, 0.0), parent.hidden
+def element(tag: str, attrs: str, parent: Element, parent_at: int, number: int) -> Element:
+    own, hidden, by_name = TAGS.get(tag, 0.0), parent.hidden, 0.0
     if tag == "header" and parent.article:
-        score = 0.0  # an article's own heading
+        own = 0.0  # an article's own heading
     if attrs and tag not in ("html", "body"):
         for m in ATTR.finditer(attrs):
             key, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
             if key in ("class", "id"):
-                score += named(value)
+                by_name += named(value)
             elif key == "role":
-                score += ROLES.get(value.strip().lower(), 0.0)
+                own += ROLES.get(value.strip().lower(), 0.0)
             elif key == "hidden" or key == "style" and HIDDEN.search(value) or key == "aria-hidden" and value.strip().lower() == "true":
                 hidden = True
-    container = number if tag in BLOCKS and tag not in LEAVES else parent.container
-    total = max(-LIMIT, min(LIMIT, parent.score + max(-LIMIT, min(LIMIT, score))))
-    return Element(tag, total, container, parent.link or tag == "a", hidden, parent.article or tag == "article")
+    block = tag in BLOCKS
+    return Element(tag, own + by_name, parent_at, number if block and tag not in LEAVES else parent.container, parent.link or tag == "a", hidden,
+                   parent.article or tag in ("article", "main"), tag if block else parent.leaf, by_name < 0)
+
+
+def judged(elements: list[Element]) -> None:
+    """Set every element's total evidence, from the outermost inwards.
+
+    Good evidence adds up on the way in.  Bad evidence is not outweighed by
+    what is around it or inside it: the worst of an element's surroundings holds.
+    What holds most of the page is not told apart by it: a form around the
+    page, or a wrapper with the page's heading in it, counts as nothing.
+    """
+    for e in reversed(elements[1:]):  # inner elements come after outer ones
+        outer = elements[e.parent]
+        outer.words += e.words
+        outer.heading |= e.heading or e.tag in ("h1", "main") or e.tag == "article" and not e.by_name
+    whole = elements[0].words
+    for e in elements[1:]:
+        outer, own = elements[e.parent].total, e.own
+        if own < 0 and (e.tag in FORMS and e.words >= WHOLE_FORM * whole or e.heading and e.words >= WHOLE_WRAPPER * whole):
+            own = 0.0
+        if own < 0:
+            e.total = max(-LIMIT, min(outer, own))
+        else:
+            e.total = outer if outer < 0 else min(LIMIT, outer + own)
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -106,52 +142,51 @@ def blocks(page: str | None) -> list[Block]:
 
     Character references are decoded and white space becomes single spaces.
     What browsers do not show (scripts, styles, titles, comments, hidden
-    elements) is left out.  Markup may be cut off or badly nested.
+    elements) is left out.  Markup may be cut off or badly nested; time grows
+    with the length of the page, however deep it nests.
     """
     page = page or ""
-    root = Element("", 0.0, 0, False, False, False)
-    stack, out = [root], []
+    elements = [Element("", 0.0, 0, 0, False, False, False, "")]
+    stack, out = [0], []
+    open_at: dict[str, list[int]] = {}  # places in the stack of the open elements of each tag
     pieces: list[str] = []
-    linked = shown = 0
-    owner = root
-    number = 0
+    linked = shown = owner = 0
 
     def text(raw: str) -> None:
         nonlocal linked, shown, owner
         if raw and not raw.isspace():
             end_head()
-        top = stack[-1]
+        top = elements[stack[-1]]
         if raw and not top.hidden:
             s = html.unescape(raw) if "&" in raw else raw
             n = len(s.split())
             if n and not shown:
-                owner = top
+                owner = stack[-1]
             shown += n
             linked += n * top.link
+            top.words += n
             pieces.append(s)
 
     def end_head() -> None:
-        if any(e.tag == "head" for e in stack[:4]):
+        if open_at.get("head"):
             close({"head"}, frozenset())
 
     def end_block() -> None:
         nonlocal linked, shown
         words = "".join(pieces).split() if shown else ()
         if words:
-            share = linked / shown
-            leaf = next((e.tag for e in reversed(stack) if e.tag in BLOCKS), "")
-            score = owner.score + (1.2 if shown >= 25 else 0.5 if shown >= 10 else -0.4 if shown < 5 else 0.0) - 2.5 * (share > 0.5) + (0.5 if leaf in ("p", "blockquote", "pre") else -0.4 if leaf == "li" else 0.0)
-            out.append(Block(" ".join(words), score, owner.container))
+            leaf = elements[stack[-1]].leaf
+            score = (1.2 if shown >= 25 else 0.5 if shown >= 10 else -0.4 if shown < 5 else 0.0) + (0.5 if leaf in ("p", "blockquote", "pre") else -0.4 if leaf == "li" else 0.0)
+            out.append((Block(" ".join(words), score, elements[owner].container, owner), linked / shown > 0.5))
         pieces.clear()
         linked = shown = 0
 
     def close(names: set[str], limits: frozenset[str] | set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                return
-            if stack[i].tag in limits:
-                return
+        """Close the innermost open element of the names, and what is in it, unless one of the limits is nearer."""
+        at = max((open_at[t][-1] for t in names if open_at.get(t)), default=0)
+        if at and at > max((open_at[t][-1] for t in limits if open_at.get(t)), default=0):
+            while len(stack) > at:
+                open_at[elements[stack.pop()].tag].pop()
 
     at = 0
     while m := TOKEN.search(page, at):
@@ -165,8 +200,7 @@ def blocks(page: str | None) -> list[Block]:
         if m["close"]:
             if tag in BLOCKS:
                 end_block()
-            if any(e.tag == tag for e in stack[1:]):
-                close({tag}, frozenset())
+            close({tag}, frozenset())
             continue
         if tag not in IN_HEAD:
             end_head()
@@ -184,12 +218,17 @@ def blocks(page: str | None) -> list[Block]:
         if tag in BLOCKS:
             end_block()
             close(*CLOSES[tag])
-        number += 1
-        stack.append(element(tag, m["attrs"], stack[-1], number))
+        elements.append(element(tag, m["attrs"], elements[stack[-1]], stack[-1], len(elements)))
+        open_at.setdefault(tag, []).append(len(stack))
+        stack.append(len(elements) - 1)
     else:
         text(page[at:])
     end_block()
-    return out
+    judged(elements)
+    for block, links in out:
+        around = elements[block.owner].total
+        block.score += around + links * (LINKS_INSIDE if around >= INSIDE else LINKS)
+    return [block for block, _ in out]
 
 
 def minimum_cut(scores: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
