@@ -163,3 +163,79 @@ def test_random_base64_with_key_starts_is_not_reported():
     bits = ["MII", "MIIEvQIBADAN", "MC4CAQAw", "b3BlbnNzaC1rZXktdjEA", "eyJ", ".", "\n", "\\n", "="]
     for _ in range(2000):
         assert structures("".join(r.choice(bits) if r.random() < 0.5 else base64.b64encode(r.randbytes(r.randint(1, 60))).decode() for _ in range(r.randint(1, 9)))) == []
+
+
+def armoured(data=PKCS8, end="\n"):
+    coded = base64.b64encode(data).decode()
+    return end.join(["-----BEGIN PRIVATE KEY-----", *(coded[i:i + 64] for i in range(0, len(coded), 64)), "-----END PRIVATE KEY-----", ""])
+
+
+def kinds(text):
+    return [k for k, *_ in structures(text)]
+
+
+def test_armour_inside_base64_and_hex():
+    inner = base64.b64encode(armoured().encode()).decode()
+    text = f"apiVersion: v1\nusers:\n- user:\n    client-key-data: {inner}\n"
+    at = text.index(inner)
+    assert structures(text) == [("pem", at, at + len(inner.rstrip("=")) + inner.count("="))]
+    assert secrets.masked(text, structures(text)) == text.replace(inner, "[SECRET]")
+    wrapped = "\n".join("      " + inner[i:i + 76] for i in range(0, len(inner), 76))
+    assert kinds(f"data:\n  key: |\n{wrapped}\n  other: x") == ["pem"]
+    assert kinds(f"x = {armoured().encode().hex()} y") == ["pem"]
+    # A file with such a field, in base64 again; a third time is beyond the depth.
+    twice = base64.b64encode(text.encode()).decode()
+    assert kinds(f"KUBECONFIG_DATA={twice}") == ["pem"]
+    again = base64.b64encode(base64.b64encode(inner.encode())).decode()
+    assert kinds(base64.b64encode(inner.encode()).decode()) == ["pem"] and kinds(again) == []
+    assert kinds(base64.b64encode(b"-----BEGIN CERTIFICATE-----\nabcd\n-----END CERTIFICATE-----\n" * 3).decode()) == []
+
+
+@pytest.mark.parametrize("data,kind", [(RSA, "der"), (PKCS8, "der"), (EC, "der"), (ssh(), "openssh")])
+def test_wrapped_indented_and_short_lines(data, kind):
+    coded = base64.b64encode(data).decode()
+    for width, indent in ((64, "    "), (32, ""), (20, "\t"), (76, "  ")):
+        lines = ("\n" + indent).join(coded[i:i + width] for i in range(0, len(coded), width))
+        text = f"key: |\n{indent}{lines}\n"
+        at = text.index(lines)
+        assert structures(text) == [(kind, at, at + len(lines))], (width, indent)
+
+
+@pytest.mark.parametrize("data,kind", [(RSA, "der"), (PKCS8, "der"), (EC, "der"), (ssh(), "openssh")])
+def test_hex_of_several_forms(data, kind):
+    plain = data.hex()
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(plain))
+    lines = "\n".join("    " + plain[i:i + 32] for i in range(0, len(plain), 32)).strip()
+    colons = ":".join(plain[i:i + 2] for i in range(0, len(plain), 2))
+    dump = ":\n    ".join(":".join(plain[i + j:i + j + 2] for j in range(0, 30, 2) if i + j < len(plain)) for i in range(0, len(plain), 30))
+    for form in (plain, plain.upper(), mixed, lines, colons, colons.upper(), dump, "00:" + colons):
+        text = f"private {form} end"
+        at = text.index(form) + (3 if form.startswith("00:") else 0)
+        assert structures(text) == [(kind, at, text.index(" end"))], form[:40]
+
+
+def test_tokens_with_blanks_in_their_header():
+    part = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    for head in (b'{\n "alg": "HS256"\n}', b'{\r\n"alg":"HS256"}', b'{\t"alg": "HS256"}', b'{ "alg": "HS256" }', b'{"alg":"HS256"}'):
+        token = ".".join((part(head), part(b'{"sub": 1}'), part(bytes(32))))
+        assert structures(f"x {token} y") == [("jwt", 2, 2 + len(token))], head
+
+
+def test_what_is_not_confirmed():
+    for body in ("Example:\nAAAA", "Note: put your key here\nabcd", "Proc-Type: 4,ENCRYPTED\n\nabcd", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123\n\n" + base64.b64encode(bytes(64)).decode(),
+                 "Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0123456789ABCDEF\n\n" + base64.b64encode(bytes(65)).decode()):
+        assert structures(f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----") == [], body
+    part = lambda d: base64.urlsafe_b64encode(d if isinstance(d, bytes) else json.dumps(d).encode()).decode().rstrip("=")
+    for alg, n in (("zzz", 32), ("RS256", 1), ("RS256", 32), ("HS256", 31), ("ES512", 64)):
+        assert structures(".".join((part({"alg": alg}), part({"sub": "1"}), part(bytes(n))))) == [], alg
+    assert kinds(".".join((part({"alg": "RS256"}), part({"sub": "1"}), part(bytes(256))))) == ["jwt"]
+    empty = bytes.fromhex("300b020100" + "30020600" + "04020000")
+    assert not secrets.is_private_der(empty + b"") and structures(base64.b64encode(empty * 4).decode()) == []
+
+
+def test_long_texts_take_time_by_length():
+    import time
+    for text in ("A" * 1_000_000, "MII" * 50_000, "30:82:" * 150_000, "LS0tLS1CRUdJTi" * 60_000, "eyJ" * 300_000 + ".", "ab\n" * 300_000, "0123456789abcdef\n" * 50_000, "-----BEGIN PRIVATE KEY-----\n" * 20_000):
+        begin = time.perf_counter()
+        secrets.scan(text)
+        assert time.perf_counter() - begin < 20, text[:20]
