@@ -65,3 +65,26 @@ def test_empty_tables(spark):
     assert dc.contaminated(docs, none).collect() == []
     assert dc.without_benchmark(docs, none).count() == 1
     assert dc.contaminated(docs.limit(0), none).collect() == []
+
+
+def test_copies_of_an_item_are_searched_for_once(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(12))
+    items = spark.createDataFrame([(1, text)] * 500 + [(1, "other words that are not there at all"), (2, text), (None, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(7, f"before {text} after"), (8, "nothing")], "doc_id long, text string")
+    monkeypatch.setattr(dc, "BLOCK_ITEMS", 2)
+    blocks = list(dc.searches(items, 0.8, 5, "item_id", "text"))
+    assert sum(len(b.ids) for b in blocks) == 4
+    got = dc.contaminated(docs, items)
+    assert got.columns == ["doc_id", "item_id", "n_shared", "n_shingles", "containment"]
+    found = [tuple(r) for r in got.collect()]
+    assert found.count((7, 1, 8, 8, 1.0)) == 500 and sorted(set(found), key=str) == [(7, 1, 8, 8, 1.0), (7, 2, 8, 8, 1.0), (7, None, 8, 8, 1.0)] and len(found) == 502
+    assert [r["doc_id"] for r in dc.without_benchmark(docs, items).collect()] == [8]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tripmart.llm.graph import shared_folder
+    bare = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(bare)

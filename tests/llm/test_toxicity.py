@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from tripmart.llm import toxicity as tx
@@ -136,3 +137,34 @@ def test_copies_by_signature():
     near = [f"{t} and more" for t in texts[:10]]
     group = tx.copies({tx.text_id(t): tx.signature(t) for t in [*texts, *near, None, "", "one"]})
     assert len(set(group.values())) == 32 and all(group[tx.text_id(a)] == group[tx.text_id(b)] for a, b in zip(texts, near, strict=False))
+
+
+def test_quotes_are_carried_along_the_line():
+    import re
+    r = random.Random(12)
+
+    def plain(text, start):
+        line = text[text.rfind("\n", 0, start) + 1:start]
+        if line.count('"') % 2:
+            return True
+        last = max(line.rfind(c) for c in tx.OPENING)
+        return last > max(line.rfind(c) for c in tx.CLOSING) or 0 <= last and line[last] in "„" and not re.search("[”“]", line[last + 1:])
+
+    for _ in range(2000):
+        text = "".join(r.choice('ab "“”„«»‹›\n') for _ in range(r.randrange(1, 40)))
+        starts = sorted(r.sample(range(len(text)), r.randrange(0, len(text))))
+        assert list(tx.all_quoted(text, starts)) == [bool(plain(text, s)) for s in starts], text
+
+
+def test_many_terms_in_one_line_take_time_by_length():
+    import time
+    matcher = tx.Matcher([("dolt", False)])
+    begin = time.perf_counter()
+    got = tx.features('he said "dolt" dolt ' * 50_000, matcher)
+    assert got[0] > 0 and time.perf_counter() - begin < 20
+
+
+def test_weights_of_repeated_rows():
+    x, y = np.random.default_rng(2).normal(size=(60, 3)), np.arange(60) % 2.0
+    n = np.arange(60) % 4 + 1.0
+    assert tx.fit(x, y, n) == pytest.approx(tx.fit(np.repeat(x, n.astype(int), 0), np.repeat(y, n.astype(int))), rel=1e-6)

@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.graph import cut_lineage
 from tripmart.llm.text import per_text
 
 #: A word is a run of characters other than controls, blanks and ASCII punctuation, after lower-casing.
@@ -102,13 +103,14 @@ class Search:
 
 
 def searches(benchmark: DataFrame, threshold: float, width: int, item_col: str, text_col: str) -> Iterator[Search]:
-    """The benchmark in blocks of bounded size, one on the driver at a time."""
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text"))
+    """The benchmark in blocks of bounded size, one on the driver at a time; equal rows are one item, whose id is (item_id, their number)."""
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).groupBy("item_id", "text").agg(F.count("*").alias("n"))
+    items = cut_lineage(items)
     n, chars = items.agg(F.count("*"), F.sum(F.length("text"))).first()
     blocks = max(1, -(-n // BLOCK_ITEMS), -(-(chars or 0) // BLOCK_CHARS))
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield Search(((r.item_id, r.text) for r in mine.collect()), threshold, width)
+        yield Search((((r.item_id, r.n), r.text) for r in mine.collect()), threshold, width)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, width: int = 5,
@@ -128,22 +130,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
 
         def start(search: Search = search):
             def work(texts):
-                index, item, shared, sizes = [], [], [], []
+                index, item, shared, sizes, copies = [], [], [], [], []
                 for at, t in enumerate(texts):
                     for i, k in search.found_in(t):
                         index.append(at)
-                        item.append(search.ids[i])
+                        item.append(search.ids[i][0])
+                        copies.append(search.ids[i][1])
                         shared.append(k)
                         sizes.append(len(search.shingles[i]))
-                return index, [item, shared, sizes]
+                return index, [item, shared, sizes, copies]
 
             return work
 
-        found.append(per_text(docs, [(id_col, "doc_id")], text_col, f"item_id {kind}, n_shared long, n_shingles long", start))
+        found.append(per_text(docs, [(id_col, "doc_id")], text_col, f"item_id {kind}, n_shared long, n_shingles long, copies long", start))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    out = out.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copy", "copies")
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, width: int = 5) -> DataFrame:

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of its own only where the session names none (tests)."""
+    """The folder named in spark.checkpoint.dir.  A local session that names none (tests) gets one; on a cluster that is an error."""
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return named or sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

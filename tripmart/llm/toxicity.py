@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -143,13 +144,30 @@ class Matcher:
         return self.found[word]
 
 
+def all_quoted(text: str, starts: Iterable[int]) -> Iterator[bool]:
+    """Whether each place, in ascending order, lies in quotation marks opened in its line.
+
+    The state of the line is carried from place to place, so every
+    character is looked at once.
+    """
+    at, odd, opened, closed, german, ended = 0, False, -1, -1, False, -1
+    for start in starts:
+        line = text.rfind("\n", at, start) + 1
+        if line:
+            at, odd, opened, closed, german, ended = line, False, -1, -1, False, -1
+        odd ^= text.count('"', at, start) % 2 == 1
+        last = max(text.rfind(c, at, start) for c in OPENING)
+        if last >= 0:
+            opened, german = last, text[last] == "„"
+        closed = max(closed, *(text.rfind(c, at, start) for c in CLOSING))
+        ended = max(ended, text.rfind("”", at, start), text.rfind("“", at, start))
+        yield odd or opened > closed or opened >= 0 and german and ended < opened
+        at = start
+
+
 def quoted(text: str, start: int) -> bool:
     """Whether a place lies in quotation marks opened in its line."""
-    line = text[text.rfind("\n", 0, start) + 1:start]
-    if line.count('"') % 2:
-        return True
-    last = max(line.rfind(c) for c in OPENING)
-    return last > max(line.rfind(c) for c in CLOSING) or 0 <= last and line[last] in "„" and not re.search("[”“]", line[last + 1:])
+    return next(all_quoted(text, [start]))
 
 
 def context(words: list[str], at: int, in_quotes: bool) -> float:
@@ -173,8 +191,7 @@ def features(text: str | None, matcher: Matcher) -> list[float]:
     wanted = {i for i, _ in hits}
     places = {i: m.start() for i, m in enumerate(WORD.finditer(low)) if i in wanted}
     exact = misspelled = in_quotes = 0.0
-    for i, (edits, _) in hits:
-        q = quoted(low, places[i])
+    for (i, (edits, _)), q in zip(hits, all_quoted(low, [places[i] for i, _ in hits]), strict=True):
         score = context(words, i, q)
         exact += score * (edits == 0)
         misspelled += score * (edits > 0)
@@ -193,19 +210,20 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 60) -> list[float]:
-    """Weights (first the constant) of a logistic regression by damped Newton steps."""
+def fit(x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, ridge: float = 0.1, steps: int = 60) -> list[float]:
+    """Weights (first the constant) of a logistic regression by damped Newton steps; n: how often each row occurs."""
+    n = np.ones(len(x)) if n is None else n
     x = np.column_stack([np.ones(len(x)), x])
     w, penalty = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
     penalty[0, 0] = 1e-6
 
     def loss(v: np.ndarray) -> float:
         z = x @ v
-        return float(np.logaddexp(0, np.where(y > 0, -z, z)).sum() + v @ penalty @ v / 2)
+        return float(n @ np.logaddexp(0, np.where(y > 0, -z, z)) + v @ penalty @ v / 2)
 
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - y) + penalty @ w)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (n * (p - y)) + penalty @ w)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > loss(w):
             size /= 2
@@ -365,8 +383,9 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING,
     likely = frozenset(marking(in_toxic, in_clean, toxic, clean))
     in_toxic = {r["term"]: r["n"] for r in different_counts(texts.where("toxic"), likely).collect()}  # copies of one text count once
     model.terms = choose_terms(marking({t: a for t, a in in_toxic.items() if a >= least}, in_clean, toxic, clean), in_toxic)
-    rows = feature_rows(texts, model.terms, [("toxic", "toxic")]).collect()
-    model.weights = fit(np.array([r["x"] for r in rows]), np.array([float(r["toxic"]) for r in rows]))
+    # Rows of one id or copies of one text, however many, are one row with its number.
+    rows = feature_rows(texts, model.terms, [("toxic", "toxic")]).groupBy("toxic", "x").agg(F.count("*").alias("n")).orderBy("toxic", "x").collect()
+    model.weights = fit(np.array([r["x"] for r in rows]), np.array([float(r["toxic"]) for r in rows]), np.array([float(r["n"]) for r in rows]))
     return model
 
 
