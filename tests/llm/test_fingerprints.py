@@ -56,6 +56,34 @@ def test_against_plain_python(spark):
             assert x.fingerprint != x.edited_fingerprint
 
 
+@pytest.mark.parametrize("hot", [1, 50, 5000])
+def test_repeated_ids(spark, monkeypatch, hot):
+    """A third without id, a third of one id, many equal rows, in buckets split by ranges or not."""
+    monkeypatch.setattr(fp, "HOT", hot)
+    monkeypatch.setattr(fp, "RANGE_ROWS", 20)
+    monkeypatch.setattr(fp, "BLOCK", 7)
+    r = random.Random(5)
+    rows = [(None, words(r, 6)) for _ in range(150)] + [(None, "again\nand again") for _ in range(60)]
+    rows += [(9, "one start " * 20 + words(r, 3)) for _ in range(40)] + [(9, None) for _ in range(30)] + [(9, "")]
+    rows += [(i * 50, words(r, 8)) for i in range(80)] + [(3950, "last") for _ in range(25)]
+    r.shuffle(rows)
+    got = fp.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = edited(rows)
+    assert Counter((x.doc_id, x.n_chars, x.edited_sha256) for x in got) == Counter((i, len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e, _ in want)
+    by = {(x.doc_id, x.edited_sha256): x for x in got}
+    for i, t, e, following in want:
+        x = by[i, hashlib.sha256(e.encode()).hexdigest()]
+        assert x.near_edited == pytest.approx(dice(t, e), abs=0.35)
+    same = [x for x in got if x.doc_id is None and x.n_chars == len("again\nand again")]
+    assert len(same) == 60 and sum(x.near_next == 1 for x in same) >= 59
+
+
+def test_one_repeated_row(spark, monkeypatch):
+    monkeypatch.setattr(fp, "HOT", 2)
+    got = fp.edited_fingerprints(spark.createDataFrame([(4, "all the same")] * 9, "doc_id long, text string")).collect()
+    assert len(got) == 9 and {(x.doc_id, x.near_next, x.fingerprint) for x in got} == {(4, 1.0, got[0].fingerprint)}
+
+
 def vectors(spark, texts):
     got = fp.sums(spark.createDataFrame(list(enumerate(texts)), "k int, t string"), ["k"], "t").collect()
     return [tuple(x[c] for c in fp.SUMS) for x in sorted(got, key=lambda x: x.k)]

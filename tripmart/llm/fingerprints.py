@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.graph import cut_lineage
+
 #: 32-bit sums of a paragraph's own hashes: equality of whole texts up to the order of paragraphs.
 STRONG = 8
 #: Longs with two 32-bit counters each, of the set bits of hashes of a paragraph's word windows: likeness.
@@ -75,6 +77,14 @@ def likeness(a: str, b: str) -> Column:
     return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(2 * product(a, b), norms))), F.lit(1.0))
 
 
+#: A bucket of more rows than this holds repeated ids, and is split by ranges of (id, text).
+HOT = 1 << 10
+#: Rows that a range is meant to hold, most ranges, and the code points of a text that tell ranges apart.
+RANGE_ROWS, MOST_RANGES, PREFIX = 1 << 10, 1 << 14, 64
+#: Hot buckets are broadcast up to this number, and joined by their rows' shuffle beyond it.
+MAX_BROADCAST = 100_000
+#: Result rows of equal documents are repeated in blocks of this many.
+BLOCK = 1 << 12
 #: Consecutive ids are ordered within buckets of this many, and buckets within buckets of so many again.
 IDS, BUCKETS, LEVELS = 1 << 8, 1 << 16, 3
 
@@ -112,20 +122,55 @@ def edited_text() -> Column:
     return F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
 
 
-def compared(vectors: DataFrame, keys: list[str], within: list[str], kind: str) -> DataFrame:
+def compared(vectors: DataFrame, keys: list[str], within: list[str], kind: str, also: Sequence[str] = ()) -> DataFrame:
     """Result rows from the vectors of a text, its edited text and the next text, which follow one another.
 
     Within rows of equal `within`, ordered by keys and kind, vectors of kind
     0 are results if two more follow: their edited text's and the next text's.
     """
     order = Window.partitionBy(*within).orderBy(*keys, kind)
-    v = vectors.select(*keys, *within, kind, *ABOUT, F.struct(*SUMS).alias("x"))
+    v = vectors.select(*keys, *within, kind, *ABOUT, *also, F.struct(*SUMS).alias("x"))
     v = v.withColumns({"e": F.lead("x", 1).over(order), "y": F.lead("x", 2).over(order)}).where((F.col(kind) == 0) & F.col("y").isNotNull())
     digest = F.lower(F.concat(*(F.lpad(F.hex(f"d{i}"), 16, "0") for i in range(4))))
-    return v.select("at", "n_chars", digest.alias("edited_sha256"), as_text("x.").alias("fingerprint"), as_text("e.").alias("edited_fingerprint"),
+    return v.select("at", "n_chars", *also, digest.alias("edited_sha256"), as_text("x.").alias("fingerprint"), as_text("e.").alias("edited_fingerprint"),
                     likeness("x.", "e.").alias("near_edited"), likeness("x.", "y.").alias("near_next"))
 
 
+def split(rows: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows b, s, at, text, copies; the (b, s) that there are) where buckets of more than HOT rows are split by s.
+
+    Equal rows are counted, by map-side sums, before they meet; what is left of the
+    hot buckets is dealt by ranges of (id, first PREFIX code points of the text), so that
+    s follows the order of the rows.  The ranges are fixed by writing them.
+    """
+    hot = sizes.where(F.col("n") > HOT).select("b")
+    if hot.count() <= MAX_BROADCAST:
+        hot = F.broadcast(hot)
+    alike = cut_lineage(rows.join(hot, "b").groupBy("b", "at", "text").agg(F.count("*").alias("copies")))
+    ranges = min(MOST_RANGES, 1 + alike.count() // RANGE_ROWS)
+    dealt = cut_lineage(alike.repartitionByRange(ranges, "b", "at", F.substring("text", 1, PREFIX)).withColumn("s", F.spark_partition_id()))
+    whole = rows.join(hot, "b", "left_anti").select("b", F.lit(0).alias("s"), "at", "text", F.lit(1).cast("long").alias("copies"))
+    groups = sizes.where(F.col("n") <= HOT).select("b", F.lit(0).alias("s")).unionByName(dealt.select("b", "s").distinct())
+    return whole.unionByName(dealt.select("b", "s", "at", "text", "copies")), groups
+
+
+def next_groups(groups: DataFrame, start: int | None) -> DataFrame:
+    """(b, s, next_b, next_s): the group after each; after the last one the first.  A bucket has MOST_RANGES groups at most."""
+    firsts = groups.groupBy("b").agg(F.min("s").alias("first"))
+    links = following(firsts.select(F.col("b").alias("key"))).select(F.col("key").alias("b"), F.coalesce("next", F.lit(start).cast("long")).alias("after"))
+    links = links.join(firsts.select(F.col("b").alias("after"), "first"), "after")
+    inside = groups.withColumn("within", F.lead("s").over(Window.partitionBy("b").orderBy("s")))
+    return inside.join(links, "b").select("b", "s", F.when(F.col("within").isNull(), F.col("after")).otherwise(F.col("b")).alias("next_b"), F.coalesce("within", "first").alias("next_s"))
+
+
+def repeated(df: DataFrame, times: str, by: list[str]) -> DataFrame:
+    """Each row as many times as its column `times` says, which is dropped; blocks of BLOCK go to tasks of their own."""
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / BLOCK))
+    dealt = df.withColumn("block", F.explode(blocks)).repartition(*by, "block")
+    own = F.least(F.lit(BLOCK).cast("long"), F.col(times) - F.col("block") * BLOCK)
+    return dealt.withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), own))).drop("each", "block", times)
+
+
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -138,33 +183,48 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     row is its own next; an empty table gives an empty result; other columns
     are not read.
 
-    Texts are shuffled once, to buckets of IDS consecutive ids (ids are meant to
-    be distinct: rows of one id, and rows without id, share a bucket).  A bucket's rows
+    Texts are shuffled once, to buckets of IDS consecutive ids.  A bucket's rows
     are ordered, hashed, summed up and compared in place; only the last row
-    of each bucket meets the next bucket's first by a join.
+    of each bucket meets the next bucket's first by a join.  Ids are meant to
+    be distinct; where a bucket holds more than HOT rows all the same (rows of
+    one id, rows without id), it is split by ranges and its equal rows are
+    looked at once.  Different texts of one id share a range if they share
+    their first PREFIX code points.
     """
     at = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     bucket = F.shiftright(at, IDS.bit_length() - 1)
-    order = Window.partitionBy("b").orderBy("at", "text")
     rows = docs.select(bucket.alias("b"), at.alias("at"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    sizes = docs.select(bucket.alias("b")).groupBy("b").agg(F.count("*").alias("n"))
+    start, most = sizes.agg(F.min("b"), F.max("n")).first()
+    by, hot = ["b"], (most or 0) > HOT
+    if hot:
+        by = ["b", "s"]
+        rows, groups = split(rows, sizes)
+        links = next_groups(groups, start)
+    else:
+        links = following(sizes.select(F.col("b").alias("key"))).select(F.col("key").alias("b"), F.coalesce("next", F.lit(start).cast("long")).alias("next_b"))
+    order = Window.partitionBy(*by).orderBy("at", "text")
     rows = rows.withColumns({"rn": F.row_number().over(order), "next_text": F.lead("text").over(order), "before": F.lag("at").over(order)})
     parts = {f"d{i}": F.conv(F.substring("digest", 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)}
 
     def about(df: DataFrame) -> DataFrame:
         return df.withColumn("edited", edited_text()).withColumns({"n_chars": F.length("text").cast("long"), "digest": F.sha2("edited", 256)}).withColumns(parts)
 
-    def texts(df: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+    def texts(df: DataFrame, keys: list[str], *columns: str, also: tuple[str, ...] = ()) -> DataFrame:
         kinds = F.array(*(F.struct(F.lit(i).cast("long").alias("kind"), F.col(c).alias("t")) for i, c in enumerate(columns)))
-        out = about(df).select(*keys, *ABOUT, F.explode(kinds).alias("k")).where("k.t is not null")
-        return sums(out.select(*keys, *ABOUT, "k.kind", "k.t"), [*keys, "kind"], "t", ABOUT)
-
-    inside = compared(texts(rows.withColumn("rn", F.col("rn").cast("long")), ["b", "rn"], "text", "edited"), ["rn"], ["b"], "kind")
-
-    buckets = docs.select(bucket.alias("key")).distinct()
-    start = buckets.agg(F.min("key").alias("key")).first()["key"]
-    links = following(buckets).select(F.col("key").alias("b"), F.coalesce("next", F.lit(start).cast("long")).alias("next_b"))
-    heads = rows.where("before is null").select(F.col("b").alias("next_b"), F.col("text").alias("next_text"))
-    lasts = rows.where("next_text is null").select("b", "at", "text").join(links, "b").join(heads, "next_b")
-    ends = compared(texts(lasts, ["b"], "text", "edited", "next_text"), [], ["b"], "kind")
+        out = about(df).select(*keys, *ABOUT, *also, F.explode(kinds).alias("k")).where("k.t is not null")
+        return sums(out.select(*keys, *ABOUT, *also, "k.kind", "k.t"), [*keys, "kind"], "t", [*ABOUT, *also])
+
+    numbered = rows.withColumn("rn", F.col("rn").cast("long"))
+    out = compared(texts(numbered, [*by, "rn"], "text", "edited"), ["rn"], by, "kind")
+
+    after = [f"next_{c}" for c in by]
+    heads = rows.where("before is null").select(*(F.col(c).alias(f"next_{c}") for c in by), F.col("text").alias("next_text"))
+    lasts = rows.where("next_text is null").select(*by, "at", "text").join(links, by).join(heads, after)
+    out = out.unionByName(compared(texts(lasts, by, "text", "edited", "next_text"), [], by, "kind"))
+    if hot:  # all but the last of equal rows have an equal one as their next
+        equal = numbered.where("copies > 1").withColumns({"next_text": F.col("text"), "times": F.col("copies") - 1})
+        vectors = texts(equal, [*by, "rn"], "text", "edited", "next_text", also=("times",))
+        out = out.unionByName(repeated(compared(vectors, ["rn"], by, "kind", also=["times"]), "times", ["at", "edited_sha256"]))
     doc_id = F.when(F.col("at") != NO_ID, F.col("at")).cast(docs.schema[id_col].dataType).alias("doc_id")
-    return inside.unionByName(ends).select(doc_id, *(c for c in inside.columns if c != "at"))
+    return out.select(doc_id, *(c for c in out.columns if c != "at"))
