@@ -41,18 +41,16 @@ def sums(texts: DataFrame, keys: list[str], text_col: str, also: Sequence[str] =
     return units.groupBy(*keys).agg(*(F.max(c).alias(c) for c in also), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(STRONG)), *counts, F.count("*").alias("units"))
 
 
-def as_text(prefix: str = "") -> Column:
-    """The vector modulo 2**32 (hashes, and counts two to a long) as hex digits."""
-    strong = [F.lpad(F.hex(F.col(f"{prefix}s{i}").bitwiseAND(F.lit(LOW))), 8, "0") for i in range(STRONG)]
-    counts = [F.lpad(F.hex(F.col(f"{prefix}c{i}")), 16, "0") for i in range(PAIRS)]
-    return F.lower(F.concat(*strong, *counts))
+def vector() -> Column:
+    """The columns SUMS as one struct (s: hashes, c: counts, units), for expressions that walk through arrays."""
+    return F.struct(F.array(*(f"s{i}" for i in range(STRONG))).alias("s"), F.array(*(f"c{i}" for i in range(PAIRS))).alias("c"), F.col("units").alias("units"))
 
 
-def total(terms: list[Column]) -> Column:
-    """Sum of columns, as a tree of little depth."""
-    while len(terms) > 1:
-        terms = [x + y for x, y in zip(terms[::2], terms[1::2], strict=False)] + terms[len(terms) // 2 * 2:]
-    return terms[0]
+def as_text(x: str) -> Column:
+    """The vector modulo 2**32 (hashes, and counts two to a long) as hex digits."""
+    strong = F.transform(f"{x}.s", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(LOW))), 8, "0"))
+    counts = F.transform(f"{x}.c", lambda v: F.lpad(F.hex(v), 16, "0"))
+    return F.lower(F.concat(F.array_join(strong, ""), F.array_join(counts, "")))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -62,16 +60,21 @@ def likeness(a: str, b: str) -> Column:
     that inner products estimate those of the multisets of units.
     """
 
-    def counts(prefix: str) -> list[Column]:
-        low = [F.col(f"{prefix}c{i}").bitwiseAND(F.lit(LOW)) for i in range(PAIRS)]
-        high = [F.shiftrightunsigned(f"{prefix}c{i}", 32) for i in range(PAIRS)]
-        return [c.cast("double") for c in (*low, *high)]
+    def low(v: Column) -> Column:
+        return v.bitwiseAND(F.lit(LOW)).cast("double")
+
+    def high(v: Column) -> Column:
+        return F.shiftrightunsigned(v, 32).cast("double")
+
+    def total(terms: Column) -> Column:
+        return F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
 
     def product(p: str, q: str) -> Column:
         """Sum of (2 x - n) (2 y - m) over the counts x of p and y of q, with their units n and m."""
-        n, m = F.col(f"{p}units").cast("double"), F.col(f"{q}units").cast("double")
-        x, y = counts(p), counts(q)
-        return 4 * total([i * j for i, j in zip(x, y, strict=True)]) - 2 * m * total(x) - 2 * n * total(y) + 2 * PAIRS * n * m
+        n, m = F.col(f"{p}.units").cast("double"), F.col(f"{q}.units").cast("double")
+        both = total(F.zip_with(f"{p}.c", f"{q}.c", lambda i, j: low(i) * low(j) + high(i) * high(j)))
+        x, y = (total(F.transform(f"{z}.c", lambda v: low(v) + high(v))) for z in (p, q))
+        return 4 * both - 2 * m * x - 2 * n * y + 2 * PAIRS * n * m
 
     norms = product(a, a) + product(b, b)
     return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(2 * product(a, b), norms))), F.lit(1.0))
@@ -129,11 +132,11 @@ def compared(vectors: DataFrame, keys: list[str], within: list[str], kind: str,
     0 are results if two more follow: their edited text's and the next text's.
     """
     order = Window.partitionBy(*within).orderBy(*keys, kind)
-    v = vectors.select(*keys, *within, kind, *ABOUT, *also, F.struct(*SUMS).alias("x"))
+    v = vectors.select(*keys, *within, kind, *ABOUT, *also, vector().alias("x"))
     v = v.withColumns({"e": F.lead("x", 1).over(order), "y": F.lead("x", 2).over(order)}).where((F.col(kind) == 0) & F.col("y").isNotNull())
     digest = F.lower(F.concat(*(F.lpad(F.hex(f"d{i}"), 16, "0") for i in range(4))))
-    return v.select("at", "n_chars", *also, digest.alias("edited_sha256"), as_text("x.").alias("fingerprint"), as_text("e.").alias("edited_fingerprint"),
-                    likeness("x.", "e.").alias("near_edited"), likeness("x.", "y.").alias("near_next"))
+    return v.select("at", "n_chars", *also, digest.alias("edited_sha256"), as_text("x").alias("fingerprint"), as_text("e").alias("edited_fingerprint"),
+                    likeness("x", "e").alias("near_edited"), likeness("x", "y").alias("near_next"))
 
 
 def split(rows: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
