@@ -60,3 +60,23 @@ def test_empty_tables(spark):
     entries = spark.createDataFrame([], "list string, pattern string, day date, active boolean, allow boolean")
     assert [x.blocked for x in uf.filter_urls(caps, entries).collect()] == [False]
     assert uf.filter_urls(caps.limit(0), entries).collect() == []
+
+
+@pytest.mark.parametrize("patterns", [["a.org/x/"], ["b.a.org", "c.b.a.org"], ["d.net", "a.org/x/"], ["org", "c.b.a.org"], ["x.d.c.b.a.org"]])
+def test_lists_of_few_label_counts(spark, patterns):
+    """Domains of fewer labels than any listed one are no keys; nothing is lost by that."""
+    day, at = dt.date(2020, 1, 1), dt.datetime(2020, 2, 1)
+    entries = [("one", p, day, True, False) for p in patterns]
+    urls = [f"http://{h}{p}" for h in ("a.org", "b.a.org", "c.b.a.org", "d.net", "org", "xa.org") for p in ("", "/x", "/x/y")]
+    got = uf.filter_urls(spark.createDataFrame([(i, u, at) for i, u in enumerate([*urls, None, "no host"])], "page_id long, url string, fetched timestamp_ntz"),
+                         spark.createDataFrame(entries, "list string, pattern string, day date, active boolean, allow boolean")).collect()
+    assert len(got) == len(urls) + 2
+    for x in got:
+        want = brute(x.url, day, entries) if x.url in urls else (False, None, None, None)
+        assert (x.blocked, x.list, x.pattern, x.valid_from) == want
+
+
+def test_candidates_without_short_domains(spark):
+    urls = spark.createDataFrame([("http://c.b.a.org/x/",), ("http://org/",), (None,)], "u string")
+    found = [x.c for x in urls.select(uf.candidates(F.col("u"), 1, 3).alias("c")).collect()]
+    assert found == [["c.b.a.org", "b.a.org", "c.b.a.org/x/"], [], []]

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Day of an interval that is still open.
 OPEN = "9999-12-31"
+#: More labels than a host has: no list names a domain.
+MOST_LABELS = 1 << 30
 
 
 def host_of(url: Column) -> Column:
@@ -38,12 +40,13 @@ def validity(entries: DataFrame) -> DataFrame:
     return spans.where("active").select(*by, F.col("day").alias("valid_from"), "valid_to")
 
 
-def candidates(url: Column, depth: int) -> Column:
-    """All patterns that can match a URL: its host and parent domains, and its host with up to depth path segments."""
+def candidates(url: Column, depth: int, labels_from: int = 1) -> Column:
+    """All patterns that can match a URL: its host and parent domains of at least labels_from labels, and its host with up to depth path segments."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    parents = F.transform(F.sequence(F.lit(1), F.greatest(n - labels_from + 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    domains = F.when(n >= labels_from, parents).otherwise(F.array().cast("array<string>"))
     if not depth:
         return domains
     segments = F.slice(F.split(F.regexp_replace(path_of(url), "^/", ""), "/"), 1, depth)
@@ -66,16 +69,19 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     distinct (url, day) with intervals cut at year ends, so that a pattern
     has at most 183 intervals a key and an open interval a row a year;
     a hot host is spread over its years and split by adaptive skew joins.
+    Domains with fewer labels than any listed one, such as the top-level
+    domain that most captures share, are no keys.
     """
     day = F.col(time_col).cast("date")
     caps = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetched"), day.alias("day"))
     spans = validity(entries)
-    depth = entries.agg(F.max(F.size(F.split("pattern", "/"))).alias("n")).first()["n"]
+    domain_labels = F.when(~F.contains("pattern", F.lit("/")), F.size(F.split("pattern", r"\.")))
+    depth, fewest = entries.agg(F.max(F.size(F.split("pattern", "/"))), F.min(domain_labels)).first()
     last = caps.agg(F.max(F.year("day")).alias("y")).first()["y"]
     end = F.least(F.year("valid_to"), F.lit(last if last is not None else 0))
     cut = spans.where(F.year("valid_from") <= end).select("*", F.explode(F.sequence(F.year("valid_from"), end)).alias("year"))
     keys = caps.where("url is not null and day is not null").select("url", "day").distinct()
-    keys = keys.withColumn("pattern", F.explode(candidates(F.col("url"), max(0, (depth or 1) - 2)))).withColumn("year", F.year("day"))
+    keys = keys.withColumn("pattern", F.explode(candidates(F.col("url"), max(0, (depth or 1) - 2), fewest or MOST_LABELS))).withColumn("year", F.year("day"))
     hits = keys.join(cut, ["pattern", "year"]).where("day between valid_from and valid_to")
     first = F.min_by(F.struct("allow", "list", "pattern", "valid_from"), F.struct(-F.length("pattern"), ~F.col("allow"), "list"))
     best = hits.groupBy("url", "day").agg(first.alias("best"))
