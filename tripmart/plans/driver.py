@@ -18,12 +18,12 @@ from .transform import stages
 
 def driver_raw(spark: SparkSession, sf_dir: str, with_position: bool = True) -> DataFrame:
     return memo(spark, ("raw", sf_dir, with_position),
-                lambda: raw_trips(spark, sf_dir, with_position=with_position))
+                lambda: raw_trips(spark, sf_dir, with_position=with_position), sf_dir)
 
 
 def driver_stages(spark: SparkSession, sf_dir: str, mode: str = "as_written") -> dict[str, DataFrame]:
     return memo(spark, ("stages", sf_dir, mode),
-                lambda: stages(driver_raw(spark, sf_dir), DRIVER_WINDOW, mode))
+                lambda: stages(driver_raw(spark, sf_dir), DRIVER_WINDOW, mode), sf_dir)
 
 
 def driver_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,4 +32,4 @@ def driver_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def driver_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return memo(spark, ("dims", sf_dir), lambda: star_dims(
-        spark, driver_locations(spark, sf_dir), DRIVER_CALENDAR, HOLIDAY_DATE_IDS))
+        spark, driver_locations(spark, sf_dir), DRIVER_CALENDAR, HOLIDAY_DATE_IDS), sf_dir)

@@ -56,14 +56,14 @@ def warehouse_fact(spark, sf) -> DataFrame:
     """The fact as the warehouse holds it: mapped, then loaded with the second
     mapping (amounts are 2-decimal doubles again)."""
     return memo(spark, ("warehouse_fact", sf),
-                lambda: load_mapping(driver_stages(spark, sf)["fact"]))
+                lambda: load_mapping(driver_stages(spark, sf)["fact"]), sf)
 
 
 def warehouse_measures(spark, sf) -> DataFrame:
     """The warehouse fact without trip_id, for whatever does not ask for the
     ids: no key step, so no shuffle of the trips."""
     return memo(spark, ("warehouse_measures", sf),
-                lambda: load_mapping(driver_stages(spark, sf)["measures"]))
+                lambda: load_mapping(driver_stages(spark, sf)["measures"]), sf)
 
 
 # =================================================================== A. scans
