@@ -220,3 +220,35 @@ def test_incremental_retries_failed_months(spark, tmp_path):
     os.remove(os.path.join(_folder(raw, 2), "data.parquet"))
     assert incremental.run_incremental(spark, raw, out, ck, W)[0] == [(2023, 2)]
     assert spark.read.parquet(out).count() == 10 and run_history(spark, out).where(F.col("status") != "success").count() == 0
+
+
+def test_run_audit_splits_a_month_over_tasks(spark, tmp_path, monkeypatch):
+    """Trips of one month, all of one instant: neither its files nor its broken files come from one task."""
+    from tripmart.plans import queries
+
+    tables, n = str(tmp_path / "sf"), 4000
+    day = F.to_date(F.lit("1999-03-05"))
+    frames = {
+        "orders": spark.sql("select 0L o_orderkey, 0L o_custkey").withColumn("o_orderdate", day.cast("timestamp_ntz")),
+        "customer": spark.sql("select 0L c_custkey, 3 c_nationkey"),
+        "supplier": spark.sql("select 0L s_suppkey, 4 s_nationkey"),
+        "lineitem": spark.range(n).selectExpr("0L l_orderkey", "0L l_partkey", "0L l_suppkey", "1 l_linenumber", "1.0D l_quantity", "100.0D l_extendedprice", "'R' l_returnflag"),
+    }
+    for name, frame in frames.items():
+        frame.write.parquet(f"{tables}/{name}.parquet")
+    monkeypatch.setattr(queries, "scratch_folder", lambda *_: str(tmp_path / "zone"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        got = queries.q_run_audit(spark, tables).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert [(r["status"], r["partitions"]) for r in got] == [("failed", ["year=1999/month=03"])]
+    month = tmp_path / "zone" / "raw" / "year=1999" / "month=3"
+    files = [pq.ParquetFile(p) for p in month.glob("*.parquet")]
+    broken = [f.metadata.num_rows for f in files if "list" in str(f.schema)]
+    whole = [f.metadata.num_rows for f in files if "list" not in str(f.schema)]
+    assert sum(broken) == sum(whole) == n
+    assert max(broken) < n and max(whole) < n

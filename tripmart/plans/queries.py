@@ -25,7 +25,7 @@ from ..operators.marts import trips_datetime, trips_labelled
 from ..schema import DRIVER_WINDOW, FOREIGN_KEYS, LOAD_MAPPING, RAW_NAMES
 from ..sources.adapter import POSITION_COLUMN, table
 from ..sources.raw import normalise
-from ..sources.zones import read_text_zone, through_text, write_text_zone
+from ..sources.zones import layout_for_write, read_text_zone, through_text, write_text_zone
 from . import insight_states
 from . import oracle as O
 from .driver import driver_dims, driver_raw, driver_stages
@@ -233,9 +233,9 @@ def q_fact_loaded(spark, sf):
 
 
 def raw_by_month(spark, sf) -> DataFrame:
-    """The raw trips with the storage month that their file would be in."""
+    """The raw trips with the storage month that their file would be in, and their position."""
     pickup = F.col("tpep_pickup_datetime")
-    return driver_raw(spark, sf, with_position=False).withColumns({"year": F.year(pickup), "month": F.month(pickup)})
+    return driver_raw(spark, sf).withColumns({"year": F.year(pickup), "month": F.month(pickup)})
 
 
 @register("fact_loaded_text", O.with_fact("SELECT * FROM loaded"))
@@ -708,8 +708,11 @@ def q_run_audit(spark, sf):
     """A whole run over a raw zone of all months, one of which has a file that
     can't be read as trips: it fails alone, months outside the window are empty."""
     folder = scratch_folder(spark, "run-audit")
-    raw = raw_by_month(spark, sf)
-    raw.repartition("year", "month").write.partitionBy("year", "month").parquet(f"{folder}/raw")
-    broken = raw.where("year = 1999 and month = 3").withColumn("fare_amount", F.array("fare_amount"))
-    broken.coalesce(1).write.mode("append").partitionBy("year", "month").parquet(f"{folder}/raw")
+    # A month goes to as many tasks as its rows ask for, also where they share one instant.
+    raw = layout_for_write(raw_by_month(spark, sf), sort_cols=("tpep_pickup_datetime",), tie_breaker=POSITION_COLUMN).drop(POSITION_COLUMN)
+    raw.write.partitionBy("year", "month").parquet(f"{folder}/raw")
+    # The broken files hold the month's rows as its files have them now, so that the trips are not joined again.
+    written = spark.read.schema(raw.schema).parquet(f"{folder}/raw")
+    broken = written.where("year = 1999 and month = 3").withColumn("fare_amount", F.array("fare_amount"))
+    broken.write.mode("append").partitionBy("year", "month").parquet(f"{folder}/raw")
     return run_pending(spark, f"{folder}/raw", f"{folder}/out", DRIVER_WINDOW, "grouped")
