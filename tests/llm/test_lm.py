@@ -215,3 +215,35 @@ def test_texts_learned_from_are_likelier_than_by_word_counts(spark):
     assert np.abs(a - b).max() < 1e-3
     base = lm.scores(docs, rounds=1).where("not held_out").selectExpr("sum(base_score)").first()[0]
     assert a.sum() > base
+
+
+def test_later_windows_attend_from_fresh_places_alone(monkeypatch):
+    """What a window before has scored is context: a text's every id is attended from once."""
+    attend, rows = Scorer.attend, []
+
+    def counted(self, *args):
+        rows.append(attend(self, *args))
+        return rows[-1]
+
+    monkeypatch.setattr(Scorer, "attend", counted)
+    texts = [np.arange(n, dtype=np.int16) % 50 for n in (WINDOW, WINDOW + STRIDE, WINDOW + 40 * STRIDE)]
+    Scorer(model(), COUNTS).positions(texts, 7)
+    assert sum(map(len, rows)) == sum(map(len, texts))
+
+
+def test_gradient_of_logits_at_the_bound():
+    """Logits beyond the bound pass no gradient on."""
+    r = np.random.default_rng(6)
+    w = Weights(model().vector.astype(np.float64))
+    w.query[:] *= 60
+    ids = r.integers(0, attention.CLASSES, (4, WINDOW + 1))
+    _, (*_, inside, _, _) = attention.attend(w, ids[:, :-1])
+    assert inside is not None and 0 < inside.mean() < 1
+    g = Weights(attention.loss_and_gradient(w, ids)[1])
+    for i, j in ((0, 0), (3, 5), (15, 2)):
+        w.key[i, j] += 1e-6
+        up = attention.loss_and_gradient(w, ids)[0]
+        w.key[i, j] -= 2e-6
+        down = attention.loss_and_gradient(w, ids)[0]
+        w.key[i, j] += 1e-6
+        assert (up - down) / 2e-6 == pytest.approx(g.key[i, j], rel=2e-2, abs=1e-6)

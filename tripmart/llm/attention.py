@@ -55,17 +55,25 @@ class Weights:
 
 def attend(w: Weights, x: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Outputs (windows, WINDOW, WIDTH) for class ids x (windows, WINDOW), and what the gradient needs (used in training)."""
-    h = w.embed[x] + w.place
-    q, k, v = h @ w.query, h @ w.key, h @ w.value
+    h = np.take(w.embed, x, axis=0)
+    h += w.place
+    rows = h.reshape(-1, WIDTH)
+    # Queries, keys and values by one product, the queries scaled already.
+    three = np.concatenate([w.query * w.query.dtype.type(WIDTH ** -0.5), w.key, w.value], 1)
+    qkv = (rows @ three).reshape(*x.shape, 3 * WIDTH)
+    q, k, v = (qkv[:, :, i:i + WIDTH] for i in range(0, 3 * WIDTH, WIDTH))
     a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= WIDTH ** -0.5
-    raw = a.copy()
-    np.clip(a, -BOUND, BOUND, out=a)
+    inside = None  # which logits are not cut at the bound, where any is
+    if not (len(a) == 0 or -BOUND < a.min() and a.max() < BOUND):
+        inside = np.abs(a) < BOUND
+        np.clip(a, -BOUND, BOUND, out=a)
     np.exp(a, out=a)
     a *= CAUSAL
-    a /= a.sum(2, keepdims=True)
+    a *= 1 / (a.reshape(-1, WINDOW) @ np.ones((WINDOW, 1), a.dtype)).reshape(*x.shape, 1)
     m = np.matmul(a, v)
-    return h + m @ w.out, (x, h, q, k, v, raw, a, m)
+    r = m.reshape(-1, WIDTH) @ w.out
+    r += rows
+    return r.reshape(h.shape), (x, rows, three, q, k, v, inside, a, m)
 
 
 class Scorer:
@@ -90,15 +98,15 @@ class Scorer:
         self.member = np.concatenate([w.member, w.member_bias[:, None, :]], 1)
         self.ones = np.ones((MEMBERS, 1), np.float32)
 
-    def attend(self, x: np.ndarray) -> np.ndarray:
-        """Output rows (windows * WINDOW, WIDTH + 1) for class ids x (windows, WINDOW), masked to the past."""
+    def attend(self, x: np.ndarray, first: int = 0) -> np.ndarray:
+        """Output rows (windows * places from first on, WIDTH + 1) for class ids x (windows, WINDOW), masked to the past."""
         h = np.take(self.embed, x, axis=0)
         h += self.place
-        rows = h.reshape(-1, WIDTH + 1)
-        a = np.matmul((rows @ self.match).reshape(h.shape), h.transpose(0, 2, 1))
+        rows = np.ascontiguousarray(h[:, first:]).reshape(-1, WIDTH + 1)
+        a = np.matmul((rows @ self.match).reshape(len(h), -1, WIDTH + 1), h.transpose(0, 2, 1))
         np.clip(a, -BOUND, BOUND, out=a)
         np.exp(a, out=a)
-        a *= CAUSAL
+        a *= CAUSAL[first:]
         m = np.matmul(a, h).reshape(-1, WIDTH + 1)
         m /= m[:, WIDTH:]
         m = m @ self.pass_on
@@ -116,12 +124,14 @@ class Scorer:
         """Natural log of the probability of each target class given its output row."""
         group = (target // MEMBERS).astype(np.uint8)
         order = np.argsort(group, kind="stable")
-        r, group, member = r[order], group[order], (target % MEMBERS)[order]
+        r, group, member = np.take(r, order, axis=0), group[order], (target % MEMBERS)[order]
         total = self._chosen(r @ self.group, group)
         cuts = np.searchsorted(group, np.arange(GROUPS + 1))
+        logits = np.empty((len(r), MEMBERS), r.dtype)
         for g, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if a < b:
-                total[a:b] += self._chosen(r[a:b] @ self.member[g], member[a:b])
+                np.matmul(r[a:b], self.member[g], out=logits[a:b])
+        total += self._chosen(logits, member)
         out = np.empty(len(r), np.float32)
         out[order] = total
         np.exp(out, out=out)
@@ -153,17 +163,25 @@ class Scorer:
             flat[b + 1:b + 1 + len(t)] = t
         step = np.arange(WINDOW + 1)
         rows, targets, at_places = [], [], []
-        for i in range(0, len(owner), BATCH):
-            s, o = start[i:i + BATCH], owner[i:i + BATCH]
-            ids = flat[(begins[o] + s)[:, None] + step]
-            fresh = (s[:, None] + step[:-1] < lengths[o][:, None]) & ((s == 0)[:, None] | (step[:-1] >= WINDOW - STRIDE))
-            at = np.flatnonzero(fresh)
-            rows.append(self.attend(ids[:, :-1])[at])
-            targets.append(ids[:, 1:].reshape(-1)[at])
-            at_places.append((places[o] + s)[at // WINDOW] + at % WINDOW)
-            if len(rows) == GATHER or i + BATCH >= len(owner):
+
+        def flush() -> None:
+            if rows:
                 total[np.concatenate(at_places)] = self.log_probability(np.concatenate(rows), np.concatenate(targets))
-                rows, targets, at_places = [], [], []
+            for x in (rows, targets, at_places):
+                x.clear()
+
+        # First windows score all of their places; later ones attend only from those that no window before has scored.
+        for some, first in ((np.flatnonzero(start == 0), 0), (np.flatnonzero(start), WINDOW - STRIDE)):
+            for i in range(0, len(some), BATCH):
+                s, o = start[some[i:i + BATCH]], owner[some[i:i + BATCH]]
+                ids = np.take(flat, (begins[o] + s)[:, None] + step)
+                at = np.flatnonzero(s[:, None] + step[first:-1] < lengths[o][:, None])
+                rows.append(np.take(self.attend(ids[:, :-1], first), at, axis=0))
+                targets.append(ids[:, 1 + first:].reshape(-1)[at])
+                at_places.append((places[o] + s + first)[at // (WINDOW - first)] + at % (WINDOW - first))
+                if len(rows) == GATHER:
+                    flush()
+        flush()
         return total
 
 
@@ -175,59 +193,71 @@ def windows_of(lengths: np.ndarray) -> np.ndarray:
 def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
     """Mean negative log probability of windows ids (windows, WINDOW + 1), but for ids -1 at their ends, and its gradient as one vector."""
     g = Weights(np.zeros_like(w.vector))
-    r, (x, h, q, k, v, raw, a, m) = attend(w, np.maximum(ids[:, :-1], 0))
+    r, (x, h, three, q, k, v, inside, a, m) = attend(w, np.maximum(ids[:, :-1], 0))
     target = ids[:, 1:].reshape(-1).astype(np.int64)
     scored = np.flatnonzero(target >= 0)
-    flat, target = r.reshape(-1, WIDTH)[scored], target[scored]
-    n = max(1, len(flat))
+    scored = scored[np.argsort((target[scored] // MEMBERS).astype(np.uint8), kind="stable")]
+    target = target[scored]
     group, member = target // MEMBERS, target % MEMBERS
-    loss, back = 0.0, np.empty_like(flat)
+    n = max(1, len(target))
+    # A last element of 1, by which products add the biases and sum up their gradients.
+    flat = np.ones((len(target), WIDTH + 1), r.dtype)
+    flat[:, :WIDTH] = np.take(r.reshape(-1, WIDTH), scored, axis=0)
+    loss, own = 0.0, np.arange(len(target))
 
     def errors(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
         """Gradient of the mean loss by logits, which are used up; adds to the loss."""
         nonlocal loss
         np.clip(logits, -BOUND, BOUND, out=logits)
-        own = np.arange(len(chosen))
         loss -= float(logits[own, chosen].sum(dtype=np.float64))
         np.exp(logits, out=logits)
-        sums = logits.sum(1)
+        sums = logits @ np.ones((logits.shape[1], 1), logits.dtype)
         loss += float(np.log(sums).sum(dtype=np.float64))
-        logits /= (sums * n)[:, None]
+        logits *= 1 / (sums * n)
         logits[own, chosen] -= 1 / n
         return logits
 
-    order = np.argsort(group.astype(np.uint8), kind="stable")
-    flat, group, member = flat[order], group[order], member[order]
-    p = errors(flat @ w.group + w.group_bias, group)
-    g.group[:] = flat.T @ p
-    g.group_bias[:] = p.sum(0)
-    np.matmul(p, w.group.T, out=back)
-    cuts = np.searchsorted(group, np.arange(GROUPS + 1))
-    for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        if low < high:
-            some = flat[low:high]
-            p = errors(some @ w.member[i] + w.member_bias[i], member[low:high])
-            g.member[i] = some.T @ p
-            g.member_bias[i] = p.sum(0)
-            back[low:high] += p @ w.member[i].T
-    dr = np.zeros_like(r)
-    dr.reshape(-1, WIDTH)[scored[order]] = back
-    dh = dr.copy()
-    together = lambda left, right: left.reshape(-1, WIDTH).T @ right.reshape(-1, WIDTH)
-    g.out[:] = together(m, dr)
+    p = errors(flat @ np.vstack([w.group, w.group_bias]), group)
+    both = flat.T @ p
+    g.group[:], g.group_bias[:] = both[:WIDTH], both[WIDTH]
+    back = p @ w.group.T
+    weights = np.concatenate([w.member, w.member_bias[:, None, :]], 1)
+    cuts = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+    parts = [(i, slice(low, high)) for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)) if low < high]
+    logits = np.empty((len(target), MEMBERS), r.dtype)
+    for i, at in parts:
+        np.matmul(flat[at], weights[i], out=logits[at])
+    p = errors(logits, member)
+    for i, at in parts:
+        both = flat[at].T @ p[at]
+        g.member[i], g.member_bias[i] = both[:WIDTH], both[WIDTH]
+        back[at] += p[at] @ w.member[i].T
+    dr = np.zeros((x.size, WIDTH), r.dtype)
+    dr[scored] = back
+    m = m.reshape(-1, WIDTH)
+    g.out[:] = m.T @ dr
     dm = dr @ w.out.T
-    da = np.matmul(dm, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dm)
-    ds = a * (da - (da * a).sum(2, keepdims=True))
-    ds *= (np.abs(raw) < BOUND) * np.float32(WIDTH ** -0.5)
-    dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
-    for name, d in (("query", dq), ("key", dk), ("value", dv)):
-        getattr(g, name)[:] = together(h, d)
-        dh += d @ getattr(w, name).T
-    g.place[:] = dh.sum(0)
-    ids = x.reshape(-1)
-    for i, column in enumerate(dh.reshape(-1, WIDTH).T):
-        g.embed[:, i] = np.bincount(ids, column, CLASSES)
+    # The mean of da under a is the product of dm and the outputs that a has made.
+    mean = np.einsum("ij,ij->i", dm, m).reshape(*x.shape, 1)
+    dm = dm.reshape(*x.shape, WIDTH)
+    d = np.empty((*x.shape, 3 * WIDTH), r.dtype)
+    np.matmul(a.transpose(0, 2, 1), dm, out=d[:, :, 2 * WIDTH:])
+    ds = np.matmul(dm, v.transpose(0, 2, 1))
+    ds -= mean
+    ds *= a
+    if inside is not None:
+        ds *= inside
+    np.matmul(ds, k, out=d[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, WIDTH:2 * WIDTH])
+    d = d.reshape(-1, 3 * WIDTH)
+    every = h.T @ d
+    g.query[:] = every[:, :WIDTH] * r.dtype.type(WIDTH ** -0.5)
+    g.key[:], g.value[:] = every[:, WIDTH:2 * WIDTH], every[:, 2 * WIDTH:]
+    dh = d @ three.T
+    dh += dr
+    g.place[:] = dh.reshape(len(x), -1).sum(0).reshape(WINDOW, WIDTH)
+    places = x.reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)
+    g.embed[:] = np.bincount(places.reshape(-1), dh.reshape(-1), CLASSES * WIDTH).reshape(CLASSES, WIDTH)
     return loss / n, g.vector
 
 
