@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripmart.llm import attention, lm
@@ -247,3 +248,38 @@ def test_gradient_of_logits_at_the_bound():
         down = attention.loss_and_gradient(w, ids)[0]
         w.key[i, j] += 1e-6
         assert (up - down) / 2e-6 == pytest.approx(g.key[i, j], rel=2e-2, abs=1e-6)
+
+
+def test_chunks_spell_texts_with_each_word_encoded_once():
+    texts = [None, "", " \x0b\n", "The the of", "É a\x1cb \xa0 c", "many Words " * 50, "the"]
+    chunk, found = lm.told_apart(pa.array(texts, pa.string()), lm.VOCABULARY)
+    each = [words(t) for t in texts]
+    assert sorted(found.to_pylist()) == sorted({w for t in each for w in t})
+    assert chunk.lengths.tolist() == [len(t) for t in each]
+    assert [found[i].as_py() for i in chunk.places] == [w for t in each for w in t]
+    encode = encoder(lm.VOCABULARY)[0].encode_ordinary
+    want = [[i for w in t for i in encode(" " + w)] + [-7] for t in each]
+    tokens, sizes, places, of_word = chunk.spelled(-7)
+    assert tokens.tolist() == [i for t in want for i in t] and sizes.tolist() == [len(t) for t in want]
+    assert len(places) == len(of_word) == sum(map(len, each)) + len(each) and of_word.sum() == len(tokens)
+    assert lm.told_apart(pa.array([], pa.string()), lm.VOCABULARY)[0].spelled(1)[0].tolist() == []
+
+
+def test_pieces_cover_texts_in_order(monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK", 10)
+    texts = pa.array(["x" * n if n >= 0 else None for n in (3, 40, -1, 0, 9, 9, 1, 25)], pa.string())
+    got = list(lm.pieces(texts))
+    assert [i for a, n in got for i in range(a, a + n)] == list(range(len(texts))) and len(got) > 3
+    assert lm.split_at(pa.scalar("")).to_pylist() == [] and lm.split_at(pa.scalar("a b")).to_pylist() == ["a", "b"]
+    for x in ([], [0, 255], [70_000, 1]):
+        assert lm.unpacked(lm.packed(np.array(x, np.int64))[0]).tolist() == x
+
+
+def test_gradient_adds_up_over_parts(monkeypatch):
+    w, ids = Weights(model().vector.astype(np.float64)), np.random.default_rng(3).integers(0, attention.CLASSES, (10, WINDOW + 1))
+    ids[4, 5:] = -1
+    loss, whole = attention.loss_and_gradient(w, ids)
+    monkeypatch.setattr(attention, "PART", 3)
+    parts = attention.loss_and_gradient(w, ids)
+    assert parts[0] == pytest.approx(loss) and np.abs(parts[1] - whole).max() < 1e-12
+    assert np.array_equal(attention.loss_and_gradient(w, ids, wanted=False)[1], parts[1])

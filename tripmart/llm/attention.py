@@ -17,12 +17,30 @@ BOUND = 60.0
 MIX = 0.05
 #: Windows attended together, and how many such batches share one output step.
 BATCH, GATHER = 64, 8
+#: Windows whose gradients are taken together, so that what is between fits a core's cache.
+PART = 128
+#: Bytes of arrays that a task keeps for its next ones.
+KEPT = 8 << 20
 
 SHAPES = {"embed": (CLASSES, WIDTH), "place": (WINDOW, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH), "value": (WIDTH, WIDTH), "out": (WIDTH, WIDTH),
           "group": (WIDTH, GROUPS), "group_bias": (GROUPS,), "member": (GROUPS, WIDTH, MEMBERS), "member_bias": (GROUPS, MEMBERS)}
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
+def keep_memory() -> None:
+    """Free one large array: from then on the C library keeps what smaller ones leave for the next ones, and does not give it back page by page."""
+    np.empty(KEPT, np.uint8)
+
+
+def bounded(logits: np.ndarray) -> np.ndarray | None:
+    """Keep logits within BOUND, in place; which ones were, or None for all."""
+    if not logits.size or -BOUND < logits.min() and logits.max() < BOUND:
+        return None
+    inside = np.abs(logits) < BOUND
+    np.clip(logits, -BOUND, BOUND, out=logits)
+    return inside
+
+
 @dataclass
 class Weights:
     """All weights in one vector, with a view for each part."""
@@ -63,17 +81,16 @@ def attend(w: Weights, x: np.ndarray) -> tuple[np.ndarray, tuple]:
     qkv = (rows @ three).reshape(*x.shape, 3 * WIDTH)
     q, k, v = (qkv[:, :, i:i + WIDTH] for i in range(0, 3 * WIDTH, WIDTH))
     a = np.matmul(q, k.transpose(0, 2, 1))
-    inside = None  # which logits are not cut at the bound, where any is
-    if not (len(a) == 0 or -BOUND < a.min() and a.max() < BOUND):
-        inside = np.abs(a) < BOUND
-        np.clip(a, -BOUND, BOUND, out=a)
+    inside = bounded(a)
     np.exp(a, out=a)
     a *= CAUSAL
-    a *= 1 / (a.reshape(-1, WINDOW) @ np.ones((WINDOW, 1), a.dtype)).reshape(*x.shape, 1)
-    m = np.matmul(a, v)
-    r = m.reshape(-1, WIDTH) @ w.out
+    # The exponentials stay as they are; what they make is divided by their sums.
+    share = 1 / (a.reshape(-1, WINDOW) @ np.ones((WINDOW, 1), a.dtype))
+    m = np.matmul(a, v).reshape(-1, WIDTH)
+    m *= share
+    r = m @ w.out
     r += rows
-    return r.reshape(h.shape), (x, rows, three, q, k, v, inside, a, m)
+    return r.reshape(h.shape), (x, rows, three, q, k, v, share, inside, a, m)
 
 
 class Scorer:
@@ -104,7 +121,7 @@ class Scorer:
         h += self.place
         rows = np.ascontiguousarray(h[:, first:]).reshape(-1, WIDTH + 1)
         a = np.matmul((rows @ self.match).reshape(len(h), -1, WIDTH + 1), h.transpose(0, 2, 1))
-        np.clip(a, -BOUND, BOUND, out=a)
+        bounded(a)
         np.exp(a, out=a)
         a *= CAUSAL[first:]
         m = np.matmul(a, h).reshape(-1, WIDTH + 1)
@@ -115,8 +132,8 @@ class Scorer:
 
     def _chosen(self, logits: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log softmax of each row at its target, of logits that are bounded first and used up."""
-        np.clip(logits, -BOUND, BOUND, out=logits)
-        out = logits[np.arange(len(logits)), target]
+        bounded(logits)
+        out = np.take(logits.reshape(-1), np.arange(0, logits.size, logits.shape[1]) + target)
         np.exp(logits, out=logits)
         return out - np.log((logits @ self.ones[:logits.shape[1]])[:, 0])
 
@@ -190,57 +207,72 @@ def windows_of(lengths: np.ndarray) -> np.ndarray:
     return 1 + np.maximum(0, -(-(lengths - WINDOW) // STRIDE))
 
 
-def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean negative log probability of windows ids (windows, WINDOW + 1), but for ids -1 at their ends, and its gradient as one vector."""
-    g = Weights(np.zeros_like(w.vector))
-    r, (x, h, three, q, k, v, inside, a, m) = attend(w, np.maximum(ids[:, :-1], 0))
-    target = ids[:, 1:].reshape(-1).astype(np.int64)
-    scored = np.flatnonzero(target >= 0)
-    scored = scored[np.argsort((target[scored] // MEMBERS).astype(np.uint8), kind="stable")]
-    target = target[scored]
-    group, member = target // MEMBERS, target % MEMBERS
-    n = max(1, len(target))
+def loss_and_gradient(w: Weights, ids: np.ndarray, wanted: bool = True) -> tuple[float, np.ndarray]:
+    """Mean negative log probability (0 if not wanted) of windows ids (windows, WINDOW + 1), but for ids -1 at their ends, and its gradient as one vector."""
+    g, n = Weights(np.zeros_like(w.vector)), max(1, np.count_nonzero(ids[:, 1:] >= 0))
+    # Biases ride along as a last element.
+    group, member = np.vstack([w.group, w.group_bias]), np.concatenate([w.member, w.member_bias[:, None, :]], 1)
+    sums = np.zeros_like(group), np.zeros_like(member), np.zeros((WIDTH, 3 * WIDTH), w.vector.dtype)
+    loss = sum(add_gradient(w, group, member, ids[i:i + PART], n, g, sums, wanted) for i in range(0, len(ids), PART))
+    g.group[:], g.group_bias[:] = sums[0][:WIDTH], sums[0][WIDTH]
+    g.member[:], g.member_bias[:] = sums[1][:, :WIDTH], sums[1][:, WIDTH]
+    g.query[:] = sums[2][:, :WIDTH] * w.vector.dtype.type(WIDTH ** -0.5)
+    g.key[:], g.value[:] = sums[2][:, WIDTH:2 * WIDTH], sums[2][:, 2 * WIDTH:]
+    return loss / n, g.vector
+
+
+def add_gradient(w: Weights, group_out: np.ndarray, member_out: np.ndarray, ids: np.ndarray, n: int, g: Weights, sums: tuple[np.ndarray, ...], wanted: bool) -> float:
+    """Add the gradient of some windows' part of a mean over n ids: to g, and to sums that of the two outputs and of query, key and value together.  Returns their loss."""
+    r, (x, h, three, q, k, v, share, inside, a, m) = attend(w, np.maximum(ids[:, :-1], 0))
+    one = r.dtype.type
+    target = ids[:, 1:].reshape(-1)
+    group = (target // MEMBERS).astype(np.int8)  # -1 where there is no id
+    scored = np.argsort(group, kind="stable")
+    cuts = np.cumsum(np.bincount(group + 1, minlength=GROUPS + 1))
+    scored, cuts = scored[cuts[0]:], (cuts - cuts[0]).tolist()
+    target, group = target[scored], group[scored]
     # A last element of 1, by which products add the biases and sum up their gradients.
-    flat = np.ones((len(target), WIDTH + 1), r.dtype)
+    flat = np.ones((len(target), WIDTH + 1), one)
     flat[:, :WIDTH] = np.take(r.reshape(-1, WIDTH), scored, axis=0)
-    loss, own = 0.0, np.arange(len(target))
+    ones, first, loss = np.ones((MEMBERS, 1), one), np.arange(0, len(target) * MEMBERS, MEMBERS), 0.0
 
     def errors(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
         """Gradient of the mean loss by logits, which are used up; adds to the loss."""
         nonlocal loss
-        np.clip(logits, -BOUND, BOUND, out=logits)
-        loss -= float(logits[own, chosen].sum(dtype=np.float64))
+        bounded(logits)
+        every, at = logits.reshape(-1), first + chosen
+        if wanted:
+            loss -= float(np.take(every, at).sum(dtype=np.float64))
         np.exp(logits, out=logits)
-        sums = logits @ np.ones((logits.shape[1], 1), logits.dtype)
-        loss += float(np.log(sums).sum(dtype=np.float64))
-        logits *= 1 / (sums * n)
-        logits[own, chosen] -= 1 / n
+        total = logits @ ones[:logits.shape[1]]
+        if wanted:
+            loss += float(np.log(total).sum(dtype=np.float64))
+        logits *= 1 / (total * one(n))
+        every[at] -= one(1 / n)
         return logits
 
-    p = errors(flat @ np.vstack([w.group, w.group_bias]), group)
-    both = flat.T @ p
-    g.group[:], g.group_bias[:] = both[:WIDTH], both[WIDTH]
+    p = errors(flat @ group_out, group)
+    sums[0][:] += flat.T @ p
     back = p @ w.group.T
-    weights = np.concatenate([w.member, w.member_bias[:, None, :]], 1)
-    cuts = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
     parts = [(i, slice(low, high)) for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)) if low < high]
-    logits = np.empty((len(target), MEMBERS), r.dtype)
+    logits = np.empty((len(target), MEMBERS), one)
     for i, at in parts:
-        np.matmul(flat[at], weights[i], out=logits[at])
-    p = errors(logits, member)
+        np.matmul(flat[at], member_out[i], out=logits[at])
+    p = errors(logits, target % MEMBERS)
+    more = np.empty_like(back)
     for i, at in parts:
-        both = flat[at].T @ p[at]
-        g.member[i], g.member_bias[i] = both[:WIDTH], both[WIDTH]
-        back[at] += p[at] @ w.member[i].T
-    dr = np.zeros((x.size, WIDTH), r.dtype)
+        sums[1][i] += flat[at].T @ p[at]
+        np.matmul(p[at], w.member[i].T, out=more[at])
+    back += more
+    dr = np.zeros((x.size, WIDTH), one)
     dr[scored] = back
-    m = m.reshape(-1, WIDTH)
-    g.out[:] = m.T @ dr
+    g.out[:] += m.T @ dr
     dm = dr @ w.out.T
+    dm *= share
     # The mean of da under a is the product of dm and the outputs that a has made.
     mean = np.einsum("ij,ij->i", dm, m).reshape(*x.shape, 1)
     dm = dm.reshape(*x.shape, WIDTH)
-    d = np.empty((*x.shape, 3 * WIDTH), r.dtype)
+    d = np.empty((*x.shape, 3 * WIDTH), one)
     np.matmul(a.transpose(0, 2, 1), dm, out=d[:, :, 2 * WIDTH:])
     ds = np.matmul(dm, v.transpose(0, 2, 1))
     ds -= mean
@@ -250,15 +282,16 @@ def loss_and_gradient(w: Weights, ids: np.ndarray) -> tuple[float, np.ndarray]:
     np.matmul(ds, k, out=d[:, :, :WIDTH])
     np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, WIDTH:2 * WIDTH])
     d = d.reshape(-1, 3 * WIDTH)
-    every = h.T @ d
-    g.query[:] = every[:, :WIDTH] * r.dtype.type(WIDTH ** -0.5)
-    g.key[:], g.value[:] = every[:, WIDTH:2 * WIDTH], every[:, 2 * WIDTH:]
+    sums[2][:] += h.T @ d
     dh = d @ three.T
     dh += dr
-    g.place[:] = dh.reshape(len(x), -1).sum(0).reshape(WINDOW, WIDTH)
-    places = x.reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)
-    g.embed[:] = np.bincount(places.reshape(-1), dh.reshape(-1), CLASSES * WIDTH).reshape(CLASSES, WIDTH)
-    return loss / n, g.vector
+    g.place[:] += dh.reshape(len(x), -1).sum(0).reshape(WINDOW, WIDTH)
+    x = x.reshape(-1)
+    order = np.argsort(x, kind="stable")
+    x = x[order]
+    starts = np.flatnonzero(np.diff(x, prepend=-1))
+    g.embed[x[starts]] += np.add.reduceat(np.take(dh, order, axis=0), starts, axis=0)
+    return loss
 
 
 class Adam:
@@ -268,15 +301,14 @@ class Adam:
         self.vector, self.rate, self.steps = w.vector.copy(), rate, 0
         self.first, self.second = np.zeros_like(self.vector), np.zeros_like(self.vector)
 
-    def step(self, windows: np.ndarray) -> float:
-        """One step on a batch of windows (n, WINDOW + 1); returns its loss before."""
-        loss, grad = loss_and_gradient(Weights(self.vector), windows)
+    def step(self, windows: np.ndarray) -> None:
+        """One step on a batch of windows (n, WINDOW + 1)."""
+        _, grad = loss_and_gradient(Weights(self.vector), windows, wanted=False)
         self.steps += 1
         self.first += np.float32(0.1) * (grad - self.first)
         self.second += np.float32(0.02) * (grad * grad - self.second)
         first, second = self.first / np.float32(1 - 0.9 ** self.steps), self.second / np.float32(1 - 0.98 ** self.steps)
         self.vector -= np.float32(self.rate) * first / (np.sqrt(second) + np.float32(1e-8))
-        return loss
 
 
 def train(w: Weights, windows: np.ndarray, epochs: int = 1, batch: int = 32, rate: float = 0.02) -> Weights:

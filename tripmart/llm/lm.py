@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import uuid
 from array import array
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tripmart.llm import attention
-from tripmart.llm.attention import CLASSES, WINDOW, Adam, Scorer, Weights
+from tripmart.llm.attention import CLASSES, WINDOW, Adam, Scorer, Weights, keep_memory
 from tripmart.llm.graph import cut_lineage, shared_folder
-from tripmart.llm.text import per_text
 from tripmart.llm.token_counts import encoder
 
 #: Ranks of a byte-level BPE vocabulary for many languages.
@@ -28,8 +29,10 @@ END = " "
 FREQUENT = 200_000
 #: Words kept with their subwords in a task.
 CACHE = 400_000
-#: Texts encoded together when all of their windows are cut.
-SLICE = 512
+#: Texts that start within so many bytes are encoded together, each of their words once.
+CHUNK = 1 << 21
+#: Stored chunks are rows of some megabytes: sizes are looked at from the first row on, so that few are held together.
+LARGE_ROWS = {"compression": "zstd", "parquet.block.size": 1 << 24, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 #: Rounds of training: the windows of a text are dealt over them, and each ends with the mean of all shards' weights.
 ROUNDS = 8
 #: Windows of a shard, which goes through its part of a round alone; windows of a step; and the first round's step width.
@@ -38,6 +41,9 @@ WINDOWS_PER_SHARD, BATCH, RATE = 262_144, 256, 0.04
 FAN_IN = 32
 LN10 = float(np.log(10))
 SUM_FIELDS = "sum binary, n long"
+#: A text's windows of one round; or, with round -1, a chunk: its words joined by blanks, their counts in the texts learned from, their token ids
+#: and how many each has, the place of each word of all texts among these words, and how many words each text has.
+STORED = "h long, windows binary, n long, hs array<long>, words string, learned binary, ids binary, spans binary, places binary, lengths binary, round int"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -50,15 +56,24 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over texts, ends of texts included."""
-    w = F.col("word")
-    # All of a word is lower-cased where it is ASCII, else its A-Z alone.
-    low = F.when(F.octet_length(w) == F.length(w), F.lower(w)).otherwise(F.translate(w, ascii_uppercase, ascii_lowercase))
-    found = texts.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).where("word <> ''")
-    counts = found.select(low.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    ends = texts.agg(F.count("*").alias("n")).where("n > 0").select(F.lit(END).alias("word"), "n")
-    return counts.unionByName(ends)
+def word_counts(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(word, n) over texts (columns text, h), ends of texts included."""
+    return stored_counts(stored(texts, vocabulary))
+
+
+def stored_counts(table: DataFrame) -> DataFrame:
+    """(word, n) over the texts learned from, ends of texts included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for word, learned, ends in zip(*batch.columns, strict=True):
+                n = unpacked(learned)
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([split_at(word).take(pa.array(some)), pa.array(n[some])], names=["word", "n"])
+                if ends.as_py():
+                    yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([ends.as_py()], pa.int64())], names=["word", "n"])
+
+    return chunks(table, "words", "learned", "n").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def least_frequent(counts: DataFrame) -> int:
@@ -84,21 +99,146 @@ def after_blank(vocabulary: str) -> np.ndarray:
     return out
 
 
-def encoded(fresh: list[bytes], vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of words, each after a blank, and the place where each word's ids start.
+def encoded(fresh: str, n: int, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of n words that blanks join, each after a blank, and the place where each word's ids start.
 
     Words are encoded together: each one's tokens start with the one that has the blank before it.
     """
-    encode = encoder(vocabulary)[0].encode_ordinary
-    ids = np.array(encode(" " + b" ".join(fresh).decode()) if fresh else [], np.int64)
+    encoding = encoder(vocabulary)[0]
+    ids = encoding.encode_to_numpy(" " + fresh) if n else np.zeros(0, np.uint32)
     starts = np.flatnonzero(after_blank(vocabulary)[ids])
-    if len(starts) != len(fresh):  # other white space than words end at can join pieces
-        each = [encode(" " + w.decode()) for w in fresh]
+    if len(starts) != n:  # other white space than words end at can join pieces
+        each = [encoding.encode_ordinary(" " + w) for w in fresh.split(" ")]
         starts = np.cumsum([0, *map(len, each[:-1])])
-        ids = np.array([i for one in each for i in one], np.int64)
+        ids = np.array([i for one in each for i in one], np.uint32)
     return ids, starts
 
 
+@dataclass
+class Chunk:
+    """Texts whose words are told apart: places of all words of all texts, how many each text has, and the words' token ids, so many each."""
+
+    places: np.ndarray
+    lengths: np.ndarray
+    ids: np.ndarray
+    spans: np.ndarray
+
+    def spelled(self, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids of all texts one after the other, the id end closing each; how many each text has; the place of each of its words, the
+        end's after all others; and how many tokens each of these has."""
+        owner_ends = np.cumsum(self.lengths)
+        places = np.insert(self.places, owner_ends, len(self.spans))
+        ids, spans = np.append(self.ids, self.ids.dtype.type(end)), np.append(self.spans, 1)
+        sizes = spans[places]
+        ends = np.cumsum(sizes)
+        at = np.repeat((np.cumsum(spans) - spans)[places] - ends + sizes, sizes)
+        at += np.arange(len(at))
+        last = ends[owner_ends + np.arange(len(self.lengths))] if len(self.lengths) else ends
+        return ids[at], np.diff(last, prepend=0), places, sizes
+
+
+def packed(numbers: np.ndarray) -> pa.Array:
+    """Numbers from 0 on in as few bytes as the largest needs, as one binary value."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return pa.array([kind.char.encode() + numbers.astype(kind).tobytes()], pa.binary())
+
+
+def unpacked(value: pa.Scalar) -> np.ndarray:
+    raw = np.frombuffer(value.as_buffer(), np.uint8)
+    return raw[1:].copy().view(np.dtype(chr(raw[0]))).astype(np.int64)
+
+
+def told_apart(texts: pa.Array, vocabulary: str) -> tuple[Chunk, pa.Array]:
+    """The chunk of whole texts, and its lower-cased (A-Z) words, which stand between blanks.  Null texts are empty."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, offsets = found.flatten(), found.offsets.to_numpy()
+    real = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)])
+    each = flat.filter(real).dictionary_encode()
+    ids, starts = encoded(pc.binary_join(pa.ListArray.from_arrays([0, len(each.dictionary)], each.dictionary), " ")[0].as_py(), len(each.dictionary), vocabulary)
+    return Chunk(each.indices.to_numpy().astype(np.int64), np.diff(before[offsets]), ids.astype(np.int64), np.diff(starts, append=len(ids))), each.dictionary
+
+
+def split_at(words: pa.Scalar) -> pa.Array:
+    """Words that blanks join."""
+    if not words.as_buffer().size:
+        return pa.array([], pa.string())
+    return pc.split_pattern(pa.array([words.as_py()], pa.string()), " ").flatten()
+
+
+def pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Slices (first, number) of texts that start within the same CHUNK bytes."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // CHUNK
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]).tolist()
+    return ((a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
+
+def token_type(vocabulary: str) -> np.dtype:
+    """Holds every token id, the one that ends texts and the one beyond that stands for no token."""
+    return np.min_scalar_type(encoder(vocabulary)[1].size + 2)
+
+
+def chunks(table: DataFrame, *columns: str) -> DataFrame:
+    return table.where("round = -1").select(*columns)
+
+
+def stored(texts: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataFrame:
+    """Texts (columns text, h: a hash of the row; doc_id and learn: whether to learn from it, if there) in the shared folder, each word
+    of a chunk encoded once: chunks of all texts, and the windows of those to learn from, dealt over the rounds."""
+    spark = texts.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/windows-{uuid.uuid4().hex}"
+    doc_id = F.col("doc_id") if "doc_id" in texts.columns else F.col("h")
+    learn = F.col("learn") if "learn" in texts.columns else F.lit(True)
+    texts = texts.select(doc_id.alias("doc_id"), "h", learn.alias("learn"), "text")
+    fields = f"doc_ids array<{texts.schema['doc_id'].dataType.simpleString()}>, {STORED}"
+    arrow = to_arrow_schema(StructType.fromDDL(fields))
+    kind = token_type(vocabulary)
+
+    def rows(**columns: pa.Array) -> pa.RecordBatch:
+        gone = pa.nulls(len(columns["round"]))
+        return pa.RecordBatch.from_arrays([columns.get(f.name, gone).cast(f.type) for f in arrow], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
+        end = encoder(vocabulary)[1].size
+        for whole in batches:
+            for at, n in pieces(whole.column(3)):
+                doc_ids, h, learn, texts = whole.slice(at, n).columns
+                chunk, found = told_apart(texts, vocabulary)
+                tokens, sizes, _, _ = chunk.spelled(end)
+                learn = learn.to_numpy(zero_copy_only=False)
+                windows, counts = windows_of(tokens[np.repeat(learn, sizes)].astype(kind), sizes[learn], end, end + 1)
+                h_own = h.to_numpy()[learn]
+                # Windows of a text and round are one row.
+                owner = np.repeat(np.arange(len(counts)), counts)
+                nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+                key = owner * rounds + (h_own[owner] % rounds + nth) % rounds
+                order = np.argsort(key, kind="stable")
+                cuts = np.flatnonzero(np.diff(key[order], prepend=-1))
+                key, number = key[order[cuts]], np.diff(np.append(cuts, len(order)))
+                yield rows(
+                    round=pa.array(key % rounds), h=pa.array(h_own[key // rounds]), n=pa.array(number),
+                    windows=binaries(windows[order], np.append(cuts, len(order))),
+                )
+                learned = np.bincount(chunk.places[np.repeat(learn, chunk.lengths)], minlength=len(found)).astype(np.int64)
+                parts = {"learned": learned, "ids": chunk.ids, "spans": chunk.spans, "places": chunk.places, "lengths": chunk.lengths}
+                yield rows(
+                    round=pa.array([-1]), n=pa.array([int(learn.sum())]), doc_ids=pa.ListArray.from_arrays([0, n], doc_ids), hs=pa.ListArray.from_arrays([0, n], h),
+                    words=pc.binary_join(pa.ListArray.from_arrays([0, len(found)], found), " "), **{k: packed(x) for k, x in parts.items()},
+                )
+
+    texts.mapInArrow(run, fields).write.partitionBy("round").options(**LARGE_ROWS).parquet(folder)
+    return spark.read.schema(fields).parquet(folder)
+
+
+def binaries(rows: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """A binary value for the rows between each two cuts."""
+    rows = np.ascontiguousarray(rows)
+    offsets = (cuts * (rows.itemsize * rows.shape[1])).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
 class Places(dict):
     """Place of each word met so far; a new word gets the next place and is noted in fresh."""
 
@@ -128,9 +268,9 @@ class Subwords:
 
     def _add(self, fresh: list[bytes]) -> None:
         """Keep the tokens and counts of words that are new."""
-        ids, starts = encoded(fresh, self.vocabulary)
+        ids, starts = encoded(b" ".join(fresh).decode(), len(fresh), self.vocabulary)
         self.starts.frombytes((np.append(starts[1:], len(ids)) + len(self.ids)).tobytes())
-        self.ids.frombytes(ids.tobytes())
+        self.ids.frombytes(ids.astype(np.int64).tobytes())
         get = self.known.get
         self.counts.extend([get(w, -1) for w in fresh])
 
@@ -174,7 +314,7 @@ def subword_counts(counts: DataFrame, vocabulary: str) -> np.ndarray:
         for batch in batches:
             found = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             n[-1] += found.pop(END, 0)
-            ids, starts = encoded([w.encode() for w in found], vocabulary)
+            ids, starts = encoded(" ".join(found), len(found), vocabulary)
             np.add.at(n, ids, np.repeat(np.fromiter(found.values(), np.int64, len(found)), np.diff(np.append(starts, len(ids)))))
         ids = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n[ids], pa.int64())], names=["id", "n"])
@@ -185,6 +325,24 @@ def subword_counts(counts: DataFrame, vocabulary: str) -> np.ndarray:
     return out
 
 
+def stored_subwords(table: DataFrame, vocabulary: str) -> np.ndarray:
+    """How often each token, and last the end, occurs in the texts learned from; the vocabulary bounds what comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(encoder(vocabulary)[1].size + 1, np.int64)
+        for batch in batches:
+            for ids, spans, learned, ends in zip(*batch.columns, strict=True):
+                np.add.at(n, unpacked(ids), np.repeat(unpacked(learned), unpacked(spans)))
+                n[-1] += ends.as_py()
+        ids = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n[ids], pa.int64())], names=["id", "n"])
+
+    out = np.zeros(encoder(vocabulary)[1].size + 1, np.int64)
+    for r in chunks(table, "ids", "spans", "learned", "n").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+        out[r["id"]] = r["n"]
+    return out
+
+
 class Classes:
     """Classes of tokens: the most frequent tokens have one each, the others share the last ones by frequency.
 
@@ -209,20 +367,24 @@ class Classes:
 
 
 def all_windows(texts: list[str | None], subwords: Subwords, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """(windows, number of each text's).  Consecutive windows (n, WINDOW + 1) of class ids over whole texts, in which each token and end is a target once; -1 beyond a text's end.
+    """(windows, number of each text's).  Consecutive windows of class ids over whole texts."""
+    ids = [classes.of[subwords.tokens(subwords.places(words(t)))] for t in texts]
+    return windows_of(np.concatenate([np.zeros(0, np.int16), *ids]), np.array([len(x) for x in ids], np.int64), classes.end, -1)
 
-    The last id of a window is the first of the text's next one, where it is context alone.
+
+def windows_of(ids: np.ndarray, lengths: np.ndarray, begin: int, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, number of each text's).  Consecutive windows (n, WINDOW + 1) of ids over whole texts, so many each, in which each token and end is a target once; none beyond a text's end.
+
+    The last id of a window is the first of the text's next one, where it is context alone; begin comes before a text.
     """
-    ids = [classes.of[subwords.tokens(subwords.places(words(t)))] for t in texts]
-    counts = np.array([-(-len(x) // WINDOW) for x in ids], np.int64)
+    counts = -(-lengths // WINDOW)
     firsts = np.cumsum(counts) - counts
-    rows = np.full((int(counts.sum()), WINDOW + 1), -1, np.int16)
-    targets = np.full(len(rows) * WINDOW, -1, np.int16)
-    for first, x in zip(firsts.tolist(), ids, strict=True):
-        targets[first * WINDOW:first * WINDOW + len(x)] = x
+    rows = np.full((int(counts.sum()), WINDOW + 1), none, ids.dtype)
+    targets = np.full(len(rows) * WINDOW, none, ids.dtype)
+    targets[np.arange(len(ids)) + np.repeat(firsts * WINDOW - np.cumsum(lengths) + lengths, lengths)] = ids
     rows[:, 1:] = targets.reshape(-1, WINDOW)
     rows[1:, 0] = rows[:-1, -1]
-    rows[firsts, 0] = classes.end
+    rows[firsts, 0] = begin
     return rows, counts
 
 
@@ -252,7 +414,12 @@ def summed(total: np.ndarray, n: int) -> pa.RecordBatch:
 
 
 def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUNDS) -> Weights:
-    """Weights learned from every token of every text (columns text, h: a hash of the row).
+    """Weights learned from every token of every text (columns text, h: a hash of the row)."""
+    return learned_weights(stored(texts, vocabulary, rounds), classes, vocabulary, rounds)
+
+
+def learned_weights(table: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUNDS) -> Weights:
+    """Weights learned from every token of every stored text to learn from.
 
     Each text is cut into windows that cover it from end to end, and those
     are dealt over the rounds.  In a round, each shard of texts goes on from the
@@ -260,32 +427,15 @@ def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUND
     the weights are averaged.  Shards and order follow from the rows and
     their number alone, not from partitions, so a rerun on any cluster learns the same.
     """
-    folder = f"{shared_folder(texts.sparkSession).rstrip('/')}/windows-{uuid.uuid4().hex}"
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords = Subwords(vocabulary)
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                windows, counts = all_windows(batch.column(1).to_pylist(), subwords, classes)
-                out, first = [], 0
-                for h, n in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):
-                    own = windows[first:first + n]
-                    first += n
-                    for i in range(min(n, rounds)):
-                        some = own[i::rounds]
-                        out.append(((h + i) % rounds, h, some.tobytes(), len(some)))
-                columns = list(zip(*out, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["round", "h", "windows", "n"])
-
-    texts.select("h", "text").mapInArrow(cut, "round int, h long, windows binary, n long").write.partitionBy("round").parquet(folder)
-    table = texts.sparkSession.read.schema("h long, windows binary, n long, round int").parquet(folder)
+    table = table.where("round >= 0").select("round", "h", "windows", "n")
     shards = max(1, -(-(table.agg(F.sum("n")).first()[0] or 0) // WINDOWS_PER_SHARD))
+    kind, class_of = token_type(vocabulary), np.append(classes.of, np.int16(-1))
     weights = Weights.initial(classes.counts)
     for round_no in range(rounds):
         now, rate = weights, RATE * (1 - round_no / rounds)
 
         def run(batches: Iterator[pa.RecordBatch], now: Weights = now, rate: float = rate) -> Iterator[pa.RecordBatch]:
+            keep_memory()
             shard, adam, left, n = None, None, np.zeros((0, WINDOW + 1), np.int16), 0
 
             def ended() -> pa.RecordBatch:
@@ -294,22 +444,29 @@ def fit(texts: DataFrame, classes: Classes, vocabulary: str, rounds: int = ROUND
                 return summed(adam.vector.astype(np.float64) * n, n)
 
             for batch in batches:
-                for number, windows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    if number != shard:
+                numbers, ends = batch.column(0).to_numpy(), np.cumsum(batch.column(2).to_numpy())
+                every = b"".join(batch.column(1).to_pylist())
+                windows = class_of[np.frombuffer(every, kind)].reshape(-1, WINDOW + 1)
+                lasts = np.append(np.flatnonzero(np.diff(numbers)), len(numbers) - 1) if len(numbers) else []
+                first = 0
+                for last in lasts:
+                    if numbers[last] != shard:
                         if adam is not None:
                             yield ended()
-                        shard, adam, left, n = number, Adam(now, rate), left[:0], 0
-                    fresh = np.frombuffer(windows.as_buffer(), np.int16).reshape(-1, WINDOW + 1)
+                        shard, adam, left, n = numbers[last], Adam(now, rate), left[:0], 0
+                    fresh = windows[first:ends[last]]
+                    first = ends[last]
                     n += len(fresh)
                     left = np.concatenate([left, fresh])
-                    while len(left) >= BATCH:
-                        adam.step(left[:BATCH])
-                        left = left[BATCH:]
+                    whole = len(left) - len(left) % BATCH
+                    for at in range(0, whole, BATCH):
+                        adam.step(left[at:at + BATCH])
+                    left = left[whole:]
             if adam is not None:
                 yield ended()
 
-        dealt = table.where(F.col("round") == round_no).select(F.pmod("h", F.lit(shards)).alias("shard"), "h", "windows")
-        dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "h", "windows").select("shard", "windows")
+        dealt = table.where(F.col("round") == round_no).select(F.pmod("h", F.lit(shards)).alias("shard"), "h", "windows", "n")
+        dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "h", "windows").select("shard", "windows", "n")
         mean = average(dealt.mapInArrow(run, SUM_FIELDS), len(weights.vector))
         if mean is not None:
             weights = Weights(mean.astype(np.float32))
@@ -351,59 +508,64 @@ def scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS,
     word is a join key.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col, id_col).alias("h"))
-    learned = docs.where(~held_out("doc_id"))
-    counts = cut_lineage(word_counts(learned))
+    table = stored(docs.withColumn("learn", ~held_out("doc_id")), vocabulary, rounds)
+    counts = cut_lineage(stored_counts(table))
     n_all, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     least = least_frequent(counts)
-    frequent = {r["word"].encode(): r["n"] for r in counts.where(F.col("n") >= least).collect()}
+    frequent = counts.where(F.col("n") >= least).select("word", "n").collect()
+    frequent, counted = pa.array([r["word"] for r in frequent], pa.string()), np.array([r["n"] for r in frequent] + [-1], np.int64)
     ends = counts.where(F.col("word") == END).agg(F.sum("n")).first()[0] or 0
-    classes = Classes(subword_counts(counts, vocabulary))
-    weights = fit(learned, classes, vocabulary, rounds)
+    classes = Classes(stored_subwords(table, vocabulary))
+    weights = learned_weights(table, classes, vocabulary, rounds)
     held = counts.where(F.col("n") >= least)
     n_frequent, n_once = held.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1)).first()
     by_word = max(0, n_frequent - n_once) / max(1, n_all)
+    fields = StructType(docs.select("doc_id", "h").schema.fields + StructType.fromDDL("word string, k int, tokens long, known long, logs double, score double").fields)
+    arrow = to_arrow_schema(fields)
 
-    def start():
-        subwords, scorer = Subwords(vocabulary, frequent), Scorer(weights, classes.counts)
-
-        def work(texts):
-            index, word, n = list(range(len(texts))), [], []
-            ids, parts, shares, sizes, known_all = [], [], [], [], []
-            for i, text in enumerate(texts):
-                w = words(text)
-                places = subwords.places(w)
-                tokens = subwords.tokens(places)
-                known = subwords.known_counts(places)
-                rare = Counter(w[k] for k in np.flatnonzero(known < 0).tolist())
-                index += [i] * len(rare)
-                word += rare
-                n += rare.values()
-                ids.append(classes.of[tokens])
-                shares.append(classes.log_share[tokens])
-                sizes.append(np.append(subwords.sizes(places), 1))
-                known_all.append(np.append(known, ends))
-                known = known[known >= 0]
-                logs = float(np.log10(known + 1.0).sum()) + float(np.log10(ends + 1.0))
-                parts.append((len(w) + 1, len(known) + (ends > 0), logs))
-            model = word_scores(scorer.positions(ids, classes.end), shares, sizes, known_all, by_word, max(1, n_frequent))
-            own = [{"tokens": t, "known": k, "logs": x, "score": float(m) / LN10} for (t, k, x), m in zip(parts, model, strict=True)]
-            # A text's own row has a word that no text has, and that spreads these rows.
-            return index, [[f" {i} {t}" for i, (t, *_) in enumerate(parts)] + [x.decode() for x in word], [0] * len(own) + n, own + [None] * len(word)]
-
-        return work
-
-    parts = per_text(docs.select("doc_id", "h", "text"), [("doc_id", "doc_id"), ("h", "h")], "text", "word string, k int, own struct<tokens long, known long, logs double, score double>", start)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
+        scorer, end = Scorer(weights, classes.counts), encoder(vocabulary)[1].size
+        for batch in batches:
+            words_of = [split_at(x) for x in batch.column(2)]
+            # Counts of all chunks' words, -1 if a word is not frequent.
+            at = pc.fill_null(pc.index_in(pa.chunked_array(words_of, pa.string()), frequent), len(frequent)).to_numpy()
+            known_of = np.split(counted[at], np.cumsum([len(x) for x in words_of])[:-1])
+            for doc_ids, h, found, known, *numbers in zip(batch.column(0), batch.column(1), words_of, known_of, *batch.columns[3:], strict=True):
+                chunk, known = Chunk(*map(unpacked, numbers)), np.append(known, ends)
+                n = len(chunk.lengths)
+                tokens, sizes, places, word_sizes = chunk.spelled(end)
+                of_text = chunk.lengths + 1
+                own = np.repeat(np.arange(n), of_text)
+                texts = np.split(classes.of[tokens], np.cumsum(sizes)[:-1])
+                cuts = np.cumsum(of_text)[:-1]
+                model = word_scores(scorer.positions(texts, classes.end), [classes.log_share[tokens]], np.split(word_sizes, cuts), np.split(known[places], cuts), by_word, max(1, n_frequent))
+                logs = np.bincount(own, np.log10(np.maximum(known, 0) + 1.0)[places], n)
+                n_known = np.bincount(own, (known > 0)[places], n).astype(np.int64)
+                rare = known[places] < 0
+                pairs, k = np.unique(own[rare] * len(known) + places[rare], return_counts=True)
+                # A text's own row has a word that no text has, and that spreads these rows.
+                spread = pa.array([f" {i} {t}" for i, t in enumerate(of_text.tolist())], pa.string())
+                row, of = pa.array(np.concatenate([np.arange(n), pairs // len(known)])), pa.array(pairs % len(known))
+                gone = pa.nulls(len(pairs))
+                columns = [
+                    doc_ids.values.take(row), h.values.take(row), pa.concat_arrays([spread, found.take(of)]), pa.array(np.concatenate([np.zeros(n, np.int64), k])),
+                    *(pa.concat_arrays([pa.array(x), gone.cast(t)]) for x, t in ((of_text.astype(np.int64), pa.int64()), (n_known, pa.int64()), (logs, pa.float64()), (model / LN10, pa.float64()))),
+                ]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    parts = chunks(table, "doc_ids", "hs", "words", "places", "lengths", "ids", "spans").mapInArrow(run, fields)
     rare = counts.where(F.col("n") < least)
     joined = parts.join(rare, "word", "left")
     c = F.coalesce("n", F.lit(0))
     summed_up = joined.groupBy("doc_id", "h").agg(
-        F.max("own").alias("own"), F.count("own").alias("rows"),
-        F.sum(F.when(c > 0, F.col("k")).otherwise(F.lit(0))).alias("known"), F.sum(F.col("k") * F.log10(c + F.lit(1.0))).alias("logs"),
+        *(F.max(x).alias(x) for x in ("tokens", "known", "logs", "score")), F.count("tokens").alias("rows"),
+        F.sum(F.when(c > 0, F.col("k")).otherwise(F.lit(0))).alias("rare_known"), F.sum(F.col("k") * F.log10(c + F.lit(1.0))).alias("rare_logs"),
     )
     # Equal rows have added their equal parts up.
     out = summed_up.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
-    base = F.col("own.logs") + F.col("logs") / F.col("rows") - F.col("own.tokens") * F.log10(F.lit(float(n_all + n_words + 1)))
+    base = F.col("logs") + F.col("rare_logs") / F.col("rows") - F.col("tokens") * F.log10(F.lit(float(n_all + n_words + 1)))
     return out.select(
-        "doc_id", held_out("doc_id").alias("held_out"), F.col("own.tokens").alias("n_tokens"), (F.col("own.known") + F.floor(F.col("known") / F.col("rows")).cast("long")).alias("n_known"),
-        F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"), F.col("own.score").alias("score"),
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("tokens").alias("n_tokens"), (F.col("known") + F.floor(F.col("rare_known") / F.col("rows")).cast("long")).alias("n_known"),
+        F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
     )
