@@ -138,14 +138,15 @@ class Chunk:
 
 
 def packed(numbers: np.ndarray) -> pa.Array:
-    """Numbers from 0 on in as few bytes as the largest needs, as one binary value."""
+    """Numbers from 0 on in as few bytes as the largest needs, as one binary value: all lowest bytes first, as these compress apart."""
     kind = np.min_scalar_type(int(numbers.max(initial=0)))
-    return pa.array([kind.char.encode() + numbers.astype(kind).tobytes()], pa.binary())
+    return pa.array([kind.char.encode() + numbers.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()], pa.binary())
 
 
 def unpacked(value: pa.Scalar) -> np.ndarray:
     raw = np.frombuffer(value.as_buffer(), np.uint8)
-    return raw[1:].copy().view(np.dtype(chr(raw[0]))).astype(np.int64)
+    kind = np.dtype(chr(raw[0]))
+    return np.ascontiguousarray(raw[1:].reshape(kind.itemsize, -1).T).view(kind).reshape(-1).astype(np.int64)
 
 
 def told_apart(texts: pa.Array, vocabulary: str) -> tuple[Chunk, pa.Array]:
